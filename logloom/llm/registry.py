@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import chat, packing, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,11 +21,59 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
 
 
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, max(page_id) AS newest FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN g.newest IS NULL OR g.newest = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.newest <> p.page_id THEN g.newest END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >= 1000
+"""
+
+
+def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_with_probe(table(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), r AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM rows
+), e AS (
+  SELECT *, length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS>|\|)', '\1\\\2\3', 'g'))
+          + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS>|\|)', '\1\\\2\3', 'g'))
+          + length('<|im_start|><|im_sep|><|im_end|>') AS chars
+  FROM r
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY n) AS turns,
+         coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '') AS loss, sum(chars)::BIGINT AS formatted_chars
+  FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_warc_round_trip": op4_warc_round_trip,
+        "op10_reply_trees": op10_reply_trees,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_warc_round_trip": OP4_SQL,
+        "op10_reply_trees": OP10_SQL,
+    }
