@@ -50,26 +50,29 @@ def reply_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     linked = nodes.join(ids, ["tree_id", "parent_id"], "left").select(
         "tree_id", "msg_id", F.when(F.col("known"), F.col("parent_id")).alias("up"), "score", F.lit(1).cast("long").alias("depth")
     )
-    jumps = [scratch.save("jump0", linked)]
-    active = jumps[0].filter(F.col("up").isNotNull()).count()
+    first = scratch.save("jump0", linked)
+    rooted = first.filter(F.col("up").isNull())
+    jumps = [first.filter(F.col("up").isNotNull())]
+    active = jumps[0].count()
     while active:
         low = jumps[-1]
-        high = low.select("tree_id", F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        further = low.join(high, ["tree_id", "up"], "left").select(
-            "tree_id", "msg_id", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-        )
-        jumps.append(scratch.save(f"jump{len(jumps)}", further))
-        still = jumps[-1].filter(F.col("up").isNotNull()).count()
-        if still == active:  # only cycles go on
+        high = low.unionByName(rooted).select("tree_id", F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        further = scratch.save(f"jump{len(jumps)}", low.join(high, ["tree_id", "up"]).select(
+            "tree_id", "msg_id", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"), (F.col("depth") + F.col("depth2")).alias("depth"),
+        ))
+        rooted = rooted.unionByName(further.filter(F.col("up").isNull()))
+        still = further.filter(F.col("up").isNotNull())
+        left = still.count()
+        if left == active:  # only cycles go on
             break
-        active = still
+        active = left
+        jumps.append(still)
     parents = linked.filter(F.col("up").isNotNull()).select("tree_id", F.col("up").alias("msg_id")).distinct()
-    leaves = jumps[-1].filter(F.col("up").isNull()).join(parents, ["tree_id", "msg_id"], "left_anti")
+    leaves = rooted.join(parents, ["tree_id", "msg_id"], "left_anti")
     ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree_id").orderBy(F.desc("score"), "msg_id")))
     chosen = ranked.filter(F.col("rank") <= best).select("tree_id", F.col("msg_id").alias("leaf_id"), "msg_id", F.col("depth").alias("position"))
     for k in range(len(jumps) - 1, -1, -1):
-        step = jumps[k].filter(F.col("up").isNotNull()).select("tree_id", "msg_id", "up")
+        step = jumps[k].select("tree_id", "msg_id", "up")
         above = chosen.join(step, ["tree_id", "msg_id"]).select("tree_id", "leaf_id", F.col("up").alias("msg_id"), (F.col("position") - 2**k).alias("position"))
         chosen = scratch.save(f"path{k}", chosen.unionByName(above))
     return chosen
