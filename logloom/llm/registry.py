@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, packing, warc
+from . import chat, near_dup, packing, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -64,10 +64,15 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 """
 
 
+def op9_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_warc_round_trip": op4_warc_round_trip,
+        "op9_multi_index_hamming": op9_multi_index_hamming,
         "op10_reply_trees": op10_reply_trees,
     }
 
