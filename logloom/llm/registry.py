@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, near_dup, packing, warc
+from . import chat, near_dup, packing, substring, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
@@ -70,6 +74,7 @@ def op9_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_paragraph_minhash": op1_paragraph_minhash,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_warc_round_trip": op4_warc_round_trip,
         "op9_multi_index_hamming": op9_multi_index_hamming,
