@@ -1,11 +1,59 @@
-"""The corpus pipeline; its stages follow as the operators do."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
-STAGES: list = []
-ORACLE_SQL = None
+Every stage takes (spark, docs, sf_dir); ``docs`` has the columns of ``documents``.
+All but the last stage return those columns; what they remove is gone for good.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from logloom.llm import decontam, near_dup, packing, registry, substring, toxicity
+from logloom.llm.common import Scratch
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier of the labelled ones doesn't reject."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, registry.table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.keep_one(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one holds."""
+    return substring.without_repeats(docs)
+
+
+def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of benchmark items."""
+    return decontam.without_contamination(docs, registry.table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the remaining documents, placed in sequences."""
+    return packing.pack_documents(docs, registry.TOKENIZER)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substring_dedup", cut_repeated_passages),
+    ("decontamination", cut_benchmark_passages),
+    ("packing", pack_sequences),
+]
+
+#: SQL can express neither the classifier nor the similarity joins.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each but the last written and read again."""
+    docs, scratch = registry.table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(name, stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, near_dup, packing, substring, warc
+from . import chat, decontam, digest, licenses, near_dup, packing, substring, suffix, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +21,10 @@ def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
@@ -68,6 +73,24 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 """
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_licenses(docs.withColumn("path", F.concat_ws("/", "lang", "source", F.col("doc_id").cast("string"))))
+
+
+def op6_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_maximal_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -75,8 +98,13 @@ def op9_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_paragraph_minhash": op1_paragraph_minhash,
+        "op2_pigeonhole_decontamination": op2_pigeonhole_decontamination,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_warc_round_trip": op4_warc_round_trip,
+        "op5_license_scan": op5_license_scan,
+        "op6_prefix_free_parsing": op6_prefix_free_parsing,
+        "op7_improbable_features": op7_improbable_features,
+        "op8_maximal_segments": op8_maximal_segments,
         "op9_multi_index_hamming": op9_multi_index_hamming,
         "op10_reply_trees": op10_reply_trees,
     }

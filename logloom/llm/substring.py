@@ -177,6 +177,30 @@ def removed_ranges(spans: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
+def cut_text(text: str | None, spans: list[dict]) -> tuple[str | None, int, int, int, list[int]]:
+    """What is left of a text, its words, those removed, the gaps, and their originals."""
+    if text is None:
+        return None, 0, 0, 0, []
+    data = text.encode("utf-8", "surrogatepass")
+    ranges = removed_ranges([(x["start"], x["size"], x["phrase"]) for x in spans])
+    if not ranges:
+        return text, len(data.split()), 0, 0, []
+    starts, ends, _ = word_spans(data)
+    ranges = [(a, min(b, len(starts))) for a, b in ranges if a < len(starts)]
+    kept, at = [], 0
+    for a, b in ranges:
+        kept.append(data[at : starts[a]])
+        at = int(ends[b - 1])
+    kept.append(data[at:])
+    used = {x["original"] for x in spans if any(a <= x["start"] < b for a, b in ranges)}
+    return b"".join(kept).decode("utf-8", "surrogatepass"), len(starts), sum(b - a for a, b in ranges), len(ranges), sorted(used)
+
+
+def _spans_by_document(docs: DataFrame, percent: int) -> DataFrame:
+    one = F.struct("start", "size", "phrase", "original")
+    return repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(one).alias("repeated_spans"))
+
+
 def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """Every document without the passages that an earlier place already holds.
 
@@ -193,30 +217,36 @@ def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                text, spans = text.as_py(), spans.as_py() or []
-                if text is None:
-                    rows.append((doc, None, 0, 0, 0, []))
-                    continue
-                data = text.encode("utf-8", "surrogatepass")
-                if not spans:
-                    rows.append((doc, text, len(data.split()), 0, 0, []))
-                    continue
-                starts, ends, _ = word_spans(data)
-                ranges = [(a, min(b, len(starts))) for a, b in removed_ranges([(x["start"], x["size"], x["phrase"]) for x in spans]) if a < len(starts)]
-                kept, at = [], 0
-                for a, b in ranges:
-                    kept.append(data[at : starts[a]])
-                    at = int(ends[b - 1])
-                kept.append(data[at:])
-                used = {x["original"] for x in spans if any(a <= x["start"] < b for a, b in ranges)}
-                rows.append((doc, b"".join(kept).decode("utf-8", "surrogatepass"), len(starts), sum(b - a for a, b in ranges), len(ranges), sorted(used)))
-            types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            rows = [cut_text(text.as_py(), spans.as_py() or []) for text, spans in zip(batch.column(1), batch.column(2))]
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             names = ["doc_id", "text", "n_words", "n_removed", "n_spans", "originals"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types))], names=names)
 
-    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "phrase", "original")).alias("spans"))
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    joined = texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    joined = texts.join(_spans_by_document(docs, percent), "doc_id", "left").select("doc_id", "text", "repeated_spans")
     return joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long, n_spans long, originals array<long>")
+
+
+def without_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """``docs``, all columns, with repeats cut from text and n_chars brought up to date.
+
+    Documents of which nothing is left go; those without words before stay.
+    """
+    columns = docs.columns
+    at, size = columns.index("text"), columns.index("n_chars")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, sizes, keep = [], batch.column(size).to_pylist(), []
+            for i, (text, spans) in enumerate(zip(batch.column(at), batch.column(len(columns)))):
+                left, n, removed, _, _ = cut_text(text.as_py(), spans.as_py() or [])
+                if removed:
+                    sizes[i] = len(left)
+                texts.append(left)
+                keep.append(not removed or removed < n)
+            arrays = list(batch.columns[:-1])
+            arrays[at], arrays[size] = pa.array(texts, pa.string()), pa.array(sizes, arrays[size].type)
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
+
+    joined = docs.join(_spans_by_document(docs, percent), "doc_id", "left").select(*columns, "repeated_spans")
+    return joined.mapInArrow(cut, docs.schema)
