@@ -1,0 +1,70 @@
+"""Steps from one stored log version to the next; each takes and gives a log."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+CURRENT_VERSION = 4
+#: How message sources name their producers before and after version 4.
+PRODUCERS = {"user": "user", "skill": "plugin/skill", "hook": "plugin/hook", "system-reminder": "core/reminder", "compaction": "core/compaction"}
+PRESET_NAMES = {"default": "standard"}
+
+
+def complete_envelope(log: DataFrame) -> DataFrame:
+    """v0 to v1: optional envelope fields get their defaults."""
+    filled = log.withColumn("ignorable", F.coalesce("ignorable", F.lit(False)))
+    return filled.withColumn("source_event_seqs", F.coalesce("source_event_seqs", F.array().cast("array<bigint>")))
+
+
+def check_references(log: DataFrame) -> DataFrame:
+    """v1 to v2: a citation must name an earlier event; others fail the query."""
+    bad = F.exists("source_event_seqs", lambda s: (s >= F.col("seq")) | (s < 0))
+    message = F.concat(F.lit("bad citation at seq "), F.col("seq").cast("string"))
+    return log.withColumn("seq", F.when(bad, F.raise_error(message).cast("long")).otherwise(F.col("seq")))
+
+
+def insert_system_messages(log: DataFrame) -> DataFrame:
+    """v2 to v3: a system message before each header that has one, and new numbers.
+
+    Reads system_text of request/header events.  Every citation follows its event to
+    the new number; the preset is renamed.
+    """
+    own = log.withColumn("rank", F.lit(1))
+    added = log.filter((F.col("type") == "request/header") & F.col("system_text").isNotNull())
+    added = added.withColumn("type", F.lit("system/message")).withColumn("text", F.col("system_text")).withColumn("rank", F.lit(0)).withColumn("source_event_seqs", F.array().cast("array<bigint>"))
+    order = Window.partitionBy("session_id").orderBy("seq", "rank")
+    both = own.unionByName(added).withColumn("new_seq", F.row_number().over(order).cast("long") - 1)
+    names = both.filter("rank = 1").select("session_id", F.col("seq").alias("cited"), F.col("new_seq").alias("new_cited"))
+    cites = both.select("session_id", "new_seq", F.posexplode("source_event_seqs").alias("at", "cited")).join(names, ["session_id", "cited"])
+    moved = cites.groupBy("session_id", "new_seq").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "new_cited"))), lambda x: x["new_cited"]).alias("moved"))
+    joined = both.join(moved, ["session_id", "new_seq"], "left")
+    preset = reduce(lambda c, pair: F.when(F.col("preset") == pair[0], pair[1]).otherwise(c), PRESET_NAMES.items(), F.col("preset"))
+    kept = {"seq": F.col("new_seq"), "source_event_seqs": F.coalesce("moved", F.array().cast("array<bigint>")), "preset": preset, "system_text": F.lit(None).cast("string")}
+    return joined.select(*(kept.get(c, F.col(c)).alias(c) for c in log.columns))
+
+
+def rename_sources(log: DataFrame) -> DataFrame:
+    """v3 to v4: producers of messages by their new names; unknown ones become plugin names."""
+    known = F.create_map(*(F.lit(x) for pair in PRODUCERS.items() for x in pair))
+    old: Column = F.col("source_kind")
+    return log.withColumn("source_kind", F.when(old.isNotNull(), F.coalesce(known[old], F.concat(F.lit("plugin/"), old))))
+
+
+def child_facts(log: DataFrame) -> DataFrame:
+    """v3 to v4: sessions with exactly one descriptor, and it; others have a placeholder."""
+    descriptors = log.filter(F.col("type") == "subagent/descriptor").groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("text", "seq").alias("descriptor"))
+    sessions = log.select("session_id").distinct().join(descriptors, "session_id", "left")
+    return sessions.select("session_id", F.when(F.col("n") == 1, F.col("descriptor")).otherwise("unknown").alias("descriptor"))
+
+
+STEPS = (complete_envelope, check_references, insert_system_messages, rename_sources)
+
+
+def migrate(log: DataFrame, version: int) -> DataFrame:
+    """A log of ``version`` brought to the current one, step by step."""
+    if not 0 <= version <= CURRENT_VERSION:
+        raise ValueError(f"unknown version {version}")
+    return reduce(lambda df, step: step(df), STEPS[version:], log)
