@@ -10,9 +10,8 @@ similarity of 0.85 one pair in a million exceeds it, at 0.8 some three.
 
 Pairs of a key are never listed outright.  First every member is held against the
 key's smallest; after the components of those links are known, only keys that span
-several components go on: each member is held against the nearest member of another
-component, and what is apart still is compared in blocks, where only pairs whose
-longer signatures are near enough come out.  Every link is confirmed on full sets.
+several components go on.  They meet in cells, where full sets are compared in blocks
+and only links that join components come out.  Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -32,8 +31,8 @@ from .words import MinHasher, common_count, shingle_set
 POSITIONS, CHUNK = 40, 4
 #: Values of the longer signature, a byte each, that pairs are filtered by.
 FILTER = 128
-#: Members of a key that one block holds.
-BLOCK = 1024
+#: Bytes of sets that one block of a cell holds.
+BLOCK_BYTES = 2 << 20
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
@@ -80,76 +79,109 @@ def index_keys(index: Column) -> Column:
     return F.array(*keys)
 
 
-# Pairs inside keys -----------------------------------------------------------
+# Cells -----------------------------------------------------------------------
 
 
-def _block_pairs(limit: int, nearest: bool):
-    """Pairs of different components within ``limit``, from rows sorted by cell.
+def similar_pairs(items: list[np.ndarray], percent: int) -> np.ndarray:
+    """Upper triangle of which sets are similar enough, from exact intersection sizes.
 
-    A cell is a pair of blocks of one key; of a cell with two blocks only pairs
-    across them count.  With ``nearest``, each row gives its nearest partner alone.
+    Only values that two sets hold count; they go through in columns of a 0-1 matrix.
     """
-
-    def of_cell(node: np.ndarray, comp: np.ndarray, block: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
-        if comp.min() == comp.max():
-            return []
-        found, across = [], block.min() != block.max()
-        rows = np.flatnonzero(block == block.min()) if across else np.arange(len(node))
-        for i in range(0, len(rows), 64):
-            part = rows[i : i + 64]
-            far = (sig[part][:, None, :] != sig[None, :, :]).sum(axis=2)
-            far[comp[part][:, None] == comp[None, :]] = FILTER + 1
-            if across:
-                far[:, block == block.min()] = FILTER + 1
-            if nearest:
-                best = far.argmin(axis=1)
-                near = far[np.arange(len(part)), best] <= limit
-                pairs = np.stack([node[part][near], node[best[near]]], axis=1)
-            else:
-                x, y = np.nonzero(far <= limit)
-                pairs = np.stack([node[part][x], node[y]], axis=1)
-            found.append(np.sort(pairs, axis=1))
-        return found
+    sizes = np.array([len(x) for x in items])
+    values, column = np.unique(np.concatenate(items), return_inverse=True)
+    row = np.repeat(np.arange(len(items)), sizes)
+    often = np.bincount(column, minlength=len(values)) > 1
+    number = np.cumsum(often) - 1
+    row, column = row[often[column]], number[column[often[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(items), len(items)), dtype=np.float32)
+    for low in range(0, int(often.sum()), 2048):
+        a, b = np.searchsorted(column, [low, low + 2048])
+        holds = np.zeros((len(items), 2048), dtype=np.float32)
+        holds[row[a:b], column[a:b] - low] = 1
+        common += holds @ holds.T
+    both = sizes[:, None] + sizes[None, :] - common
+    return np.triu(100 * common.astype(np.float64) >= percent * both.astype(np.float64), 1)
+
+
+def spanning_links(node: np.ndarray, comp: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Links that join what ``linked`` joins, one for each join of two components."""
+    names, which = np.unique(comp, return_inverse=True)
+    x, y = np.nonzero(linked & (which[:, None] != which[None, :]))
+    pair, at = np.unique(np.sort(np.stack([which[x], which[y]], axis=1), axis=1), axis=0, return_index=True)
+    root = list(range(len(names)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    found = []
+    for (a, b), i in zip(pair.tolist(), at):
+        a, b = find(a), find(b)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            found.append((node[x[i]], node[y[i]]))
+    return np.array(found, dtype=np.int64).reshape(-1, 2)
+
+
+def _cell_links(percent: int):
+    """Links across components of each cell; the rows of a cell stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-            cell, node, comp, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3))
-            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint8).reshape(len(cell), FILTER)
+            cell, node, comp = (batch.column(i).to_numpy() for i in range(3))
+            items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(3)]
             edges = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-            found = [p for a, b in zip(edges[:-1], edges[1:]) if b - a > 1 for p in of_cell(node[a:b], comp[a:b], block[a:b], sig[a:b])]
-            pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            found = [np.empty((0, 2), dtype=np.int64)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if comp[a:b].min() != comp[a:b].max():
+                    found.append(spanning_links(node[a:b], comp[a:b], similar_pairs(items[a:b], percent)))
+            links = np.concatenate(found)
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
         for batch in batches:  # a cell may go on in the next batch
             if not batch.num_rows:
                 continue
             cells = batch.column(0).to_numpy()
-            last = int(np.flatnonzero(cells != cells[-1])[-1]) + 1 if cells[0] != cells[-1] else 0
-            if held and (last or held[-1].column(0)[-1].as_py() != cells[-1]):
-                yield emit(pa.concat_batches([*held, batch.slice(0, last)]))
+            others = np.flatnonzero(cells != cells[-1])
+            split = int(others[-1]) + 1 if len(others) else 0
+            if held and (split or held[-1].column(0)[-1].as_py() != cells[-1]):
+                yield emit(pa.concat_batches([*held, batch.slice(0, split)]))
                 held = []
-            elif last:
-                yield emit(batch.slice(0, last))
-            held.append(batch.slice(last))
+            elif split:
+                yield emit(batch.slice(0, split))
+            held.append(batch.slice(split))
         if held:
             yield emit(pa.concat_batches(held))
 
     return run
 
 
-def _cross_pairs(members: DataFrame, joined: DataFrame, sigs: DataFrame, limit: int, nearest: bool) -> DataFrame:
-    """Near pairs of different components among the members of each key."""
+def _links_across(members: DataFrame, joined: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch) -> DataFrame:
+    """Links between different components whose members share a key.
+
+    Keys that span components meet in the cell of their least component, so that two
+    texts with many keys in common are held against each other once.  A large cell is
+    cut into blocks; each pair of blocks is compared by one task.
+    """
     rows = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high")
-    rows = rows.join(split.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key").join(sigs, "rep")
+    split = rows.groupBy("key").agg(F.min("component").alias("cell"), F.max("component").alias("high")).filter("cell <> high").drop("high")
+    placed = scratch.save("cells", rows.join(split, "key").select("cell", "rep", "component").distinct())
+    items = scratch.save("cell-items", items_of(placed.select("rep").distinct()))
+    filled = placed.join(items, "rep")
+    blocks = placed.join(items.select("rep", F.octet_length("items").alias("bytes")), "rep").groupBy("cell").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    cells = rows.select(cell.alias("cell"), F.col("rep").alias("node"), "component", "block", "sig")
+    dealt = filled.join(blocks.withColumn("blocks", F.greatest("blocks", F.lit(1))), "cell").withColumn("block", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    task = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
+    cells = dealt.select(task.alias("task"), "rep", "component", "items")
     n = tasks_for(members.sparkSession)
-    return cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_block_pairs(limit, nearest), "a long, b long").distinct()
+    return scratch.save("cell-links", cells.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_cell_links(percent), "a long, b long"))
 
 
 # Confirmation ----------------------------------------------------------------
@@ -202,27 +234,16 @@ def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFr
         sigs: rep and sig, ``FILTER`` bytes.
         items_of: gives (rep, items) for a table of reps; it is written once a round.
     """
-    limit = max_distance(percent)
-
-    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        items = scratch.save(f"{label}-items", items_of(ends))
-        links = scratch.save(f"{label}-links", _similar(pairs, items, percent))
-        scratch.drop(f"{label}-items")
-        return links
-
     stars = members.filter("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    checked = scratch.save("pairs0", _near_enough(stars, sigs, limit))
-    links = confirmed(checked, "star")
-    joined = scratch.save("joined0", components(links, scratch, "components0"))
-    for round_no, nearest in enumerate((True, False), 1):
-        near = _cross_pairs(members.select("key", "rep"), joined, sigs, limit, nearest)
-        fresh = scratch.save(f"pairs{round_no}", near.join(checked, ["a", "b"], "left_anti"))
-        if not fresh.isEmpty():
-            checked = checked.unionByName(fresh)
-            links = links.unionByName(confirmed(fresh, f"round{round_no}"))
-            joined = scratch.save(f"joined{round_no}", components(links, scratch, f"components{round_no}"))
-    return joined
+    pairs = scratch.save("pairs", _near_enough(stars, sigs, max_distance(percent)))
+    items = scratch.save("items", items_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()))
+    links = scratch.save("star-links", _similar(pairs, items, percent))
+    joined = scratch.save("star-joined", components(links, scratch, "star"))
+    across = _links_across(members, joined, items_of, percent, scratch)
+    if across.isEmpty():
+        return joined
+    return scratch.save("joined", components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across), scratch, "all"))
+
 
 
 # Operator --------------------------------------------------------------------
@@ -261,7 +282,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     # members of a class meet at their representative, ids with several texts at themselves
     same = filled.join(classes.select("set_low", "set_high", "rep"), ["set_low", "set_high"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same)
-    final = scratch.save("joined", components(links, scratch))
+    final = scratch.save("final", components(links, scratch, "final"))
     found = rows.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
