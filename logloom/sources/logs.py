@@ -96,7 +96,7 @@ def read_framed_log(spark: SparkSession, path: str, schema: str = EVENT, recover
                 frames, torn = scan_frames(content)
                 if torn is not None and recover:
                     frames.append(recover_prefix(content[torn:]))
-                for frame in frames:
+                for frame in filter(None, frames):
                     yield pd.DataFrame({"value": frame.decode().splitlines()})
 
     text = files.select("content").mapInPandas(lines, "value string")
