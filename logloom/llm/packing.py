@@ -4,9 +4,9 @@ Pieces of at most ``capacity`` tokens are dealt into groups of a bounded number
 rows.  A group packs by best-fit decreasing and computes a lower bound from dual
 feasible functions (DFF): a function u with sum(u(x)) <= 1 whenever sum(x) <= 1
 turns any set of sizes into a bound on its bins.  A group whose bin count equals
-its bound is certified: no packing of its pieces is better.  What a group leaves
-in bins with gaps is exchanged: such pieces are dealt anew and packed again,
-among fewer groups each round.  DFF values are additive, so the bound of the
+its bound is certified: no packing of its pieces is better.  What stands in bins
+with gaps is exchanged between the groups: such pieces are dealt anew and packed
+again, in rounds, until all bins together meet the bound or a round saves none.  DFF values are additive, so the bound of the
 whole input is one aggregation.
 """
 
@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_OF_DOCUMENT = 1
 #: Pieces that one task packs at once.
 GROUP_ROWS = 2048
-#: Rounds of exchange at most; each leaves about one open bin for a group.
+#: Rounds of exchange at most.
 MAX_ROUNDS = 8
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -125,11 +125,9 @@ def _pack_group(capacity: int, round_no: int, slack: int):
         bins, offsets, gaps = best_fit_decreasing(lengths, capacity)
         gaps = np.asarray(gaps)
         certified = len(gaps) == lower_bound(lengths, capacity)
-        # a certified group can only gain by what its emptiest bin shares with other groups' bins
-        reopened = gaps > slack if not certified else (np.arange(len(gaps)) == gaps.argmax()) & (gaps > slack)
         group = int(frame["packing_group"].iloc[0])
         return frame.drop(columns="packing_group").assign(
-            sequence_id=(round_no << 58) + (group << 20) + bins, offset=offsets, certified=certified, reopened=reopened[bins]
+            sequence_id=(round_no << 58) + (group << 20) + bins, offset=offsets, certified=certified, reopened=(gaps > slack)[bins]
         )
 
     return pack
@@ -149,7 +147,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     scratch = Scratch(spark, "packing")
     open_pieces = scratch.save("pieces", pieces)
     slack = capacity // 256
-    placed = []
+    placed, before, last = [], math.inf, None
     for round_no in range(MAX_ROUNDS):
         terms = bound_terms(F.col("length"), capacity)
         stats = open_pieces.agg(F.count(F.lit(1)).alias("n"), *(F.sum(v).alias(k) for k, v in terms.items())).first()
@@ -160,10 +158,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
         dealt = open_pieces.withColumn("packing_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
         out = f"{PIECES}, sequence_id long, offset long, certified boolean, reopened boolean"
         packed = scratch.save(f"round{round_no}", dealt.groupBy("packing_group").applyInPandas(_pack_group(capacity, round_no, slack), out))
-        bins = packed.select(F.count_distinct(F.when(F.col("offset") == 0, F.col("sequence_id")))).first()[0] if groups < 64 else None
-        if groups == 1 or round_no == MAX_ROUNDS - 1 or bins == bound:
+        first = F.col("offset") == 0
+        bins, gaps = packed.agg(F.count(F.when(first, 1)), F.count(F.when(first & F.col("reopened"), 1))).first()
+        if bins > before:  # the earlier places were better
+            placed.append(last.filter("reopened"))
+            break
+        # one group, a certified whole, or a round that saved no bin ends the exchange
+        if groups == 1 or bins == bound or bins >= before or round_no == MAX_ROUNDS - 1:
             placed.append(packed)
             break
+        before, last = gaps, packed
         placed.append(packed.filter(~F.col("reopened")))
         open_pieces = packed.filter("reopened").select(*(c.split()[0] for c in PIECES.split(", ")))
     result = placed[0]

@@ -10,7 +10,8 @@ A passage may also stand inside paragraphs that are otherwise different.  For th
 the words are cut where a word's hash is the least of twenty in a row; inside a
 repeated passage the cuts agree, so its phrases are equal, which is banding with
 one band at a similarity of one.  Runs of phrases seen before, of at least
-``MIN_WORDS`` words, go too.  Shorter repeats (headings, stock sentences) stay.
+``MIN_WORDS`` words, go too; at either end of a passage less than one cut window of
+words may stay.  Shorter repeats (headings, stock sentences) stay.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ labelled text, smoothed by a Dirichlet prior in proportion to the form's count i
 whole corpus; only weights at least ``LEAST_Z`` standard errors from zero count, and a
 token has that of its surest form.  Every other token costs a small drift.  One linear scan finds all maximal segments of a text.  By extreme-value
 theory the best segment of n random tokens with score S exceeds chance as
-``lambda * S - log(n)``; lambda comes from the corpus frequencies.  Segments above
+``lambda * S - log(n + LEAST_TOKENS)``; lambda comes from the corpus frequencies.  Segments above
 chance are passages; their sum, the best one and their number go into a logistic
 calibration, fitted on labelled texts that the weights haven't seen.
 """
@@ -38,6 +38,8 @@ CACHE_WORDS = 400_000
 #: What a token without a weight adds to a segment.
 DRIFT = -0.05
 THRESHOLD = 0.7
+#: Added to a text's tokens, so that a short text's segments aren't significant by its shortness.
+LEAST_TOKENS = 100
 #: Segments with at most this chance of standing in random text are passages.
 SIGNIFICANCE = 0.05
 _TOKEN = re.compile(r"\w+")
@@ -115,7 +117,7 @@ class ToxicityModel:
         tokens = tokens_of(text)
         cache = FormCache(self.weight_of) if cache is None else cache
         scores = [(i, x) for i, t in enumerate(tokens) if (x := cache[t])]
-        room = math.log(len(tokens) + 1)
+        room = math.log(len(tokens) + LEAST_TOKENS)
         return len(tokens), [(a, b, self.rate * s - room) for a, b, s in maximal_segments(scores, DRIFT, len(tokens))]
 
     def features(self, text: str, cache: FormCache | None = None) -> list[float]:
@@ -126,8 +128,8 @@ class ToxicityModel:
         least = -math.log(SIGNIFICANCE)
         excess = [x for _, _, x in found]
         above = [x for x in excess if x >= least]
-        best = max(excess, default=-math.log(n + 1))
-        return [best, math.log1p(sum(above)), math.log1p(len(above)), math.log1p(len(found)), math.log(n + 1)]
+        best = max(excess, default=-math.log(n + LEAST_TOKENS))
+        return [best, math.log1p(sum(above)), math.log1p(len(above)), math.log1p(len(found))]
 
     def scores(self, rows: list[list[float]]) -> np.ndarray:
         x = np.asarray(rows, dtype=float).reshape(len(rows), -1)

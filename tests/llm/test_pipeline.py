@@ -8,7 +8,7 @@ from .conftest import prose
 
 
 def write_tables(spark, folder):
-    passage, leak = prose(70, 60), prose(71, 30)
+    passage, leak = prose(470, 60), prose(471, 30)
     rows, labels = [], []
     for i in range(150):
         words = prose(i, 80).split()
@@ -22,7 +22,7 @@ def write_tables(spark, folder):
     rows += [(203, f"{prose(304, 20)} {leak.upper()} {prose(305, 20)}", "en", "s", 1), (204, None, None, None, None), (205, "", "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
-    spark.createDataFrame([(1, leak), (2, prose(72, 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, leak), (2, prose(472, 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return passage, leak
 
 

@@ -88,7 +88,8 @@ def test_repeated_passages_go_and_clean_texts_stay(docs):
     assert all(got[i][0]["n_removed"] == 0 for i in (1, 3, 4, 6, 7, 8, 9)) and got[6][0]["text"] is None
     assert all(got[i][0]["text"] == dict(rows)[i] for i in (1, 3, 4, 8))
     for i in (2, 10):
-        assert got[i][0]["n_removed"] >= 40 and got[i][0]["originals"] == [1]
+        # at either end less than one cut window of words may stay
+        assert got[i][0]["n_removed"] > 60 - 2 * substring.CUT_WINDOW and 1 in got[i][0]["originals"]
     assert got[5][0]["n_removed"] == 80 and got[5][0]["originals"] == [4] and got[5][0]["text"].endswith("end")
     assert len(got[10]) == 2 and got[10][0]["text"] == got[10][1]["text"] and got[None][0]["n_removed"] == 0
     assert substring.remove_repeats(docs([])).count() == 0
