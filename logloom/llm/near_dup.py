@@ -8,10 +8,10 @@ gives a key for every position left out, and all pairs under that distance (half
 the positions) share a key.  A link's expected distance is far below; at a
 similarity of 0.85 one pair in a million exceeds it, at 0.8 some three.
 
-Pairs of a key are never listed outright.  First every member is held against the
-key's smallest; after the components of those links are known, only keys that span
-several components go on.  They meet in cells, where full sets are compared in blocks
-and only links that join components come out.  Every link is confirmed on full sets.
+Pairs of a key are never listed outright.  First every member joins the cell of the
+nearest among the least members of its keys; then keys that still span several
+components meet in the cell of their least component.  In a cell full sets are compared
+in blocks, and only links that join components come out, so their number is linear.
 """
 
 from __future__ import annotations
@@ -162,40 +162,39 @@ def _cell_links(percent: int):
     return run
 
 
-def _links_across(members: DataFrame, joined: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch) -> DataFrame:
-    """Links between different components whose members share a key.
+def cell_links(placed: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch, label: str) -> DataFrame:
+    """Links between different components of each cell, confirmed on full sets.
 
-    Keys that span components meet in the cell of their least component, so that two
-    texts with many keys in common are held against each other once.  A large cell is
-    cut into blocks; each pair of blocks is compared by one task.
+    placed: cell, rep, component.  A cell of more than ``BLOCK_BYTES`` is cut into
+    blocks; each pair of blocks is compared by one task.
     """
-    rows = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = rows.groupBy("key").agg(F.min("component").alias("cell"), F.max("component").alias("high")).filter("cell <> high").drop("high")
-    placed = scratch.save("cells", rows.join(split, "key").select("cell", "rep", "component").distinct())
-    items = scratch.save("cell-items", items_of(placed.select("rep").distinct()))
-    filled = placed.join(items, "rep")
-    blocks = placed.join(items.select("rep", F.octet_length("items").alias("bytes")), "rep").groupBy("cell").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = filled.join(blocks.withColumn("blocks", F.greatest("blocks", F.lit(1))), "cell").withColumn("block", own)
+    items = scratch.save(f"{label}-items", items_of(placed.select("rep").distinct()))
+    sizes = placed.join(items.select("rep", F.octet_length("items").alias("bytes")), "rep")
+    blocks = sizes.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
-    cells = dealt.select(task.alias("task"), "rep", "component", "items")
-    n = tasks_for(members.sparkSession)
-    return scratch.save("cell-links", cells.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_cell_links(percent), "a long, b long"))
+    cells = dealt.select(task.alias("task"), "rep", "component").join(items, "rep").select("task", "rep", "component", "items")
+    n = tasks_for(placed.sparkSession)
+    return scratch.save(f"{label}-links", cells.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_cell_links(percent), "a long, b long"))
+
 
+# Candidates -------------------------------------------------------------------
 
-# Confirmation ----------------------------------------------------------------
 
+def nearest_leader(pairs: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
+    """Of each b the a whose signature differs least, within ``limit`` positions."""
 
-def _near_enough(pairs: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, FILTER) for i in (2, 3))
-            near = (x != y).sum(axis=1) <= limit
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near))
+            far = (x != y).sum(axis=1).astype(np.int32)
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far)], names=["a", "b", "far"])
+            yield rows.filter(pa.array(far <= limit))
 
     left, right = (sigs.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(keep, "a long, b long")
+    near = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(measure, "a long, b long, far int")
+    return near.groupBy("b").agg(F.min(F.struct("far", "a"))["a"].alias("a")).select("a", "b")
 
 
 def set_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -209,37 +208,25 @@ def set_rows(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(sets, "rep long, items binary")
 
 
-def _similar(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Those pairs whose full sets are similar enough; an id with several sets links by any."""
-
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = common_count(x, y) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left, right = (items.select(F.col("rep").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b")
-    return both.mapInArrow(similar, "a long, b long").distinct()
-
-
-def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch) -> DataFrame:
+def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch, more: DataFrame | None = None) -> DataFrame:
     """node and component of the confirmed links among the pairs of each key.
 
     Args:
         members: key, leader (the key's least rep) and rep of keys with several reps.
         sigs: rep and sig, ``FILTER`` bytes.
         items_of: gives (rep, items) for a table of reps; it is written once a round.
+        more: further links (a, b) that need no confirmation.
     """
     stars = members.filter("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = scratch.save("pairs", _near_enough(stars, sigs, max_distance(percent)))
-    items = scratch.save("items", items_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()))
-    links = scratch.save("star-links", _similar(pairs, items, percent))
-    joined = scratch.save("star-joined", components(links, scratch, "star"))
-    across = _links_across(members, joined, items_of, percent, scratch)
+    nearest = scratch.save("nearest", nearest_leader(stars, sigs, max_distance(percent)))
+    ends = nearest.select(F.col("a").alias("cell"), F.col("b").alias("rep")).unionByName(nearest.select(F.col("a").alias("cell"), F.col("a").alias("rep"))).distinct()
+    links = cell_links(ends.withColumn("component", F.col("rep")), items_of, percent, scratch, "star")
+    joined = scratch.save("star-joined", components(links if more is None else links.unionByName(more), scratch, "star"))
+    # keys that still span components meet in the cell of their least component
+    rows = members.select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = rows.groupBy("key").agg(F.min("component").alias("cell"), F.max("component").alias("high")).filter("cell <> high").drop("high")
+    placed = scratch.save("cells", rows.join(split, "key").select("cell", "rep", "component").distinct())
+    across = cell_links(placed, items_of, percent, scratch, "cell")
     if across.isEmpty():
         return joined
     return scratch.save("joined", components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across), scratch, "all"))
@@ -278,12 +265,14 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = scratch.save("members", keyed.join(shared, "key"))
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    joined = link_members(members, sigs, lambda ends: set_rows(texts.join(ends, "rep", "left_semi"), words), percent, scratch)
-    # members of a class meet at their representative, ids with several texts at themselves
-    same = filled.join(classes.select("set_low", "set_high", "rep"), ["set_low", "set_high"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same)
-    final = scratch.save("final", components(links, scratch, "final"))
-    found = rows.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    # an id with several texts joins their classes
+    placed = filled.join(classes.select("set_low", "set_high", "rep"), ["set_low", "set_high"]).select("doc_id", "rep")
+    own = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    own = scratch.save("own", own)
+    links = own.filter("a <> b").select("a", "b").unionByName(own.filter("a <> b").join(placed, "doc_id").select("a", F.col("rep").alias("b")))
+    joined = link_members(members, sigs, lambda ends: set_rows(texts.join(ends, "rep", "left_semi"), words), percent, scratch, links)
+    final = own.join(joined.withColumnRenamed("node", "a"), "a", "left").select("doc_id", F.coalesce("component", "a").alias("component"))
+    found = rows.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 

@@ -49,9 +49,17 @@ def phrase_starts(words: np.ndarray) -> np.ndarray:
     n = len(words)
     if n <= CUT_WINDOW:
         return np.zeros(min(n, 1), dtype=np.int64)
-    spread = mix(words)
-    windows = np.lib.stride_tricks.sliding_window_view(spread, CUT_WINDOW)
-    at = windows.shape[1] - 1 - windows[:, ::-1].argmin(axis=1) + np.arange(len(windows))
+    # the hash above, the place counted down below: of equal hashes the last counts
+    last = np.uint64((1 << 24) - 1)
+    least, width = (mix(words) & ~last) | (last - np.arange(n, dtype=np.uint64) % last), 1
+    while 2 * width <= CUT_WINDOW:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[: len(least) - CUT_WINDOW + width], least[CUT_WINDOW - width :])
+    chosen = np.flatnonzero(least[1:] != least[:-1])
+    first = np.arange(len(least))[np.concatenate([[0], chosen + 1])]
+    offset = (last - (least[first] & last)).astype(np.int64)  # the place modulo the counter's range
+    at = first + (offset - first) % int(last)
     return np.unique(np.concatenate([[0], at]))
 
 
@@ -67,26 +75,27 @@ def paragraph_bands(words: np.ndarray, lines: np.ndarray, hasher: MinHasher) ->
     # shingles of a paragraph start at its words but the last four; a pad keeps the ends in range
     edges = np.stack([firsts, firsts + sizes - SHINGLE_WORDS + 1], axis=1).ravel()
     padded = np.append(shingles, np.iinfo(np.uint64).max)
-    keys = np.empty((BANDS, len(firsts)), dtype=np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(firsts), band + 1, dtype=np.uint64)
-        for row in range(band * ROWS, band * ROWS + ROWS):
-            x = padded * hasher.scale[row] + hasher.shift[row]
-            key = mix(key * _PLACE + np.minimum.reduceat(x ^ (x >> np.uint64(29)), edges)[::2])
-        keys[band] = key
+    x = padded * hasher.scale + hasher.shift
+    least = np.minimum.reduceat(x ^ (x >> np.uint64(29)), edges, axis=1)[:, ::2]
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(firsts), axis=1)
+    for row in range(ROWS):
+        keys = mix(keys * _PLACE + least[row::ROWS])
     return firsts, sizes, keys.view(np.int64)
 
 
 def passage_keys(docs: DataFrame) -> DataFrame:
-    """key, band (-1: a phrase), doc_id, start and size in words, for all passages."""
+    """key, band (-1: a phrase), start, size in words, again and doc_id, for all passages.
+
+    ``again`` marks a passage whose key an earlier place of the same text has.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(BANDS * ROWS, seed=7)
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
 
-            def add(key, band, doc, start, size):
-                for column, x in zip(columns, (key, np.full(len(key), band, np.int8), np.full(len(key), doc, np.int64), start.astype(np.int32), size.astype(np.int32))):
+            def add(doc, *values):
+                for column, x in zip(columns, (*values, np.full(len(values[0]), doc, np.int64))):
                     column.append(x)
 
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -98,15 +107,19 @@ def passage_keys(docs: DataFrame) -> DataFrame:
                     sizes = np.diff(np.append(starts, len(words)))
                     place = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
                     keys = mix(np.add.reduceat(mix(words + place * _PLACE), starts) + sizes.astype(np.uint64))
-                    add(keys.view(np.int64), -1, doc, starts, sizes)
+                    again = np.ones(len(keys), dtype=bool)
+                    again[np.unique(keys, return_index=True)[1]] = False
+                    add(doc, keys.view(np.int64), np.full(len(keys), -1, np.int8), starts, sizes, again)
                 firsts, sizes, keys = paragraph_bands(words, lines, hasher)
-                for band in range(BANDS if len(firsts) else 0):
-                    add(keys[band], band, doc, firsts, sizes)
-            types = (pa.int64(), pa.int8(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types)], names=["key", "band", "doc_id", "start", "size"])
+                if len(firsts):
+                    n = len(firsts)
+                    add(doc, keys.ravel(), np.repeat(np.arange(BANDS, dtype=np.int8), n), np.tile(firsts, BANDS), np.tile(sizes, BANDS), np.zeros(n * BANDS, dtype=bool))
+            types = (pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+            arrays = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype()) if c else [], t) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "band", "start", "size", "again", "doc_id"])
 
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
-    return texts.mapInArrow(scan, "key long, band byte, doc_id long, start int, size int")
+    return texts.mapInArrow(scan, "key long, band byte, start int, size int, again boolean, doc_id long")
 
 
 def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -139,14 +152,17 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "passages")
     keys = scratch.save("keys", passage_keys(docs))
-    place = F.struct("doc_id", "start")
-    first = keys.groupBy("key", "band").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").drop("last")
-    shared = scratch.save("shared", keys.join(first, ["key", "band"]))
-    scratch.drop("keys")
-    phrases = shared.filter("band = -1").filter(place != F.col("first"))
-    phrases = phrases.select("doc_id", "start", "size", F.lit(True).alias("phrase"), F.col("first.doc_id").alias("original"))
     rep = F.xxhash64("doc_id", "start")
-    bands = shared.filter("band >= 0").select("key", F.xxhash64("first.doc_id", "first.start").alias("leader"), rep.alias("rep"), "doc_id", "start", "size")
+    once = keys.filter("not again or band >= 0").withColumn("rep", rep)
+    first = once.groupBy("key", "band").agg(F.min("doc_id").alias("original"), F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    shared = scratch.save("shared", once.join(first, ["key", "band"]))
+    # within a text the first place of a phrase may still repeat another text's
+    phrases = shared.filter("band = -1 and doc_id <> original").select("doc_id", "start", "size", F.lit(True).alias("phrase"), "original")
+    own = keys.filter("again and band = -1").select("doc_id", "start", "size", F.lit(True).alias("phrase"), F.col("doc_id").alias("original"))
+    phrases = phrases.unionByName(scratch.save("own", own))
+    scratch.drop("keys")
+    bands = shared.filter("band >= 0").select("key", "leader", "rep", "doc_id", "start", "size")
+    place = F.struct("doc_id", "start")
     places = scratch.save("places", bands.select("rep", "doc_id", "start", "size").distinct())
     items = scratch.save("items", _paragraph_items(docs, places))
     members = scratch.save("members", bands.select("key", "leader", "rep"))

@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 #: Word hashes kept by one worker at most.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MIX1, _MIX2, _SHIFT = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33)
 
