@@ -102,14 +102,19 @@ def test_digest_of_a_text_ignores_its_neighbours():
 
 
 def maximal_by_recursion(scores, low=0, high=None):
-    """Maximal segments by their definition: the best one, then the same on either side."""
+    """Maximal segments by their definition: the best one, then the same on either side.
+
+    Of segments with equal scores the shortest counts, since no part of a maximal
+    segment scores as much as all of it.
+    """
     high = len(scores) if high is None else high
     best, place = 0.0, None
     for a in range(low, high):
         total = 0.0
         for b in range(a, high):
             total += scores[b]
-            if total > best + 1e-9:
+            shorter = place and abs(total - best) <= 1e-9 and b + 1 - a < place[1] - place[0]
+            if total > best + 1e-9 or shorter:
                 best, place = total, (a, b + 1)
     if place is None:
         return []
