@@ -11,11 +11,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: 64-bit words of a Bloom filter at most (2 MB); more ids only let more others through.
+BLOOM_WORDS = 1 << 18
+BLOOM_BITS_EACH, BLOOM_HASHES = 10, 4
 _local_dirs: dict[str, str] = {}
 
 
@@ -78,3 +84,46 @@ def text_or_empty(column: str | Column = "text") -> Column:
 def tasks_for(spark: SparkSession) -> int:
     """The partition count that the session asks for; it grows with the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Bloom filters ------------------------------------------------------------------
+
+
+def _bloom_places(ids: np.ndarray, words: int) -> np.ndarray:
+    """The bits of each id, a row for each hash."""
+    out = []
+    for i in range(1, BLOOM_HASHES + 1):
+        x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(i)
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        out.append((x >> np.uint64(32)) % np.uint64(64 * words))
+    return np.stack(out)
+
+
+def bloom_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the one long column of ``ids``, of bounded size.
+
+    It spares a join's larger side the shuffle of rows that can't match; the join
+    itself still decides.
+    """
+    ids = ids.toDF("id").filter("id is not null")
+    words = min(BLOOM_WORDS, max(64, -(-ids.count() * BLOOM_BITS_EACH // 64)))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.unique(_bloom_places(batch.column(0).to_numpy(), words))
+            masks = np.uint64(1) << (places & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((places >> np.uint64(6)).astype(np.int32)), pa.array(masks.view(np.int64))], names=["word", "mask"])
+
+    marked = ids.mapInArrow(mark, "word int, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(words, dtype=np.uint64)
+    bits[marked.column(0).to_numpy()] = marked.column(1).to_numpy().view(np.uint64)
+    return bits
+
+
+def maybe_in(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """Which ids the filter may hold; null ids it doesn't."""
+    values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    places = _bloom_places(values, len(bits))
+    held = ((bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1)).all(axis=0)
+    return held & ids.is_valid().to_numpy(zero_copy_only=False)

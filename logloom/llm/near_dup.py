@@ -21,18 +21,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, pick, tasks_for
+from .common import Scratch, bloom_filter, maybe_in, pick, tasks_for
 from .components import components
-from .words import MinHasher, common_count, shingle_set
+from .words import MinHasher, common_count, shingle_set, words_of
 
 POSITIONS, CHUNK = 40, 4
 #: Values of the longer signature, a byte each, that pairs are filtered by.
 FILTER = 128
-#: Bytes of sets that one block of a cell holds.
-BLOCK_BYTES = 2 << 20
+#: Words that the texts of one block of a cell hold.
+BLOCK_WORDS = 1 << 18
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
@@ -127,20 +128,21 @@ def spanning_links(node: np.ndarray, comp: np.ndarray, linked: np.ndarray) -> np
     return np.array(found, dtype=np.int64).reshape(-1, 2)
 
 
-def _cell_links(percent: int):
+def _cell_links(percent: int, words: int):
     """Links across components of each cell; the rows of a cell stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
             cell, node, comp = (batch.column(i).to_numpy() for i in range(3))
-            items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(3)]
             edges = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
             found = [np.empty((0, 2), dtype=np.int64)]
             for a, b in zip(edges[:-1], edges[1:]):
                 if comp[a:b].min() != comp[a:b].max():
-                    found.append(spanning_links(node[a:b], comp[a:b], similar_pairs(items[a:b], percent)))
+                    items = [shingle_set(unpack(x.as_py()).decode("utf-8", "surrogatepass"), words) for x in batch.column(3).slice(a, b - a)]
+                    found.append(spanning_links(node[a:b], comp[a:b], similar_pairs(items, percent)))
             links = np.concatenate(found)
             return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
@@ -162,21 +164,24 @@ def _cell_links(percent: int):
     return run
 
 
-def cell_links(placed: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch, label: str) -> DataFrame:
+def cell_links(placed: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, label: str) -> DataFrame:
     """Links between different components of each cell, confirmed on full sets.
 
-    placed: cell, rep, component.  A cell of more than ``BLOCK_BYTES`` is cut into
-    blocks; each pair of blocks is compared by one task.
+    placed: cell, rep, component.  A cell of more than ``BLOCK_WORDS`` is cut into
+    blocks; each pair of blocks is compared by one task.  Texts travel packed, since
+    their sets of hashes take four times the room.
     """
     items = scratch.save(f"{label}-items", items_of(placed.select("rep").distinct()))
-    sizes = placed.join(items.select("rep", F.octet_length("items").alias("bytes")), "rep")
-    blocks = sizes.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    sizes = placed.join(items.select("rep", "size"), "rep")
+    blocks = sizes.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK_WORDS)).cast("int").alias("blocks"))
     dealt = placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
     cells = dealt.select(task.alias("task"), "rep", "component").join(items, "rep").select("task", "rep", "component", "items")
     n = tasks_for(placed.sparkSession)
-    return scratch.save(f"{label}-links", cells.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_cell_links(percent), "a long, b long"))
+    links = scratch.save(f"{label}-links", cells.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_cell_links(percent, words), "a long, b long"))
+    scratch.drop(f"{label}-items")
+    return links
 
 
 # Candidates -------------------------------------------------------------------
@@ -197,36 +202,43 @@ def nearest_leader(pairs: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
     return near.groupBy("b").agg(F.min(F.struct("far", "a"))["a"].alias("a")).select("a", "b")
 
 
-def set_rows(texts: DataFrame, words: int) -> DataFrame:
-    """rep and items, the sorted shingle hashes, of rows (rep, text)."""
+def packed_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, size in words, and items, the compressed words, of rows (rep, text) with a wanted rep.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only texts that a Bloom filter of the wanted ones lets through are shuffled.
+    """
+    bits = bloom_filter(wanted)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            found = [shingle_set(x.as_py(), words).tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "items"])
+            batch = batch.filter(pa.array(maybe_in(bits, batch.column(0))))
+            words = [words_of(x.as_py()) for x in batch.column(1)]
+            columns = [batch.column(0), pa.array(map(len, words), pa.int32()), pa.array((packer.compress(b" ".join(x)) for x in words), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "size", "items"])
 
-    return texts.select("rep", "text").mapInArrow(sets, "rep long, items binary")
+    return texts.select("rep", "text").mapInArrow(pack, "rep long, size int, items binary").join(wanted, "rep", "left_semi")
 
 
-def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch, more: DataFrame | None = None) -> DataFrame:
+def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, more: DataFrame | None = None) -> DataFrame:
     """node and component of the confirmed links among the pairs of each key.
 
     Args:
         members: key, leader (the key's least rep) and rep of keys with several reps.
         sigs: rep and sig, ``FILTER`` bytes.
-        items_of: gives (rep, items) for a table of reps; it is written once a round.
+        items_of: gives (rep, size, items) as ``packed_texts`` for a table of reps; it is written once a round.
         more: further links (a, b) that need no confirmation.
     """
     stars = members.filter("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     nearest = scratch.save("nearest", nearest_leader(stars, sigs, max_distance(percent)))
     ends = nearest.select(F.col("a").alias("cell"), F.col("b").alias("rep")).unionByName(nearest.select(F.col("a").alias("cell"), F.col("a").alias("rep"))).distinct()
-    links = cell_links(ends.withColumn("component", F.col("rep")), items_of, percent, scratch, "star")
+    links = cell_links(ends.withColumn("component", F.col("rep")), items_of, percent, words, scratch, "star")
     joined = scratch.save("star-joined", components(links if more is None else links.unionByName(more), scratch, "star"))
     # keys that still span components meet in the cell of their least component
     rows = members.select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = rows.groupBy("key").agg(F.min("component").alias("cell"), F.max("component").alias("high")).filter("cell <> high").drop("high")
     placed = scratch.save("cells", rows.join(split, "key").select("cell", "rep", "component").distinct())
-    across = cell_links(placed, items_of, percent, scratch, "cell")
+    across = cell_links(placed, items_of, percent, words, scratch, "cell")
     if across.isEmpty():
         return joined
     return scratch.save("joined", components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across), scratch, "all"))
@@ -270,7 +282,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     own = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     own = scratch.save("own", own)
     links = own.filter("a <> b").select("a", "b").unionByName(own.filter("a <> b").join(placed, "doc_id").select("a", F.col("rep").alias("b")))
-    joined = link_members(members, sigs, lambda ends: set_rows(texts.join(ends, "rep", "left_semi"), words), percent, scratch, links)
+    joined = link_members(members, sigs, lambda ends: packed_texts(texts, ends), percent, words, scratch, links)
     final = own.join(joined.withColumnRenamed("node", "a"), "a", "left").select("doc_id", F.coalesce("component", "a").alias("component"))
     found = rows.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.coalesce("component", "doc_id")

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,25 +124,27 @@ def passage_keys(docs: DataFrame) -> DataFrame:
 
 
 def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, sig and items of the paragraphs listed by doc_id (rep is a paragraph's hash id)."""
+    """rep, sig, size and packed words of the paragraphs listed by doc_id (rep is a paragraph's hash id)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = MinHasher(FILTER)
+        hasher, packer = MinHasher(FILTER), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            reps, sigs, items = [], [], []
+            reps, sigs, sizes, items = [], [], [], []
             for text, marks in zip(batch.column(0), batch.column(1)):
                 words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
                 for mark in marks.as_py():
-                    part = b" ".join(words[mark["start"] : mark["start"] + mark["size"]]).decode("utf-8", "surrogatepass")
-                    found = shingle_set(part, SHINGLE_WORDS)
+                    part = b" ".join(words[mark["start"] : mark["start"] + mark["size"]])
+                    found = shingle_set(part.decode("utf-8", "surrogatepass"), SHINGLE_WORDS)
                     reps.append(mark["rep"])
                     sigs.append((hasher.minima(found) >> np.uint64(20)).astype(np.uint8).tobytes())
-                    items.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sigs, pa.binary()), pa.array(items, pa.binary())], names=["rep", "sig", "items"])
+                    sizes.append(mark["size"])
+                    items.append(packer.compress(part))
+            columns = [pa.array(reps, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), pa.array(items, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "sig", "size", "items"])
 
     marks = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("rep", "start", "size")).alias("marks"))
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").dropDuplicates(["doc_id"])
-    return texts.join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, sig binary, items binary")
+    return texts.join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, sig binary, size int, items binary")
 
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -166,7 +169,7 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     places = scratch.save("places", bands.select("rep", "doc_id", "start", "size").distinct())
     items = scratch.save("items", _paragraph_items(docs, places))
     members = scratch.save("members", bands.select("key", "leader", "rep"))
-    joined = link_members(members, items.select("rep", "sig"), lambda ends: items.select("rep", "items").join(ends, "rep", "left_semi"), percent, scratch)
+    joined = link_members(members, items.select("rep", "sig"), lambda ends: items.select("rep", "size", "items").join(ends, "rep", "left_semi"), percent, SHINGLE_WORDS, scratch)
     placed = places.join(joined.withColumnRenamed("node", "rep"), "rep")
     keeper = placed.groupBy("component").agg(F.min(place).alias("first"))
     paragraphs = placed.join(keeper, "component").filter(place != F.col("first"))
