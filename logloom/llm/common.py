@@ -127,3 +127,27 @@ def maybe_in(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
     places = _bloom_places(values, len(bits))
     held = ((bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1)).all(axis=0)
     return held & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
+def split_rows(rows: DataFrame, id_at: int, bits: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Rows whose long id at position ``id_at`` the filter may hold, and the others."""
+
+    def those(kept: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(maybe_in(bits, batch.column(id_at).cast(pa.int64())) == kept))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return those(True), those(False)
+
+
+def left_join_few(rows: DataFrame, id_name: str, few: DataFrame) -> DataFrame:
+    """``rows`` left-joined with ``few``; only rows that may have a partner are shuffled.
+
+    ``few`` has the id column and one more; it is read twice, so save it before.
+    """
+    added = next(c for c in few.columns if c != id_name)
+    held, rest = split_rows(rows, rows.columns.index(id_name), bloom_filter(few.select(id_name)))
+    joined = held.join(few, id_name, "left").select(*rows.columns, added)
+    return joined.unionByName(rest.withColumn(added, F.lit(None).cast(few.schema[added].dataType)))

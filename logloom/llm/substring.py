@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, pick
+from .common import Scratch, bloom_filter, left_join_few, pick, split_rows
 from .near_dup import FILTER, SHINGLE_WORDS, SIMILARITY, link_members
 from .words import MinHasher, hash_words, mix, shingle_hashes, shingle_set
 
@@ -143,8 +143,8 @@ def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["rep", "sig", "size", "items"])
 
     marks = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("rep", "start", "size")).alias("marks"))
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").dropDuplicates(["doc_id"])
-    return texts.join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, sig binary, size int, items binary")
+    texts, _ = split_rows(pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text"), 0, bloom_filter(wanted.select("doc_id")))
+    return texts.dropDuplicates(["doc_id"]).join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, sig binary, size int, items binary")
 
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -218,7 +218,8 @@ def cut_text(text: str | None, spans: list[dict]) -> tuple[str | None, int, int,
 
 def _spans_by_document(docs: DataFrame, percent: int) -> DataFrame:
     one = F.struct("start", "size", "phrase", "original")
-    return repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(one).alias("repeated_spans"))
+    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(one).alias("repeated_spans"))
+    return Scratch(docs.sparkSession, "spans").save("spans", spans)
 
 
 def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -243,7 +244,7 @@ def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types))], names=names)
 
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    joined = texts.join(_spans_by_document(docs, percent), "doc_id", "left").select("doc_id", "text", "repeated_spans")
+    joined = left_join_few(texts, "doc_id", _spans_by_document(docs, percent)).select("doc_id", "text", "repeated_spans")
     return joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long, n_spans long, originals array<long>")
 
 
@@ -268,5 +269,5 @@ def without_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
             arrays[at], arrays[size] = pa.array(texts, pa.string()), pa.array(sizes, arrays[size].type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
 
-    joined = docs.join(_spans_by_document(docs, percent), "doc_id", "left").select(*columns, "repeated_spans")
+    joined = left_join_few(docs, "doc_id", _spans_by_document(docs, percent)).select(*columns, "repeated_spans")
     return joined.mapInArrow(cut, docs.schema)

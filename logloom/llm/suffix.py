@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, pick, tasks_for, text_or_empty
+from .common import Scratch, bloom_filter, left_join_few, pick, split_rows, tasks_for, text_or_empty
 from .words import mix
 
 LENGTH, GRAM = 100, 32
@@ -103,7 +103,8 @@ def phrase_bytes(texts: DataFrame, unsure: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=names)
 
     marks = unsure.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place", "first", "last")).alias("marks"))
-    joined = texts.join(marks, "doc_id").select("doc_id", "text", "marks")
+    held, _ = split_rows(texts, 0, bloom_filter(unsure.select("doc_id")))
+    joined = held.join(marks, "doc_id").select("doc_id", "text", "marks")
     return joined.mapInArrow(cut, "gram long, doc_id long, place int, first int, last int, bytes binary")
 
 
@@ -173,7 +174,7 @@ def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id and first and last start of runs of repeated strings."""
     by_gram = Window.partitionBy("gram")
     order = Window.partitionBy("gram", "phrase").orderBy("doc_id", "place")
-    parsed = parse(texts).withColumn("nth", F.dense_rank().over(order)).withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram))
+    parsed = parse(texts).withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram)).withColumn("nth", F.dense_rank().over(order))
     known = scratch.save("phrases", parsed.filter("nth > 1 or low <> high").select("gram", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats")))
     whole = known.filter("repeats").select("doc_id", "first", "last")
     unsure = phrase_bytes(texts, known.filter("not repeats"))
@@ -217,5 +218,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "suffix")
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     spans = repeated_strings(texts, scratch).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    joined = left_join_few(texts, "doc_id", scratch.save("spans", spans)).select("doc_id", "text", "spans")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
