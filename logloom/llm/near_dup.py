@@ -32,8 +32,8 @@ from .words import MinHasher, common_count, shingle_set, words_of
 POSITIONS, CHUNK = 40, 4
 #: Values of the longer signature, a byte each, that pairs are filtered by.
 FILTER = 128
-#: Words that the texts of one block of a cell hold.
-BLOCK_WORDS = 1 << 18
+#: Words and texts that one block of a cell holds on average; both bound a task's memory.
+BLOCK_WORDS, BLOCK_TEXTS = 1 << 18, 1000
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
@@ -167,13 +167,13 @@ def _cell_links(percent: int, words: int):
 def cell_links(placed: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, label: str) -> DataFrame:
     """Links between different components of each cell, confirmed on full sets.
 
-    placed: cell, rep, component.  A cell of more than ``BLOCK_WORDS`` is cut into
-    blocks; each pair of blocks is compared by one task.  Texts travel packed, since
+    placed: cell, rep, component.  A larger cell than ``BLOCK_WORDS`` or
+    ``BLOCK_TEXTS`` is cut into blocks; each pair of blocks is compared by one task.  Texts travel packed, since
     their sets of hashes take four times the room.
     """
     items = scratch.save(f"{label}-items", items_of(placed.select("rep").distinct()))
     sizes = placed.join(items.select("rep", "size"), "rep")
-    blocks = sizes.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK_WORDS)).cast("int").alias("blocks"))
+    blocks = sizes.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK_WORDS), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks"))
     dealt = placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))

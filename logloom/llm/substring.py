@@ -2,8 +2,8 @@
 
 Paragraphs (lines) of at least ``MIN_WORDS`` words get MinHash bands over their
 five-word shingles: six bands of two rows let 99.8 % of the pairs at a similarity
-of 0.8 collide, and more above.  Paragraphs that share a band are confirmed on
-their full shingle sets, and components of the links decide: the first paragraph
+of 0.8 collide, and more above.  Equal paragraphs form a class, and one stands for
+each; classes that share a band are confirmed on their full shingle sets, and components of the links decide: the first paragraph
 of a component stays, the others go.
 
 A passage may also stand inside paragraphs that are otherwise different.  For that
@@ -64,14 +64,21 @@ def phrase_starts(words: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([[0], at]))
 
 
-def paragraph_bands(words: np.ndarray, lines: np.ndarray, hasher: MinHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and length of each long paragraph, and its band keys."""
+def passage_hashes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each passage's words in order; the passages follow each other without a gap."""
+    place = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
+    return mix(np.add.reduceat(mix(words + place * _PLACE), starts) + sizes.astype(np.uint64))
+
+
+def paragraph_bands(words: np.ndarray, lines: np.ndarray, hasher: MinHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word and length of each long paragraph, its band keys and content hash."""
     firsts = np.flatnonzero(np.concatenate([[True], lines[1:] != lines[:-1]])) if len(lines) else np.empty(0, np.int64)
     sizes = np.diff(np.append(firsts, len(words)))
     long = sizes >= MIN_WORDS
+    if not long.any():
+        return firsts[:0], sizes[:0], np.empty((BANDS, 0), dtype=np.int64), np.empty(0, np.int64)
+    whole = passage_hashes(words, firsts, sizes)[long].view(np.int64)
     firsts, sizes = firsts[long], sizes[long]
-    if not len(firsts):
-        return firsts, sizes, np.empty((BANDS, 0), dtype=np.int64)
     shingles = shingle_hashes(words, SHINGLE_WORDS)
     # shingles of a paragraph start at its words but the last four; a pad keeps the ends in range
     edges = np.stack([firsts, firsts + sizes - SHINGLE_WORDS + 1], axis=1).ravel()
@@ -81,19 +88,21 @@ def paragraph_bands(words: np.ndarray, lines: np.ndarray, hasher: MinHasher) ->
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(firsts), axis=1)
     for row in range(ROWS):
         keys = mix(keys * _PLACE + least[row::ROWS])
-    return firsts, sizes, keys.view(np.int64)
+    return firsts, sizes, keys.view(np.int64), whole
 
 
 def passage_keys(docs: DataFrame) -> DataFrame:
-    """key, band (-1: a phrase), start, size in words, again and doc_id, for all passages.
+    """key (a hash of the words), bands (null for a phrase), start, size in words, again, doc_id.
 
-    ``again`` marks a passage whose key an earlier place of the same text has.
+    ``again`` marks a phrase whose key an earlier place of the same text has.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(BANDS * ROWS, seed=7)
         for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[], [], [], [], []]
+            bands: list[np.ndarray] = []
+            widths: list[np.ndarray] = []  # of each row's bands; 0 for a phrase
 
             def add(doc, *values):
                 for column, x in zip(columns, (*values, np.full(len(values[0]), doc, np.int64))):
@@ -102,29 +111,32 @@ def passage_keys(docs: DataFrame) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 words = hash_words(data.lower().split())
-                _, _, lines = word_spans(data)
                 starts = phrase_starts(words)
                 if len(starts):
                     sizes = np.diff(np.append(starts, len(words)))
-                    place = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
-                    keys = mix(np.add.reduceat(mix(words + place * _PLACE), starts) + sizes.astype(np.uint64))
+                    keys = passage_hashes(words, starts, sizes)
                     again = np.ones(len(keys), dtype=bool)
                     again[np.unique(keys, return_index=True)[1]] = False
-                    add(doc, keys.view(np.int64), np.full(len(keys), -1, np.int8), starts, sizes, again)
-                firsts, sizes, keys = paragraph_bands(words, lines, hasher)
+                    add(doc, keys.view(np.int64), starts, sizes, again)
+                    widths.append(np.zeros(len(keys), np.int32))
+                firsts, sizes, keys, whole = paragraph_bands(words, word_spans(data)[2], hasher)
                 if len(firsts):
-                    n = len(firsts)
-                    add(doc, keys.ravel(), np.repeat(np.arange(BANDS, dtype=np.int8), n), np.tile(firsts, BANDS), np.tile(sizes, BANDS), np.zeros(n * BANDS, dtype=bool))
-            types = (pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
-            arrays = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype()) if c else [], t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "band", "start", "size", "again", "doc_id"])
+                    add(doc, whole, firsts, sizes, np.zeros(len(firsts), dtype=bool))
+                    bands.append(keys.T.ravel())
+                    widths.append(np.full(len(firsts), BANDS, np.int32))
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+            key, start, size, again, doc = (pa.array(np.concatenate(c).astype(t.to_pandas_dtype()) if c else [], t) for c, t in zip(columns, types))
+            width = np.concatenate(widths) if widths else np.empty(0, np.int32)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(width)]).astype(np.int32))
+            listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(bands) if bands else [], pa.int64()), mask=pa.array(width == 0))
+            yield pa.RecordBatch.from_arrays([key, listed, start, size, again, doc], names=["key", "bands", "start", "size", "again", "doc_id"])
 
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
-    return texts.mapInArrow(scan, "key long, band byte, start int, size int, again boolean, doc_id long")
+    return texts.mapInArrow(scan, "key long, bands array<long>, start int, size int, again boolean, doc_id long")
 
 
 def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, sig, size and packed words of the paragraphs listed by doc_id (rep is a paragraph's hash id)."""
+    """rep, sig, size and packed words of the paragraphs (rep) listed by doc_id, start and size."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, packer = MinHasher(FILTER), zstandard.ZstdCompressor(level=1)
@@ -155,25 +167,30 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "passages")
     keys = scratch.save("keys", passage_keys(docs))
-    rep = F.xxhash64("doc_id", "start")
-    once = keys.filter("not again or band >= 0").withColumn("rep", rep)
-    first = once.groupBy("key", "band").agg(F.min("doc_id").alias("original"), F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = scratch.save("shared", once.join(first, ["key", "band"]))
+    told = keys.filter("bands is null").drop("bands")
+    once = told.filter("not again")
+    first = once.groupBy("key").agg(F.min("doc_id").alias("original"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     # within a text the first place of a phrase may still repeat another text's
-    phrases = shared.filter("band = -1 and doc_id <> original").select("doc_id", "start", "size", F.lit(True).alias("phrase"), "original")
-    own = keys.filter("again and band = -1").select("doc_id", "start", "size", F.lit(True).alias("phrase"), F.col("doc_id").alias("original"))
-    phrases = phrases.unionByName(scratch.save("own", own))
-    scratch.drop("keys")
-    bands = shared.filter("band >= 0").select("key", "leader", "rep", "doc_id", "start", "size")
-    place = F.struct("doc_id", "start")
-    places = scratch.save("places", bands.select("rep", "doc_id", "start", "size").distinct())
-    items = scratch.save("items", _paragraph_items(docs, places))
-    members = scratch.save("members", bands.select("key", "leader", "rep"))
+    phrases = once.join(first, "key").filter("doc_id <> original").select("doc_id", "start", "size", F.lit(True).alias("phrase"), "original")
+    own = told.filter("again").select("doc_id", "start", "size", F.lit(True).alias("phrase"), F.col("doc_id").alias("original"))
+    phrases = scratch.save("phrases", phrases.unionByName(own))
+    place = F.struct("doc_id", "start", "size")
+    paragraphs = keys.filter("bands is not null").withColumnRenamed("key", "rep")
+    classes = paragraphs.groupBy("rep").agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
+    classes = scratch.save("classes", classes)
+    keyed = classes.select("rep", F.posexplode("bands").alias("band", "value")).select("rep", F.xxhash64("band", "value").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    members = scratch.save("members", keyed.join(shared, "key").select("key", "leader", "rep"))
+    wanted = scratch.save("wanted", classes.select("rep", "first.*").join(members.select("rep").distinct(), "rep"))
+    items = scratch.save("items", _paragraph_items(docs, wanted))
     joined = link_members(members, items.select("rep", "sig"), lambda ends: items.select("rep", "size", "items").join(ends, "rep", "left_semi"), percent, SHINGLE_WORDS, scratch)
-    placed = places.join(joined.withColumnRenamed("node", "rep"), "rep")
-    keeper = placed.groupBy("component").agg(F.min(place).alias("first"))
-    paragraphs = placed.join(keeper, "component").filter(place != F.col("first"))
-    paragraphs = paragraphs.select("doc_id", "start", "size", F.lit(False).alias("phrase"), F.col("first.doc_id").alias("original"))
+    scratch.drop("items")
+    grouped = classes.select("rep", "first", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 or component is not null")
+    grouped = scratch.save("grouped", grouped.select("rep", "first", F.coalesce("component", "rep").alias("component")))
+    keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
+    repeated = paragraphs.select("rep", "doc_id", "start", "size").join(grouped.join(keeper, "component").select("rep", "keeper"), "rep")
+    repeated = repeated.filter((F.col("doc_id") != F.col("keeper.doc_id")) | (F.col("start") != F.col("keeper.start")))
+    paragraphs = repeated.select("doc_id", "start", "size", F.lit(False).alias("phrase"), F.col("keeper.doc_id").alias("original"))
     return phrases.unionByName(paragraphs)
 
 
