@@ -1,11 +1,14 @@
 """Licences of documents: TF-IDF cosine to templates, then inheritance by directory.
 
-Units of a document are its lines and its whole text.  A unit's vector holds the
+Units of a document are its lines, its whole text, and runs of pieces (lines, cut at
+sentence, clause and bracket ends) of up to 1.6 times a template's words, so that a
+statement may be wrapped over lines or stand inside one.  A unit's vector holds the
 counts of its words times their inverse document frequency over all documents; words
 outside the templates weigh 1, the least a word can.  A unit whose cosine to a template
 reaches ``LEAST_COSINE`` states that licence.  A document that a unit other than its
-whole text states is licensed by its header; one that is a licence text as a whole is a
-licence file and also covers its directory.  Other documents take the licence of the
+whole text states is licensed by its header; one that is a licence text as a whole, by
+its whole text, by a run that is most of it, or by beginning as a long licence does, is
+a licence file and also covers its directory.  Other documents take the licence of the
 nearest directory above them that has a licence file, by a join of ancestor paths.
 
 Only documents that hold an anchor word are scored.  The anchors of a template are its
@@ -18,7 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, pick, text_or_empty
@@ -43,7 +46,38 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
+    ("GPL-2.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/."),
+    ("LGPL-2.1-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public License along with this library. If not, see https://www.gnu.org/licenses/."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public License along with this program. If not, see https://www.gnu.org/licenses/."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the GNU Affero General Public License along with this program. If not, see https://www.gnu.org/licenses/."),
+    # whole texts
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to http://unlicense.org/"),
+    # openings of longer texts
+    ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and"),
+    ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110 1301 USA Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change"),
+    ("LGPL-3.0-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions"),
+    ("LGPL-2.1-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc. 51 Franklin Street, Fifth Floor, Boston, MA 02110 1301 USA Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. [This is the first released version of the Lesser GPL. It also counts as the successor of the GNU Library Public License, version 2, hence the version number 2.1.] Preamble The licenses for most"),
+    ("AGPL-3.0-only", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. License shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. Licensor shall mean the copyright owner or entity authorized by the copyright owner that is granting the License. Legal Entity shall mean the union of the acting entity and all other entities that control, are controlled by, or are under common"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software. 1.2. Contributor Version means the combination of the Contributions of others (if any) used by a Contributor and that particular Contributor s Contribution. 1.3. Contribution means Covered Software of a particular Contributor. 1.4. Covered"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES. DISTRIBUTION OF THIS DOCUMENT DOES NOT CREATE AN ATTORNEY CLIENT RELATIONSHIP. CREATIVE COMMONS PROVIDES THIS INFORMATION ON AN AS IS BASIS. CREATIVE COMMONS MAKES NO WARRANTIES REGARDING THE USE OF THIS DOCUMENT OR THE INFORMATION OR WORKS PROVIDED HEREUNDER, AND DISCLAIMS LIABILITY FOR DAMAGES RESULTING FROM THE USE OF"),
 )
+#: A notice, not a licence: any licence counts before it, and it covers its own document only.
+RESERVED = "LicenseRef-All-Rights-Reserved"
+#: Templates of openings, which make a licence file of a text that begins with them.
+OPENINGS = frozenset(range(len(TEMPLATES) - 8, len(TEMPLATES)))
+#: Templates of whole texts, which make a licence file of a text that is mostly such a one.
+WHOLE_TEXTS = frozenset(i for i, (_, x) in enumerate(TEMPLATES) if x.startswith("Permission is hereby")) | frozenset(range(len(TEMPLATES) - 12, min(OPENINGS)))
+#: Windows reach this many times the words of their template.
+REACH = 1.6
+#: Ends of pieces: line ends, and sentence, clause and bracket ends within a line.
+PIECE_CUT = r"\n|(?<=[.!?;:,)])\s+|\s+(?=\()"
+#: Words (titles, copyright lines) that may stand before an opening, and the share of a whole text.
+LEAD_WORDS, MOST = 20, 2 / 3
 
 
 def words(text: Column) -> Column:
@@ -66,21 +100,24 @@ def word_weights(texts: DataFrame) -> dict[str, float]:
     return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
 
 
-def anchors(weights: dict[str, float], least: float) -> list[str]:
+def template_anchors(counts: Counter, weights: dict[str, float], least: float) -> set[str]:
     found = set()
-    for counts in template_counts():
-        squares = sorted(((c * weights[w]) ** 2, w) for w, c in counts.items())
-        rest = sum(s for s, _ in squares)
-        limit = least * least * rest
-        while rest >= limit * (1 - 1e-9) and squares:
-            square, word = squares.pop()
-            rest -= square
-            found.add(word)
-    return sorted(found)
+    squares = sorted(((c * weights[w]) ** 2, w) for w, c in counts.items())
+    rest = sum(s for s, _ in squares)
+    limit = least * least * rest
+    while rest >= limit * (1 - 1e-9) and squares:
+        square, word = squares.pop()
+        rest -= square
+        found.add(word)
+    return found
+
+
+def anchors(weights: dict[str, float], least: float) -> list[str]:
+    return sorted(set().union(*(template_anchors(counts, weights, least) for counts in template_counts())))
 
 
 def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """row_id, whole (the unit is the whole text), license, score: the best of each kind."""
+    """row_id, whole (the text is a licence text), granted, license, score: the best of each kind."""
     spark = texts.sparkSession
     weights = word_weights(texts)
     chosen = texts.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors(weights, least))))
@@ -97,10 +134,56 @@ def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     lengths = weighed.groupBy("row_id", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     dots = weighed.join(F.broadcast(template_rows), "word").groupBy("row_id", "unit", "template").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     scored = dots.join(lengths, ["row_id", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= least)
+    scored = scored.withColumn("file", F.col("unit") == -1).unionByName(stated_windows(chosen, weights, weight_rows, template_rows, least))
     names = F.create_map(*(x for i, (name, _) in enumerate(TEMPLATES) for x in (F.lit(i), F.lit(name))))
-    best = F.max(F.struct("score", (-F.col("unit")).alias("unit"), (-F.col("template")).alias("template"))).alias("best")
-    grouped = scored.groupBy("row_id", (F.col("unit") == -1).alias("whole")).agg(best)
-    return grouped.select("row_id", "whole", names[-F.col("best.template")].alias("license"), F.col("best.score").alias("score"))
+    scored = scored.withColumn("license", names[F.col("template")]).withColumn("granted", F.col("license") != RESERVED)
+    best = F.max(F.struct("granted", "score", (-F.col("unit")).alias("unit"), (-F.col("template")).alias("template"), "license")).alias("best")
+    grouped = scored.groupBy("row_id", (F.col("file") & F.col("granted")).alias("whole")).agg(best)
+    return grouped.select("row_id", "whole", "best.granted", "best.license", "best.score")
+
+
+def stated_windows(chosen: DataFrame, weights: dict[str, float], weight_rows: DataFrame, template_rows: DataFrame, least: float) -> DataFrame:
+    """row_id, unit, template, dot, length, score and file of runs of pieces that state a template.
+
+    A dot product is the sum of its pieces', and a run's squared length at least the
+    sum of its pieces'; running sums hence give a bound for every run, and only runs
+    whose bound reaches ``least`` are counted out.
+    """
+    spark = chosen.sparkSession
+    scratch = Scratch(spark, "windows")
+    pieces = chosen.dropDuplicates(["row_id"]).select("row_id", F.posexplode(F.split("text", PIECE_CUT)).alias("piece", "content"))
+    counts = pieces.select("row_id", "piece", F.explode(words(F.col("content"))).alias("word")).groupBy("row_id", "piece", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = scratch.save("counts", counts.join(F.broadcast(weight_rows), "word", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))))
+    sizes = [sum(c.values()) for c in template_counts()]
+    anchor_rows = spark.createDataFrame([(w, t) for t, c in enumerate(template_counts()) for w in template_anchors(c, weights, least)], "word string, template int")
+    size_of = F.create_map(*(x for i, size in enumerate(sizes) for x in (F.lit(i), F.lit(size))))
+    before = Window.partitionBy("row_id").orderBy("piece")
+    squares = counts.groupBy("row_id", "piece").agg(F.sum("n").alias("k"), F.sum(F.pow(F.col("n") * F.col("weight"), 2)).alias("square"))
+    squares = squares.withColumn("upto", F.sum("k").over(before)).withColumn("squares", F.sum("square").over(before)).withColumn("all", F.sum("k").over(Window.partitionBy("row_id")))
+    held = counts.join(F.broadcast(anchor_rows), "word").select("row_id", "template").distinct()
+    dots = counts.join(F.broadcast(template_rows), "word").groupBy("row_id", "piece", "template").agg(F.sum(F.col("n") * F.col("weight") * F.col("share")).alias("part"))
+    dots = dots.join(held, ["row_id", "template"], "left_semi").join(squares, ["row_id", "piece"])
+    dots = dots.withColumn("begin", F.col("upto") - F.col("k")).withColumn("at", F.floor(F.col("begin") * 1000 / size_of[F.col("template")]))
+    each = Window.partitionBy("row_id", "template")
+    dots = dots.withColumn("dots", F.sum("part").over(each.orderBy("piece")))
+    ends = F.collect_list(F.struct("piece", "upto", "squares", "dots")).over(each.orderBy("at").rangeBetween(0, int(REACH * 1000)))
+
+    def in_bound(end: Column) -> Column:
+        square = end["squares"] - F.col("squares") + F.col("square")
+        dot = end["dots"] - F.col("dots") + F.col("part")
+        short = end["upto"] - F.col("begin") <= REACH * size_of[F.col("template")]
+        return short & (dot * (1 + 1e-9) >= least * F.sqrt(square))
+
+    runs = dots.withColumn("ends", ends).withColumn("end", F.explode(F.filter("ends", in_bound)))
+    dot = (F.col("end.dots") - F.col("dots") + F.col("part")).alias("dot")
+    runs = scratch.save("runs", runs.select("row_id", "template", F.col("piece").alias("first"), F.col("end.piece").alias("last"), "begin", F.col("end.upto").alias("upto"), "all", dot))
+    spread = runs.select("row_id", "first", "last").distinct().withColumn("piece", F.explode(F.sequence("first", "last")))
+    run_words = spread.join(counts, ["row_id", "piece"]).groupBy("row_id", "first", "last", "word").agg(F.sum(F.col("n") * F.col("weight")).alias("weight"))
+    lengths = run_words.groupBy("row_id", "first", "last").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    scored = runs.join(lengths, ["row_id", "first", "last"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= least)
+    opens = F.col("template").isin(*OPENINGS) & (F.col("begin") <= LEAD_WORDS)
+    fills = F.col("template").isin(*WHOLE_TEXTS) & (F.col("upto") - F.col("begin") >= MOST * F.col("all"))
+    return scored.select("row_id", F.col("first").alias("unit"), "template", "dot", "length", "score", (opens | fills).alias("file"))
 
 
 def directory(path: Column) -> Column:
@@ -134,7 +217,7 @@ def scan_licenses(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     texts = source.select(row_id.alias("row_id"), text_or_empty().alias("text"))
     stated = scratch.save("stated", stated_licenses(texts, least).distinct())
     kinds = stated.groupBy("row_id").agg(
-        F.max(F.when(~F.col("whole"), F.struct("score", "license"))).alias("header"), F.max(F.when(F.col("whole"), F.struct("score", "license"))).alias("file")
+        F.max(F.when(~F.col("whole"), F.struct("granted", "score", "license"))).alias("header"), F.max(F.when(F.col("whole"), F.struct("granted", "score", "license"))).alias("file")
     )
     rows = source.select("doc_id", "path", row_id.alias("row_id")).join(kinds, "row_id", "left")
     rows = rows.withColumn("own", F.coalesce("file", "header")).withColumn("origin", F.when(F.col("file").isNotNull(), "file").when(F.col("header").isNotNull(), "header"))

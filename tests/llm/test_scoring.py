@@ -210,3 +210,36 @@ def test_anchors_lose_nothing():
 
 def test_words_are_words():
     assert WORDS and toxicity.forms_of("grumblyness") == ("grumblyness", "grumb~", "grumbly~")
+
+
+WRAPPED_MPL = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */\n"
+
+
+def wrapped(text, width=70, mark="// "):
+    lines, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            lines.append(line)
+            line = ""
+        line += w + " "
+    return "".join(mark + x.rstrip() + "\n" for x in [*lines, line])
+
+
+def test_licenses_across_and_inside_lines(files, spark):
+    texts = dict(enumerate(x for _, x in licenses.TEMPLATES))
+    of = lambda name, least=60: next(x for n, x in licenses.TEMPLATES if n == name and len(x.split()) >= least)
+    code = "".join(f"x{i} = call({prose(i, 4)})\n" for i in range(60))
+    rows = [
+        ("b/mpl.c", WRAPPED_MPL + code), ("b/mit.c", wrapped("Copyright (c) 2020 Someone " + texts[4]) + code), ("b/gpl.c", wrapped(of("GPL-3.0-or-later")) + code),
+        ("b/in.py", "Copyright 2020 Someone and others, see the list. Released under the MIT License. " + prose(70, 30)),
+        ("isc/LICENSE", wrapped("ISC License Copyright (c) 2020 Someone " + [x for n, x in licenses.TEMPLATES if n == "ISC"][-1], mark="")), ("isc/a/code.py", prose(71, 30)),
+        ("bsd/LICENSE", wrapped("Copyright (c) 2020, Someone. All rights reserved. " + of("BSD-3-Clause"), mark="")), ("two/LICENSE", wrapped("Copyright (c) 2020, Someone. All rights reserved. " + of("BSD-2-Clause"), mark="")),
+        ("agpl/COPYING", wrapped(of("AGPL-3.0-only"), mark="") + "\n".join(prose(i, 12) for i in range(80, 180))), ("agpl/code.py", prose(72, 30)),
+        ("r/notice.txt", prose(73, 20) + "\nAll rights reserved.\n" + prose(74, 20)), ("r/code.py", prose(75, 20)), ("b/both.c", "Copyright Someone. All rights reserved.\nReleased under the MIT License.\n" + code),
+    ]
+    rows.append(rows[1])
+    found = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan_licenses(files(rows)).collect()}
+    assert [found[i] for i in range(4)] == [(x, "header") for x in ("MPL-2.0", "MIT", "GPL-3.0-or-later", "MIT")] and found[13] == found[1]
+    assert found[4] == ("ISC", "file") and found[5] == ("ISC", "inherited") and found[6] == ("BSD-3-Clause", "file") and found[7] == ("BSD-2-Clause", "file")
+    assert found[8] == ("AGPL-3.0-only", "file") and found[9] == ("AGPL-3.0-only", "inherited")
+    assert found[10] == (licenses.RESERVED, "header") and found[11] == (None, None) and found[12] == ("MIT", "header")
