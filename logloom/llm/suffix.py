@@ -12,7 +12,9 @@ Suffixes of different phrases can agree for ``LENGTH`` bytes only under one trig
 there the dictionary's suffixes are sorted by their bytes; neighbours with a common
 prefix of ``LENGTH`` are equal, and the place of their phrases' first occurrences in
 the parse decides which is earliest.  That is the corpus' suffix order as deep as the
-question needs it; the order beyond ``LENGTH`` bytes is never made.
+question needs it; the order beyond ``LENGTH`` bytes is never made.  A frequent
+trigger isn't sorted by one task: its phrases meet by their hashes, and their strings
+by digest and distance from the trigger, in as many tasks as there are.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, bloom_filter, left_join_few, pick, split_rows, tasks_for, text_or_empty
+from .common import Scratch, bloom_filter, left_join_few, maybe_in, pick, split_rows, tasks_for, text_or_empty
 from .words import mix
 
 LENGTH, GRAM = 100, 32
@@ -33,6 +35,10 @@ LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
 #: Strings that are parsed at once, which bounds a worker's memory for long texts.
 CHUNK = 1 << 20
+#: A trigger that one task meets so often has its phrases, and their strings, dealt over all tasks.
+HOT = 256
+#: Grams that a task counts at once.
+MOST_COUNTED = 1 << 22
 _INDEX_BITS = np.uint64(24)
 _INDEX = np.uint64((1 << 24) - 1)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -43,7 +49,7 @@ def eight_bytes(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), shape=(len(data) - 7,), strides=(1,)).copy()
 
 
-def triggers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def triggers(data: np.ndarray, phrases: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Gram hash, place, first and last string, and phrase hash of each trigger."""
     found = []
     for base in range(0, len(data) - LENGTH + 1, CHUNK):
@@ -64,7 +70,7 @@ def triggers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         place = place[first]
         phrase = (last - first).astype(np.uint64) * _ODD[0] + (place - first).astype(np.uint64)
         end = last + LENGTH - 8
-        for k in range(-(-(LENGTH + SPAN) // 8)):
+        for k in range(-(-(LENGTH + SPAN) // 8) if phrases else 0):
             phrase = mix(phrase * _ODD[1] + eight[np.minimum(first + 8 * k, end)])
         found.append((gram[place], place + base, first + base, last + base, phrase))
     return tuple(np.concatenate(c) for c in zip(*found)) if found else tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.uint64))
@@ -170,15 +176,83 @@ def resolve_phrases(phrases: DataFrame, tasks: int) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, first int, last int")
 
 
+def hot_strings(phrases: DataFrame) -> DataFrame:
+    """gram, back, digest, doc_id, place: every string of the phrases, by distance from its trigger."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gram, doc, place, first, last = (batch.column(i).to_pylist() for i in range(5))
+            for base in range(0, batch.num_rows, 1000):  # bounds the rows that one batch gives
+                rows = []
+                for i in range(base, min(base + 1000, batch.num_rows)):
+                    data = batch.column(5)[i].as_py()
+                    for at in range(last[i] - first[i] + 1):
+                        digest = hashlib.blake2b(data[at : at + LENGTH], digest_size=16).digest()
+                        rows.append((gram[i], place[i] - first[i] - at, digest, doc[i], place[i]))
+                types = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types)], names=["gram", "back", "digest", "doc_id", "place"])
+
+    return phrases.mapInArrow(run, "gram long, back int, digest binary, doc_id long, place int")
+
+
+def resolve_hot(phrases: DataFrame, scratch: Scratch) -> DataFrame:
+    """As ``resolve_phrases``, with a gram's strings dealt over all tasks by 128-bit digest."""
+    strings = scratch.save("strings", hot_strings(phrases))
+    key = ["gram", "back", "digest"]
+    heads = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "place")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = strings.join(heads, key).filter((F.col("doc_id") != F.col("head.doc_id")) | (F.col("place") != F.col("head.place")))
+    found = found.select("doc_id", "place", "back").distinct()
+    nth = F.row_number().over(Window.partitionBy("doc_id", "place").orderBy("back"))
+    runs = found.withColumn("run", F.col("back") - nth).groupBy("doc_id", "place", "run").agg(F.min("back").alias("low"), F.max("back").alias("high"))
+    return runs.select("doc_id", (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last"))
+
+
+def frequent_grams(texts: DataFrame) -> DataFrame:
+    """gram of each trigger that some task meets at least ``HOT`` times."""
+    least = HOT
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for batch in batches:
+            found = [triggers(np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8), phrases=False)[0] for text in batch.column(0)]
+            new, n = np.unique(np.concatenate([grams, *found]), return_inverse=True)
+            weight = np.concatenate([times, np.ones(len(n) - len(times), np.int64)])
+            grams, times = new, np.bincount(n, weight, len(new)).astype(np.int64)
+            if len(grams) > MOST_COUNTED:  # single ones are let go first, as in lossy counting
+                kept = times > 1
+                grams, times = grams[kept], times[kept]
+        yield pa.RecordBatch.from_arrays([pa.array(grams[times >= least].view(np.int64))], names=["gram"])
+
+    long = texts.filter((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
+    return long.select("text").mapInArrow(count, "gram long").distinct()
+
+
 def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id and first and last start of runs of repeated strings."""
-    by_gram = Window.partitionBy("gram")
-    order = Window.partitionBy("gram", "phrase").orderBy("doc_id", "place")
-    parsed = parse(texts).withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram)).withColumn("nth", F.dense_rank().over(order))
-    known = scratch.save("phrases", parsed.filter("nth > 1 or low <> high").select("gram", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats")))
+    frequent = scratch.save("frequent", frequent_grams(texts))
+    some = not frequent.isEmpty()
+    parsed = parse(texts).withColumn("hot", F.lit(False))
+    if some:
+        # a gram that the filter lets through by mistake is dealt too, with the same result
+        bits = bloom_filter(frequent)
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.set_column(6, "hot", pa.array(maybe_in(bits, batch.column(0))))
+
+        parsed = parsed.mapInArrow(mark, parsed.schema)
+    parsed = parsed.withColumn("deal", F.when(F.col("hot"), F.col("phrase")).otherwise(F.lit(0)))
+    by_gram = Window.partitionBy("gram", "deal")
+    order = Window.partitionBy("gram", "deal", "phrase").orderBy("doc_id", "place")
+    parsed = parsed.withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram)).withColumn("nth", F.dense_rank().over(order))
+    known = parsed.filter("nth > 1 or low <> high or hot").select("gram", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats"), "hot")
+    known = scratch.save("phrases", known)
     whole = known.filter("repeats").select("doc_id", "first", "last")
-    unsure = phrase_bytes(texts, known.filter("not repeats"))
-    return whole.unionByName(scratch.save("resolved", resolve_phrases(unsure, tasks_for(texts.sparkSession))))
+    few = phrase_bytes(texts, known.filter("not repeats and not hot"))
+    found = whole.unionByName(scratch.save("resolved", resolve_phrases(few, tasks_for(texts.sparkSession))))
+    if not some:
+        return found
+    return found.unionByName(scratch.save("hot", resolve_hot(phrase_bytes(texts, known.filter("not repeats and hot")), scratch)))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -148,3 +148,19 @@ def test_exact_repeats_of_nothing_and_long_texts(docs, monkeypatch):
     pieces = suffix.triggers(data)
     strings = lambda t: [(p, s) for p, a, b in zip(t[1], t[2], t[3]) for s in range(a, b + 1)]
     assert strings(whole) == strings(pieces)
+
+
+def test_no_task_holds_all_phrases_of_a_frequent_trigger(docs, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", 8, raising=False)
+    sizes, resolve = [], suffix.resolve_phrases
+
+    def measured(phrases, tasks):
+        sizes.extend(r["count"] for r in phrases.groupBy("gram").count().collect())
+        return resolve(phrases, tasks)
+
+    monkeypatch.setattr(suffix, "resolve_phrases", measured)
+    banner = "=" * 40 + " the same banner in every text " + "=" * 40
+    rows = [(i, prose(i % 130, 12) + banner + prose(200 + i % 119, 12)) for i in range(240)] + [(7, prose(7, 12) + banner + prose(207, 12)), (590, prose(1, 40) + banner), (591, banner)]
+    got = sorted((tuple(r) for r in suffix.remove_repeats(docs(rows)).collect()), key=repr)
+    assert got == sorted(brute_strings(rows), key=repr)
+    assert sizes and max(sizes) < 8 * docs([(0, "x")] * 240).rdd.getNumPartitions()
