@@ -80,6 +80,16 @@ def utf8_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", text.truncate_utf8(F.col("text"), 40).alias("head"))
 
 
+@query()
+def fallback_titles_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.fallback_title(F.col("text"), 3, 60).alias("title"))
+
+
+@query()
+def utf8_heads_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.truncate_utf8(F.col("text"), 40).alias("head"))
+
+
 @query("""SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 100) || chr(10) || '[...]' || chr(10) || right(text, 50) ELSE text END AS pruned FROM documents""")
 def pruned_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.prune_middle(F.col("text"), 200, 100, 50).alias("pruned"))

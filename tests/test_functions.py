@@ -160,3 +160,16 @@ def test_secret_fields(spark):
     df = spark.createDataFrame([(("u", "p", None),)], "r struct<user string, password string, token string>")
     row = df.select(redaction.strip_fields(F.col("r"), ["password", "token"]).alias("x")).first()["x"]
     assert row["record"].asDict() == {"user": "u"} and [tuple(s) for s in row["secrets"]] == [("password", True), ("token", False)]
+
+
+def test_heads_and_titles_of_all_documents(spark, tmp_path):
+    from logloom.plans.queries import QUERIES
+
+    texts = ["é" * 30, "語" * 25 + "x", "a" * 39 + "é", "plain", "", None, "ab 語" * 30, "w" * 70 + " two three four", "語" * 30 + " zwei drei vier", "x" * 59 + "é b c", "one two three four"]
+    rows = [(i, t, (None, "ja", "de")[i % 3]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    cut = lambda t, n: None if t is None else t.encode()[:n].decode("utf-8", "ignore")
+    heads = {r["doc_id"]: r["head"] for r in QUERIES["utf8_heads_whole"](spark, str(tmp_path)).collect()}
+    assert heads == {i: cut(t, 40) for i, t in enumerate(texts)}
+    titles = {r["doc_id"]: r["title"] for r in QUERIES["fallback_titles_whole"](spark, str(tmp_path)).collect()}
+    assert {i: t or "" for i, t in titles.items()} == {i: cut(" ".join((t or "").split()[:3]), 60).rstrip() for i, t in enumerate(texts)}
