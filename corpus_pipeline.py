@@ -2,6 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir); ``docs`` has the columns of ``documents``.
 All but the last stage return those columns; what they remove is gone for good.
+Null texts and ids, repeated rows and empty tables go through every stage, and further
+columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,27 +17,45 @@ from logloom.llm.common import Scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier of the labelled ones doesn't reject."""
+    """Documents that the classifier of the labelled ones doesn't reject.
+
+    Null and empty texts have no toxic words and stay; without labels all stay.
+    """
     return toxicity.keep_clean(docs, toxicity.fit(docs, registry.table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that with the smallest doc_id.
+
+    Null ids and texts without words are linked with nothing and stay; rows that
+    repeat a kept doc_id stay.
+    """
     return near_dup.keep_one(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier one holds."""
+    """Documents without passages that an earlier one, or place, holds.
+
+    A document of which nothing is left goes; null ids and texts stay as they are.
+    """
     return substring.without_repeats(docs)
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of benchmark items."""
+    """Documents without passages of benchmark items.
+
+    A document of which nothing is left goes; null texts stay; an empty benchmark
+    changes nothing.
+    """
     return decontam.without_contamination(docs, registry.table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the remaining documents, placed in sequences."""
+    """Token pieces of the remaining documents, placed in sequences.
+
+    A null text counts as empty and gives one piece, the end id; long ones give
+    several; an empty table gives no rows.
+    """
     return packing.pack_documents(docs, registry.TOKENIZER)
 
 

@@ -3,7 +3,7 @@
 Scratch tables cut lineage.  They are Parquet tables in the folder that the
 session names in ``spark.checkpoint.dir``, which all executors share, so a lost
 executor costs a re-read and not a recomputation.  Only where the session names
-no folder (tests on one machine) is a temporary one made and set.
+no folder and runs on one machine (tests) is a temporary one made.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: 64-bit words of a Bloom filter at most (2 MB); more ids only let more others through.
@@ -26,10 +28,12 @@ _local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a fresh local one where none is named."""
+    """The cluster's shared folder; on one machine a fresh local one where none is named."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
+    if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+        raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = "file://" + tempfile.mkdtemp(prefix="logloom-")
@@ -64,6 +68,10 @@ class Scratch:
         for name in names:
             remove(self.spark, self.paths.pop(name))
 
+    def keep(self, *names: str) -> None:
+        """Drop all tables but those that the result still reads."""
+        self.drop(*(name for name in list(self.paths) if name not in names))
+
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly ``names`` of ``df``, whatever else it holds.
@@ -129,25 +137,36 @@ def maybe_in(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
     return held & ids.is_valid().to_numpy(zero_copy_only=False)
 
 
-def split_rows(rows: DataFrame, id_at: int, bits: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Rows whose long id at position ``id_at`` the filter may hold, and the others."""
-
-    def those(kept: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(maybe_in(bits, batch.column(id_at).cast(pa.int64())) == kept))
+def filter_rows(rows: DataFrame, id_at: int, bits: np.ndarray) -> DataFrame:
+    """Rows whose long id at position ``id_at`` the filter may hold."""
 
-        return rows.mapInArrow(run, rows.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_in(bits, batch.column(id_at).cast(pa.int64()))))
 
-    return those(True), those(False)
+    return rows.mapInArrow(run, rows.schema)
 
 
-def left_join_few(rows: DataFrame, id_name: str, few: DataFrame) -> DataFrame:
-    """``rows`` left-joined with ``few``; only rows that may have a partner are shuffled.
+def change_with_few(rows: DataFrame, id_name: str, few: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str) -> DataFrame:
+    """``change`` of ``rows`` left-joined with ``few``; only rows that may have a partner are shuffled.
 
-    ``few`` has the id column and one more; it is read twice, so save it before.
+    ``few`` has the id column and one more, which stands last in the batches that
+    ``change`` gets; it is read twice, so save it before.  The others are changed
+    where they are read, in the function that filters them.
     """
-    added = next(c for c in few.columns if c != id_name)
-    held, rest = split_rows(rows, rows.columns.index(id_name), bloom_filter(few.select(id_name)))
-    joined = held.join(few, id_name, "left").select(*rows.columns, added)
-    return joined.unionByName(rest.withColumn(added, F.lit(None).cast(few.schema[added].dataType)))
+    names, added = rows.columns, next(c for c in few.columns if c != id_name)
+    at, bits, empty = names.index(id_name), bloom_filter(few.select(id_name)), to_arrow_type(few.schema[added].dataType)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~maybe_in(bits, batch.column(at).cast(pa.int64()))))
+            yield change(pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, empty)], names=[*batch.schema.names, "added"]))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(change, batches)
+
+    # an added column can't be told from one of the same name, so all are numbered
+    left = filter_rows(rows, at, bits).toDF(*(f"c{i}" for i in range(len(names))))
+    right = few.select(F.col(id_name).alias("few_id"), F.col(added).alias("few_added"))
+    joined = left.join(right, F.col(f"c{at}") == F.col("few_id"), "left").select(*left.columns, "few_added")
+    return joined.mapInArrow(held, schema).unionAll(rows.mapInArrow(others, schema))

@@ -37,6 +37,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, scratch: Scratch, label: str = "components") -> DataFrame:
     """``node`` and ``component`` (its smallest member) for every node of a link.
 
+    An empty table has no components.
+
     Args:
         edges: columns a and b of one ordered type; loops, repeats and either
             direction are fine, rows with a null end are ignored.
@@ -53,5 +55,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "components") ->
         if tuple(state) == before:
             break
         before = tuple(state)
+    else:  # rounds grow with the logarithm of a component's width, so this isn't met
+        raise RuntimeError(f"links haven't settled in {MAX_ROUNDS} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -24,8 +24,10 @@ from .common import pick
 
 #: One edit is allowed for so many characters of an item.
 CHARS_PER_EDIT = 10
-#: Items of one automaton hold so many characters at most; more items, more passes.
-BLOCK_CHARS = 4_000_000
+#: Items of one automaton hold so many characters at most, which bounds a task's memory.
+BLOCK_CHARS = 1_000_000
+#: Items of one pass over the documents hold so many at most, which bounds what a task is sent.
+PASS_CHARS = 32_000_000
 _WORD = re.compile(r"\S+")
 
 
@@ -162,30 +164,30 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     return (first, last) if first is not None else (0, 0)
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items, normalised, in blocks of bounded size; null and empty ones are left out."""
-    block, size = [], 0
+def item_passes(benchmark: DataFrame) -> Iterator[list[list[tuple[int, str]]]]:
+    """The items, normalised, in blocks, and these in passes, both of bounded size.
+
+    The benchmark is a query set that is small beside the documents; it comes to the
+    driver item by item.  Null and empty items are left out.
+    """
+    blocks: list[list[tuple[int, str]]] = [[]]
+    size = whole = 0
     for row in pick(benchmark, "item_id", "text").filter("text is not null").distinct().toLocalIterator():
         text = normalised(row["text"])
         if not text:
             continue
-        if block and size + len(text) > BLOCK_CHARS:
-            yield sorted(block, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-            block, size = [], 0
-        block.append((row["item_id"], text))
-        size += len(text)
-    yield sorted(block, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        if blocks[-1] and whole + len(text) > PASS_CHARS:
+            yield blocks
+            blocks, size, whole = [[]], 0, 0
+        if blocks[-1] and size + len(text) > BLOCK_CHARS:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((row["item_id"], text))
+        size, whole = size + len(text), whole + len(text)
+    yield blocks
 
 
 MATCHES = "doc_id long, item_id long, distance int, start_char long, end_char long"
-_matchers: dict[int, Matcher] = {}
-
-
-def _worker_matcher(key: int, rows: list[tuple[int, str]]) -> Matcher:
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = Matcher(rows)
-    return _matchers[key]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -193,29 +195,35 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Returns doc_id, item_id, distance (edits of the normalised texts), start_char and
     end_char (code points of the whole words that hold the match).  Of overlapping
-    matches of one item the nearest counts.  Null texts and empty items match nothing;
-    repeated rows give repeated results; an empty table on either side gives no rows.
+    matches of one item the nearest counts, of equally near ones the first.  Null texts
+    and empty items match nothing, long texts are read whole; a null doc_id or item_id
+    is reported as such; repeated rows give repeated results; an empty table on either
+    side gives no rows.
     """
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").filter("text is not null")
-    found = None
-    for rows in item_blocks(benchmark):
-        key = hash(tuple(rows))
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
 
-        def scan(batches: Iterator[pa.RecordBatch], rows=rows, key=key) -> Iterator[pa.RecordBatch]:
-            matcher = _worker_matcher(key, rows)
+    def found(batch: pa.RecordBatch, matcher: Matcher) -> pa.RecordBatch:
+        out = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            for item, distance, start, end in matcher.matches(normalised(text)):
+                out.append((doc, item, distance, *original_span(text, start, end)))
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        names = ["doc_id", "item_id", "distance", "start_char", "end_char"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, types)], names=names)
+
+    result = None
+    for blocks in item_passes(benchmark):
+
+        def scan(batches: Iterator[pa.RecordBatch], blocks=blocks) -> Iterator[pa.RecordBatch]:
+            sole = Matcher(blocks[0]) if len(blocks) == 1 else None  # the only one kept between batches
             for batch in batches:
-                out = []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    text = text.as_py()
-                    for item, distance, start, end in matcher.matches(normalised(text)):
-                        out.append((doc, item, distance, *original_span(text, start, end)))
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-                names = ["doc_id", "item_id", "distance", "start_char", "end_char"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, types)], names=names)
+                for block in blocks:
+                    yield found(batch, sole or Matcher(block))
 
         part = texts.mapInArrow(scan, MATCHES)
-        found = part if found is None else found.unionByName(part)
-    return found
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 def cut_matches(text: str, matcher: Matcher) -> tuple[str, int]:
@@ -231,25 +239,34 @@ def cut_matches(text: str, matcher: Matcher) -> tuple[str, int]:
 def without_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs``, all columns, with matches cut from text and n_chars brought up to date.
 
-    Documents of which no word is left go; null and empty texts stay.
+    Documents of which no word is left go; null and empty texts stay.  n_chars may be
+    absent, and other columns may have any names; repeated rows are cut alike; an
+    empty table on either side changes nothing.
     """
     columns = docs.columns
-    at, size = columns.index("text"), columns.index("n_chars")
+    at, size = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+
+    def without(batch: pa.RecordBatch, matcher: Matcher) -> pa.RecordBatch:
+        arrays, texts, keep = list(batch.columns), batch.column(at).to_pylist(), [True] * batch.num_rows
+        sizes = arrays[size].to_pylist() if size is not None else [None] * batch.num_rows
+        for i, text in enumerate(texts):
+            left, n = cut_matches(text, matcher) if text else (text, 0)
+            if n:
+                texts[i], sizes[i], keep[i] = left, len(left), bool(left.strip())
+        arrays[at] = pa.array(texts, arrays[at].type)
+        if size is not None:
+            arrays[size] = pa.array(sizes, arrays[size].type)
+        return pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
+
     result = docs
-    for rows in item_blocks(benchmark):
-        key = hash(tuple(rows))
+    for blocks in item_passes(benchmark):
 
-        def cut(batches: Iterator[pa.RecordBatch], rows=rows, key=key) -> Iterator[pa.RecordBatch]:
-            matcher = _worker_matcher(key, rows)
+        def cut(batches: Iterator[pa.RecordBatch], blocks=blocks) -> Iterator[pa.RecordBatch]:
+            sole = Matcher(blocks[0]) if len(blocks) == 1 else None
             for batch in batches:
-                texts, sizes, keep = batch.column(at).to_pylist(), batch.column(size).to_pylist(), [True] * batch.num_rows
-                for i, text in enumerate(texts):
-                    left, n = cut_matches(text, matcher) if text else (text, 0)
-                    if n:
-                        texts[i], sizes[i], keep[i] = left, len(left), bool(left.strip())
-                arrays = list(batch.columns)
-                arrays[at], arrays[size] = pa.array(texts, pa.string()), pa.array(sizes, arrays[size].type)
-                yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
+                for block in blocks:
+                    batch = without(batch, sole or Matcher(block))
+                yield batch
 
         result = result.mapInArrow(cut, docs.schema)
     return result

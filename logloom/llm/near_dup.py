@@ -1,16 +1,18 @@
 """Near-duplicate documents by a multi-index Hamming join of MinHash signatures.
 
 A document's set is its distinct word shingles.  Documents with equal sets form a
-class; one signature stands for each.  A signature of ``POSITIONS`` values is split
-into chunks of ``CHUNK``.  If two signatures differ in fewer than twice as many
-positions as there are chunks, some chunk differs in at most one: so each chunk
-gives a key for every position left out, and all pairs under that distance (half of
-the positions) share a key.  A link's expected distance is far below; at a
+class; one signature stands for each.  A signature of ``POSITIONS`` values of ``BITS``
+bits is split into chunks of ``CHUNK``.  If two signatures differ in fewer than twice
+as many positions as there are chunks, some chunk differs in at most one.  A value that
+differs may be any other, so a chunk's allowed errors are enumerated by their place:
+each position left out gives a key, and all pairs under that distance (half of
+the positions) share one.  A link's expected distance is far below; at a
 similarity of 0.85 one pair in a million exceeds it, at 0.8 some three.
 
 Pairs of a key are never listed outright.  First every member joins the cell of the
 nearest among the least members of its keys; then keys that still span several
-components meet in the cell of their least component.  In a cell full sets are compared
+components meet in the cell of their least component, where those without a near
+signature in another component drop out.  In a cell full sets are compared
 in blocks, and only links that join components come out, so their number is linear.
 """
 
@@ -27,20 +29,22 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bloom_filter, maybe_in, pick, tasks_for
 from .components import components
-from .words import MinHasher, common_count, shingle_set, words_of
+from .words import MinHasher, sets_of, shingle_sets, signatures, slices, words_in, words_of
 
-POSITIONS, CHUNK = 40, 4
+POSITIONS, CHUNK, BITS = 40, 4, 16
 #: Values of the longer signature, a byte each, that pairs are filtered by.
 FILTER = 128
 #: Words and texts that one block of a cell holds on average; both bound a task's memory.
 BLOCK_WORDS, BLOCK_TEXTS = 1 << 18, 1000
+#: Signatures that one block of a cell holds on average.
+BLOCK_SIGNATURES = 1024
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
-def max_distance(percent: int) -> int:
-    """Filter positions in which a linked pair may differ: five deviations above its mean."""
+def max_distance(percent: int, positions: int = FILTER) -> int:
+    """Signature bytes in which a linked pair may differ: five deviations above its mean."""
     apart = 1 - percent / 100
-    return min(FILTER, int(FILTER * apart + 5 * (FILTER * apart * (1 - apart)) ** 0.5) + 1)
+    return min(positions, int(positions * apart + 5 * (positions * apart * (1 - apart)) ** 0.5) + 1)
 
 
 def shingle_table(docs: DataFrame, words: int) -> DataFrame:
@@ -49,33 +53,25 @@ def shingle_table(docs: DataFrame, words: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(FILTER)
         for batch in batches:
-            n, low, high, index, sig = [], [], [], [], []
-            for text in batch.column(1):
-                s = shingle_set(text.as_py(), words)
-                n.append(len(s))
-                whole = xxhash.xxh3_128_digest(s.tobytes())
-                low.append(int.from_bytes(whole[:8], "little", signed=True))
-                high.append(int.from_bytes(whole[8:], "little", signed=True))
-                minima = hasher.minima(s)
-                index.append((minima[:POSITIONS] >> np.uint64(33)).astype(np.int32))
-                sig.append((minima >> np.uint64(20)).astype(np.uint8).tobytes())
-            offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * POSITIONS)
-            values = pa.array(np.concatenate(index) if index else np.empty(0, np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.ListArray.from_arrays(offsets, values), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "set_low", "set_high", "index", "sig"],
-            )
+            for offset, texts in slices(batch.column(1)):
+                values, bounds = shingle_sets(words_in(texts), words)
+                whole = np.array([np.frombuffer(xxhash.xxh3_128_digest(values[a:b]), dtype=np.int64) for a, b in zip(bounds[:-1], bounds[1:])]).reshape(-1, 2)
+                minima = signatures(hasher, values, bounds)
+                index = [x.tobytes() for x in (minima[:, :POSITIONS] >> np.uint64(24)).astype(np.uint16)]
+                sig = [x.tobytes() for x in (minima >> np.uint64(20)).astype(np.uint8)]
+                columns = [batch.column(0).slice(offset, len(texts)), pa.array(np.diff(bounds)), pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.array(index, pa.binary()), pa.array(sig, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_low", "set_high", "index", "sig"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(scan, "doc_id long, n_shingles long, set_low long, set_high long, index array<int>, sig binary")
+    return rows.mapInArrow(scan, "doc_id long, n_shingles long, set_low long, set_high long, index binary, sig binary")
 
 
 def index_keys(index: Column) -> Column:
     """The keys of a signature: each chunk with each of its positions left out."""
-    keys = []
+    size, keys = BITS // 8, []
     for chunk in range(POSITIONS // CHUNK):
         for out in range(CHUNK):
-            kept = [index[chunk * CHUNK + i] for i in range(CHUNK) if i != out]
+            kept = [F.substring(index, (chunk * CHUNK + i) * size + 1, size) for i in range(CHUNK) if i != out]
             keys.append(F.xxhash64(F.lit(chunk * CHUNK + out), *kept))
     return F.array(*keys)
 
@@ -128,42 +124,71 @@ def spanning_links(node: np.ndarray, comp: np.ndarray, linked: np.ndarray) -> np
     return np.array(found, dtype=np.int64).reshape(-1, 2)
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each value of the first column, by which the rows are sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:  # a group may go on in the next batch
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        for a, b in zip(edges[:-1], edges[1:]):
+            if held and held[0].column(0)[0].as_py() != key[a]:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _cell_links(percent: int, words: int):
     """Links across components of each cell; the rows of a cell stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
         unpack = zstandard.ZstdDecompressor().decompress
+        for group in _groups(batches):
+            node, comp = (group.column(i).to_numpy() for i in (1, 2))
+            if comp.min() != comp.max():
+                items = sets_of([unpack(x.as_py()) for x in group.column(3)], words)
+                links = spanning_links(node, comp, similar_pairs(items, percent))
+                yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
-        def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-            cell, node, comp = (batch.column(i).to_numpy() for i in range(3))
-            edges = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-            found = [np.empty((0, 2), dtype=np.int64)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if comp[a:b].min() != comp[a:b].max():
-                    items = [shingle_set(unpack(x.as_py()).decode("utf-8", "surrogatepass"), words) for x in batch.column(3).slice(a, b - a)]
-                    found.append(spanning_links(node[a:b], comp[a:b], similar_pairs(items, percent)))
-            links = np.concatenate(found)
-            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
-
-        for batch in batches:  # a cell may go on in the next batch
-            if not batch.num_rows:
+    return run
+
+
+def _near_signatures(limit: int):
+    """cell, rep and component of those with a signature within ``limit`` in another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            comp = group.column(3).to_numpy()
+            if comp.min() == comp.max():
                 continue
-            cells = batch.column(0).to_numpy()
-            others = np.flatnonzero(cells != cells[-1])
-            split = int(others[-1]) + 1 if len(others) else 0
-            if held and (split or held[-1].column(0)[-1].as_py() != cells[-1]):
-                yield emit(pa.concat_batches([*held, batch.slice(0, split)]))
-                held = []
-            elif split:
-                yield emit(batch.slice(0, split))
-            held.append(batch.slice(split))
-        if held:
-            yield emit(pa.concat_batches(held))
+            sigs = np.frombuffer(b"".join(group.column(4).to_pylist()), dtype=np.uint8).reshape(len(comp), -1)
+            near = np.zeros(len(comp), dtype=bool)
+            for i in range(0, len(comp), 32):
+                far = (sigs[i : i + 32, None, :] != sigs[None, :, :]).sum(axis=2, dtype=np.int16)
+                near[i : i + 32] = ((far <= limit) & (comp[i : i + 32, None] != comp[None, :])).any(axis=1)
+            yield group.select([1, 2, 3]).filter(pa.array(near))
 
     return run
 
 
+def near_members(placed: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
+    """Rows of ``placed`` (cell, rep, component) that some member of their cell may be linked with.
+
+    Two signatures further apart than ``limit`` can't belong to a link, so a row that is far
+    from all other components' goes without its text being read.
+    """
+    blocks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SIGNATURES).cast("int").alias("blocks"))
+    dealt = placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    task = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
+    rows = dealt.select(task.alias("task"), "cell", "rep", "component").join(sigs, "rep").select("task", "cell", "rep", "component", "sig")
+    ordered = rows.repartition(tasks_for(placed.sparkSession), "task").sortWithinPartitions("task")
+    return ordered.mapInArrow(_near_signatures(limit), "cell long, rep long, component long").distinct()
+
+
 def cell_links(placed: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, label: str) -> DataFrame:
     """Links between different components of each cell, confirmed on full sets.
 
@@ -192,7 +217,9 @@ def nearest_leader(pairs: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, FILTER) for i in (2, 3))
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
             far = (x != y).sum(axis=1).astype(np.int32)
             rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far)], names=["a", "b", "far"])
             yield rows.filter(pa.array(far <= limit))
@@ -220,17 +247,18 @@ def packed_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(pack, "rep long, size int, items binary").join(wanted, "rep", "left_semi")
 
 
-def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, more: DataFrame | None = None) -> DataFrame:
+def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFrame], DataFrame], percent: int, words: int, scratch: Scratch, more: DataFrame | None = None, positions: int = FILTER) -> DataFrame:
     """node and component of the confirmed links among the pairs of each key.
 
     Args:
         members: key, leader (the key's least rep) and rep of keys with several reps.
-        sigs: rep and sig, ``FILTER`` bytes.
+        sigs: rep and sig, a byte for each of ``positions`` MinHash values.
         items_of: gives (rep, size, items) as ``packed_texts`` for a table of reps; it is written once a round.
         more: further links (a, b) that need no confirmation.
     """
     stars = members.filter("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    nearest = scratch.save("nearest", nearest_leader(stars, sigs, max_distance(percent)))
+    limit = max_distance(percent, positions)
+    nearest = scratch.save("nearest", nearest_leader(stars, sigs, limit))
     ends = nearest.select(F.col("a").alias("cell"), F.col("b").alias("rep")).unionByName(nearest.select(F.col("a").alias("cell"), F.col("a").alias("rep"))).distinct()
     links = cell_links(ends.withColumn("component", F.col("rep")), items_of, percent, words, scratch, "star")
     joined = scratch.save("star-joined", components(links if more is None else links.unionByName(more), scratch, "star"))
@@ -238,13 +266,13 @@ def link_members(members: DataFrame, sigs: DataFrame, items_of: Callable[[DataFr
     rows = members.select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = rows.groupBy("key").agg(F.min("component").alias("cell"), F.max("component").alias("high")).filter("cell <> high").drop("high")
     placed = scratch.save("cells", rows.join(split, "key").select("cell", "rep", "component").distinct())
+    placed = scratch.save("near-cells", near_members(placed, sigs, limit))
     across = cell_links(placed, items_of, percent, words, scratch, "cell")
     if across.isEmpty():
         return joined
     return scratch.save("joined", components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across), scratch, "all"))
 
 
-
 # Operator --------------------------------------------------------------------
 
 
@@ -271,8 +299,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         "classes",
         filled.groupBy("set_low", "set_high").agg(F.min("doc_id").alias("rep"), F.first("index").alias("index"), F.first("sig").alias("sig")),
     )
-    # an id with several texts stands for several classes
-    sigs = classes.groupBy("rep").agg(F.first("sig").alias("sig"))
+    # an id with several texts stands for several classes, each with its signature
+    sigs = classes.select("rep", "sig")
     keyed = classes.select("rep", F.explode(index_keys(F.col("index"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = scratch.save("members", keyed.join(shared, "key"))
@@ -283,6 +311,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     own = scratch.save("own", own)
     links = own.filter("a <> b").select("a", "b").unionByName(own.filter("a <> b").join(placed, "doc_id").select("a", F.col("rep").alias("b")))
     joined = link_members(members, sigs, lambda ends: packed_texts(texts, ends), percent, words, scratch, links)
+    scratch.keep("rows", "own", "joined", "star-joined")
     final = own.join(joined.withColumnRenamed("node", "a"), "a", "left").select("doc_id", F.coalesce("component", "a").alias("component"))
     found = rows.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -290,9 +319,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY) -> DataFrame:
-    """``docs`` without the near duplicates of a smaller doc_id.
+    """``docs``, all columns, without the near duplicates of a smaller doc_id.
 
-    Of rows that repeat a kept doc_id all stay.
+    Of rows that repeat a kept doc_id all stay, as do null ids and texts without
+    words.  Other columns may have any names; an empty table stays empty.
     """
-    dropped = near_duplicates(docs, words, percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    dropped = near_duplicates(docs, words, percent).filter("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    # columns go by number, so that a name that differs only in case is no ambiguity
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    at = docs.columns.index("doc_id")
+    return rows.join(dropped, F.col(f"c{at}") == F.col("dropped"), "left_anti").toDF(*docs.columns)

@@ -56,8 +56,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
             names = ("doc_id", "piece", "start", "length", "ids_crc32")
             columns = list(zip(*rows)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(names))
+        tokenizer.forget()
 
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty(F.col("text").cast("string")).alias("text"))
     return texts.mapInArrow(cut, PIECES)
 
 

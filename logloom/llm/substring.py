@@ -1,17 +1,20 @@
-"""Repeated passages inside documents: paragraph MinHash banding and word phrases.
+"""Repeated passages inside documents: paragraph MinHash banding and passage samples.
 
-Paragraphs (lines) of at least ``MIN_WORDS`` words get MinHash bands over their
-five-word shingles: six bands of two rows let 99.8 % of the pairs at a similarity
-of 0.8 collide, and more above.  Equal paragraphs form a class, and one stands for
-each; classes that share a band are confirmed on their full shingle sets, and components of the links decide: the first paragraph
-of a component stays, the others go.
+A paragraph is a line of at least ``MIN_WORDS`` words, or a run of shorter lines
+without a blank one between them, as in hard-wrapped text, that has so many words
+together.  Paragraphs get MinHash bands over their five-word shingles: twenty bands of
+five rows let 99.96 % of the pairs at a similarity of 0.8 collide, and 5 % of those at
+0.3.  Equal paragraphs form a class, and one stands for each; classes that share a
+band are confirmed on their full shingle sets, and components of the links decide:
+the first paragraph of a component stays, the others go.
 
 A passage may also stand inside paragraphs that are otherwise different.  For that
-the words are cut where a word's hash is the least of twenty in a row; inside a
-repeated passage the cuts agree, so its phrases are equal, which is banding with
-one band at a similarity of one.  Runs of phrases seen before, of at least
-``MIN_WORDS`` words, go too; at either end of a passage less than one cut window of
-words may stay.  Shorter repeats (headings, stock sentences) stay.
+runs of ``MIN_WORDS`` words are sampled wherever their hash is the least of
+``CUT_WINDOW`` in a row.  Inside a repeated passage the samples agree, which is
+banding with one band at a similarity of one; a sample seen before goes.  So a repeat
+of 31 words or more never stays whole, at either end of it at most eleven words stay,
+and repeats of fewer than 20 words (headings, stock sentences) stay.  Samples are told
+apart by 96 bits of hash, paragraphs of one class by as many.
 """
 
 from __future__ import annotations
@@ -24,193 +27,179 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bloom_filter, left_join_few, pick, split_rows
-from .near_dup import FILTER, SHINGLE_WORDS, SIMILARITY, link_members
-from .words import MinHasher, hash_words, mix, shingle_hashes, shingle_set
+from .common import Scratch, bloom_filter, change_with_few, filter_rows, pick
+from .near_dup import SHINGLE_WORDS, SIMILARITY, link_members
+from .words import MinHasher, PassageHashes, Words, shingles_in, slices, words_in
 
-BANDS, ROWS = 6, 2
+BANDS, ROWS = 20, 5
 MIN_WORDS = 20
-CUT_WINDOW = 20
+CUT_WINDOW = 12
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_PLACE = np.uint64(0x9E3779B97F4A7C15)
+_PLACE, _PLACES = np.uint64(24), np.uint64((1 << 24) - 1)
 
 
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte and line number of each word."""
-    raw = np.frombuffer(data, dtype=np.uint8)
-    space = np.concatenate([[True], _SPACE[raw], [True]])
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of each word."""
+    space = np.concatenate([[True], _SPACE[np.frombuffer(data, dtype=np.uint8)], [True]])
     change = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = change[::2], change[1::2]
-    return starts, ends, np.searchsorted(np.flatnonzero(raw == 10), starts)
-
-
-def phrase_starts(words: np.ndarray) -> np.ndarray:
-    """0 and every place whose word hash is the least of ``CUT_WINDOW`` in a row."""
-    n = len(words)
-    if n <= CUT_WINDOW:
-        return np.zeros(min(n, 1), dtype=np.int64)
-    # the hash above, the place counted down below: of equal hashes the last counts
-    last = np.uint64((1 << 24) - 1)
-    least, width = (mix(words) & ~last) | (last - np.arange(n, dtype=np.uint64) % last), 1
+    return change[::2], change[1::2]
+
+
+def sampled_runs(text: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Places of the runs of ``MIN_WORDS`` words whose hash is the least of ``CUT_WINDOW`` in a row.
+
+    ``text`` tells which text each word is of; a window lies within one text.
+    """
+    windows = len(runs) - CUT_WINDOW + 1
+    if windows <= 0:
+        return np.empty(0, dtype=np.int64)
+    # the hash above, the place below: of equal hashes the first counts
+    least, width = (runs & ~_PLACES) | (np.arange(len(runs), dtype=np.uint64) & _PLACES), 1
     while 2 * width <= CUT_WINDOW:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    least = np.minimum(least[: len(least) - CUT_WINDOW + width], least[CUT_WINDOW - width :])
-    chosen = np.flatnonzero(least[1:] != least[:-1])
-    first = np.arange(len(least))[np.concatenate([[0], chosen + 1])]
-    offset = (last - (least[first] & last)).astype(np.int64)  # the place modulo the counter's range
-    at = first + (offset - first) % int(last)
-    return np.unique(np.concatenate([[0], at]))
-
-
-def passage_hashes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of each passage's words in order; the passages follow each other without a gap."""
-    place = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
-    return mix(np.add.reduceat(mix(words + place * _PLACE), starts) + sizes.astype(np.uint64))
-
-
-def paragraph_bands(words: np.ndarray, lines: np.ndarray, hasher: MinHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word and length of each long paragraph, its band keys and content hash."""
-    firsts = np.flatnonzero(np.concatenate([[True], lines[1:] != lines[:-1]])) if len(lines) else np.empty(0, np.int64)
-    sizes = np.diff(np.append(firsts, len(words)))
-    long = sizes >= MIN_WORDS
-    if not long.any():
-        return firsts[:0], sizes[:0], np.empty((BANDS, 0), dtype=np.int64), np.empty(0, np.int64)
-    whole = passage_hashes(words, firsts, sizes)[long].view(np.int64)
-    firsts, sizes = firsts[long], sizes[long]
-    shingles = shingle_hashes(words, SHINGLE_WORDS)
-    # shingles of a paragraph start at its words but the last four; a pad keeps the ends in range
-    edges = np.stack([firsts, firsts + sizes - SHINGLE_WORDS + 1], axis=1).ravel()
-    padded = np.append(shingles, np.iinfo(np.uint64).max)
-    x = padded * hasher.scale + hasher.shift
-    least = np.minimum.reduceat(x ^ (x >> np.uint64(29)), edges, axis=1)[:, ::2]
-    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(firsts), axis=1)
-    for row in range(ROWS):
-        keys = mix(keys * _PLACE + least[row::ROWS])
-    return firsts, sizes, keys.view(np.int64), whole
+    least = np.minimum(least[:windows], least[CUT_WINDOW - width :][:windows])
+    whole = np.flatnonzero(text[:windows] == text[CUT_WINDOW + MIN_WORDS - 2 :][:windows])
+    # the place modulo the counter's range
+    return np.unique(whole + (((least[whole] & _PLACES).astype(np.int64) - whole) & int(_PLACES)))
+
+
+def paragraphs_in(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and size of each paragraph of at least ``MIN_WORDS`` words."""
+    n = len(words.starts)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    line = np.searchsorted(np.flatnonzero(words.data == 10), words.starts)
+    new_text, new_line = words.text[1:] != words.text[:-1], line[1:] != line[:-1]
+    firsts = np.flatnonzero(np.concatenate([[True], new_text | new_line]))
+    long = np.repeat(np.diff(np.append(firsts, n)) >= MIN_WORDS, np.diff(np.append(firsts, n)))
+    apart = new_text | (new_line & (long[1:] | long[:-1] | (line[1:] - line[:-1] > 1)))
+    firsts = np.flatnonzero(np.concatenate([[True], apart]))
+    sizes = np.diff(np.append(firsts, n))
+    return firsts[sizes >= MIN_WORDS], sizes[sizes >= MIN_WORDS]
+
+
+def paragraph_signatures(words: Words, firsts: np.ndarray, sizes: np.ndarray, hasher: MinHasher) -> np.ndarray:
+    """The low byte of each MinHash value of each paragraph."""
+    if not len(firsts):
+        return np.empty((0, len(hasher.scale)), dtype=np.uint8)
+    shingles, bounds = shingles_in(words, SHINGLE_WORDS)
+    # a paragraph's shingles start at its words but the last four
+    counts = sizes - SHINGLE_WORDS + 1
+    text = words.text[firsts]
+    at = np.repeat(bounds[text] + firsts - words.bounds[text] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    return (hasher.minima(shingles[at], np.cumsum(counts) - counts) >> np.uint64(20)).astype(np.uint8)
 
 
 def passage_keys(docs: DataFrame) -> DataFrame:
-    """key (a hash of the words), bands (null for a phrase), start, size in words, again, doc_id.
+    """key and proof (hashes of the words), sig (null for a sample), start, size in words, again, doc_id.
 
-    ``again`` marks a phrase whose key an earlier place of the same text has.
+    ``again`` marks a sample that an earlier place of the same text has.
     """
+    names = ["key", "proof", "sig", "start", "size", "again", "doc_id"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(BANDS * ROWS, seed=7)
+
+        def rows(words: Words, hashes: tuple[PassageHashes, PassageHashes], ids: np.ndarray, at: np.ndarray, sizes: np.ndarray, key: np.ndarray, again: np.ndarray, sig: pa.Array) -> pa.RecordBatch:
+            proof = (hashes[1].of(at, sizes) >> np.uint64(33)).astype(np.int32)
+            text = words.text[at]
+            columns = [key.view(np.int64), proof, sig, (at - words.bounds[text]).astype(np.int32), sizes.astype(np.int32), again, ids[text]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
-            bands: list[np.ndarray] = []
-            widths: list[np.ndarray] = []  # of each row's bands; 0 for a phrase
-
-            def add(doc, *values):
-                for column, x in zip(columns, (*values, np.full(len(values[0]), doc, np.int64))):
-                    column.append(x)
-
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = text.as_py().encode("utf-8", "surrogatepass")
-                words = hash_words(data.lower().split())
-                starts = phrase_starts(words)
-                if len(starts):
-                    sizes = np.diff(np.append(starts, len(words)))
-                    keys = passage_hashes(words, starts, sizes)
-                    again = np.ones(len(keys), dtype=bool)
-                    again[np.unique(keys, return_index=True)[1]] = False
-                    add(doc, keys.view(np.int64), starts, sizes, again)
-                    widths.append(np.zeros(len(keys), np.int32))
-                firsts, sizes, keys, whole = paragraph_bands(words, word_spans(data)[2], hasher)
-                if len(firsts):
-                    add(doc, whole, firsts, sizes, np.zeros(len(firsts), dtype=bool))
-                    bands.append(keys.T.ravel())
-                    widths.append(np.full(len(firsts), BANDS, np.int32))
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
-            key, start, size, again, doc = (pa.array(np.concatenate(c).astype(t.to_pandas_dtype()) if c else [], t) for c, t in zip(columns, types))
-            width = np.concatenate(widths) if widths else np.empty(0, np.int32)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(width)]).astype(np.int32))
-            listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(bands) if bands else [], pa.int64()), mask=pa.array(width == 0))
-            yield pa.RecordBatch.from_arrays([key, listed, start, size, again, doc], names=["key", "bands", "start", "size", "again", "doc_id"])
-
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
-    return texts.mapInArrow(scan, "key long, bands array<long>, start int, size int, again boolean, doc_id long")
+            for offset, texts in slices(batch.column(1)):
+                ids = batch.column(0).slice(offset, len(texts)).to_numpy()
+                words = words_in(texts)
+                hashes = PassageHashes(words.hashes), PassageHashes(words.hashes, 1)
+                runs = np.arange(max(0, len(words.hashes) - MIN_WORDS + 1))
+                runs = hashes[0].of(runs, MIN_WORDS)
+                at = sampled_runs(words.text, runs)
+                key, text = runs[at], words.text[at]
+                order = np.lexsort((at, key, text))
+                again = np.zeros(len(at), dtype=bool)
+                again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+                yield rows(words, hashes, ids, at, np.full(len(at), MIN_WORDS), key, again, pa.nulls(len(at), pa.binary()))
+                firsts, sizes = paragraphs_in(words)
+                sigs = paragraph_signatures(words, firsts, sizes, hasher)
+                sig = pa.array([x.tobytes() for x in sigs], pa.binary())
+                yield rows(words, hashes, ids, firsts, sizes, hashes[0].of(firsts, sizes), np.zeros(len(firsts), dtype=bool), sig)
+
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
+    return texts.mapInArrow(scan, "key long, proof int, sig binary, start int, size int, again boolean, doc_id long")
 
 
 def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, sig, size and packed words of the paragraphs (rep) listed by doc_id, start and size."""
+    """rep, size and packed words of the paragraphs (rep) listed by doc_id, start and size."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, packer = MinHasher(FILTER), zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            reps, sigs, sizes, items = [], [], [], []
-            for text, marks in zip(batch.column(0), batch.column(1)):
-                words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-                for mark in marks.as_py():
-                    part = b" ".join(words[mark["start"] : mark["start"] + mark["size"]])
-                    found = shingle_set(part.decode("utf-8", "surrogatepass"), SHINGLE_WORDS)
-                    reps.append(mark["rep"])
-                    sigs.append((hasher.minima(found) >> np.uint64(20)).astype(np.uint8).tobytes())
-                    sizes.append(mark["size"])
-                    items.append(packer.compress(part))
-            columns = [pa.array(reps, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), pa.array(items, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "sig", "size", "items"])
+            for offset, texts in slices(batch.column(0)):
+                words, reps, sizes, items = words_in(texts), [], [], []
+                hashes, data = PassageHashes(words.hashes), words.data.tobytes()
+                for i, marks in enumerate(batch.column(1).slice(offset, len(texts))):
+                    for mark in marks.as_py():
+                        first, size = int(words.bounds[i]) + mark["start"], mark["size"]
+                        # another text of the same doc_id may hold other words there
+                        if first + size <= words.bounds[i + 1] and int(hashes.of(np.array([first]), size).view(np.int64)[0]) == mark["rep"]:
+                            reps.append(mark["rep"])
+                            sizes.append(size)
+                            items.append(packer.compress(data[words.starts[first] : words.ends[first + size - 1]]))
+                yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(items, pa.binary())], names=["rep", "size", "items"])
 
     marks = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("rep", "start", "size")).alias("marks"))
-    texts, _ = split_rows(pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text"), 0, bloom_filter(wanted.select("doc_id")))
-    return texts.dropDuplicates(["doc_id"]).join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, sig binary, size int, items binary")
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
+    texts = filter_rows(texts, 0, bloom_filter(wanted.select("doc_id")))
+    return texts.join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, size int, items binary").dropDuplicates(["rep"])
 
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
-    """doc_id, start, size (words), phrase and original (doc_id of the first copy).
+    """doc_id, start, size (words) and original (doc_id of the first copy), as a written table.
 
-    Phrases are listed one by one, whether or not their run is long enough; a
-    paragraph is listed if it isn't the first of its component.
+    Samples of a long passage overlap, and paragraphs may hold them: spans are to be
+    joined.  A paragraph is listed if it isn't the first of its component.  Null ids
+    and texts take no part; an empty table has no passages.
     """
     scratch = Scratch(docs.sparkSession, "passages")
     keys = scratch.save("keys", passage_keys(docs))
-    told = keys.filter("bands is null").drop("bands")
-    once = told.filter("not again")
-    first = once.groupBy("key").agg(F.min("doc_id").alias("original"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    # within a text the first place of a phrase may still repeat another text's
-    phrases = once.join(first, "key").filter("doc_id <> original").select("doc_id", "start", "size", F.lit(True).alias("phrase"), "original")
-    own = told.filter("again").select("doc_id", "start", "size", F.lit(True).alias("phrase"), F.col("doc_id").alias("original"))
-    phrases = scratch.save("phrases", phrases.unionByName(own))
+    told = keys.filter("sig is null").select("key", "proof", "doc_id", "start", "again")
+    once = told.filter("not again").drop("again")
+    first = once.groupBy("key", "proof").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last")).filter("original <> last").drop("last")
+    span = ["doc_id", "start", F.lit(MIN_WORDS).alias("size")]
+    # within a text the first place of a sample may still repeat another text's
+    samples = once.join(first, ["key", "proof"]).filter("doc_id <> original").select(*span, "original")
+    samples = scratch.save("samples", samples.unionByName(told.filter("again").select(*span, F.col("doc_id").alias("original"))))
     place = F.struct("doc_id", "start", "size")
-    paragraphs = keys.filter("bands is not null").withColumnRenamed("key", "rep")
-    classes = paragraphs.groupBy("rep").agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
-    classes = scratch.save("classes", classes)
-    keyed = classes.select("rep", F.posexplode("bands").alias("band", "value")).select("rep", F.xxhash64("band", "value").alias("key"))
+    paragraphs = keys.filter("sig is not null").withColumnRenamed("key", "rep")
+    classes = paragraphs.groupBy("rep").agg(F.min(F.struct(place.alias("first"), "proof")).alias("head"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
+    classes = scratch.save("classes", classes.select("rep", F.col("head.first").alias("first"), F.col("head.proof").alias("proof"), "sig", "n"))
+    bands = F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)) for b in range(BANDS))))
+    keyed = classes.select("rep", bands.alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = scratch.save("members", keyed.join(shared, "key").select("key", "leader", "rep"))
-    wanted = scratch.save("wanted", classes.select("rep", "first.*").join(members.select("rep").distinct(), "rep"))
-    items = scratch.save("items", _paragraph_items(docs, wanted))
-    joined = link_members(members, items.select("rep", "sig"), lambda ends: items.select("rep", "size", "items").join(ends, "rep", "left_semi"), percent, SHINGLE_WORDS, scratch)
-    scratch.drop("items")
-    grouped = classes.select("rep", "first", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 or component is not null")
-    grouped = scratch.save("grouped", grouped.select("rep", "first", F.coalesce("component", "rep").alias("component")))
+    places = classes.select("rep", "first.*")
+    joined = link_members(members, classes.select("rep", "sig"), lambda ends: _paragraph_items(docs, places.join(ends, "rep", "left_semi")), percent, SHINGLE_WORDS, scratch, positions=BANDS * ROWS)
+    grouped = classes.select("rep", "first", "proof", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 or component is not null")
+    grouped = scratch.save("grouped", grouped.select("rep", "first", "proof", F.coalesce("component", "rep").alias("component")))
     keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
-    repeated = paragraphs.select("rep", "doc_id", "start", "size").join(grouped.join(keeper, "component").select("rep", "keeper"), "rep")
+    # a paragraph that shares its class' hash but not the proof stays
+    repeated = paragraphs.select("rep", "proof", "doc_id", "start", "size").join(grouped.join(keeper, "component").select("rep", "proof", "keeper"), ["rep", "proof"])
     repeated = repeated.filter((F.col("doc_id") != F.col("keeper.doc_id")) | (F.col("start") != F.col("keeper.start")))
-    paragraphs = repeated.select("doc_id", "start", "size", F.lit(False).alias("phrase"), F.col("keeper.doc_id").alias("original"))
-    return phrases.unionByName(paragraphs)
-
-
-def removed_ranges(spans: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
-    """Word ranges to remove: joined runs of phrases if long enough, and paragraphs."""
-    ranges: list[list[int]] = []
-    for phrase in (True, False):
-        runs: list[list[int]] = []
-        for start, size, _ in sorted(x for x in spans if x[2] == phrase):
-            if runs and start <= runs[-1][1]:
-                runs[-1][1] = max(runs[-1][1], start + size)
-            else:
-                runs.append([start, start + size])
-        ranges += [r for r in runs if r[1] - r[0] >= MIN_WORDS]
+    found = scratch.save("found", samples.unionByName(repeated.select("doc_id", "start", "size", F.col("keeper.doc_id").alias("original"))))
+    scratch.keep("found")
+    return found
+
+
+def removed_ranges(spans: list[dict]) -> list[tuple[int, int]]:
+    """The word ranges that the spans cover together."""
     merged: list[list[int]] = []
-    for start, end in sorted(ranges):
+    for start, size in sorted((x["start"], x["size"]) for x in spans):
         if merged and start <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], end)
+            merged[-1][1] = max(merged[-1][1], start + size)
         else:
-            merged.append([start, end])
+            merged.append([start, start + size])
     return [(a, b) for a, b in merged]
 
 
@@ -219,23 +208,23 @@ def cut_text(text: str | None, spans: list[dict]) -> tuple[str | None, int, int,
     if text is None:
         return None, 0, 0, 0, []
     data = text.encode("utf-8", "surrogatepass")
-    ranges = removed_ranges([(x["start"], x["size"], x["phrase"]) for x in spans])
-    if not ranges:
+    if not spans:
         return text, len(data.split()), 0, 0, []
-    starts, ends, _ = word_spans(data)
-    ranges = [(a, min(b, len(starts))) for a, b in ranges if a < len(starts)]
+    starts, ends = word_spans(data)
+    # a row that repeats a doc_id with a shorter text has fewer words
+    ranges = [(a, min(b, len(starts))) for a, b in removed_ranges(spans) if a < len(starts)]
     kept, at = [], 0
     for a, b in ranges:
         kept.append(data[at : starts[a]])
         at = int(ends[b - 1])
     kept.append(data[at:])
-    used = {x["original"] for x in spans if any(a <= x["start"] < b for a, b in ranges)}
+    used = {x["original"] for x in spans if x["start"] < len(starts)}
     return b"".join(kept).decode("utf-8", "surrogatepass"), len(starts), sum(b - a for a, b in ranges), len(ranges), sorted(used)
 
 
 def _spans_by_document(docs: DataFrame, percent: int) -> DataFrame:
-    one = F.struct("start", "size", "phrase", "original")
-    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(one).alias("repeated_spans"))
+    """doc_id and its spans, which are no more than its own text has places for."""
+    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "original")).alias("spans"))
     return Scratch(docs.sparkSession, "spans").save("spans", spans)
 
 
@@ -244,47 +233,50 @@ def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
 
     Args:
         docs: doc_id and text; other columns are ignored.
+        percent: least similarity of near-duplicate paragraphs, in per cent.
 
     Returns a row per input row: doc_id, text (what is left; the words around a gap
     keep the white space before it), n_words, n_removed (words), n_spans, originals
     (sorted doc_ids whose passages were repeated).  Earlier means a smaller doc_id,
-    or the same document, earlier start.  Null texts stay null with no words.  Rows
-    that repeat a doc_id count as one document and lose the same words of each text;
-    a null doc_id takes no part.  An empty table gives no rows.
+    or the same document, earlier start.  Null texts stay null with no words; long
+    ones are read whole.  Of equal passages in one document the first counts as the
+    earlier.  Rows that repeat a doc_id count as one document and lose the same words
+    of each text; a null doc_id takes no part.  An empty table gives no rows.
     """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [cut_text(text.as_py(), spans.as_py() or []) for text, spans in zip(batch.column(1), batch.column(2))]
-            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            names = ["doc_id", "text", "n_words", "n_removed", "n_spans", "originals"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types))], names=names)
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [cut_text(text.as_py(), spans.as_py() or []) for text, spans in zip(batch.column(1), batch.column(2))]
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        names = ["doc_id", "text", "n_words", "n_removed", "n_spans", "originals"]
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types))], names=names)
 
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    joined = left_join_few(texts, "doc_id", _spans_by_document(docs, percent)).select("doc_id", "text", "repeated_spans")
-    return joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long, n_spans long, originals array<long>")
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return change_with_few(texts, "doc_id", _spans_by_document(docs, percent), cut, "doc_id long, text string, n_words long, n_removed long, n_spans long, originals array<long>")
 
 
 def without_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """``docs``, all columns, with repeats cut from text and n_chars brought up to date.
 
-    Documents of which nothing is left go; those without words before stay.
+    Documents of which nothing is left go; those without words before stay, as do
+    null texts and rows with a null doc_id.  n_chars may be absent; other columns
+    may have any names, also ones that differ from these only in case.  An empty
+    table stays empty.
     """
     columns = docs.columns
-    at, size = columns.index("text"), columns.index("n_chars")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, sizes, keep = [], batch.column(size).to_pylist(), []
-            for i, (text, spans) in enumerate(zip(batch.column(at), batch.column(len(columns)))):
-                left, n, removed, _, _ = cut_text(text.as_py(), spans.as_py() or [])
-                if removed:
-                    sizes[i] = len(left)
-                texts.append(left)
-                keep.append(not removed or removed < n)
-            arrays = list(batch.columns[:-1])
-            arrays[at], arrays[size] = pa.array(texts, pa.string()), pa.array(sizes, arrays[size].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
-
-    joined = left_join_few(docs, "doc_id", _spans_by_document(docs, percent)).select(*columns, "repeated_spans")
-    return joined.mapInArrow(cut, docs.schema)
+    at, size = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        arrays, texts, keep = list(batch.columns[:-1]), [], []
+        sizes = arrays[size].to_pylist() if size is not None else [None] * batch.num_rows
+        for i, (text, spans) in enumerate(zip(batch.column(at), batch.columns[-1])):
+            left, n, removed, _, _ = cut_text(text.as_py(), spans.as_py() or [])
+            if removed:
+                sizes[i] = len(left)
+            texts.append(left)
+            keep.append(not removed or removed < n)
+        arrays[at] = pa.array(texts, arrays[at].type)
+        if size is not None:
+            arrays[size] = pa.array(sizes, arrays[size].type)
+        return pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
+
+    return change_with_few(docs, "doc_id", _spans_by_document(docs, percent), cut, docs.schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, bloom_filter, left_join_few, maybe_in, pick, split_rows, tasks_for, text_or_empty
+from .common import Scratch, bloom_filter, change_with_few, filter_rows, maybe_in, pick, tasks_for, text_or_empty
 from .words import mix
 
 LENGTH, GRAM = 100, 32
@@ -37,6 +37,8 @@ SPAN = LENGTH - GRAM + 1
 CHUNK = 1 << 20
 #: A trigger that one task meets so often has its phrases, and their strings, dealt over all tasks.
 HOT = 256
+#: Phrases that a task hands on at once.
+PARSED_ROWS = 1 << 17
 #: Grams that a task counts at once.
 MOST_COUNTED = 1 << 22
 _INDEX_BITS = np.uint64(24)
@@ -76,21 +78,39 @@ def triggers(data: np.ndarray, phrases: bool = True) -> tuple[np.ndarray, np.nda
     return tuple(np.concatenate(c) for c in zip(*found)) if found else tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.uint64))
 
 
-def parse(texts: DataFrame) -> DataFrame:
-    """gram, phrase, doc_id, place, first, last: every phrase of every text."""
+def parse(texts: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
+    """gram, phrase, doc_id, place, first, last, hot: every phrase of every text.
+
+    ``hot`` is a Bloom filter of frequent triggers; one that it lets through by
+    mistake is dealt like them, with the same result.
+    """
+    names = ["gram", "phrase", "doc_id", "place", "first", "last", "hot"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
+            held = 0
+
+            def out() -> pa.RecordBatch:
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                arrays = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types)]
+                for c in columns:
+                    c.clear()
+                marked = np.zeros(len(arrays[0]), dtype=bool) if hot is None else maybe_in(hot, arrays[0])
+                return pa.RecordBatch.from_arrays([*arrays, pa.array(marked)], names=names)
+
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 gram, place, first, last, phrase = triggers(np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8))
                 for column, x in zip(columns, (gram.view(np.int64), phrase.view(np.int64), np.full(len(place), doc, np.int64), place.astype(np.int32), first.astype(np.int32), last.astype(np.int32))):
                     column.append(x)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types)], names=["gram", "phrase", "doc_id", "place", "first", "last"])
+                held += len(place)
+                if held > PARSED_ROWS:
+                    yield out()
+                    held = 0
+            yield out()
 
     long = texts.filter((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-    return long.mapInArrow(scan, "gram long, phrase long, doc_id long, place int, first int, last int")
+    return long.mapInArrow(scan, "gram long, phrase long, doc_id long, place int, first int, last int, hot boolean")
 
 
 def phrase_bytes(texts: DataFrame, unsure: DataFrame) -> DataFrame:
@@ -109,7 +129,7 @@ def phrase_bytes(texts: DataFrame, unsure: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=names)
 
     marks = unsure.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place", "first", "last")).alias("marks"))
-    held, _ = split_rows(texts, 0, bloom_filter(unsure.select("doc_id")))
+    held = filter_rows(texts, 0, bloom_filter(unsure.select("doc_id")))
     joined = held.join(marks, "doc_id").select("doc_id", "text", "marks")
     return joined.mapInArrow(cut, "gram long, doc_id long, place int, first int, last int, bytes binary")
 
@@ -231,16 +251,7 @@ def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id and first and last start of runs of repeated strings."""
     frequent = scratch.save("frequent", frequent_grams(texts))
     some = not frequent.isEmpty()
-    parsed = parse(texts).withColumn("hot", F.lit(False))
-    if some:
-        # a gram that the filter lets through by mistake is dealt too, with the same result
-        bits = bloom_filter(frequent)
-
-        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.set_column(6, "hot", pa.array(maybe_in(bits, batch.column(0))))
-
-        parsed = parsed.mapInArrow(mark, parsed.schema)
+    parsed = parse(texts, bloom_filter(frequent) if some else None)
     parsed = parsed.withColumn("deal", F.when(F.col("hot"), F.col("phrase")).otherwise(F.lit(0)))
     by_gram = Window.partitionBy("gram", "deal")
     order = Window.partitionBy("gram", "deal", "phrase").orderBy("doc_id", "place")
@@ -267,30 +278,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     table gives no rows.
     """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data, kept, at, removed, n = text.as_py().encode("utf-8", "surrogatepass"), hashlib.sha256(), 0, 0, 0
-                end = -1
-                for x in sorted((s["first"], s["last"]) for s in spans.as_py() or []):
-                    start, stop = x[0], min(x[1] + LENGTH, len(data))
-                    if start > end:
-                        if end >= 0:
-                            removed += end - begin
-                        kept.update(data[at:start])
-                        n, begin, end = n + 1, start, stop
-                    end = max(end, stop)
-                    at = end
-                if end >= 0:
-                    removed += end - begin
-                kept.update(data[at:])
-                rows.append((doc, len(data), removed, n, kept.hexdigest()))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            data, kept, at, removed, n = text.as_py().encode("utf-8", "surrogatepass"), hashlib.sha256(), 0, 0, 0
+            end = -1
+            for x in sorted((s["first"], s["last"]) for s in spans.as_py() or []):
+                start, stop = x[0], min(x[1] + LENGTH, len(data))
+                if start > end:
+                    if end >= 0:
+                        removed += end - begin
+                    kept.update(data[at:start])
+                    n, begin, end = n + 1, start, stop
+                end = max(end, stop)
+                at = end
+            if end >= 0:
+                removed += end - begin
+            kept.update(data[at:])
+            rows.append((doc, len(data), removed, n, kept.hexdigest()))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     scratch = Scratch(docs.sparkSession, "suffix")
-    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty(F.col("text").cast("string")).alias("text"))
     spans = repeated_strings(texts, scratch).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = left_join_few(texts, "doc_id", scratch.save("spans", spans)).select("doc_id", "text", "spans")
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    spans = scratch.save("spans", spans)
+    scratch.keep("spans")
+    return change_with_few(texts, "doc_id", spans, cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

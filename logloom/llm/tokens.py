@@ -10,6 +10,7 @@ go through the tokenizer whole.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
@@ -17,8 +18,8 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-#: Chunks kept by one worker at most; beyond that the cache starts anew.
-CACHE_WORDS = 900_000
+#: Bytes of chunks and ids that a worker keeps, with what Python adds to each; longer chunks aren't kept.
+CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 32 << 20, 200, 64
 #: Text for which lower-casing and word cutting below equal the tokenizer's own.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xff]*")
 _WORDS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
@@ -30,6 +31,52 @@ _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _VISIBLE)}
 
 
+#: The file settings under which words are cut as above; any other file's texts go through its tokenizer whole.
+PLAIN_SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "added_tokens": ["<|startoftext|>", "<|endoftext|>"],
+    "post_processor": None,
+    "truncation": None,
+}
+
+
+def cuts_plain_words(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer's file has ``PLAIN_SETTINGS`` and a plain BPE model."""
+    file = json.loads(tokenizer.to_str())
+    settings = {**file, "added_tokens": [x["content"] for x in file["added_tokens"]]}
+    model = file["model"]
+    return all(settings.get(k) == v for k, v in PLAIN_SETTINGS.items()) and model["type"] == "BPE" and not model.get("dropout")
+
+
+class RecentCache:
+    """What was met of late, in two generations of half the bytes each."""
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        self.limit, self.size = limit // 2, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.old.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) <= LONGEST_KEPT:
+            self.size += len(key) + len(value) + ENTRY_BYTES
+            if self.size > self.limit:
+                self.old, self.new, self.size = self.new, {}, 0
+            self.new[key] = value
+
+
 class WordTokenizer:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes."""
 
@@ -37,29 +84,34 @@ class WordTokenizer:
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise RuntimeError("ids are kept as native unsigned ints, which must be little-endian 32-bit")
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.cache: dict[str, bytes] = {}
+        self.model, self.cuts_words = self.tokenizer.model, cuts_plain_words(self.tokenizer)
+        self.forget()
+
+    def forget(self) -> None:
+        """Let the cache go; a task does so at its end, as its worker may serve other operators."""
+        self.cache = RecentCache()
 
     def _ids(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False)
         return array("I", found.ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        words = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
-        visible = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS) for w in words]
-        packed = self.cache[chunk] = array("I", [x.id for w in visible for x in self.model.tokenize(w)]).tobytes()
+        packed = self.cache.get(chunk)
+        if packed is None:
+            words = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
+            visible = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS) for w in words]
+            packed = array("I", [x.id for w in visible for x in self.model.tokenize(w)]).tobytes()
+            self.cache.put(chunk, packed)
         return packed
 
     def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or _SPECIAL.search(text):
+        if not self.cuts_words or not _PLAIN.fullmatch(text) or _SPECIAL.search(text):
             return self._ids(text)
-        known, chunk = self.cache.get, self._chunk
-        return b"".join([known(x) or chunk(x) for x in text.lower().split()])
+        cache, chunk = self.cache, self._chunk
+        return b"".join([cache.new.get(x) or chunk(x) for x in text.lower().split()])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def worker_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer for each worker process and file."""
+    """One tokenizer for each worker process."""
     return WordTokenizer(path)
