@@ -102,11 +102,12 @@ class FormCache(dict):
 def maximal_segments(scores: list[tuple[int, float]], drift: float, n: int) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, end, score) of a sparse score sequence.
 
-    ``scores`` holds the places that differ from ``drift`` (negative); the scan is
-    linear: each candidate keeps the running total before and after it, and joins
-    earlier candidates while they start lower and end lower.
+    ``scores`` holds the places that differ from ``drift`` (negative).  Each candidate
+    keeps the running total before and after it, and joins earlier candidates while
+    they start lower and end lower.  It also keeps which candidate before it starts
+    lower, so that those in between are never looked at again: the scan is linear.
     """
-    found: list[tuple[int, int, float, float]] = []  # start, end, total before, total after
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, total before, total after, the last that starts lower
     total, at = 0.0, 0
     for place, score in scores:
         total += (place - at) * drift
@@ -117,13 +118,13 @@ def maximal_segments(scores: list[tuple[int, float]], drift: float, n: int) -> l
         while True:
             k = len(found) - 1
             while k >= 0 and found[k][2] >= low:
-                k -= 1
+                k = found[k][4]
             if k < 0 or found[k][3] >= high:
-                found.append((start, at, low, high))
+                found.append((start, at, low, high, k))
                 break
             start, low = found[k][0], found[k][2]
             del found[k:]
-    return [(a, b, high - low) for a, b, low, high in found]
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 @dataclass(frozen=True)

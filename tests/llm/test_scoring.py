@@ -243,3 +243,9 @@ def test_licenses_across_and_inside_lines(files, spark):
     assert found[4] == ("ISC", "file") and found[5] == ("ISC", "inherited") and found[6] == ("BSD-3-Clause", "file") and found[7] == ("BSD-2-Clause", "file")
     assert found[8] == ("AGPL-3.0-only", "file") and found[9] == ("AGPL-3.0-only", "inherited")
     assert found[10] == (licenses.RESERVED, "header") and found[11] == (None, None) and found[12] == ("MIT", "header")
+
+
+def test_segment_scan_is_linear():
+    """Every candidate of a falling total starts lower than all before it; a scan of them all wouldn't end."""
+    many = [(10 * i, 1.0) for i in range(300_000)]
+    assert len(toxicity.maximal_segments(many, -0.5, 3_000_000)) == 300_000
