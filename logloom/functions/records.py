@@ -11,6 +11,9 @@ INFRASTRUCTURE_BUCKET = "invalid/infrastructure-error"
 #: What providers say when they are asked too often.
 RATE_LIMIT = r"\b429\b|(?i:\btoo many requests\b)|(?i:\brate[\s_-]?limit(?:ed|s)?\b)"
 RETRY_AFTER = r"""(?i)retry[-_ ]?after["'\s:=]+([^"',;)\s]+)"""
+#: What counts as a number of seconds; words like Infinity don't.
+NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+MOST_MS = 9.2e18
 HTTP_DATE = "dd MMM yyyy HH:mm:ss z"
 #: Languages by file name suffix.
 LANGUAGES = {
@@ -30,13 +33,19 @@ def bucket_for(status: Column, error_class: Column | None = None) -> Column:
     return F.coalesce(chosen, F.when(infrastructure, INFRASTRUCTURE_BUCKET).otherwise("failed"))
 
 
+def _seconds_ms(seconds: Column) -> Column:
+    """Milliseconds of a number of seconds, at most what a long holds."""
+    ms = F.floor(seconds * 1000 + 0.5)
+    return F.when(seconds * 1000 >= MOST_MS, F.lit(2**63 - 1)).otherwise(F.when(seconds * 1000 < MOST_MS, ms.cast("long")))
+
+
 def retry_after_ms(value: Column, now_ms: Column) -> Column:
-    """Milliseconds that a Retry-After value asks for: seconds, or an HTTP date."""
-    text = F.trim(value)
-    seconds = text.try_cast("double")
-    number = F.when(seconds >= 0, F.round(seconds * 1000).cast("long"))
+    """Milliseconds that a Retry-After value asks for: a finite number of seconds, or an HTTP date."""
+    text = F.regexp_replace(value, r"^\s+|\s+$", "")
+    seconds = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    finite = F.abs(seconds) < float("inf")
     at = F.unix_millis(F.try_to_timestamp(F.regexp_replace(text, "^[A-Za-z]{3}, ", ""), F.lit(HTTP_DATE)))
-    return F.when(seconds.isNotNull(), number).otherwise(F.when(at.isNotNull(), F.greatest(F.lit(0).cast("long"), at - now_ms)))
+    return F.when(F.coalesce(finite, F.lit(False)), F.when(seconds >= 0, _seconds_ms(seconds))).otherwise(F.when(at.isNotNull(), F.greatest(F.lit(0).cast("long"), at - now_ms)))
 
 
 def is_rate_limit(message: Column) -> Column:
@@ -46,7 +55,8 @@ def is_rate_limit(message: Column) -> Column:
 def message_retry_after_ms(message: Column, now_ms: Column) -> Column:
     """The wait that a rate-limit message states; null for none or another message."""
     stated = F.nullif(F.regexp_extract(message, RETRY_AFTER, 1), F.lit(""))
-    digits = F.nullif(F.regexp_extract(stated, r"^(\d+)", 1), F.lit("")).try_cast("long") * 1000
+    digits = F.nullif(F.regexp_extract(stated, r"^(\d+)", 1), F.lit("")).try_cast("double")
+    digits = F.when(digits < float("inf"), _seconds_ms(digits))
     return F.when(is_rate_limit(message), F.coalesce(retry_after_ms(stated, now_ms), digits))
 
 
@@ -71,10 +81,14 @@ def spill_folder(session_id: Column) -> Column:
 
 
 def safe_name(name: Column) -> Column:
-    """Characters other than letters, digits, dot, dash and underscore as ~ and four hex digits."""
-    plain = lambda c: c.rlike(r"\A[A-Za-z0-9._-]\z")
-    coded = F.transform(F.split(name, ""), lambda c: F.when(plain(c) | (c == ""), c).otherwise(F.concat(F.lit("~"), F.lpad(F.lower(F.hex(F.ascii(c))), 4, "0"))))
-    return F.array_join(coded, "")
+    """A path segment for any text; different texts have different ones.
+
+    Characters other than letters, digits, dot, dash and underscore become ~ and four
+    upper-case hex digits for each UTF-16 unit; so do the dots of "." and "..".  Empty
+    text becomes ~.
+    """
+    coded = F.transform(F.split(name, ""), lambda c: F.when(c.rlike(r"\A[A-Za-z0-9._-]?\z"), c).otherwise(F.regexp_replace(F.hex(F.encode(c, "UTF-16BE")), "(.{4})", "~$1")))
+    return F.when(name == "", "~").when(name.isin(".", ".."), F.regexp_replace(name, r"\.", "~002E")).otherwise(F.array_join(coded, ""))
 
 
 def session_reference(session_id: Column) -> Column:
@@ -124,15 +138,18 @@ def zoned_time(ms: Column, zone: str) -> Column:
 
 
 def encode_ranges(seqs: Column) -> Column:
-    """Runs of three or more as [start, end], others as [value]; lists out of order stay single."""
-    single = F.transform(seqs, lambda x: F.array(x))
-    rising = F.forall(F.sequence(F.lit(1), F.greatest(F.size(seqs) - 1, F.lit(1))), lambda i: (F.size(seqs) < 2) | (F.get(seqs, i) > F.get(seqs, i - 1)))
-    # a value's run is named by value minus place
-    islands = F.transform(seqs, lambda x, i: F.struct((x - i).alias("run"), x.alias("value")))
-    runs = F.array_distinct(F.transform(islands, lambda x: x["run"]))
-    grouped = F.transform(runs, lambda r: F.transform(F.filter(islands, lambda x: x["run"] == r), lambda x: x["value"]))
-    packed = F.flatten(F.transform(grouped, lambda g: F.when(F.size(g) >= 3, F.array(F.array(F.array_min(g), F.array_max(g)))).otherwise(F.transform(g, lambda x: F.array(x)))))
-    return F.when(rising, packed).otherwise(single)
+    """Runs of three or more as [start, end], others as [value]; lists out of order stay single.
+
+    One pass from the left, which keeps the open run and the finished ones.
+    """
+    rising = F.aggregate(seqs, F.struct(F.lit(True).alias("ok"), F.lit(None).cast("long").alias("last")),
+                         lambda s, x: F.struct((s["ok"] & (s["last"].isNull() | (x > s["last"]))).alias("ok"), x.cast("long").alias("last")))["ok"]
+    # places where a run starts; a run goes on to the place before the next one's
+    starts = F.filter(F.sequence(F.lit(0), F.size(seqs) - 1), lambda i: (i == 0) | (F.get(seqs, i) != F.get(seqs, i - 1) + 1))
+    runs = F.arrays_zip(starts.alias("a"), F.concat(F.slice(starts, 2, F.size(seqs)), F.array(F.size(seqs))).alias("b"))
+    packed = F.flatten(F.transform(runs, lambda r: F.when(r["b"] - r["a"] >= 3, F.array(F.array(F.get(seqs, r["a"]), F.get(seqs, r["b"] - 1)))).otherwise(
+        F.transform(F.slice(seqs, r["a"] + 1, r["b"] - r["a"]), lambda x: F.array(x)))))
+    return F.when(F.size(seqs) == 0, F.transform(seqs, lambda x: F.array(x))).when(rising, packed).otherwise(F.transform(seqs, lambda x: F.array(x)))
 
 
 def decode_ranges(ranges: Column) -> Column:

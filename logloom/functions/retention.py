@@ -5,7 +5,9 @@ from __future__ import annotations
 import difflib
 import json
 import math
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -23,30 +25,27 @@ def _room(budget: int) -> int:
     return max(0, budget - BLOCK_OVERHEAD) * CHARS_PER_TOKEN if budget > BLOCK_OVERHEAD else 0
 
 
+def _fitting(texts: list[str], budget: int, part: Callable[[str, int], str]) -> tuple[list[str], int]:
+    """The first texts whose running cost stays within the budget, and ``part`` of the next; and how many are whole."""
+    totals = list(accumulate(map(_cost, texts)))
+    whole = bisect_right(totals, budget)
+    room = _room(budget - (totals[whole - 1] if whole else 0))
+    more = part(texts[whole], room) if whole < len(texts) and room else ""
+    return [*texts[:whole], *([more] if more else [])], whole
+
+
 def head_and_tail(texts: list[str], budget: int) -> tuple[list[str], list[str], int]:
-    """Texts kept from either end, each within half the budget, and omitted bytes."""
-    first, last, cut, head, tail = 0, len(texts) - 1, 0, [], []
-    left = math.ceil(budget / 2)
-    while first <= last and _cost(texts[first]) <= left:
-        head.append(texts[first])
-        left -= _cost(texts[first])
-        first += 1
-    if first <= last and (part := texts[first][: _room(left)]):
-        head.append(part)
-        cut = len(part)
-    left = budget // 2
-    while last >= first:
-        text = texts[last][cut:] if last == first else texts[last]
-        if _cost(text) > left:
-            if size := _room(left):
-                tail.append(text[-size:])
-            break
-        tail.append(text)
-        left -= _cost(text)
-        last -= 1
-    tail.reverse()
+    """Texts kept from either end, each within half the budget, and omitted bytes.
+
+    The tail is chosen as the head is, from what the head leaves, read backwards.
+    """
+    head, whole = _fitting(texts, budget - budget // 2, lambda text, room: text[:room])
+    rest = texts[whole:]
+    if len(head) > whole:
+        rest = [rest[0][len(head[whole]) :], *rest[1:]]
+    tail, _ = _fitting(rest[::-1], budget // 2, lambda text, room: text[-room:])
     size = lambda parts: sum(len(x.encode("utf-8", "surrogatepass")) for x in parts)
-    return head, tail, size(texts) - size(head) - size(tail)
+    return head, tail[::-1], size(texts) - size(head) - size(tail)
 
 
 def retain(texts: Column, budget: int) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from logloom.functions.text import preview
 
-PROMPT_CHARS, RESPONSE_CHARS = 80, 120
+#: Most characters of an outline's previews.
+PROMPT_CHARS, RESPONSE_CHARS = 50, 120
 
 
 def _by_seq(*keys: str) -> Window:
@@ -42,8 +43,10 @@ def session_stats(log: DataFrame) -> DataFrame:
     Reads turn, step, time, call_id, first_token_time and output_tokens.  A message
     counts for the open step if turn and step agree; the first one closes it.  The
     first token of an earlier attempt wins.  A result counts against the latest call of
-    its id in the same turn, once.  Negative spans count 0.
+    its id in the same turn, once.  Negative spans count 0; negative token numbers are
+    none.
     """
+    log = log.withColumn("output_tokens", F.when(F.col("output_tokens") >= 0, F.col("output_tokens")))
     marks = log.withColumn("opened", F.last(F.when(_is("step/start"), F.struct("seq", "turn", "step", "time")), ignorenulls=True).over(_up_to_now()))
     marks = marks.withColumn("epoch", F.col("opened.seq")).withColumn("calls", F.sum(_is("turn/end").cast("int")).over(_up_to_now()))
     ends = F.coalesce(F.sum(_is("step/end").cast("int")).over(_before("epoch")), F.lit(0))
@@ -142,15 +145,30 @@ def open_step_provider(log: DataFrame) -> DataFrame:
 
 
 def subagent_timing(log: DataFrame) -> DataFrame:
-    """Settled time over turns since the last descriptor, the open turn's start, and whether the last turn ended."""
-    last = F.max(F.when(_is("subagent/descriptor"), F.col("seq"))).over(Window.partitionBy("session_id"))
-    since = log.withColumn("from", last).filter(F.col("seq") > F.col("from")).filter(_is("turn/start", "turn/end"))
-    before = F.lag(F.struct("type", "time")).over(_by_seq())
-    spans = since.withColumn("span", F.when(_is("turn/end") & (before["type"] == "turn/start"), _floor0(F.col("time") - before["time"])))
-    state = F.max_by("type", "seq")
-    return spans.groupBy("session_id").agg(
-        F.coalesce(F.sum("span"), F.lit(0)).cast("long").alias("settled_ms"), F.when(state == "turn/start", F.max_by("time", "seq")).alias("open_since"), (state == "turn/end").alias("completed")
-    )
+    """Settled time since the last descriptor, the open turn, and how the last turn ended.
+
+    Reads time and, of turn ends, reason.  A turn that was open at the descriptor
+    counts from its own start.  Returns every session: settled_ms (0 without a
+    descriptor), open_since and open_through (the session's last event; null without an open turn),
+    completed (whether the last ended turn's reason was completion; null while a turn
+    is open or before one ended).
+    """
+    rows = log.withColumn("from", F.max(F.when(_is("subagent/descriptor"), F.col("seq"))).over(Window.partitionBy("session_id")))
+    turns = rows.filter(_is("turn/start", "turn/end") & F.col("from").isNotNull())
+    before, after = F.lag(F.struct("type", "time")).over(_by_seq()), F.lead("seq").over(_by_seq())
+    turns = turns.withColumn("before", before).withColumn("after", after)
+    # a start counts behind the descriptor, or open at it; an end only of an open turn
+    opens = _is("turn/start") & ((F.col("seq") > F.col("from")) | F.coalesce(F.col("after") > F.col("from"), F.lit(True)))
+    closes = _is("turn/end") & (F.col("seq") > F.col("from")) & F.coalesce(F.col("before.type") == "turn/start", F.lit(False))
+    done = F.coalesce(F.col("reason") == "completed", F.lit(False))
+    marks = turns.filter(opens | closes).select("session_id", "seq", F.struct(_is("turn/start").alias("open"), "time", done.alias("done")).alias("mark"), F.when(_is("turn/end"), _floor0(F.col("time") - F.col("before.time"))).alias("span"))
+    folded = marks.groupBy("session_id").agg(F.sum("span").alias("settled"), F.max_by("mark", "seq").alias("mark"))
+    sessions = log.groupBy("session_id").agg(F.max_by("time", "seq").alias("through"))
+    is_open = F.coalesce(F.col("mark.open"), F.lit(False))
+    return sessions.join(folded, "session_id", "left").select(
+        "session_id", F.coalesce("settled", F.lit(0)).cast("long").alias("settled_ms"), F.when(is_open, F.col("mark.time")).alias("open_since"),
+        F.when(is_open, F.col("through")).alias("open_through"), F.when(~is_open, F.col("mark.done")).alias("completed"),
+    )
 
 
 def child_catalog(log: DataFrame) -> DataFrame:

@@ -19,29 +19,44 @@ class CorruptSurface(ValueError):
 
 
 def fold_session(frame: pd.DataFrame) -> pd.DataFrame:
-    """One session: surface (current, shadowed, log-only), place, replacement, token delta."""
+    """One session: surface (current, shadowed, log-only), place, replacement, token delta.
+
+    Current events are linked to their neighbours.  A replacement walks its range once
+    and takes it out, so the fold is linear in the session.
+    """
     frame = frame.sort_values("seq")
-    nodes: list[int] = []
+    after: dict[int | None, int | None] = {None: None}  # None stands before the first and behind the last
+    before: dict[int | None, int | None] = {None: None}
     tokens: dict[int, int] = {}
     shadowed: dict[int, int] = {}
     deltas: dict[int, int] = {}
     for seq, op, start, end, cost in zip(frame["seq"], frame["surface_op"], frame["start_seq"], frame["end_seq"], frame["tokens"]):
         seq, cost = int(seq), 0 if pd.isna(cost) else int(cost)
         if op == "append":
-            nodes.append(seq)
-            deltas[seq] = cost
+            left, right, deltas[seq] = before[None], None, cost
         elif op == "replace":
-            if start not in nodes or end not in nodes or nodes.index(start) > nodes.index(end):
+            gone, at = [], None if pd.isna(start) else int(start)
+            while at in after and at is not None:
+                gone.append(at)
+                if at == end:
+                    break
+                at = after[at]
+            if not gone or gone[-1] != end:
                 raise CorruptSurface(f"session {frame['session_id'].iloc[0]}: replacement at {seq} has no current range {start}-{end}")
-            a, b = nodes.index(start), nodes.index(end) + 1
-            gone = nodes[a:b]
-            shadowed.update(dict.fromkeys(gone, seq))
+            left, right = before[gone[0]], after[gone[-1]]
+            for x in gone:
+                del after[x], before[x]
+                shadowed[x] = seq
             deltas[seq] = cost - sum(tokens[x] for x in gone)
-            nodes[a:b] = [seq]
         else:
             continue
-        tokens[seq] = cost
-    place = {seq: i for i, seq in enumerate(nodes)}
+        after[left] = before[right] = seq
+        after[seq], before[seq], tokens[seq] = right, left, cost
+    place: dict[int, int] = {}
+    at = after[None]
+    while at is not None:
+        place[at] = len(place)
+        at = after[at]
     seqs = [int(x) for x in frame["seq"]]
     return pd.DataFrame({
         "session_id": frame["session_id"].to_numpy(), "seq": seqs,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -202,7 +203,7 @@ def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT conv_id AS session_id, 0::BIGINT AS turn, 0::BIGINT AS seq,
-  coalesce(CASE WHEN length(p) > 79 THEN rtrim(substr(p, 1, 79)) || '…' ELSE p END, '') AS prompt, coalesce(CASE WHEN length(a) > 119 THEN rtrim(substr(a, 1, 119)) || '…' ELSE a END, '') AS response
+  coalesce(CASE WHEN length(p) > 49 THEN rtrim(substr(p, 1, 49)) || '…' ELSE p END, '') AS prompt, coalesce(CASE WHEN length(a) > 119 THEN rtrim(substr(a, 1, 119)) || '…' ELSE a END, '') AS response
 FROM (SELECT conv_id, min_by(t, turn) FILTER (WHERE role = 'user' AND t <> '') AS p, max_by(t, turn) FILTER (WHERE role = 'assistant' AND t <> '') AS a
   FROM (SELECT conv_id, turn, role, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM conversations) GROUP BY conv_id)""")
 def turn_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,15 +238,18 @@ def open_step_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.open_step_provider(log.withColumn("type", F.when(F.col("type") == "tool/call", "request/header").otherwise(F.col("type"))))
 
 
-@query("""WITH {LOG}, d AS (SELECT session_id, max(seq) AS f FROM elog WHERE type = 'turn/end' GROUP BY session_id),
- s AS (SELECT e.*, lag(type) OVER w AS pt, lag(time) OVER w AS ptime FROM elog e JOIN d USING (session_id) WHERE seq > f AND type IN ('step/start', 'step/end') WINDOW w AS (PARTITION BY e.session_id ORDER BY seq))
- SELECT session_id, coalesce(sum(greatest(0, time - ptime)) FILTER (WHERE type = 'step/end' AND pt = 'step/start'), 0)::BIGINT AS settled_ms, CASE WHEN max_by(type, seq) = 'step/start' THEN max_by(time, seq) END AS open_since,
- max_by(type, seq) = 'step/end' AS completed FROM s GROUP BY session_id""")
+@query("""WITH {LOG}, r AS (SELECT session_id, seq, time, CASE type WHEN 'turn/end' THEN 'D' WHEN 'step/start' THEN 'S' WHEN 'step/end' THEN 'E' END AS k, event_id % 4 <> 0 AS ok FROM elog),
+ d AS (SELECT session_id, max(seq) FILTER (WHERE k = 'D') AS f, max_by(time, seq) AS latest FROM r GROUP BY session_id),
+ t AS (SELECT *, lag(k) OVER w AS pk, lag(time) OVER w AS pt, lead(seq) OVER w AS ns FROM r JOIN d USING (session_id) WHERE k IN ('S', 'E') WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
+ u AS (SELECT * FROM t WHERE f IS NOT NULL AND (k = 'S' AND (seq > f OR ns IS NULL OR ns > f) OR k = 'E' AND seq > f AND pk = 'S'))
+ SELECT d.session_id, coalesce(sum(greatest(0, time - pt)) FILTER (WHERE k = 'E'), 0)::BIGINT AS settled_ms, CASE WHEN max_by(k, seq) = 'S' THEN max_by(time, seq) END AS open_since,
+ CASE WHEN max_by(k, seq) = 'S' THEN max(d.latest) END AS open_through, CASE WHEN max_by(k, seq) = 'E' THEN max_by(ok, seq) END AS completed FROM d LEFT JOIN u USING (session_id) GROUP BY d.session_id""")
 def subagent_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {"turn/end": "subagent/descriptor", "step/start": "turn/start", "step/end": "turn/end"}
     kind = F.col("type")
     renamed = F.coalesce(F.create_map(*(F.lit(x) for p in names.items() for x in p))[kind], kind)
-    return folds.subagent_timing(event_log(spark, sf_dir).withColumn("type", renamed))
+    log = event_log(spark, sf_dir).withColumn("type", renamed).withColumn("reason", F.when(F.col("event_id") % 4 != 0, "completed").otherwise("aborted"))
+    return folds.subagent_timing(log)
 
 
 @query("""WITH {LOG}, w AS (SELECT session_id, call_id AS index, seq // 40 AS m, * EXCLUDE (session_id, call_id) FROM elog)
@@ -392,12 +396,15 @@ def task_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", records.bucket_for(status, F.when(F.col("o_orderstatus") == "F", "infrastructure").otherwise("agent")).alias("bucket"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN CAST(round(floor(value) * 1000) AS BIGINT) ELSE greatest(0, 1704067200000 + event_id % 28 * 86400000 - 1705276800000) END AS wait_ms FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 8 = 1 THEN CAST(round(floor(value) * 1000) AS BIGINT) WHEN event_id % 8 = 2 THEN 9223372036854775807
+ WHEN event_id % 8 = 6 THEN 1500 WHEN event_id % 8 = 7 THEN greatest(0, 1704067200000 + event_id % 28 * 86400000 - 1705276800000) END AS wait_ms FROM events""")
 def rate_limit_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") % 28 * 86400), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
-    stated = F.when(F.col("event_id") % 3 == 1, F.floor("value").cast("string")).otherwise(day)
-    wait = records.retry_after_ms(F.when(F.col("event_id") % 3 != 0, stated), F.lit(1705276800000))
-    return table(spark, sf_dir, "events").select("event_id", wait.cast("long").alias("wait_ms"))
+    forms = {1: F.floor("value").cast("string"), 2: "1e300", 3: "Infinity", 4: "NaN", 5: "-5", 6: " 1.5\t", 7: day}
+    stated = F.lit(None).cast("string")
+    for rest, form in forms.items():
+        stated = F.when(F.col("event_id") % 8 == rest, form).otherwise(stated)
+    return table(spark, sf_dir, "events").select("event_id", records.retry_after_ms(stated, F.lit(1705276800000)).alias("wait_ms"))
 
 
 @query("""SELECT event_id, event_id % 2 = 0 AS limited, CASE WHEN event_id % 2 = 0 THEN CAST(floor(value) AS BIGINT) * 1000 END AS wait_ms FROM events""")
@@ -412,9 +419,14 @@ def blob_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", key.alias("key"), records.blob_shard(key).alias("shard"), F.octet_length("text").cast("long").alias("bytes"), records.spill_folder(F.col("source")).alias("folder"))
 
 
-@query("""SELECT p_partkey, replace(replace(p_brand, '#', '~0023'), ' ', '~0020') AS name FROM part""")
+@query("""SELECT p_partkey, CASE p_size WHEN 1 THEN '~' WHEN 2 THEN '~002E' WHEN 3 THEN '~002E~002E' ELSE
+ array_to_string(list_transform(string_split(p_brand || '/~é' || chr(128500 + p_size) || p_name, ''), lambda c: CASE WHEN regexp_full_match(c, '[A-Za-z0-9._-]') THEN c
+ WHEN ord(c) < 65536 THEN printf('~%04X', ord(c)) ELSE printf('~%04X~%04X', 55296 + (ord(c) - 65536) // 1024, 56320 + (ord(c) - 65536) % 1024) END), '') END AS name FROM part""")
 def spill_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", records.safe_name(F.col("p_brand")).alias("name"))
+    symbols = F.create_map(*(x for k in range(51) for x in (F.lit(k), F.lit(chr(128500 + k)))))
+    name = F.concat("p_brand", F.lit("/~é"), symbols[F.col("p_size").cast("int")], "p_name")
+    name = F.when(F.col("p_size") == 1, "").when(F.col("p_size") == 2, ".").when(F.col("p_size") == 3, "..").otherwise(name)
+    return table(spark, sf_dir, "part").select("p_partkey", records.safe_name(name).alias("name"))
 
 
 @query("""SELECT c_custkey, 'session:' || replace(replace(rtrim(to_base64(encode('"' || c_name || '"')), '='), '+', '-'), '/', '_') AS uri, c_name AS back FROM customer""")
@@ -455,27 +467,36 @@ def keyed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.latest(changes)
 
 
-@query("""SELECT bucket, count(*) AS tasks, sum(price)::BIGINT AS price FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'success' ELSE 'invalid_unknown' END AS bucket, o_orderkey AS price FROM
- (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS nth FROM orders) WHERE nth = 1) GROUP BY bucket""")
+@query("""WITH o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'success' ELSE 'invalid_unknown' END AS bucket FROM orders),
+ a AS (SELECT o_custkey, max(o_orderkey) AS k FROM o GROUP BY 1), b AS (SELECT o_custkey, max(o_orderkey) AS k FROM o WHERE o_orderkey % 3 <> 0 GROUP BY 1),
+ l AS (SELECT a.o_custkey, b.k IS NOT NULL AS again, coalesce(b.k, a.k) AS k FROM a LEFT JOIN b USING (o_custkey))
+ SELECT CASE WHEN NOT again AND k % 2 = 0 THEN 'abandoned' ELSE bucket END AS bucket, count(*) AS tasks, sum(k)::BIGINT AS price FROM l JOIN o ON o.o_orderkey = l.k GROUP BY 1""")
 def dataset_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "FAILED").when(F.col("o_orderstatus") == "O", "SUCCESS").otherwise("UNKNOWN")
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("task_id"), status.alias("status"), F.lit(None).cast("string").alias("error_class"), F.col("o_orderkey").alias("finished_at"), F.lit(1).alias("attempts"), F.col("o_orderkey").alias("price"))
-    root = f"{work_folder(spark)}/dataset-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
-    tables.write_tasks(rows, root)
-    return spark.read.parquet(f"{root}/tasks").groupBy(F.col("bucket").cast("string").alias("bucket")).agg(F.count(F.lit(1)).alias("tasks"), F.sum("price").alias("price"))
-
-
-@query("""WITH b AS (SELECT conv_id AS session_id, turn, rank, row_number() OVER (PARTITION BY conv_id ORDER BY turn, rank) - 1 AS seq, role FROM
- (SELECT conv_id, turn, role, 1 AS rank FROM conversations UNION ALL SELECT conv_id, turn, 'system', 0 FROM conversations WHERE turn % 3 = 0))
- SELECT session_id, seq, CASE WHEN rank = 0 THEN 'system/message' WHEN turn % 3 = 0 THEN 'request/header' ELSE role || '/message' END AS type,
- CASE WHEN rank = 1 AND turn > 0 THEN (SELECT x.seq FROM b x WHERE x.session_id = b.session_id AND x.turn = b.turn - 1 AND x.rank = 1) END AS cited FROM b""")
+    root = f"{work_folder(spark)}/dataset-{uuid.uuid4().hex}"
+    # two calls: what the second doesn't bring stays, what it brings leaves its earlier bucket
+    tables.write_tasks(rows.withColumn("status", F.when(F.col("price") % 2 == 0, "ABANDONED").otherwise(F.col("status"))), root)
+    tables.write_tasks(rows.filter("price % 3 <> 0"), root)
+    return tables.read_tasks(spark, root).groupBy("bucket").agg(F.count(F.lit(1)).alias("tasks"), F.sum("price").alias("price"))
+
+
+@query("""WITH h AS (SELECT conv_id, turn, p, coalesce(lag(p) OVER (PARTITION BY conv_id ORDER BY turn), '') AS q FROM (SELECT conv_id, turn, 'say ' || (turn // 12) AS p FROM conversations WHERE turn % 6 = 3)),
+ f AS (SELECT conv_id, min(turn) AS turn FROM conversations WHERE turn % 6 = 0 GROUP BY conv_id),
+ b AS (SELECT conv_id AS session_id, turn, rank, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, rank) - 1 AS seq FROM
+ (SELECT conv_id, turn, role, text, 1 AS rank FROM conversations UNION ALL SELECT conv_id, turn, 'system', p, 0 FROM h WHERE p <> q UNION ALL SELECT conv_id, turn, 'system', '', 2 FROM f))
+ SELECT session_id, seq, CASE WHEN rank <> 1 THEN 'system/message' WHEN turn % 6 = 0 THEN 'step/start' WHEN turn % 6 = 3 THEN 'request/header' ELSE role || '/message' END AS type, text,
+ CASE WHEN rank <> 1 THEN 'system-prompt' WHEN turn % 4 = 0 THEN 'user' WHEN turn % 4 = 1 THEN 'compact-checkpoint' WHEN turn % 4 = 2 THEN 'goal' ELSE 'plugin:mine' END AS source_kind, CASE WHEN turn % 2 = 0 THEN 'ptc' ELSE 'other' END AS preset,
+ CASE WHEN rank <> 1 THEN (SELECT max(x.seq) FROM b x WHERE x.session_id = b.session_id AND x.rank <> 1 AND x.seq < b.seq) WHEN turn > 0 THEN (SELECT x.seq FROM b x WHERE x.session_id = b.session_id AND x.turn = b.turn - 1 AND x.rank = 1) END AS cited FROM b""")
 def migrated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = conversation_log(spark, sf_dir)
+    log, seq = conversation_log(spark, sf_dir), F.col("seq")
+    kind = F.when(seq % 6 == 0, "step/start").when(seq % 6 == 3, "request/header").otherwise(F.col("type"))
     old = log.select(
-        "session_id", "seq", F.when(F.col("seq") % 3 == 0, "request/header").otherwise(F.col("type")).alias("type"), "text", F.when(F.col("seq") % 3 == 0, "be brief").alias("system_text"),
-        F.when(F.col("seq") > 0, F.array(F.col("seq") - 1)).otherwise(F.array().cast("array<bigint>")).alias("source_event_seqs"), F.lit("default").alias("preset"), F.lit("skill").alias("source_kind"), F.lit(None).cast("boolean").alias("ignorable"),
+        "session_id", "seq", kind.alias("type"), "text", F.when(seq % 6 == 3, F.concat(F.lit("say "), F.floor(seq / 12).cast("string"))).alias("system_text"),
+        F.when(seq > 0, F.array(seq - 1)).otherwise(F.array()).cast("array<bigint>").alias("source_event_seqs"), F.when(seq % 2 == 0, "code").otherwise("other").alias("preset"),
+        F.when(seq % 4 == 0, "user").otherwise("plugin").alias("source_kind"), F.when(seq % 4 == 1, "compact").when(seq % 4 == 2, "goal").when(seq % 4 == 3, "mine").alias("plugin"), F.lit(None).cast("boolean").alias("ignorable"),
     )
-    return migration.migrate(old, 0).select("session_id", "seq", "type", F.get("source_event_seqs", 0).alias("cited"))
+    return migration.migrate(old, 0).select("session_id", "seq", "type", "text", "source_kind", "preset", F.get("source_event_seqs", 0).alias("cited"))
 
 
 @query("""WITH {LOG}, a AS (SELECT *, sum(CASE WHEN type = 'turn/end' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY seq) AS calls FROM elog),

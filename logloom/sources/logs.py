@@ -17,6 +17,8 @@ EVENT = (
     "session_id string, seq long, type string, time long, ignorable boolean, surface_op string, start_seq long, end_seq long,"
     " source_event_seqs array<long>, turn long, step long, data string"
 )
+#: Bytes of a log file that are given to the decompressor at once.
+FEED_BYTES = 1 << 16
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 
 
@@ -52,15 +54,18 @@ def scan_frames(content: bytes, max_frames: int | None = None) -> tuple[list[byt
     while at < len(content) and (max_frames is None or len(found) < max_frames):
         if content[at : at + 4] != FRAME_MAGIC[: len(content) - at]:
             raise BrokenLog(f"no frame at byte {at}")
-        engine = zstandard.ZstdDecompressor().decompressobj()
+        # a frame is fed in parts, so that what stands behind it is never copied
+        engine, parts, end = zstandard.ZstdDecompressor().decompressobj(), [], at
         try:
-            data = engine.decompress(content[at:])
+            while not engine.eof and end < len(content):
+                parts.append(engine.decompress(content[end : end + FEED_BYTES]))
+                end = min(end + FEED_BYTES, len(content))
         except zstandard.ZstdError as error:
             raise BrokenLog(f"bad frame at byte {at}") from error
         if not engine.eof:
             return found, at
-        found.append(data)
-        at = len(content) - len(engine.unused_data)
+        found.append(b"".join(parts))
+        at = end - len(engine.unused_data)
     return found, None
 
 
@@ -97,7 +102,7 @@ def read_framed_log(spark: SparkSession, path: str, schema: str = EVENT, recover
                 if torn is not None and recover:
                     frames.append(recover_prefix(content[torn:]))
                 for frame in filter(None, frames):
-                    yield pd.DataFrame({"value": frame.decode().splitlines()})
+                    yield pd.DataFrame({"value": [x.decode() for x in frame.split(b"\n") if x.strip()]})
 
     text = files.select("content").mapInPandas(lines, "value string")
     return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")

@@ -11,9 +11,11 @@ _own: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder; a temporary one only where the session names none."""
+    """The shared folder; a temporary one only on one machine where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="logloom-work-"))
     return f"{named.rstrip('/')}/logloom-work"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +45,21 @@ def load_documents(spark: SparkSession, folder: str, versions: list[int]) -> Dat
 
 
 def write_tasks(tasks: DataFrame, root: str) -> None:
-    """Tasks in a folder for each bucket; a task stands in its latest bucket alone."""
+    """Append tasks to their buckets' folders; earlier calls' tasks stay until they come again.
+
+    Nothing is rewritten: ``read_tasks`` takes each task's last version, so a task
+    stands in its latest bucket alone.  Of one call's rows the last finished counts.
+    """
     last = Window.partitionBy("task_id").orderBy(F.desc("finished_at"), F.desc("attempts"))
     newest = tasks.withColumn("nth", F.row_number().over(last)).filter("nth = 1").drop("nth")
     bucket = F.regexp_replace(bucket_for(F.col("status"), F.col("error_class")), "/", "_")
-    newest.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/tasks")
+    newest.withColumn("written_ns", F.lit(time.time_ns())).withColumn("bucket", bucket).write.mode("append").partitionBy("bucket").parquet(f"{root}/tasks")
+
+
+def read_tasks(spark: SparkSession, root: str) -> DataFrame:
+    """Every task as last written, with its bucket."""
+    rows = spark.read.parquet(f"{root}/tasks").withColumn("bucket", F.col("bucket").cast("string"))
+    return rows.groupBy("task_id").agg(F.max_by(F.struct(*rows.columns), "written_ns").alias("row")).select("row.*").drop("written_ns")
 
 
 def write_attempts(attempts: DataFrame, root: str) -> None:
@@ -60,8 +72,9 @@ def append_index(entries: DataFrame, root: str) -> None:
 
 
 def read_index(spark: SparkSession, root: str) -> DataFrame:
-    """All index lines; blank ones are skipped."""
-    return spark.read.schema(INDEX).json(f"{root}/index").filter(F.col("task_id").isNotNull())
+    """All index lines; blank ones are skipped, a malformed one fails the query."""
+    lines = spark.read.text(f"{root}/index").filter(F.trim("value") != "")
+    return lines.select(F.from_json("value", INDEX, {"mode": "FAILFAST"}).alias("entry")).select("entry.*")
 
 
 def put_blobs(blobs: DataFrame, root: str) -> DataFrame:

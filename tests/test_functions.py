@@ -90,14 +90,20 @@ def test_waits_and_buckets(spark):
     now = F.lit(1705276800000)
     values = ["3", " 2.5 ", "-1", "Mon, 15 Jan 2024 00:00:10 GMT", "Sun, 14 Jan 2024 00:00:00 GMT", "soon", "", None]
     assert run(spark, values, lambda c: records.retry_after_ms(c, now)) == [3000, 2500, None, 10000, 0, None, None, None]
+    odd = ["Infinity", "NaN", "1e300", "9" * 400, "1d", "\t4\n"]
+    assert run(spark, odd, lambda c: records.retry_after_ms(c, now)) == [None, None, 2**63 - 1, None, None, 4000]
     messages = ["429 Too Many Requests; retry-after: 7", "rate_limited", "status 4290, retry-after: 7", "Rate limit: Retry_After=5s"]
     assert run(spark, messages, lambda c: records.message_retry_after_ms(c, now)) == [7000, None, None, 5000]
+    odd = ["429, Retry-After: Infinity", "429, Retry-After: " + "9" * 30 + "s"]
+    assert run(spark, odd, lambda c: records.message_retry_after_ms(c, now)) == [None, 2**63 - 1]
     assert run(spark, messages, records.is_rate_limit) == [True, True, False, True]
     assert run(spark, ["SUCCESS", "TIMEOUT", "UNKNOWN", "ERROR"], lambda c: records.bucket_for(c, F.lit("infrastructure"))) == ["success", "failed", "invalid/unknown", "invalid/infrastructure-error"]
 
 
 def test_names_references_and_times(spark):
-    assert run(spark, ["a b/é", "ok-1_.x"], records.safe_name) == ["a~0020b~002f~00e9", "ok-1_.x"]
+    assert run(spark, ["a b/é", "ok-1_.x"], records.safe_name) == ["a~0020b~002F~00E9", "ok-1_.x"]
+    names = ["", ".", "..", "~", "\U0001f600", "\U0001f601", "...", None]
+    assert run(spark, names, records.safe_name) == ["~", "~002E", "~002E~002E", "~007E", "~D83D~DE00", "~D83D~DE01", "...", None]
     ids = ["s", 'q"\\é', "longer id with spaces", "\U0001f600"]
     assert run(spark, ids, lambda c: records.referenced_session(records.session_reference(c))) == ids
     assert run(spark, ["session:InMi", "session:InMi=", "other", "session:!"], records.referenced_session) == ["s", None, None, None]

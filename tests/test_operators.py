@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from logloom.functions import records
 from logloom.operators import filters, folds, lineage, migration, search, surface, timeline, validation
 from logloom.streaming.folds import apply_events
 
@@ -157,9 +158,53 @@ def test_validation(spark):
 
 
 def test_migration(spark):
-    rows = [("s", 0, "request/header", None, "be brief", [], "default", "skill", None), ("s", 1, "user/message", "hi", None, [0], "default", "user", None), ("s", 2, "request/header", None, "more", [1], "other", None, True)]
-    old = spark.createDataFrame(rows, "session_id string, seq long, type string, text string, system_text string, source_event_seqs array<bigint>, preset string, source_kind string, ignorable boolean")
-    got = [(r["seq"], r["type"], r["source_event_seqs"], r["preset"]) for r in migration.migrate(old, 0).orderBy("seq").collect()]
-    assert got == [(0, "system/message", [], "standard"), (1, "request/header", [], "standard"), (2, "user/message", [1], "standard"), (3, "system/message", [], "other"), (4, "request/header", [2], "other")]
+    schema = "session_id string, seq long, type string, text string, system_text string, source_event_seqs array<bigint>, preset string, source_kind string, plugin string, ignorable boolean"
+    rows = [
+        ("s", 0, "turn/start", None, None, [], "code", "user", None, None), ("s", 1, "step/start", None, None, [], "code", None, None, None), ("s", 2, "request/header", None, "be brief", [1], "code", None, None, None),
+        ("s", 3, "user/message", "hi", None, [2], "code", "plugin", "compact", None), ("s", 4, "request/header", None, "be brief", [3], "other", "plugin", "mine", True), ("s", 5, "request/header", None, None, [0, 4], "other", "plugin", "goal", None),
+    ]
+    old = spark.createDataFrame(rows, schema)
+    got = [(r["seq"], r["type"], r["text"], r["source_event_seqs"], r["preset"], r["source_kind"]) for r in migration.migrate(old, 0).orderBy("seq").collect()]
+    assert got == [
+        (0, "turn/start", None, [], "ptc", "user"), (1, "step/start", None, [], "ptc", None), (2, "system/message", "", [], "ptc", "system-prompt"), (3, "system/message", "be brief", [2], "ptc", "system-prompt"),
+        (4, "request/header", None, [1], "ptc", None), (5, "user/message", "hi", [4], "ptc", "compact-checkpoint"), (6, "request/header", None, [5], "other", "plugin:mine"),
+        (7, "system/message", "", [3], "other", "system-prompt"), (8, "request/header", None, [0, 6], "other", "goal"),
+    ]
     with pytest.raises(Exception, match="bad citation"):
-        migration.migrate(old.withColumn("source_event_seqs", F.array(F.lit(5).cast("long"))), 1).collect()
+        migration.migrate(old.withColumn("source_event_seqs", F.array(F.lit(9).cast("long"))), 1).collect()
+    with pytest.raises(Exception, match="outside a step"):
+        migration.insert_system_messages(old.filter("seq <> 1").withColumn("source_event_seqs", F.array().cast("array<bigint>"))).collect()
+
+
+def replayed_timing(events):
+    """The timing of one session, event by event."""
+    seen, settled, pending, since, completed = False, 0, None, None, None
+    for kind, time, reason in events:
+        if kind == "turn/start":
+            completed = None
+            since, pending = (time, pending) if seen else (since, time)
+        elif kind == "subagent/descriptor":
+            since = since if since is not None else pending
+            seen, settled, pending, completed = True, 0, None, None
+        elif kind == "turn/end":
+            if not seen:
+                pending = None
+            elif since is not None:
+                settled, since, completed = settled + max(0, time - since), None, reason == "completed"
+    return settled, since, events[-1][1] if since is not None else None, completed
+
+
+def test_subagent_timing_equals_a_replay(spark):
+    draw, rows, expected = random.Random(5), [], {}
+    for session in range(60):
+        events = [(draw.choice(["turn/start", "turn/end", "user/message", "turn/start", "turn/end", "subagent/descriptor"]), draw.randrange(1000), draw.choice(["completed", "aborted", None])) for _ in range(draw.randrange(1, 14))]
+        expected[session] = replayed_timing(events)
+        rows += [(session, seq, *e) for seq, e in enumerate(events)]
+    log = spark.createDataFrame(rows, "session_id long, seq long, type string, time long, reason string")
+    assert {r[0]: tuple(r)[1:] for r in folds.subagent_timing(log).collect()} == expected
+
+
+def test_runs_of_sequences(spark):
+    lists = [[], [4], [1, 2], [1, 2, 3], [1, 2, 3, 5, 6, 9, 10, 11, 12], [3, 2, 1], [1, 1, 2, 3], list(range(20000))]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<bigint>").select("i", records.encode_ranges(F.col("x")).alias("r")).orderBy("i").collect()
+    assert [r["r"] for r in got] == [[], [[4]], [[1], [2]], [[1, 3]], [[1, 3], [5], [6], [9, 12]], [[3], [2], [1]], [[1], [1], [2], [3]], [[0, 19999]]]

@@ -52,7 +52,9 @@ def test_dataset_and_blobs(spark, tmp_path):
     root = str(tmp_path / "set")
     tasks = spark.createDataFrame([("t", "FAILED", None, 1, 1), ("t", "SUCCESS", None, 2, 2), ("u", "ERROR", "infrastructure", 1, 1)], "task_id string, status string, error_class string, finished_at long, attempts int")
     tables.write_tasks(tasks, root)
-    assert {(r["task_id"], r["bucket"]) for r in spark.read.parquet(f"{root}/tasks").collect()} == {("t", "success"), ("u", "invalid_infrastructure-error")}
+    assert {(r["task_id"], r["bucket"]) for r in tables.read_tasks(spark, root).collect()} == {("t", "success"), ("u", "invalid_infrastructure-error")}
+    tables.write_tasks(tasks.filter("task_id = 't'").withColumn("status", F.lit("TIMEOUT")), root)
+    assert {(r["task_id"], r["bucket"]) for r in tables.read_tasks(spark, root).collect()} == {("t", "failed"), ("u", "invalid_infrastructure-error")}
     blobs = spark.createDataFrame([(b"x",), (b"x",), (b"yy",)], "content binary")
     keys = tables.put_blobs(blobs, root)
     assert sorted(r["bytes"] for r in keys.collect()) == [1, 2]
@@ -60,6 +62,11 @@ def test_dataset_and_blobs(spark, tmp_path):
     entry = spark.createDataFrame([("t", "SUCCESS", 1)], "task_id string, status string, attempts int")
     tables.append_index(entry, root)
     assert tables.read_index(spark, root).select("task_id").first()[0] == "t"
+    (tmp_path / "set" / "index" / "more.json").write_text('\n  \n{"task_id":"u"}\n')
+    assert {r["task_id"] for r in tables.read_index(spark, root).collect()} == {"t", "u"}
+    (tmp_path / "set" / "index" / "bad.json").write_text('{"task_id":\n')
+    with pytest.raises(Exception):
+        tables.read_index(spark, root).collect()
 
 
 def test_entry_runs(spark):
