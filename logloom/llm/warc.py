@@ -215,11 +215,10 @@ RECORDS = "record_id string, record_type string, target_uri string, payload_byte
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample; empty where the sample is too small."""
-    sample = (
-        pages.select("page_id", "html").filter((F.octet_length("html") > 0) & (F.octet_length("html") <= DICTIONARY_PAGE_BYTES))
-        .orderBy(F.xxhash64("page_id"), "page_id").limit(DICTIONARY_PAGES)
-    )
-    texts = [row["html"].encode() for row in sample.collect()]
+    short = pages.select("page_id", "html").filter((F.octet_length("html") > 0) & (F.octet_length("html") <= DICTIONARY_PAGE_BYTES))
+    # ids first: of every partition only numbers compete, and no text but the sample's is sent
+    chosen = [row["page_id"] for row in short.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(DICTIONARY_PAGES).collect()]
+    texts = [row["html"].encode() for row in short.filter(F.col("page_id").isin(chosen)).select("html").limit(DICTIONARY_PAGES).collect()] if chosen else []
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes() if len(texts) >= 8 else b""
     except zstandard.ZstdError:
