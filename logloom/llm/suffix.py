@@ -252,18 +252,24 @@ def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
     frequent = scratch.save("frequent", frequent_grams(texts))
     some = not frequent.isEmpty()
     parsed = parse(texts, bloom_filter(frequent) if some else None)
-    parsed = parsed.withColumn("deal", F.when(F.col("hot"), F.col("phrase")).otherwise(F.lit(0)))
+    # a hot phrase's occurrences are dealt by document too; the firsts of all deals meet below
+    deal = F.xxhash64("phrase", F.pmod(F.xxhash64("doc_id"), F.lit(tasks_for(texts.sparkSession))))
+    parsed = parsed.withColumn("deal", F.when(F.col("hot"), deal).otherwise(F.lit(0)))
     by_gram = Window.partitionBy("gram", "deal")
     order = Window.partitionBy("gram", "deal", "phrase").orderBy("doc_id", "place")
     parsed = parsed.withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram)).withColumn("nth", F.dense_rank().over(order))
-    known = parsed.filter("nth > 1 or low <> high or hot").select("gram", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats"), "hot")
+    known = parsed.filter("nth > 1 or low <> high or hot").select("gram", "phrase", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats"), "hot")
     known = scratch.save("phrases", known)
     whole = known.filter("repeats").select("doc_id", "first", "last")
     few = phrase_bytes(texts, known.filter("not repeats and not hot"))
     found = whole.unionByName(scratch.save("resolved", resolve_phrases(few, tasks_for(texts.sparkSession))))
     if not some:
         return found
-    return found.unionByName(scratch.save("hot", resolve_hot(phrase_bytes(texts, known.filter("not repeats and hot")), scratch)))
+    # no more rows of a phrase than there are deals
+    nth = F.dense_rank().over(Window.partitionBy("gram", "phrase").orderBy("doc_id", "place"))
+    firsts = scratch.save("firsts", known.filter("not repeats and hot").withColumn("nth", nth))
+    found = found.unionByName(firsts.filter("nth > 1").select("doc_id", "first", "last"))
+    return found.unionByName(scratch.save("hot", resolve_hot(phrase_bytes(texts, firsts.filter("nth = 1")), scratch)))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
