@@ -21,10 +21,10 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, pick, text_or_empty
+from .common import Scratch, pick, tasks_for, text_or_empty
 
 LEAST_COSINE = 0.8
 WORD_CUT = r"[^\p{L}\p{N}]+"
@@ -118,23 +118,11 @@ def anchors(weights: dict[str, float], least: float) -> list[str]:
 
 def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """row_id, whole (the text is a licence text), granted, license, score: the best of each kind."""
-    spark = texts.sparkSession
+    scratch = Scratch(texts.sparkSession, "stated")
     weights = word_weights(texts)
-    chosen = texts.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors(weights, least))))
-    lines = F.transform(F.split("text", F.lit("\n")), lambda x, i: F.struct(i.alias("unit"), x.alias("content")))
-    units = chosen.select("row_id", F.inline(F.concat(F.array(F.struct(F.lit(-1).alias("unit"), F.col("text").alias("content"))), lines)))
-    counts = units.select("row_id", "unit", F.explode(words(F.col("content"))).alias("word")).groupBy("row_id", "unit", "word").agg(F.count(F.lit(1)).alias("n"))
-    weight_rows = spark.createDataFrame(list(weights.items()), "word string, weight double")
-    norms = [math.sqrt(sum((c * weights[w]) ** 2 for w, c in counts_.items())) for counts_ in template_counts()]
-    template_rows = spark.createDataFrame(
-        [(w, t, c * weights[w] / norms[t]) for t, counts_ in enumerate(template_counts()) for w, c in counts_.items()], "word string, template int, share double"
-    )
-    # the template tables hold a few hundred rows, whatever the input
-    weighed = counts.join(F.broadcast(weight_rows), "word", "left").withColumn("weight", F.col("n") * F.coalesce("weight", F.lit(1.0)))
-    lengths = weighed.groupBy("row_id", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    dots = weighed.join(F.broadcast(template_rows), "word").groupBy("row_id", "unit", "template").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
-    scored = dots.join(lengths, ["row_id", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= least)
-    scored = scored.withColumn("file", F.col("unit") == -1).unionByName(stated_windows(chosen, weights, weight_rows, template_rows, least))
+    chosen = scratch.save("chosen", texts.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors(weights, least)))))
+    tables = Tables(texts.sparkSession, weights, least)
+    scored = stated_units(chosen, tables).unionByName(stated_windows(chosen, tables, scratch))
     names = F.create_map(*(x for i, (name, _) in enumerate(TEMPLATES) for x in (F.lit(i), F.lit(name))))
     scored = scored.withColumn("license", names[F.col("template")]).withColumn("granted", F.col("license") != RESERVED)
     best = F.max(F.struct("granted", "score", (-F.col("unit")).alias("unit"), (-F.col("template")).alias("template"), "license")).alias("best")
@@ -142,48 +130,90 @@ def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     return grouped.select("row_id", "whole", "best.granted", "best.license", "best.score")
 
 
-def stated_windows(chosen: DataFrame, weights: dict[str, float], weight_rows: DataFrame, template_rows: DataFrame, least: float) -> DataFrame:
-    """row_id, unit, template, dot, length, score and file of runs of pieces that state a template.
+class Tables:
+    """What is known of the templates: some thousand rows, whatever the input."""
+
+    def __init__(self, spark: SparkSession, weights: dict[str, float], least: float):
+        counts = template_counts()
+        norms = [math.sqrt(sum((c * weights[w]) ** 2 for w, c in each.items())) for each in counts]
+        shares = [(w, t, c * weights[w] / norms[t]) for t, each in enumerate(counts) for w, c in each.items()]
+        self.least = least
+        self.anchors = [sorted(template_anchors(each, weights, least)) for each in counts]
+        self.size_of = F.create_map(*(F.lit(x) for t, each in enumerate(counts) for x in (t, sum(each.values()))))
+        self.weights = F.broadcast(spark.createDataFrame(list(weights.items()), "word string, weight double"))
+        self.shares = F.broadcast(spark.createDataFrame(shares, "word string, template int, share double"))
+
+    def weighed(self, units: DataFrame, *keys: str) -> DataFrame:
+        """``keys``, word, n and value (count times weight) of the words of ``content``."""
+        counts = units.select(*keys, F.explode(words(F.col("content"))).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+        return counts.join(self.weights, "word", "left").withColumn("value", F.col("n") * F.coalesce("weight", F.lit(1.0))).drop("weight")
+
+
+def by_row(chosen: DataFrame) -> DataFrame:
+    """One row for each row_id, dealt by it: all grouping by it and more stays where it is.
+
+    The texts are small to send but long to score, so the tasks are not merged by their bytes.
+    """
+    return chosen.repartition(tasks_for(chosen.sparkSession), "row_id").dropDuplicates(["row_id"])
+
+
+def stated_units(chosen: DataFrame, tables: Tables) -> DataFrame:
+    """row_id, unit, template, score and file of whole texts (unit -1) and of lines that hold an anchor."""
+    known = F.lit(sorted(set().union(*tables.anchors)))
+    lines = F.transform(F.split("text", F.lit("\n")), lambda x, i: F.struct(i.alias("unit"), x.alias("content")))
+    lines = F.filter(lines, lambda x: F.arrays_overlap(words(x["content"]), known))
+    units = by_row(chosen).select("row_id", F.inline(F.concat(F.array(F.struct(F.lit(-1).alias("unit"), F.col("text").alias("content"))), lines)))
+    weighed = tables.weighed(units, "row_id", "unit")
+    length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("row_id", "unit")))
+    dots = weighed.withColumn("length", length).join(tables.shares, "word").groupBy("row_id", "unit", "template").agg(F.sum(F.col("value") * F.col("share")).alias("dot"), F.max("length").alias("length"))
+    scored = dots.select("row_id", "unit", "template", F.round(F.col("dot") / F.col("length"), 9).alias("score"), (F.col("unit") == -1).alias("file"))
+    return scored.filter(F.col("score") >= tables.least)
+
+
+def stated_windows(chosen: DataFrame, tables: Tables, scratch: Scratch) -> DataFrame:
+    """row_id, unit, template, score and file of runs of pieces that state a template.
 
     A dot product is the sum of its pieces', and a run's squared length at least the
     sum of its pieces'; running sums hence give a bound for every run, and only runs
-    whose bound reaches ``least`` are counted out.
+    whose bound reaches the least cosine are counted out.  A template is looked for
+    only in texts that hold one of its anchors.
     """
-    spark = chosen.sparkSession
-    scratch = Scratch(spark, "windows")
-    pieces = chosen.dropDuplicates(["row_id"]).select("row_id", F.posexplode(F.split("text", PIECE_CUT)).alias("piece", "content"))
-    counts = pieces.select("row_id", "piece", F.explode(words(F.col("content"))).alias("word")).groupBy("row_id", "piece", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = scratch.save("counts", counts.join(F.broadcast(weight_rows), "word", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))))
-    sizes = [sum(c.values()) for c in template_counts()]
-    anchor_rows = spark.createDataFrame([(w, t) for t, c in enumerate(template_counts()) for w in template_anchors(c, weights, least)], "word string, template int")
-    size_of = F.create_map(*(x for i, size in enumerate(sizes) for x in (F.lit(i), F.lit(size))))
+
+    def pieces(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.select("row_id", *keys, F.posexplode(F.split("text", PIECE_CUT)).alias("piece", "content"))
+
+    held = F.array_compact(F.array(*(F.when(F.arrays_overlap(F.col("words"), F.lit(each)), F.lit(t)) for t, each in enumerate(tables.anchors))))
+    rows = by_row(chosen).withColumn("words", words(F.col("text"))).withColumn("held", held).drop("words")
+    weighed = tables.weighed(pieces(rows, "held"), "row_id", "held", "piece")
+    sums = F.sum("n").alias("k"), F.sum(F.col("value") * F.col("value")).alias("square"), F.collect_list(F.struct("word", "value")).alias("values")
     before = Window.partitionBy("row_id").orderBy("piece")
-    squares = counts.groupBy("row_id", "piece").agg(F.sum("n").alias("k"), F.sum(F.pow(F.col("n") * F.col("weight"), 2)).alias("square"))
-    squares = squares.withColumn("upto", F.sum("k").over(before)).withColumn("squares", F.sum("square").over(before)).withColumn("all", F.sum("k").over(Window.partitionBy("row_id")))
-    held = counts.join(F.broadcast(anchor_rows), "word").select("row_id", "template").distinct()
-    dots = counts.join(F.broadcast(template_rows), "word").groupBy("row_id", "piece", "template").agg(F.sum(F.col("n") * F.col("weight") * F.col("share")).alias("part"))
-    dots = dots.join(held, ["row_id", "template"], "left_semi").join(squares, ["row_id", "piece"])
-    dots = dots.withColumn("begin", F.col("upto") - F.col("k")).withColumn("at", F.floor(F.col("begin") * 1000 / size_of[F.col("template")]))
+    sized = weighed.groupBy("row_id", "held", "piece").agg(*sums).withColumn("upto", F.sum("k").over(before)).withColumn("squares", F.sum("square").over(before))
+    sized = sized.withColumn("all", F.sum("k").over(Window.partitionBy("row_id"))).withColumn("begin", F.col("upto") - F.col("k"))
+    facts = ("square", "squares", "begin", "upto", "all")
+    parts = sized.select("row_id", "held", "piece", *facts, F.inline("values")).join(tables.shares, "word").filter(F.array_contains("held", F.col("template")))
+    dots = parts.groupBy("row_id", "template", "piece").agg(F.sum(F.col("value") * F.col("share")).alias("part"), *(F.max(x).alias(x) for x in facts))
+    size = tables.size_of[F.col("template")]
     each = Window.partitionBy("row_id", "template")
-    dots = dots.withColumn("dots", F.sum("part").over(each.orderBy("piece")))
+    dots = dots.withColumn("at", F.floor(F.col("begin") * 1000 / size)).withColumn("dots", F.sum("part").over(each.orderBy("piece")))
     ends = F.collect_list(F.struct("piece", "upto", "squares", "dots")).over(each.orderBy("at").rangeBetween(0, int(REACH * 1000)))
 
     def in_bound(end: Column) -> Column:
         square = end["squares"] - F.col("squares") + F.col("square")
         dot = end["dots"] - F.col("dots") + F.col("part")
-        short = end["upto"] - F.col("begin") <= REACH * size_of[F.col("template")]
-        return short & (dot * (1 + 1e-9) >= least * F.sqrt(square))
+        short = end["upto"] - F.col("begin") <= REACH * size
+        return short & (dot * (1 + 1e-9) >= tables.least * F.sqrt(square))
 
     runs = dots.withColumn("ends", ends).withColumn("end", F.explode(F.filter("ends", in_bound)))
     dot = (F.col("end.dots") - F.col("dots") + F.col("part")).alias("dot")
     runs = scratch.save("runs", runs.select("row_id", "template", F.col("piece").alias("first"), F.col("end.piece").alias("last"), "begin", F.col("end.upto").alias("upto"), "all", dot))
     spread = runs.select("row_id", "first", "last").distinct().withColumn("piece", F.explode(F.sequence("first", "last")))
-    run_words = spread.join(counts, ["row_id", "piece"]).groupBy("row_id", "first", "last", "word").agg(F.sum(F.col("n") * F.col("weight")).alias("weight"))
-    lengths = run_words.groupBy("row_id", "first", "last").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    scored = runs.join(lengths, ["row_id", "first", "last"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= least)
+    some = chosen.join(runs.select("row_id").distinct(), "row_id", "left_semi")
+    run_words = spread.join(tables.weighed(pieces(by_row(some)), "row_id", "piece"), ["row_id", "piece"]).groupBy("row_id", "first", "last", "word").agg(F.sum("value").alias("value"))
+    lengths = run_words.groupBy("row_id", "first", "last").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"))
+    scored = runs.join(lengths, ["row_id", "first", "last"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= tables.least)
     opens = F.col("template").isin(*OPENINGS) & (F.col("begin") <= LEAD_WORDS)
     fills = F.col("template").isin(*WHOLE_TEXTS) & (F.col("upto") - F.col("begin") >= MOST * F.col("all"))
-    return scored.select("row_id", F.col("first").alias("unit"), "template", "dot", "length", "score", (opens | fills).alias("file"))
+    return scored.select("row_id", F.col("first").alias("unit"), "template", "score", (opens | fills).alias("file"))
 
 
 def directory(path: Column) -> Column:
