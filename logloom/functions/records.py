@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logloom.functions.text import SPACE
+
 #: Statuses that have a bucket of their own name or another.
 BUCKETS = {"SUCCESS": "success", "FAILED": "failed", "TIMEOUT": "failed", "ABANDONED": "abandoned", "UNKNOWN": "invalid/unknown"}
 INFRASTRUCTURE_BUCKET = "invalid/infrastructure-error"
@@ -15,6 +17,9 @@ RETRY_AFTER = r"""(?i)retry[-_ ]?after["'\s:=]+([^"',;)\s]+)"""
 NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 MOST_MS = 9.2e18
 HTTP_DATE = "dd MMM yyyy HH:mm:ss z"
+#: A mention with its label and reference, or a bare reference.
+ANY_CHAR = r"[^\n\r\x{2028}\x{2029}]"
+MENTION = rf"@\[((?:\\{ANY_CHAR}|[^\\\]])*+)\]\((session:(?:(?!{SPACE})[^)])*+)\)|(session:[A-Za-z0-9_-]+)"
 #: Languages by file name suffix.
 LANGUAGES = {
     "py": "python", "js": "javascript", "mjs": "javascript", "cjs": "javascript", "jsx": "jsx", "ts": "typescript", "mts": "typescript",
@@ -103,11 +108,51 @@ def referenced_session(uri: Column) -> Column:
     """The id behind a reference; null unless it is in canonical form."""
     coded = F.regexp_extract(uri, r"\Asession:([A-Za-z0-9_-]+)\z", 1)
     padded = F.rpad(coded, (F.ceil(F.char_length(coded) / 4) * 4).cast("int"), "=")
-    value = F.decode(F.try_to_binary(F.translate(padded, "-_", "+/"), F.lit("base64")), "UTF-8")
+    value = F.try_validate_utf8(F.try_to_binary(F.translate(padded, "-_", "+/"), F.lit("base64")).cast("string"))
     found = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "v string")["v"]
     return F.when(session_reference(found) == uri, found)
 
 
+def session_mention(session_id: Column, label: Column | None = None) -> Column:
+    """A mention of a session inside a text: @[label](reference); the id where no label is given."""
+    shown = session_id if label is None else F.coalesce(label, session_id)
+    return F.concat(F.lit("@["), F.regexp_replace(shown, r"[\\\]]", r"\\$0"), F.lit("]("), session_reference(session_id), F.lit(")"))
+
+
+def referenced_sessions(text: Column) -> Column:
+    """(text, sessions) of a text with mentions and bare references.
+
+    In the text each reads as @label (a bare reference has its session as label);
+    ``sessions`` holds (session_id, label) in order, repeats included.  Null where one
+    of them isn't in canonical form, and for a null text.
+    """
+
+    def read(found: Column) -> Column:
+        label = F.regexp_replace(F.regexp_extract(found, MENTION, 1), rf"\\({ANY_CHAR})", "$1")
+        session = referenced_session(F.concat(F.regexp_extract(found, MENTION, 2), F.regexp_extract(found, MENTION, 3)))
+        return F.struct(session.alias("session_id"), F.when(found.startswith("@"), label).otherwise(session).alias("label"))
+
+    sessions = F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), read)
+    between = F.split(text, MENTION, -1)
+    shown = F.zip_with(between, sessions, lambda plain, s: F.concat(plain, F.coalesce(F.concat(F.lit("@"), s["label"]), F.lit(""))))
+    whole = F.struct(F.array_join(shown, "").alias("text"), sessions.alias("sessions"))
+    return F.when(text.isNotNull() & ~F.exists(sessions, lambda s: s["session_id"].isNull()), whole)
+
+
+def canonical_header(header: Column) -> Column:
+    """A request header in the form that is stored and compared.
+
+    ``header`` has config, adapter_defaults (reasoning_effort and max_tokens, booleans)
+    and tools (an array).  An empty tool list is as none, and so are defaults of which
+    neither is set.
+    """
+    defaults = header["adapter_defaults"]
+    stated = F.coalesce(defaults["reasoning_effort"], F.lit(False)) | F.coalesce(defaults["max_tokens"], F.lit(False))
+    return F.struct(
+        header["config"].alias("config"), F.when(stated, defaults).alias("adapter_defaults"), F.when(F.size(header["tools"]) > 0, header["tools"]).alias("tools"),
+    )
+
+
 def utc_millis(time: Column) -> Column:
     """Milliseconds of a timestamp without zone, read as UTC whatever the session's zone."""
     local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), time.cast("timestamp_ntz"))

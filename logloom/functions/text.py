@@ -69,6 +69,18 @@ def message_tokens(blocks: Column) -> Column:
     return content_tokens(blocks) + ROLE_OVERHEAD
 
 
+def system_tokens(blocks: Column) -> Column:
+    """Estimated tokens of a system prompt: its text as one string; none for no blocks."""
+    size = lambda b: F.char_length(F.coalesce(F.when(b["type"] == "text", b["text"]).otherwise(b["json"]), F.lit("")))
+    total = F.aggregate(blocks, F.lit(0), lambda n, b: n + size(b))
+    return F.when(F.size(blocks) > 0, F.ceil(total / CHARS_PER_TOKEN) + ROLE_OVERHEAD).otherwise(0).cast("long")
+
+
+def tools_tokens(tools: Column) -> Column:
+    """Estimated tokens of a request's tool schemas, given as one JSON array; none for null or an empty one."""
+    return F.when(F.coalesce(tools, F.lit("[]")) != "[]", F.ceil(F.char_length(tools) / CHARS_PER_TOKEN) + BLOCK_OVERHEAD).otherwise(0).cast("long")
+
+
 def preview(parts: Column, limit: int) -> Column:
     """Space-joined, white space collapsed, cut to ``limit`` with an ellipsis."""
     whole = strip_space(collapse_space(F.array_join(parts, " ")))

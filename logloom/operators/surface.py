@@ -8,7 +8,7 @@ pass over a session in seq order, grouped by session.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDED = "session_id string, seq long, surface string, position int, shadowed_by long, delta_tokens long"
@@ -100,3 +100,23 @@ def offload_images(images: DataFrame, offloads: DataFrame, folded: DataFrame) ->
     current = folded.filter(F.col("surface") == "current").select("session_id", "seq")
     marks = offloads.select("session_id", F.col("target_seq").alias("seq"), F.explode("indexes").alias("index")).join(current, ["session_id", "seq"], "left_semi").distinct()
     return images.join(marks.withColumn("offloaded", F.lit(True)), ["session_id", "seq", "index"], "left").withColumn("offloaded", F.coalesce("offloaded", F.lit(False)))
+
+
+def surface_totals(log: DataFrame) -> DataFrame:
+    """The running token total of a surface whose replaced messages are priced beforehand.
+
+    ``log`` has session_id, seq, op, tokens, start_seq and end_seq.  A "meter" event
+    claims the price of a range for the event right after it; an "append" adds its
+    tokens; a "replace" adds its tokens less the claim, or nothing where no claim
+    stands.  Adds delta, total and contradicts: a claim for another range, whose delta
+    is null and counts nothing.  Other events, null ones too, change nothing.
+    """
+    order = Window.partitionBy("session_id").orderBy("seq")
+    claim = F.lag(F.when(F.col("op") == "meter", F.struct("start_seq", "end_seq", "tokens"))).over(order)
+    rows = log.withColumn("claim", claim)
+    claimed = (F.col("op") == "replace") & F.col("claim").isNotNull()
+    same = F.col("claim.start_seq").eqNullSafe(F.col("start_seq")) & F.col("claim.end_seq").eqNullSafe(F.col("end_seq"))
+    rows = rows.withColumn("contradicts", F.coalesce(claimed & ~same, F.lit(False)))
+    delta = F.when(F.col("op") == "append", F.col("tokens")).when(F.col("contradicts"), None).when(claimed, F.col("tokens") - F.col("claim.tokens")).otherwise(0)
+    rows = rows.withColumn("delta", delta.cast("long")).drop("claim")
+    return rows.withColumn("total", F.coalesce(F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0).cast("long")))

@@ -435,6 +435,51 @@ def session_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", uri.alias("uri"), records.referenced_session(uri).alias("back"))
 
 
+@query("""SELECT c_custkey, 'as @' || c_name || '](' || c_custkey || '\\ says,' || chr(10) || '@' || c_name || ' (@[x](y)) and @' || c_mktsegment AS text, 3::BIGINT AS n,
+ c_name || '|' || c_name || '|' || c_mktsegment AS sessions FROM customer""")
+def session_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, segment = F.col("c_name"), F.col("c_mktsegment")
+    label = F.concat(name, F.lit("]("), F.col("c_custkey").cast("string"), F.lit("\\"))
+    said = F.concat(F.lit("as "), records.session_mention(name, label), F.lit(" says,\n"), records.session_reference(name), F.lit(" (@[x](y)) and "), records.session_mention(segment))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", records.referenced_sessions(said).alias("found"))
+    sessions = F.transform("found.sessions", lambda s: s["session_id"])
+    return rows.select("c_custkey", "found.text", F.size("found.sessions").cast("long").alias("n"), F.array_join(sessions, "|").alias("sessions"))
+
+
+@query("""SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN CAST(ceil(length(p_name) / 4.0) AS BIGINT) + 4 ELSE CAST(ceil((length(p_name) + length(p_type) + 4) / 4.0) AS BIGINT) + 4 END AS system_tokens,
+ CASE p_size % 3 WHEN 0 THEN 0 ELSE CAST(ceil((length(p_brand) + 4) / 4.0) AS BIGINT) + 4 END AS tools_tokens FROM part""")
+def prompt_token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    block = lambda kind, content, json: F.struct(F.lit(kind).alias("type"), content.alias("text"), none.alias("name"), none.alias("arguments"), json.alias("json"))
+    blocks = F.array(block("text", F.col("p_name"), none), block("image", none, F.concat(F.lit('["'), F.col("p_type"), F.lit('"]'))))
+    turn = F.col("p_size") % 3
+    tools = F.when(turn == 0, "[]").otherwise(F.concat(F.lit('["'), F.col("p_brand"), F.lit('"]')))
+    return table(spark, sf_dir, "part").select("p_partkey", text.system_tokens(F.slice(blocks, F.lit(1), turn)).alias("system_tokens"), text.tools_tokens(tools).alias("tools_tokens"))
+
+
+@query("""SELECT conv_id, turn, count(*) AS headers, count(*) FILTER (WHERE role <> 'user' AND turn % 3 <> 0) AS with_defaults, count(*) FILTER (WHERE turn % 2 = 1) AS with_tools FROM conversations GROUP BY ALL""")
+def canonical_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn, chosen = F.col("turn"), F.coalesce(F.col("role") != "user", F.lit(False))
+    defaults = F.when(turn % 3 != 0, F.struct(chosen.alias("reasoning_effort"), F.lit(None).cast("boolean").alias("max_tokens")))
+    tools = F.when(turn % 2 == 1, F.array(F.col("role"))).when(turn % 4 == 0, F.array().cast("array<string>"))
+    header = records.canonical_header(F.struct(F.col("text").alias("config"), defaults.alias("adapter_defaults"), tools.alias("tools")))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", header.alias("h"))
+    return rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("headers"), F.count("h.adapter_defaults").alias("with_defaults"), F.count("h.tools").alias("with_tools"))
+
+
+@query("""WITH r AS (SELECT conv_id AS session_id, turn AS seq, turn % 4 AS part, (turn // 4) % 3 AS way, CAST(ceil(length(coalesce(text, '')) / 4.0) AS BIGINT) + 4 AS tokens FROM conversations),
+ d AS (SELECT session_id, seq, part = 2 AND way = 1 AS contradicts, CASE WHEN part IN (0, 3) THEN tokens WHEN part = 2 AND way = 0 THEN tokens - 7 WHEN part = 2 AND way = 1 THEN NULL ELSE 0 END AS delta FROM r)
+ SELECT *, sum(delta) OVER (PARTITION BY session_id ORDER BY seq)::BIGINT AS total FROM d""")
+def surface_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seq, way, part = F.col("seq"), F.floor(F.col("seq") / 4) % 3, F.col("seq") % 4
+    # of every four events one is metered and replaced: by its range, by another, or without a claim
+    kind = F.when(part == 2, "replace").when((part == 1) & (way < 2), "meter").when(part != 1, "append")
+    start = F.when(part == 1, seq - 1).when(part == 2, seq - 2 + F.when(way == 1, 1).otherwise(0))
+    tokens = F.when(part == 1, 7).otherwise(text.text_tokens(F.col("text")))
+    log = conversation_log(spark, sf_dir).select("session_id", "seq", kind.alias("op"), tokens.alias("tokens"), start.alias("start_seq"), start.alias("end_seq"))
+    return surface.surface_totals(log).select("session_id", "seq", "contradicts", "delta", "total")
+
+
 @query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'typescript' WHEN 2 THEN NULL ELSE 'markdown' END AS language FROM part""")
 def file_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffix = F.get(F.array(F.lit(".PY"), F.lit(".mts"), F.lit(""), F.lit(".x.md")), (F.col("p_size") % 4).cast("int"))

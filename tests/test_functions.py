@@ -179,3 +179,26 @@ def test_heads_and_titles_of_all_documents(spark, tmp_path):
     assert heads == {i: cut(t, 40) for i, t in enumerate(texts)}
     titles = {r["doc_id"]: r["title"] for r in QUERIES["fallback_titles_whole"](spark, str(tmp_path)).collect()}
     assert {i: t or "" for i, t in titles.items()} == {i: cut(" ".join((t or "").split()[:3]), 60).rstrip() for i, t in enumerate(texts)}
+
+
+def test_session_mentions(spark):
+    ids = ["a", "x]y\\z", "ü \n", "{}"]
+    both = lambda c: records.referenced_sessions(F.concat(F.lit("to "), records.session_mention(c), F.lit("."), records.session_reference(c)))
+    assert [(r["text"], [tuple(s) for s in r["sessions"]]) for r in run(spark, ids, both)] == [(f"to @{i}.@{i}", [(i, i)] * 2) for i in ids]
+    long = "@[" + "n" * 100_000 + "](session:ImEi)"
+    plain = ["", None, "no session: here, @[x](y)", "@[x](session:)", "session:zz", long, "@[\\](session:ImEi)"]
+    got = run(spark, plain, records.referenced_sessions)
+    assert [None if r is None else (r["text"], len(r["sessions"])) for r in got] == [
+        ("", 0), None, (plain[2], 0), None, None, ("@" + "n" * 100_000, 1), ("@[\\](@a)", 1),
+    ]
+
+
+def test_prompt_tokens_and_headers(spark):
+    kind = "array<struct<type string, text string, name string, arguments string, json string>>"
+    blocks = [[], None, [("text", "abcde", None, None, None), ("text", None, None, None, None), ("image", None, None, None, '{"a":1}')]]
+    assert run(spark, blocks, text.system_tokens, kind) == [0, 0, 3 + 4]
+    assert run(spark, [None, "[]", "[12345]"], text.tools_tokens) == [0, 0, 2 + 4]
+    kind = "struct<config string, adapter_defaults struct<reasoning_effort boolean, max_tokens boolean>, tools array<string>>"
+    headers = [("c", None, []), ("c", (False, None), None), ("c", (None, True), ["t"])]
+    got = run(spark, headers, records.canonical_header, kind)
+    assert [(h["config"], h["adapter_defaults"], h["tools"]) for h in got] == [("c", None, None), ("c", None, None), ("c", (None, True), ["t"])]

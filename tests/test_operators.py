@@ -208,3 +208,15 @@ def test_runs_of_sequences(spark):
     lists = [[], [4], [1, 2], [1, 2, 3], [1, 2, 3, 5, 6, 9, 10, 11, 12], [3, 2, 1], [1, 1, 2, 3], list(range(20000))]
     got = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<bigint>").select("i", records.encode_ranges(F.col("x")).alias("r")).orderBy("i").collect()
     assert [r["r"] for r in got] == [[], [[4]], [[1], [2]], [[1, 3]], [[1, 3], [5], [6], [9, 12]], [[3], [2], [1]], [[1], [1], [2], [3]], [[0, 19999]]]
+
+
+def test_surface_totals(spark):
+    rows = [
+        (1, 0, "append", 10, None, None), (1, 1, "meter", 4, 0, 0), (1, 2, "replace", 6, 0, 0), (1, 3, "replace", 9, 2, 2), (1, 4, "meter", 2, 0, 2), (1, 5, None, 5, None, None),
+        (1, 6, "replace", 8, 0, 2), (1, 7, "meter", 3, 0, 6), (1, 8, "replace", 8, 0, 5), (2, 0, "replace", 7, 0, 0),
+    ]
+    log = spark.createDataFrame(rows, "session_id long, seq long, op string, tokens long, start_seq long, end_seq long")
+    got = surface.surface_totals(log).orderBy("session_id", "seq").select("delta", "total", "contradicts").collect()
+    totals = [(10, 10), (0, 10), (2, 12), (0, 12), (0, 12), (0, 12), (0, 12), (0, 12), (None, 12), (0, 0)]
+    assert [tuple(r) for r in got] == [(d, t, d is None) for d, t in totals]
+    assert surface.surface_totals(log.limit(0)).count() == 0
