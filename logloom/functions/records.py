@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from zoneinfo import available_timezones
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,13 +23,27 @@ HTTP_DATE = "dd MMM yyyy HH:mm:ss z"
 #: A mention with its label and reference, or a bare reference.
 ANY_CHAR = r"[^\n\r\x{2028}\x{2029}]"
 MENTION = rf"@\[((?:\\{ANY_CHAR}|[^\\\]])*+)\]\((session:(?:(?!{SPACE})[^)])*+)\)|(session:[A-Za-z0-9_-]+)"
-#: Languages by file name suffix.
-LANGUAGES = {
-    "py": "python", "js": "javascript", "mjs": "javascript", "cjs": "javascript", "jsx": "jsx", "ts": "typescript", "mts": "typescript",
-    "tsx": "tsx", "json": "json", "md": "markdown", "html": "html", "css": "css", "sh": "bash", "rs": "rust", "go": "go", "java": "java",
-    "kt": "kotlin", "c": "c", "h": "c", "cpp": "cpp", "hpp": "cpp", "cs": "csharp", "rb": "ruby", "php": "php", "sql": "sql",
-    "yaml": "yaml", "yml": "yaml", "toml": "toml", "xml": "xml", "swift": "swift", "scala": "scala", "lua": "lua", "r": "r",
+#: highlighter's grammars and their file name suffixes.
+GRAMMARS = {
+    "typescript": "ts tsx mts cts", "javascript": "js jsx mjs cjs", "shellscript": "sh bash zsh", "fish": "fish", "json": "json jsonc jsonl ndjson ipynb",
+    "csv": "csv", "python": "py pyw pyi", "ruby": "rb rake gemspec", "go": "go", "rust": "rs", "java": "java", "c": "c h", "cpp": "cc cpp cxx hh hpp hxx",
+    "csharp": "cs", "kotlin": "kt kts", "swift": "swift", "php": "php", "yaml": "yaml yml", "toml": "toml", "ini": "ini conf cfg properties", "dotenv": "env",
+    "log": "log", "diff": "diff patch", "http": "http", "markdown": "md markdown", "mdx": "mdx", "rst": "rst", "latex": "tex sty cls", "bibtex": "bib",
+    "asciidoc": "adoc", "html": "html htm xhtml", "css": "css", "scss": "scss", "less": "less", "sql": "sql", "xml": "xml xsd xsl xslt plist svg", "lua": "lua",
+    "bat": "bat cmd", "powershell": "ps1 psm1 psd1", "r": "r", "julia": "jl", "dart": "dart", "scala": "scala", "clojure": "clj cljs edn", "erlang": "erl hrl",
+    "elixir": "ex exs", "haskell": "hs", "fsharp": "fs fsi fsx", "vb": "vb", "perl": "pl pm", "verilog": "v", "system-verilog": "sv svh", "graphql": "graphql gql",
+    "proto": "proto", "hcl": "tf tfvars hcl", "nix": "nix", "vue": "vue", "svelte": "svelte", "make": "makefile mk", "cmake": "cmake", "groovy": "gradle groovy",
+}
+#: Grammars whose short name isn't the grammar's own, and suffixes that stand for themselves.
+SHORT_NAMES = {
+    "typescript": "ts", "javascript": "js", "shellscript": "sh", "python": "py", "ruby": "rb", "rust": "rs", "csharp": "cs", "markdown": "md", "latex": "tex",
+    "bibtex": "bib", "asciidoc": "adoc", "powershell": "ps1", "julia": "jl", "clojure": "clj", "erlang": "erl", "elixir": "ex", "haskell": "hs", "fsharp": "fs",
+    "perl": "pl", "verilog": "v", "system-verilog": "sv",
 }
+OWN_NAMES = ("tsx", "jsx", "tf", "tfvars", "gradle")
+#: Zones that are UTC under another name.
+UTC_NAMES = ("Etc/UTC", "Etc/UCT", "Etc/GMT", "Etc/Zulu", "Etc/Universal", "Etc/Greenwich")
+ZONE = r"\A[A-Za-z][A-Za-z0-9_+.-]*(?:/[A-Za-z0-9_+.-]+)+\z"
 
 
 def bucket_for(status: Column, error_class: Column | None = None) -> Column:
@@ -65,11 +82,32 @@ def message_retry_after_ms(message: Column, now_ms: Column) -> Column:
     return F.when(is_rate_limit(message), F.coalesce(retry_after_ms(stated, now_ms), digits))
 
 
+def _by_suffix(path: Column, names: dict[str, str]) -> Column:
+    """What ``names`` has for the lower-cased suffix behind the last dot of the last segment."""
+    suffix = F.lower(F.regexp_extract(path, r"\.([^./\\]*)\z", 1))
+    return F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[suffix]
+
+
 def file_language(path: Column) -> Column:
-    """Language by the lower-cased suffix behind the last dot of the name."""
-    suffix = F.lower(F.regexp_extract(path, r"\.([^./]+)\z", 1))
-    table = F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair))
-    return table[suffix]
+    """The highlighter's grammar for a file name or path; null for an unlisted suffix."""
+    return _by_suffix(path, {suffix: grammar for grammar, suffixes in GRAMMARS.items() for suffix in suffixes.split()})
+
+
+def read_language(path: Column) -> Column:
+    """The short language name that a read of this path records; null for an unlisted suffix."""
+    return _by_suffix(path, {suffix: suffix if suffix in OWN_NAMES else SHORT_NAMES.get(grammar, grammar) for grammar, suffixes in GRAMMARS.items() for suffix in suffixes.split()})
+
+
+def canonical_zone(zone: Column, links: Mapping[str, str] | None = None) -> Column:
+    """A caller's zone in its canonical spelling; null unless it is UTC or a known Area/Location.
+
+    Case doesn't matter but for UTC.  ``links`` gives the zones that others are but
+    aliases of; without it only the names of UTC are resolved.
+    """
+    known = {name.lower(): name for name in sorted(available_timezones()) if "/" in name}
+    known |= {name.lower(): "UTC" for name in UTC_NAMES} | {name.lower(): other for name, other in (links or {}).items()}
+    names = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    return F.when(zone == "UTC", zone).when(zone.rlike(ZONE), names[F.lower(zone)])
 
 
 def blob_key(content: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 import json
 import math
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
@@ -62,6 +62,123 @@ def retain(texts: Column, budget: int) -> Column:
     return run(texts)
 
 
+#: What stands between a preview's ends, and the notice behind it.
+GAP = "\n\n[...]\n\n"
+SPILL_NOTICE = "(Omitted {} bytes. Full formatted result stored at: {}. {})"
+SPILL_HINT = "Use read with offset/limit, or grep this path to search within it."
+CUT_NOTICE = "\n[… omitted {} UTF-8 bytes …]"
+
+
+def bounded_result(texts: list[str], locator: str, budget: int, hint: str = SPILL_HINT) -> tuple[str, bool, int]:
+    """A result's text within a token budget, whether it was cut, and omitted bytes.
+
+    What goes is replaced by a gap, and a notice behind tells where the whole is.  A
+    result stays whole if it fits, or if not even the notice does.
+    """
+    total = sum(len(x.encode("utf-8", "surrogatepass")) for x in texts)
+    longest = SPILL_NOTICE.format(total, locator, hint)
+    if sum(map(_cost, texts)) <= budget or _cost(longest) > budget:
+        return "".join(texts), False, 0
+    head, tail, omitted = head_and_tail(texts, max(0, budget - _cost(GAP) - _cost("\n\n" + longest)))
+    notice = SPILL_NOTICE.format(omitted, locator, hint)
+    return ("".join([*head, GAP, *tail, "\n\n", notice]) if head or tail else notice), True, omitted
+
+
+def bound_inline(texts: Column, locator: Column, budget: int, hint: str = SPILL_HINT) -> Column:
+    """(text, spilled, omitted_bytes) of a tool result's text blocks; null blocks are empty.
+
+    ``locator`` names where the whole text is kept; without one nothing is cut.
+    """
+
+    @F.pandas_udf("text string, spilled boolean, omitted_bytes long")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for blocks, places in batches:
+            held = [[] if x is None else [t or "" for t in x] for x in blocks]
+            rows = [bounded_result(x, at, budget, hint) if at is not None else ("".join(x), False, 0) for x, at in zip(held, places)]
+            yield pd.DataFrame(rows, columns=["text", "spilled", "omitted_bytes"])
+
+    return run(texts, locator)
+
+
+def _size(text: str) -> int:
+    return len(text.encode("utf-8", "surrogatepass"))
+
+
+def _tag_safe(value: object) -> str:
+    """JSON that holds no literal opening tag."""
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":")).replace("<", "\\u003c")
+
+
+def ends_with_notice(text: str, limit: int) -> tuple[str, int]:
+    """The longest two ends of a text that fit ``limit`` bytes with a notice of the omitted ones."""
+    data = text.encode("utf-8", "surrogatepass")
+    if len(data) <= limit:
+        return text, 0
+
+    def shown(kept: int) -> tuple[str, int]:
+        head, tail = data[: kept - kept // 2], data[len(data) - kept // 2 :]
+        ends = [head.decode("utf-8", "ignore"), tail.decode("utf-8", "ignore")]
+        omitted = len(data) - sum(map(_size, ends))
+        return "".join(ends) + CUT_NOTICE.format(omitted), omitted
+
+    # what is shown never shrinks when more is kept
+    fits = bisect_right(range(max(0, limit) + 1), limit, key=lambda kept: _size(shown(kept)[0]))
+    return shown(fits - 1) if fits else ("", len(data))
+
+
+def fit_transcript(facts: dict, messages: list[dict], budget: int) -> tuple | None:
+    """JSON of a conversation within ``budget`` bytes, with counts; None if the facts alone don't fit.
+
+    First the oldest messages go, other than checkpoints and the newest; then the
+    longest left is cut, again and again, to what the excess leaves of it.
+    """
+    frame = _size(_tag_safe({**facts, "conversation": []}))
+    weigh = lambda role, text: _size(_tag_safe({"role": role, "text": text})) + 1
+    weights = [weigh(m["role"], m["text"]) for m in messages]
+    # a list of n items has n - 1 commas
+    excess = frame + sum(weights) - bool(messages) - budget
+    loose = [i for i, m in enumerate(messages[:-1]) if not m["checkpoint"]]
+    freed = list(accumulate(weights[i] for i in loose))
+    gone = set(loose[: min(len(loose), bisect_left(freed, excess) + 1)] if excess > 0 else [])
+    excess -= sum(weights[i] for i in gone)
+    kept = [i for i in range(len(messages)) if i not in gone]
+    texts, lost = {i: messages[i]["text"] for i in kept}, dict.fromkeys(kept, 0)
+    while excess > 0:
+        longest = max(kept, key=lambda i: _size(texts[i]), default=None)
+        if longest is None or not texts[longest]:
+            return None
+        role, before = messages[longest]["role"], texts[longest]
+        texts[longest], lost[longest] = ends_with_notice(messages[longest]["text"], max(0, _size(before) - excess))
+        if texts[longest] == before:
+            return None
+        excess += weigh(role, texts[longest]) - weigh(role, before)
+    omitted = sum(lost.values()) + sum(_size(messages[i]["text"]) for i in gone)
+    data = _tag_safe({**facts, "conversation": [{"role": messages[i]["role"], "text": texts[i]} for i in kept]})
+    return data, any(m["checkpoint"] for m in messages), len(messages), len(kept), len(gone), omitted, bool(gone) or omitted > 0
+
+
+def capped_transcript(session: Column, messages: Column, budget: int) -> Column:
+    """A session's conversation as JSON of at most ``budget`` bytes, and what it lost.
+
+    Args:
+        session: a struct of session_id, label, cwd and captured_through_seq; it is
+            kept whole, and the result is null where it alone exceeds the budget.
+        messages: role, text and checkpoint, in order; null texts and empty ones take
+            no part.
+    """
+    facts = F.to_json(F.struct(session["session_id"].alias("sessionId"), session["label"].alias("label"), session["cwd"].alias("cwd"), session["captured_through_seq"].alias("capturedThroughSeq")), {"ignoreNullFields": "false"})
+    said = F.filter(messages, lambda m: m["text"] != "")
+
+    @F.pandas_udf("data string, compacted boolean, original long, retained long, omitted long, omitted_bytes long, truncated boolean")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for frames, lists in batches:
+            rows = [fit_transcript(json.loads(x), [] if y is None else list(y), budget) or (None,) * 7 for x, y in zip(frames, lists)]
+            yield pd.DataFrame(rows, columns=["data", "compacted", "original", "retained", "omitted", "omitted_bytes", "truncated"]).astype({c: "Int64" for c in ("original", "retained", "omitted", "omitted_bytes")})
+
+    found = run(facts, said)
+    return F.when(found["data"].isNotNull(), found)
+
+
 def small_json(value: object, budget: int) -> str:
     """Valid JSON within ``budget`` bytes: strings cut, then items left out."""
     whole = json.dumps(value, ensure_ascii=False, separators=(",", ":"))

@@ -177,6 +177,38 @@ def child_catalog(log: DataFrame) -> DataFrame:
     return own.groupBy("session_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", "child_id"))), lambda x: x["child_id"]).alias("children"))
 
 
+def model_selection(log: DataFrame) -> DataFrame:
+    """The selection last used by a request and the one that the next request will use.
+
+    Reads selection (a struct) of selections and request headers.  A selection is
+    pending until a later header has the same; a newer one replaces it.  Both columns
+    are null in a session without either.
+    """
+    chosen, used = _is("model/selection"), _is("request/header")
+    rows = log.filter(chosen | used).withColumn("epoch", F.sum(chosen.cast("int")).over(_up_to_now()))
+    rows = rows.withColumn("current", F.last(F.when(chosen, F.col("selection")), ignorenulls=True).over(_up_to_now()))
+    epochs = rows.groupBy("session_id", "epoch").agg(
+        F.max(F.when(used, F.struct("seq", "selection"))).alias("header"), F.max_by("current", "seq").alias("pending"), F.max(used & F.col("current").eqNullSafe(F.col("selection"))).alias("met"),
+    )
+    epochs = epochs.withColumn("waits", F.when(~F.col("met"), F.col("pending")))
+    last = epochs.groupBy("session_id").agg(F.max("header")["selection"].alias("last_used"), F.max(F.struct("epoch", "waits"))["waits"].alias("pending"))
+    sessions = log.select("session_id").distinct().join(last, "session_id", "left")
+    return sessions.select("session_id", "last_used", F.coalesce("pending", "last_used").alias("next"))
+
+
+def model_policy(log: DataFrame) -> DataFrame:
+    """Routes that a session's first policy lets children use, and whether they are valid.
+
+    Reads allowed_models (provider and model).  Later policies don't count.  Valid
+    routes aren't empty, blank or repeated; without a policy both columns are null.
+    """
+    kind = "subagent/model-selection-policy"
+    first = log.groupBy("session_id").agg(F.min(F.when(_is(kind), F.struct("seq", "allowed_models")))["allowed_models"].alias("routes"), F.max(_is(kind)).alias("stated"))
+    blank = F.exists("routes", lambda r: (F.coalesce(r["provider"], F.lit("")) == "") | (F.coalesce(r["model"], F.lit("")) == ""))
+    valid = (F.size("routes") > 0) & ~blank & (F.size(F.array_distinct("routes")) == F.size("routes"))
+    return first.select("session_id", "routes", F.when(F.col("stated"), F.coalesce(F.col("routes").isNotNull() & valid, F.lit(False))).alias("valid"))
+
+
 def tool_history(log: DataFrame) -> DataFrame:
     """Tools that headers declared before each call, and whether the called one was there.
 

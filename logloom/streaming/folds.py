@@ -53,6 +53,23 @@ def stream_stats(events: DataFrame) -> DataFrame:
     return rows.groupBy("session_id").applyInPandasWithState(_update, VIEW, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
+def usable_states(states: DataFrame, headers: DataFrame) -> DataFrame:
+    """Stored states that were folded from the very log which their session has now.
+
+    Both read session_id, format_version, created_at, cwd, is_seeded and
+    inherited_event_count.  An id names a slot that may be filled anew, so all of them
+    must agree; a state without a format version proves nothing, and one without
+    lineage is of an unseeded log.
+    """
+    names = {"format_version": None, "created_at": None, "cwd": None, "is_seeded": False, "inherited_event_count": 0}
+    now = headers.select("session_id", *(F.col(c).alias(f"now_{c}") for c in names))
+    plain = lambda c, default: F.col(c) if default is None else F.coalesce(c, F.lit(default))
+    same = F.col("format_version").isNotNull()
+    for c, default in names.items():
+        same = same & plain(c, default).eqNullSafe(plain(f"now_{c}", default))
+    return states.join(now, "session_id").filter(same).select(*states.columns)
+
+
 def telemetry_records(events: DataFrame) -> DataFrame:
     """Events as telemetry records: severity, attributes and body."""
     severity = F.coalesce("severity", F.lit("INFO")) if "severity" in events.columns else F.lit("INFO")

@@ -109,7 +109,11 @@ def test_names_references_and_times(spark):
     assert run(spark, ["session:InMi", "session:InMi=", "other", "session:!"], records.referenced_session) == ["s", None, None, None]
     assert run(spark, [1706700000123], lambda c: records.iso_time(c), "long") == ["2024-01-31T11:20:00.123Z"]
     assert run(spark, [1706700000123], lambda c: records.zoned_time(c, "America/St_Johns"), "long") == ["2024-01-31T07:50:00-03:30[America/St_Johns]"]
-    assert run(spark, ["a/B.TSX", "noext", "x.tar.gz", "c.d/e"], records.file_language) == ["tsx", None, None, None]
+    paths = ["a/B.TSX", "noext", "x.tar.gz", "c.d/e", "C:\\d.py\\main.PS1", ".env", "a.", None]
+    assert run(spark, paths, records.file_language) == ["typescript", None, None, None, "powershell", "dotenv", None, None]
+    assert run(spark, paths, records.read_language) == ["tsx", None, None, None, "ps1", "dotenv", None, None]
+    zones = ["UTC", "utc", "europe/paris", "Etc/GMT", "Asia/Tokyo ", "", "CET", "Mars/Base", None]
+    assert run(spark, zones, records.canonical_zone) == ["UTC", None, "Europe/Paris", "UTC", None, None, None, None, None]
 
 
 @settings(max_examples=30, deadline=None)
@@ -202,3 +206,61 @@ def test_prompt_tokens_and_headers(spark):
     headers = [("c", None, []), ("c", (False, None), None), ("c", (None, True), ["t"])]
     got = run(spark, headers, records.canonical_header, kind)
     assert [(h["config"], h["adapter_defaults"], h["tools"]) for h in got] == [("c", None, None), ("c", None, None), ("c", (None, True), ["t"])]
+
+
+def replayed_transcript(facts, messages, budget):
+    """The rules step by step: one message or one cut at a time, sizes always of the whole JSON."""
+    kept = [dict(m, now=m["text"], lost=0) for m in messages]
+    size = lambda: len(retention._tag_safe({**facts, "conversation": [{"role": m["role"], "text": m["now"]} for m in kept]}).encode())
+    bytes_of = lambda t: len(t.encode())
+    gone = 0
+    while size() > budget:
+        at = next((i for i, m in enumerate(kept[:-1]) if not m["checkpoint"]), None)
+        if at is None:
+            break
+        gone += bytes_of(kept.pop(at)["text"])
+    while size() > budget:
+        longest = max(kept, key=lambda m: bytes_of(m["now"]), default=None)
+        if longest is None or not longest["now"]:
+            return None
+        limit, data, best = max(0, bytes_of(longest["now"]) - (size() - budget)), longest["text"].encode(), ("", bytes_of(longest["text"]))
+        for n in range(limit + 1):
+            ends = data[: (n + 1) // 2].decode("utf-8", "ignore") + data[len(data) - n // 2 :].decode("utf-8", "ignore")
+            cut = f"{ends}\n[… omitted {len(data) - bytes_of(ends)} UTF-8 bytes …]"
+            best = (cut, len(data) - bytes_of(ends)) if bytes_of(cut) <= limit else best
+        if best[0] == longest["now"]:
+            return None
+        longest["now"], longest["lost"] = best
+    return [m["now"] for m in kept], gone + sum(m["lost"] for m in kept), len(messages) - len(kept)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text("ab<é\U0001f600\n\"", min_size=1, max_size=90), st.booleans()), max_size=6), st.integers(0, 500))
+def test_transcripts_against_a_replay(items, budget):
+    facts = {"sessionId": "s", "label": "<l>", "cwd": None, "capturedThroughSeq": 3}
+    messages = [{"role": "user", "text": t, "checkpoint": c} for t, c in items]
+    got, want = retention.fit_transcript(facts, messages, budget), replayed_transcript(facts, messages, budget)
+    assert (got is None) == (want is None)
+    if got:
+        data = json.loads(got[0])
+        assert "<" not in got[0] and len(got[0].encode()) <= budget and {k: data[k] for k in facts} == facts
+        assert ([m["text"] for m in data["conversation"]], got[5], got[4]) == want
+
+
+def test_capped_and_bounded_columns(spark):
+    session = F.struct(F.lit("s").alias("session_id"), F.lit("l").alias("label"), F.lit(None).cast("string").alias("cwd"), F.lit(None).cast("long").alias("captured_through_seq"))
+    kind = "array<struct<role string, text string, checkpoint boolean>>"
+    lists = [[("user", "x", True), ("user", "", False), ("assistant", None, False)], [], None]
+    got = run(spark, lists, lambda v: retention.capped_transcript(session, v, 1000), kind)
+    assert [(r["original"], r["retained"], r["compacted"], r["truncated"]) for r in got] == [(1, 1, True, False), (0, 0, False, False), (0, 0, False, False)]
+    assert run(spark, lists, lambda v: retention.capped_transcript(session, v, 20), kind) == [None, None, None]
+    blocks = [["a" * 4000, "b" * 4000], ["short", None], None]
+    cut, whole, none = run(spark, blocks, lambda v: retention.bound_inline(v, F.lit("/at"), 300), "array<string>")
+    assert cut["spilled"] and sum(map(retention._cost, [cut["text"]])) <= 300
+    head, tail = cut["text"].split(retention.GAP)
+    kept = len(head) + len(tail.rsplit("\n\n", 1)[0])
+    assert cut["omitted_bytes"] == 8000 - kept and cut["text"].endswith(f"(Omitted {8000 - kept} bytes. Full formatted result stored at: /at. {retention.SPILL_HINT})")
+    assert (whole["text"], whole["spilled"]) == ("short", False) and (none["text"], none["spilled"]) == ("", False)
+    # a notice that doesn't fit leaves the result whole
+    assert [r["spilled"] for r in run(spark, blocks, lambda v: retention.bound_inline(v, F.lit("/at"), 10), "array<string>")] == [False] * 3
+    assert not run(spark, blocks, lambda v: retention.bound_inline(v, F.lit(None).cast("string"), 300), "array<string>")[0]["spilled"]

@@ -1,4 +1,5 @@
 import random
+from random import Random
 
 import pandas as pd
 import pytest
@@ -220,3 +221,25 @@ def test_surface_totals(spark):
     totals = [(10, 10), (0, 10), (2, 12), (0, 12), (0, 12), (0, 12), (0, 12), (0, 12), (None, 12), (0, 0)]
     assert [tuple(r) for r in got] == [(d, t, d is None) for d, t in totals]
     assert surface.surface_totals(log.limit(0)).count() == 0
+
+
+def test_model_selection_and_policy(spark):
+    rows, expected = [], {}
+    for session in range(60):
+        random = Random(session)
+        used = pending = None
+        for seq in range(random.randrange(1, 12)):
+            kind = random.choice(["model/selection", "request/header", "other"])
+            value = (random.choice("ab"), "m", random.choice([None, "low"]))
+            rows.append((session, seq, kind, value))
+            if kind == "model/selection":
+                pending = value
+            elif kind == "request/header":
+                used, pending = value, None if pending == value else pending
+        expected[session] = (used, pending or used)
+    log = spark.createDataFrame(rows, "session_id long, seq long, type string, selection struct<provider: string, model: string, effort: string>")
+    assert {r[0]: (r[1] and tuple(r[1]), r[2] and tuple(r[2])) for r in folds.model_selection(log).collect()} == expected
+    kind = "subagent/model-selection-policy"
+    rows = [(1, 0, kind, [("p", "m")]), (1, 1, kind, []), (2, 0, kind, []), (3, 0, "x", None), (4, 0, kind, [("p", "m"), ("p", "m")]), (5, 0, kind, [("", "m")]), (6, 0, kind, None)]
+    log = spark.createDataFrame(rows, "session_id long, seq long, type string, allowed_models array<struct<provider: string, model: string>>")
+    assert {r["session_id"]: r["valid"] for r in folds.model_policy(log).collect()} == {1: True, 2: False, 3: None, 4: False, 5: False, 6: False}
