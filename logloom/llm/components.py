@@ -34,6 +34,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
 
+def _unsettled(edges: DataFrame) -> DataFrame:
+    """Nodes that keep the links from being stars: with several smaller neighbours, or with one and a larger one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up = 1 and down = 1)")
+
+
 def components(edges: DataFrame, scratch: Scratch, label: str = "components") -> DataFrame:
     """``node`` and ``component`` (its smallest member) for every node of a link.
 
@@ -44,18 +50,15 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "components") ->
             direction are fine, rows with a null end are ignored.
         scratch: where each round's links are written.
     """
-    edges = edges.select("a", "b").filter("a <> b").distinct()
-    current = scratch.save(f"{label}-0", edges)
-    before = None
-    for round_no in range(1, MAX_ROUNDS):
-        stars = scratch.save(f"{label}-{round_no}", _small_star(_large_star(current)).filter("a <> b").distinct())
-        state = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    downward = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    current = scratch.save(f"{label}-0", downward)
+    round_no = 0
+    # once every node but the least links to the least alone, a component is a star
+    while not _unsettled(current).isEmpty():
+        round_no += 1
+        if round_no == MAX_ROUNDS:  # rounds grow with the logarithm of a component's width, so this isn't met
+            raise RuntimeError(f"links haven't settled in {MAX_ROUNDS} rounds")
+        current = scratch.save(f"{label}-{round_no}", _small_star(_large_star(current)).filter("a <> b").distinct())
         scratch.drop(f"{label}-{round_no - 1}")
-        current = stars
-        if tuple(state) == before:
-            break
-        before = tuple(state)
-    else:  # rounds grow with the logarithm of a component's width, so this isn't met
-        raise RuntimeError(f"links haven't settled in {MAX_ROUNDS} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -69,6 +69,19 @@ def test_index_finds_every_pair_under_its_distance():
         assert (chunks <= 1).any()
 
 
+def test_components_of_random_links(spark):
+    draw = random.Random(5)
+    edges = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)]
+    root = {x: x for edge in edges for x in edge}
+    for _ in edges:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
+    loops = {x for x in root if all(a == b for a, b in edges if x in (a, b))}
+    assert got == {x: r for x, r in root.items() if x not in loops}
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200), (None, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
