@@ -155,6 +155,18 @@ def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(marks, "doc_id").select("text", "marks").mapInArrow(cut, "rep long, size int, items binary").dropDuplicates(["rep"])
 
 
+def _members(keyed: DataFrame, scratch: Scratch) -> DataFrame:
+    """key, leader (its least rep) and rep of keys with several reps.
+
+    The count knows both reps of a key with two; only keys with more send their rows again.
+    """
+    counts = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = scratch.save("shared", counts.filter("n > 1"))
+    pairs = shared.filter("n = 2").select("key", "leader", F.explode(F.array("leader", "last")).alias("rep"))
+    more = shared.filter("n > 2").select("key", "leader")
+    return pairs.unionByName(filter_rows(keyed, 0, bloom_filter(more.select("key"))).join(more, "key").select("key", "leader", "rep"))
+
+
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """doc_id, start, size (words) and original (doc_id of the first copy), as a written table.
 
@@ -166,26 +178,33 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     keys = scratch.save("keys", passage_keys(docs))
     told = keys.filter("sig is null").select("key", "proof", "doc_id", "start", "again")
     once = told.filter("not again").drop("again")
-    first = once.groupBy("key", "proof").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last")).filter("original <> last").drop("last")
-    span = ["doc_id", "start", F.lit(MIN_WORDS).alias("size")]
     # within a text the first place of a sample may still repeat another text's
-    samples = once.join(first, ["key", "proof"]).filter("doc_id <> original").select(*span, "original")
-    samples = scratch.save("samples", samples.unionByName(told.filter("again").select(*span, F.col("doc_id").alias("original"))))
+    counts = once.groupBy("key", "proof").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last"), F.max_by("start", "doc_id").alias("start"), F.count(F.lit(1)).alias("n"))
+    repeats = scratch.save("repeats", counts.filter("original <> last"))
+    span = ["doc_id", "start", F.lit(MIN_WORDS).alias("size"), "original"]
+    # the later of two places is known from the count; only samples of more places are looked up
+    pairs = repeats.filter("n = 2").withColumn("doc_id", F.col("last")).select(*span)
+    more = repeats.filter("n > 2").select("key", "proof", "original")
+    rest = filter_rows(once, 0, bloom_filter(more.select("key"))).join(more, ["key", "proof"]).filter("doc_id <> original").select(*span)
+    samples = scratch.save("samples", pairs.unionByName(rest).unionByName(told.filter("again").withColumn("original", F.col("doc_id")).select(*span)))
+    scratch.drop("repeats")
     place = F.struct("doc_id", "start", "size")
     paragraphs = keys.filter("sig is not null").withColumnRenamed("key", "rep")
     classes = paragraphs.groupBy("rep").agg(F.min(F.struct(place.alias("first"), "proof")).alias("head"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
     classes = scratch.save("classes", classes.select("rep", F.col("head.first").alias("first"), F.col("head.proof").alias("proof"), "sig", "n"))
     bands = F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)) for b in range(BANDS))))
-    keyed = classes.select("rep", bands.alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    members = scratch.save("members", keyed.join(shared, "key").select("key", "leader", "rep"))
+    # the samples and signatures, most of the keys' table, aren't read any more
+    paragraphs = scratch.save("paragraphs", paragraphs.select("rep", "proof", "doc_id", "start", "size"))
+    scratch.drop("keys")
+    members = scratch.save("members", _members(classes.select(bands.alias("key"), "rep"), scratch))
+    scratch.drop("shared")
     places = classes.select("rep", "first.*")
     joined = link_members(members, classes.select("rep", "sig"), lambda ends: _paragraph_items(docs, places.join(ends, "rep", "left_semi")), percent, SHINGLE_WORDS, scratch, positions=BANDS * ROWS)
     grouped = classes.select("rep", "first", "proof", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 or component is not null")
     grouped = scratch.save("grouped", grouped.select("rep", "first", "proof", F.coalesce("component", "rep").alias("component")))
     keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
     # a paragraph that shares its class' hash but not the proof stays
-    repeated = paragraphs.select("rep", "proof", "doc_id", "start", "size").join(grouped.join(keeper, "component").select("rep", "proof", "keeper"), ["rep", "proof"])
+    repeated = paragraphs.join(grouped.join(keeper, "component").select("rep", "proof", "keeper"), ["rep", "proof"])
     repeated = repeated.filter((F.col("doc_id") != F.col("keeper.doc_id")) | (F.col("start") != F.col("keeper.start")))
     found = scratch.save("found", samples.unionByName(repeated.select("doc_id", "start", "size", F.col("keeper.doc_id").alias("original"))))
     scratch.keep("found")
