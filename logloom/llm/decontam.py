@@ -7,7 +7,10 @@ item: a node of p pieces must match within p - 1 edits, for else both halves of
 node would exceed theirs.  Chance hits end at the first node; the root is the item.
 Distances come from Myers' bit-parallel algorithm on whole-number bit vectors.
 
-Texts and items are compared lower-cased with white space runs as one space.
+Texts and items are compared lower-cased with white space runs as one space.  Items of
+fewer than ``MIN_WORDS`` words or ``MIN_CHARS`` characters are not searched for: a short
+answer ("yes") stands in most texts by chance, and says nothing about a leak.  In
+scripts without spaces ``LONE_CHARS`` characters are enough.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ CHARS_PER_EDIT = 10
 BLOCK_CHARS = 1_000_000
 #: Items of one pass over the documents hold so many at most, which bounds what a task is sent.
 PASS_CHARS = 32_000_000
+#: The least item that is searched for; few words may also be many characters.
+MIN_WORDS, MIN_CHARS, LONE_CHARS = 5, 20, 40
 _WORD = re.compile(r"\S+")
 
 
@@ -35,6 +40,11 @@ def normalised(text: str) -> str:
     return " ".join(text.lower().split())
 
 
+def is_searched(item: str) -> bool:
+    """Whether a normalised item is long enough for a match to mean a leak."""
+    return len(item) >= LONE_CHARS or len(item) >= MIN_CHARS and item.count(" ") + 1 >= MIN_WORDS
+
+
 def pattern_masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(pattern):
@@ -168,13 +178,13 @@ def item_passes(benchmark: DataFrame) -> Iterator[list[list[tuple[int, str]]]]:
     """The items, normalised, in blocks, and these in passes, both of bounded size.
 
     The benchmark is a query set that is small beside the documents; it comes to the
-    driver item by item.  Null and empty items are left out.
+    driver item by item.  Null items and those too short to be searched for are left out.
     """
     blocks: list[list[tuple[int, str]]] = [[]]
     size = whole = 0
     for row in pick(benchmark, "item_id", "text").filter("text is not null").distinct().toLocalIterator():
         text = normalised(row["text"])
-        if not text:
+        if not is_searched(text):
             continue
         if blocks[-1] and whole + len(text) > PASS_CHARS:
             yield blocks
@@ -196,7 +206,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Returns doc_id, item_id, distance (edits of the normalised texts), start_char and
     end_char (code points of the whole words that hold the match).  Of overlapping
     matches of one item the nearest counts, of equally near ones the first.  Null texts
-    and empty items match nothing, long texts are read whole; a null doc_id or item_id
+    and items of fewer than five words or twenty characters (without spaces: forty
+    characters) match nothing, long texts are read whole; a null doc_id or item_id
     is reported as such; repeated rows give repeated results; an empty table on either
     side gives no rows.
     """

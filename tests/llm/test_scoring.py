@@ -66,6 +66,16 @@ def test_contamination_of_documents(spark, docs):
     assert decontam.find_contamination(docs(rows), benchmark.limit(0)).count() == 0
 
 
+def test_short_items_are_not_searched_for(spark, docs):
+    items = ["yes", "a", "is fine", "", "one two three four", "one two three four five", "四十二" * 13, "四十二" * 14, "it is a b c"]
+    assert [decontam.is_searched(decontam.normalised(x)) for x in items] == [False, False, False, False, False, True, False, True, False]
+    benchmark = spark.createDataFrame([(i, x) for i, x in enumerate(items)], "item_id long, text string")
+    rows = [(1, "Yes, a banana eyes data is fine"), (2, "one two three four five six"), (3, "四十二" * 20)]
+    left = {r["doc_id"]: r["text"] for r in decontam.without_contamination(docs(rows), benchmark).collect()}
+    assert left == {1: rows[0][1], 2: " six"}
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.find_contamination(docs(rows), benchmark).collect()} == {(2, 5), (3, 7)}
+
+
 def test_sliding_entropy_equals_direct():
     data = np.frombuffer((prose(1, 40) + "a" * 80 + "é").encode(), dtype=np.uint8)
     got = digest.window_entropies(data)
