@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bloom_filter, change_with_few, filter_rows, pick
 from .near_dup import SHINGLE_WORDS, SIMILARITY, link_members
-from .words import MinHasher, PassageHashes, Words, shingles_in, slices, words_in
+from .words import MinHasher, PassageHashes, Words, copy_of, shingles_in, slices, words_in
 
 BANDS, ROWS = 20, 5
 MIN_WORDS = 20
@@ -93,24 +93,26 @@ def paragraph_signatures(words: Words, firsts: np.ndarray, sizes: np.ndarray, ha
 
 
 def passage_keys(docs: DataFrame) -> DataFrame:
-    """key and proof (hashes of the words), sig (null for a sample), start, size in words, again, doc_id.
+    """key and proof (hashes of the words), sig (null for a sample), start, size in words, again, doc_id, copy.
 
-    ``again`` marks a sample that an earlier place of the same text has.
+    ``again`` marks a sample that an earlier place of the same text has; ``copy`` tells
+    apart the texts of rows with one doc_id.
     """
-    names = ["key", "proof", "sig", "start", "size", "again", "doc_id"]
+    names = ["key", "proof", "sig", "start", "size", "again", "doc_id", "copy"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(BANDS * ROWS, seed=7)
 
-        def rows(words: Words, hashes: tuple[PassageHashes, PassageHashes], ids: np.ndarray, at: np.ndarray, sizes: np.ndarray, key: np.ndarray, again: np.ndarray, sig: pa.Array) -> pa.RecordBatch:
+        def rows(words: Words, hashes: tuple[PassageHashes, PassageHashes], ids: np.ndarray, copies: np.ndarray, at: np.ndarray, sizes: np.ndarray, key: np.ndarray, again: np.ndarray, sig: pa.Array) -> pa.RecordBatch:
             proof = (hashes[1].of(at, sizes) >> np.uint64(33)).astype(np.int32)
             text = words.text[at]
-            columns = [key.view(np.int64), proof, sig, (at - words.bounds[text]).astype(np.int32), sizes.astype(np.int32), again, ids[text]]
+            columns = [key.view(np.int64), proof, sig, (at - words.bounds[text]).astype(np.int32), sizes.astype(np.int32), again, ids[text], copies[text]]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
         for batch in batches:
             for offset, texts in slices(batch.column(1)):
                 ids = batch.column(0).slice(offset, len(texts)).to_numpy()
+                copies = np.array([copy_of(text.as_buffer()) for text in texts], dtype=np.int64)
                 words = words_in(texts)
                 hashes = PassageHashes(words.hashes), PassageHashes(words.hashes, 1)
                 runs = np.arange(max(0, len(words.hashes) - MIN_WORDS + 1))
@@ -120,14 +122,14 @@ def passage_keys(docs: DataFrame) -> DataFrame:
                 order = np.lexsort((at, key, text))
                 again = np.zeros(len(at), dtype=bool)
                 again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
-                yield rows(words, hashes, ids, at, np.full(len(at), MIN_WORDS), key, again, pa.nulls(len(at), pa.binary()))
+                yield rows(words, hashes, ids, copies, at, np.full(len(at), MIN_WORDS), key, again, pa.nulls(len(at), pa.binary()))
                 firsts, sizes = paragraphs_in(words)
                 sigs = paragraph_signatures(words, firsts, sizes, hasher)
                 sig = pa.array([x.tobytes() for x in sigs], pa.binary())
-                yield rows(words, hashes, ids, firsts, sizes, hashes[0].of(firsts, sizes), np.zeros(len(firsts), dtype=bool), sig)
+                yield rows(words, hashes, ids, copies, firsts, sizes, hashes[0].of(firsts, sizes), np.zeros(len(firsts), dtype=bool), sig)
 
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
-    return texts.mapInArrow(scan, "key long, proof int, sig binary, start int, size int, again boolean, doc_id long")
+    return texts.mapInArrow(scan, "key long, proof int, sig binary, start int, size int, again boolean, doc_id long, copy long")
 
 
 def _paragraph_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -168,33 +170,44 @@ def _members(keyed: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
-    """doc_id, start, size (words) and original (doc_id of the first copy), as a written table.
+    """doc_id, copy, start, size (words) and original (doc_id of the first copy), as a written table.
 
     Samples of a long passage overlap, and paragraphs may hold them: spans are to be
-    joined.  A paragraph is listed if it isn't the first of its component.  Null ids
-    and texts take no part; an empty table has no passages.
+    joined.  A paragraph is listed if it isn't the first of its component.  Rows with
+    one doc_id and different texts are documents of their own, told apart by ``copy``
+    (``copy_of`` the text), whose order is theirs.  Null ids and texts take no part; an
+    empty table has no passages.
     """
     scratch = Scratch(docs.sparkSession, "passages")
     keys = scratch.save("keys", passage_keys(docs))
-    told = keys.filter("sig is null").select("key", "proof", "doc_id", "start", "again")
+    told = keys.filter("sig is null").select("key", "proof", "doc_id", "copy", "start", "again")
     once = told.filter("not again").drop("again")
     # within a text the first place of a sample may still repeat another text's
-    counts = once.groupBy("key", "proof").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last"), F.max_by("start", "doc_id").alias("start"), F.count(F.lit(1)).alias("n"))
-    repeats = scratch.save("repeats", counts.filter("original <> last"))
-    span = ["doc_id", "start", F.lit(MIN_WORDS).alias("size"), "original"]
-    # the later of two places is known from the count; only samples of more places are looked up
-    pairs = repeats.filter("n = 2").withColumn("doc_id", F.col("last")).select(*span)
-    more = repeats.filter("n > 2").select("key", "proof", "original")
-    rest = filter_rows(once, 0, bloom_filter(more.select("key"))).join(more, ["key", "proof"]).filter("doc_id <> original").select(*span)
+    counts = once.groupBy("key", "proof").agg(
+        F.min("doc_id").alias("original"), F.max("doc_id").alias("last"), F.max_by("start", "doc_id").alias("start"), F.max_by("copy", "doc_id").alias("copy"),
+        F.min("copy").alias("least"), F.max("copy").alias("most"), F.count(F.lit(1)).alias("n"),
+    )
+    repeats = scratch.save("repeats", counts.filter("original <> last or least <> most"))
+    span = ["doc_id", "copy", "start", F.lit(MIN_WORDS).alias("size"), "original"]
+    # the later of two places is known from the count; only samples of more places, or of one id's texts, are looked up
+    pairs = repeats.filter("n = 2 and original <> last").withColumn("doc_id", F.col("last")).select(*span)
+    more = repeats.filter("n > 2 or original = last").select("key", "proof", "original")
+    placed = filter_rows(once, 0, bloom_filter(more.select("key"))).join(more, ["key", "proof"])
+    rest = placed.filter("doc_id <> original").select(*span)
+    doubled = keys.groupBy("doc_id").agg(F.min("copy").alias("least"), F.max("copy").alias("most")).filter("least <> most")
+    if not doubled.isEmpty():  # of several texts of the first doc_id the first keeps the sample
+        own = placed.filter("doc_id = original").select("key", "proof", *span)
+        heads = own.groupBy("key", "proof").agg(F.min("copy").alias("head"))
+        rest = rest.unionByName(own.join(heads, ["key", "proof"]).filter("copy <> head").select("doc_id", "copy", "start", "size", "original"))
     samples = scratch.save("samples", pairs.unionByName(rest).unionByName(told.filter("again").withColumn("original", F.col("doc_id")).select(*span)))
     scratch.drop("repeats")
-    place = F.struct("doc_id", "start", "size")
+    place = F.struct("doc_id", "copy", "start", "size")
     paragraphs = keys.filter("sig is not null").withColumnRenamed("key", "rep")
     classes = paragraphs.groupBy("rep").agg(F.min(F.struct(place.alias("first"), "proof")).alias("head"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
     classes = scratch.save("classes", classes.select("rep", F.col("head.first").alias("first"), F.col("head.proof").alias("proof"), "sig", "n"))
     bands = F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)) for b in range(BANDS))))
     # the samples and signatures, most of the keys' table, aren't read any more
-    paragraphs = scratch.save("paragraphs", paragraphs.select("rep", "proof", "doc_id", "start", "size"))
+    paragraphs = scratch.save("paragraphs", paragraphs.select("rep", "proof", "doc_id", "copy", "start", "size"))
     scratch.drop("keys")
     members = scratch.save("members", _members(classes.select(bands.alias("key"), "rep"), scratch))
     scratch.drop("shared")
@@ -205,8 +218,8 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
     # a paragraph that shares its class' hash but not the proof stays
     repeated = paragraphs.join(grouped.join(keeper, "component").select("rep", "proof", "keeper"), ["rep", "proof"])
-    repeated = repeated.filter((F.col("doc_id") != F.col("keeper.doc_id")) | (F.col("start") != F.col("keeper.start")))
-    found = scratch.save("found", samples.unionByName(repeated.select("doc_id", "start", "size", F.col("keeper.doc_id").alias("original"))))
+    repeated = repeated.filter((F.col("doc_id") != F.col("keeper.doc_id")) | (F.col("copy") != F.col("keeper.copy")) | (F.col("start") != F.col("keeper.start")))
+    found = scratch.save("found", samples.unionByName(repeated.select("doc_id", "copy", "start", "size", F.col("keeper.doc_id").alias("original"))))
     scratch.keep("found")
     return found
 
@@ -227,23 +240,24 @@ def cut_text(text: str | None, spans: list[dict]) -> tuple[str | None, int, int,
     if text is None:
         return None, 0, 0, 0, []
     data = text.encode("utf-8", "surrogatepass")
+    own = copy_of(data) if spans else 0
+    spans = [x for x in spans if x["copy"] == own]
     if not spans:
         return text, len(data.split()), 0, 0, []
     starts, ends = word_spans(data)
-    # a row that repeats a doc_id with a shorter text has fewer words
-    ranges = [(a, min(b, len(starts))) for a, b in removed_ranges(spans) if a < len(starts)]
+    ranges = removed_ranges(spans)
     kept, at = [], 0
     for a, b in ranges:
         kept.append(data[at : starts[a]])
         at = int(ends[b - 1])
     kept.append(data[at:])
-    used = {x["original"] for x in spans if x["start"] < len(starts)}
+    used = {x["original"] for x in spans}
     return b"".join(kept).decode("utf-8", "surrogatepass"), len(starts), sum(b - a for a, b in ranges), len(ranges), sorted(used)
 
 
 def _spans_by_document(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id and its spans, which are no more than its own text has places for."""
-    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "original")).alias("spans"))
+    """doc_id and its spans, which are no more than its own texts have places for."""
+    spans = repeated_passages(docs, percent).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "start", "size", "original")).alias("spans"))
     return Scratch(docs.sparkSession, "spans").save("spans", spans)
 
 
@@ -259,8 +273,10 @@ def remove_repeats(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     (sorted doc_ids whose passages were repeated).  Earlier means a smaller doc_id,
     or the same document, earlier start.  Null texts stay null with no words; long
     ones are read whole.  Of equal passages in one document the first counts as the
-    earlier.  Rows that repeat a doc_id count as one document and lose the same words
-    of each text; a null doc_id takes no part.  An empty table gives no rows.
+    earlier.  Equal rows count as one document; rows with one doc_id and different
+    texts are documents of their own, each cut by its own words, and of them that with
+    the smaller hash of its text is the earlier.  A null doc_id takes no part.  An
+    empty table gives no rows.
     """
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

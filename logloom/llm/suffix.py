@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, bloom_filter, change_with_few, filter_rows, maybe_in, pick, tasks_for, text_or_empty
-from .words import mix
+from .words import copy_of, mix
 
 LENGTH, GRAM = 100, 32
 #: Grams of one string.
@@ -79,20 +79,20 @@ def triggers(data: np.ndarray, phrases: bool = True) -> tuple[np.ndarray, np.nda
 
 
 def parse(texts: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
-    """gram, phrase, doc_id, place, first, last, hot: every phrase of every text.
+    """gram, phrase, doc_id, copy, place, first, last, hot: every phrase of every text.
 
     ``hot`` is a Bloom filter of frequent triggers; one that it lets through by
     mistake is dealt like them, with the same result.
     """
-    names = ["gram", "phrase", "doc_id", "place", "first", "last", "hot"]
+    names = ["gram", "phrase", "doc_id", "copy", "place", "first", "last", "hot"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
+            columns: list[list] = [[] for _ in range(7)]
             held = 0
 
             def out() -> pa.RecordBatch:
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 arrays = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types)]
                 for c in columns:
                     c.clear()
@@ -100,8 +100,9 @@ def parse(texts: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
                 return pa.RecordBatch.from_arrays([*arrays, pa.array(marked)], names=names)
 
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                gram, place, first, last, phrase = triggers(np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8))
-                for column, x in zip(columns, (gram.view(np.int64), phrase.view(np.int64), np.full(len(place), doc, np.int64), place.astype(np.int32), first.astype(np.int32), last.astype(np.int32))):
+                data = text.as_buffer()
+                gram, place, first, last, phrase = triggers(np.frombuffer(data, dtype=np.uint8))
+                for column, x in zip(columns, (gram.view(np.int64), phrase.view(np.int64), np.full(len(place), doc, np.int64), np.full(len(place), copy_of(data), np.int64), place.astype(np.int32), first.astype(np.int32), last.astype(np.int32))):
                     column.append(x)
                 held += len(place)
                 if held > PARSED_ROWS:
@@ -110,7 +111,7 @@ def parse(texts: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
             yield out()
 
     long = texts.filter((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-    return long.mapInArrow(scan, "gram long, phrase long, doc_id long, place int, first int, last int, hot boolean")
+    return long.mapInArrow(scan, "gram long, phrase long, doc_id long, copy long, place int, first int, last int, hot boolean")
 
 
 def phrase_bytes(texts: DataFrame, unsure: DataFrame) -> DataFrame:
@@ -122,16 +123,18 @@ def phrase_bytes(texts: DataFrame, unsure: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for doc, text, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 data = text.as_py().encode("utf-8", "surrogatepass")
+                own = copy_of(data)
                 for m in marks.as_py():
-                    rows.append((m["gram"], doc, m["place"], m["first"], m["last"], data[m["first"] : m["last"] + LENGTH].ljust(size, b"\0")))
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            names = ["gram", "doc_id", "place", "first", "last", "bytes"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=names)
+                    if m["copy"] == own:
+                        rows.append((m["gram"], doc, own, m["place"], m["first"], m["last"], data[m["first"] : m["last"] + LENGTH].ljust(size, b"\0")))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            names = ["gram", "doc_id", "copy", "place", "first", "last", "bytes"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 7, types)], names=names)
 
-    marks = unsure.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place", "first", "last")).alias("marks"))
+    marks = unsure.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "copy", "place", "first", "last")).alias("marks"))
     held = filter_rows(texts, 0, bloom_filter(unsure.select("doc_id")))
     joined = held.join(marks, "doc_id").select("doc_id", "text", "marks")
-    return joined.mapInArrow(cut, "gram long, doc_id long, place int, first int, last int, bytes binary")
+    return joined.mapInArrow(cut, "gram long, doc_id long, copy long, place int, first int, last int, bytes binary")
 
 
 def repeated_suffixes(gram: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -158,24 +161,24 @@ def repeated_suffixes(gram: np.ndarray, place: np.ndarray, first: np.ndarray, la
 
 
 def resolve_phrases(phrases: DataFrame, tasks: int) -> DataFrame:
-    """doc_id, first, last of strings that an earlier phrase under the same trigger holds."""
+    """doc_id, copy, first, last of strings that an earlier phrase under the same trigger holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-            gram, doc, place, first, last = (batch.column(i).to_numpy() for i in range(5))
-            data = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8).reshape(len(gram), -1)
+            gram, doc, copy, place, first, last = (batch.column(i).to_numpy() for i in range(6))
+            data = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8).reshape(len(gram), -1)
             # a repeated row isn't earlier than itself
             new = np.ones(len(gram), dtype=bool)
-            new[1:] = (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1]) | (data[1:] != data[:-1]).any(axis=1)
-            gram, doc, place, first, last, data = (x[new] for x in (gram, doc, place, first, last, data))
+            new[1:] = (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (place[1:] != place[:-1]) | (data[1:] != data[:-1]).any(axis=1)
+            gram, doc, copy, place, first, last, data = (x[new] for x in (gram, doc, copy, place, first, last, data))
             found = np.pad(repeated_suffixes(gram, place, first, last, data), ((0, 0), (1, 1))).astype(np.int8)
             step = np.diff(found, axis=1)
             row, low = np.nonzero(step == 1)
             _, high = np.nonzero(step == -1)
-            columns = [pa.array(doc[row]), pa.array((place[row] - high + 1).astype(np.int32)), pa.array((place[row] - low).astype(np.int32))]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "first", "last"])
+            columns = [pa.array(doc[row]), pa.array(copy[row]), pa.array((place[row] - high + 1).astype(np.int32)), pa.array((place[row] - low).astype(np.int32))]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "first", "last"])
 
         for batch in batches:  # a gram may go on in the next batch
             if not batch.num_rows:
@@ -192,39 +195,39 @@ def resolve_phrases(phrases: DataFrame, tasks: int) -> DataFrame:
         if held:
             yield emit(pa.concat_batches(held))
 
-    ordered = phrases.repartition(tasks, "gram").sortWithinPartitions("gram", "doc_id", "place")
-    return ordered.mapInArrow(run, "doc_id long, first int, last int")
+    ordered = phrases.repartition(tasks, "gram").sortWithinPartitions("gram", "doc_id", "copy", "place")
+    return ordered.mapInArrow(run, "doc_id long, copy long, first int, last int")
 
 
 def hot_strings(phrases: DataFrame) -> DataFrame:
-    """gram, back, digest, doc_id, place: every string of the phrases, by distance from its trigger."""
+    """gram, back, digest, doc_id, copy, place: every string of the phrases, by distance from its trigger."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, doc, place, first, last = (batch.column(i).to_pylist() for i in range(5))
+            gram, doc, copy, place, first, last = (batch.column(i).to_pylist() for i in range(6))
             for base in range(0, batch.num_rows, 1000):  # bounds the rows that one batch gives
                 rows = []
                 for i in range(base, min(base + 1000, batch.num_rows)):
-                    data = batch.column(5)[i].as_py()
+                    data = batch.column(6)[i].as_py()
                     for at in range(last[i] - first[i] + 1):
                         digest = hashlib.blake2b(data[at : at + LENGTH], digest_size=16).digest()
-                        rows.append((gram[i], place[i] - first[i] - at, digest, doc[i], place[i]))
-                types = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types)], names=["gram", "back", "digest", "doc_id", "place"])
+                        rows.append((gram[i], place[i] - first[i] - at, digest, doc[i], copy[i], place[i]))
+                types = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=["gram", "back", "digest", "doc_id", "copy", "place"])
 
-    return phrases.mapInArrow(run, "gram long, back int, digest binary, doc_id long, place int")
+    return phrases.mapInArrow(run, "gram long, back int, digest binary, doc_id long, copy long, place int")
 
 
 def resolve_hot(phrases: DataFrame, scratch: Scratch) -> DataFrame:
     """As ``resolve_phrases``, with a gram's strings dealt over all tasks by 128-bit digest."""
     strings = scratch.save("strings", hot_strings(phrases))
     key = ["gram", "back", "digest"]
-    heads = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "place")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = strings.join(heads, key).filter((F.col("doc_id") != F.col("head.doc_id")) | (F.col("place") != F.col("head.place")))
-    found = found.select("doc_id", "place", "back").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id", "place").orderBy("back"))
-    runs = found.withColumn("run", F.col("back") - nth).groupBy("doc_id", "place", "run").agg(F.min("back").alias("low"), F.max("back").alias("high"))
-    return runs.select("doc_id", (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last"))
+    heads = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "copy", "place")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = strings.join(heads, key).filter((F.col("doc_id") != F.col("head.doc_id")) | (F.col("copy") != F.col("head.copy")) | (F.col("place") != F.col("head.place")))
+    found = found.select("doc_id", "copy", "place", "back").distinct()
+    nth = F.row_number().over(Window.partitionBy("doc_id", "copy", "place").orderBy("back"))
+    runs = found.withColumn("run", F.col("back") - nth).groupBy("doc_id", "copy", "place", "run").agg(F.min("back").alias("low"), F.max("back").alias("high"))
+    return runs.select("doc_id", "copy", (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last"))
 
 
 def frequent_grams(texts: DataFrame) -> DataFrame:
@@ -248,7 +251,7 @@ def frequent_grams(texts: DataFrame) -> DataFrame:
 
 
 def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id and first and last start of runs of repeated strings."""
+    """doc_id, copy and first and last start of runs of repeated strings."""
     frequent = scratch.save("frequent", frequent_grams(texts))
     some = not frequent.isEmpty()
     parsed = parse(texts, bloom_filter(frequent) if some else None)
@@ -256,19 +259,19 @@ def repeated_strings(texts: DataFrame, scratch: Scratch) -> DataFrame:
     deal = F.xxhash64("phrase", F.pmod(F.xxhash64("doc_id"), F.lit(tasks_for(texts.sparkSession))))
     parsed = parsed.withColumn("deal", F.when(F.col("hot"), deal).otherwise(F.lit(0)))
     by_gram = Window.partitionBy("gram", "deal")
-    order = Window.partitionBy("gram", "deal", "phrase").orderBy("doc_id", "place")
+    order = Window.partitionBy("gram", "deal", "phrase").orderBy("doc_id", "copy", "place")
     parsed = parsed.withColumn("low", F.min("phrase").over(by_gram)).withColumn("high", F.max("phrase").over(by_gram)).withColumn("nth", F.dense_rank().over(order))
-    known = parsed.filter("nth > 1 or low <> high or hot").select("gram", "phrase", "doc_id", "place", "first", "last", (F.col("nth") > 1).alias("repeats"), "hot")
+    known = parsed.filter("nth > 1 or low <> high or hot").select("gram", "phrase", "doc_id", "copy", "place", "first", "last", (F.col("nth") > 1).alias("repeats"), "hot")
     known = scratch.save("phrases", known)
-    whole = known.filter("repeats").select("doc_id", "first", "last")
+    whole = known.filter("repeats").select("doc_id", "copy", "first", "last")
     few = phrase_bytes(texts, known.filter("not repeats and not hot"))
     found = whole.unionByName(scratch.save("resolved", resolve_phrases(few, tasks_for(texts.sparkSession))))
     if not some:
         return found
     # no more rows of a phrase than there are deals
-    nth = F.dense_rank().over(Window.partitionBy("gram", "phrase").orderBy("doc_id", "place"))
+    nth = F.dense_rank().over(Window.partitionBy("gram", "phrase").orderBy("doc_id", "copy", "place"))
     firsts = scratch.save("firsts", known.filter("not repeats and hot").withColumn("nth", nth))
-    found = found.unionByName(firsts.filter("nth > 1").select("doc_id", "first", "last"))
+    found = found.unionByName(firsts.filter("nth > 1").select("doc_id", "copy", "first", "last"))
     return found.unionByName(scratch.save("hot", resolve_hot(phrase_bytes(texts, firsts.filter("nth = 1")), scratch)))
 
 
@@ -279,18 +282,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         docs: doc_id and text; other columns are ignored.
 
     Returns a row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed
-    runs), kept_sha256 (of the remaining bytes).  Null texts are empty.  Rows that
-    repeat a doc_id count as that document; a null doc_id takes no part.  An empty
-    table gives no rows.
+    runs), kept_sha256 (of the remaining bytes).  Null texts are empty.  Equal rows
+    count as one document; rows with one doc_id and different texts are documents of
+    their own, of which that with the smaller hash of its text is the earlier.  A null
+    doc_id takes no part.  An empty table gives no rows.
     """
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             data, kept, at, removed, n = text.as_py().encode("utf-8", "surrogatepass"), hashlib.sha256(), 0, 0, 0
-            end = -1
-            for x in sorted((s["first"], s["last"]) for s in spans.as_py() or []):
-                start, stop = x[0], min(x[1] + LENGTH, len(data))
+            end, spans = -1, spans.as_py() or []
+            own = copy_of(data) if spans else 0
+            for start, last in sorted((s["first"], s["last"]) for s in spans if s["copy"] == own):
+                stop = last + LENGTH
                 if start > end:
                     if end >= 0:
                         removed += end - begin
@@ -307,7 +312,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     scratch = Scratch(docs.sparkSession, "suffix")
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty(F.col("text").cast("string")).alias("text"))
-    spans = repeated_strings(texts, scratch).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = repeated_strings(texts, scratch).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "first", "last")).alias("spans"))
     spans = scratch.save("spans", spans)
     scratch.keep("spans")
     return change_with_few(texts, "doc_id", spans, cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

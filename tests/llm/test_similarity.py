@@ -8,7 +8,7 @@ import pytest
 from logloom.llm import near_dup, substring, suffix, words
 from logloom.llm.common import Scratch
 from logloom.llm.components import components
-from logloom.llm.words import shingle_set, words_of
+from logloom.llm.words import copy_of, shingle_set, words_of
 
 from .conftest import prose
 
@@ -109,6 +109,21 @@ def test_repeated_passages_go_and_clean_texts_stay(docs):
     assert substring.remove_repeats(docs([])).count() == 0
 
 
+def test_rows_of_one_id_lose_only_their_own_words(docs):
+    a, b, c = prose(90, 90), prose(91, 90), prose(92, 60)
+    rows = [(1, a), (2, a), (2, b), (2, a), (3, f"{prose(93, 30)} {c}"), (3, f"{prose(94, 25)} {c} {prose(95, 25)}"), (4, c)]
+    got = [tuple(r) for r in substring.remove_repeats(docs(rows)).select("doc_id", "n_words", "n_removed", "n_spans", "originals").collect()]
+    assert sorted(x for x in got if x[0] < 3) == [(1, 90, 0, 0, []), (2, 90, 0, 0, []), (2, 90, 90, 1, [1]), (2, 90, 90, 1, [1])]
+    twins = sorted(x for x in got if x[0] == 3)
+    assert sorted(x[2] > 0 for x in twins) == [False, True] and all(x[2] <= 60 for x in twins)
+    last = next(x for x in got if x[0] == 4)
+    assert last[2] > 60 - 2 * substring.CUT_WINDOW and last[3:] == (1, [3])
+    left = sorted((r["doc_id"], r["text"]) for r in substring.without_repeats(docs(rows[:3])).collect())
+    assert left == [(1, a), (2, b)]
+    strings = suffix.remove_repeats(docs([(1, "p" * 50 + a), (2, "q" * 60 + a), (2, "short text"), (2, b)])).collect()
+    assert sorted((r["doc_id"], r["n_removed"], r["n_spans"]) for r in strings) == [(1, 0, 0), (2, 0, 0), (2, 0, 0), (2, len(a), 1)]
+
+
 def test_paragraph_bands_reach_their_recall():
     hasher = words.MinHasher(substring.BANDS * substring.ROWS, seed=7)
     draw, near, far = random.Random(4), [], []
@@ -188,12 +203,13 @@ def brute_strings(rows):
         for i in range(len(data) - 99):
             if doc is not None:
                 key = data[i : i + 100]
-                earliest[key] = min(earliest.get(key, (doc, i)), (doc, i))
+                place = (doc, copy_of(data), i)
+                earliest[key] = min(earliest.get(key, place), place)
     out = []
     for doc, data in rows:
         gone = bytearray(len(data))
         for i in range(len(data) - 99):
-            if doc is not None and earliest[data[i : i + 100]] < (doc, i):
+            if doc is not None and earliest[data[i : i + 100]] < (doc, copy_of(data), i):
                 gone[i : i + 100] = b"\1" * 100
         kept = bytes(x for x, g in zip(data, gone) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
@@ -206,7 +222,7 @@ def test_exact_repeats_equal_brute_force(docs, seed):
     draw = random.Random(seed)
     parts = [prose(i, 25) for i in range(6)] + ["a" * 260, "ab" * 150, "é" * 99, "\0" * 130, "x"]
     rows = [(i, "".join(draw.choice(parts)[draw.randrange(40) :] for _ in range(draw.randrange(1, 6)))) for i in range(50)]
-    rows += [(60, None), (61, ""), (62, "y" * 99), (62, "y" * 99), (63, parts[0]), (63, parts[0]), (None, parts[0])]
+    rows += [(3, parts[0] + parts[1]), (3, parts[1]), (60, parts[2]), (60, parts[2][:150] + "!"), (60, None), (61, ""), (62, "y" * 99), (62, "y" * 99), (63, parts[0]), (63, parts[0]), (None, parts[0])]
     got = sorted((tuple(r) for r in suffix.remove_repeats(docs(rows)).collect()), key=repr)
     assert got == sorted(brute_strings(rows), key=repr)
 
