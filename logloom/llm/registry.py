@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, digest, licenses, near_dup, packing, repair, substring, suffix, toxicity, warc
+from . import chat, decontam, digest, licenses, near_dup, packing, pii, repair, substring, suffix, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -162,6 +162,10 @@ FROM convs JOIN ended USING (id) LEFT JOIN counted USING (id) LEFT JOIN told USI
 """
 
 
+def op12_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_paragraph_minhash": op1_paragraph_minhash,
@@ -175,6 +179,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_multi_index_hamming": op9_multi_index_hamming,
         "op10_reply_trees": op10_reply_trees,
         "op11_recursive_repair": op11_recursive_repair,
+        "op12_anchor_expansion": op12_anchor_expansion,
     }
 
 
