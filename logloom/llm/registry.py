@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, digest, licenses, near_dup, packing, pii, repair, substring, suffix, toxicity, warc
+from . import chat, decontam, digest, licenses, near_dup, packing, phrases, pii, repair, substring, suffix, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -166,6 +166,34 @@ def op12_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.find_phrases(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH piece AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part FROM documents)
+), gram AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS g, count(*) AS f FROM piece, range(1, 6) s(k), unnest(range(1, len(w) - k + 2)) u(i) GROUP BY ALL
+), total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+often AS (SELECT * FROM gram WHERE f >= 100),
+held AS (
+  SELECT lang, g, max(f) AS most FROM (
+    SELECT lang, list_slice(g, 1, len(g) - 1) AS g, f FROM often WHERE len(g) > 2 UNION ALL SELECT lang, list_slice(g, 2, len(g)), f FROM often WHERE len(g) > 2
+  ) GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM often c, unnest(range(1, len(g))) u(k) JOIN often x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k) JOIN often y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, len(c.g)) JOIN total ON total.lang = c.lang
+), best AS (SELECT lang, g, a, n, min((score, k, l, r)) AS m FROM cuts GROUP BY ALL),
+named AS (
+  SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, m[3] AS l, m[4] AS r, n, m[1] AS score
+  FROM best LEFT JOIN held ON held.lang = best.lang AND held.g = best.g WHERE most IS NULL OR most < a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named) WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_paragraph_minhash": op1_paragraph_minhash,
@@ -180,6 +208,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_reply_trees": op10_reply_trees,
         "op11_recursive_repair": op11_recursive_repair,
         "op12_anchor_expansion": op12_anchor_expansion,
+        "op13_phrase_mining": op13_phrase_mining,
     }
 
 
@@ -188,4 +217,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_round_trip": OP4_SQL,
         "op10_reply_trees": OP10_SQL,
         "op11_recursive_repair": OP11_SQL,
+        "op13_phrase_mining": OP13_SQL,
     }

@@ -56,7 +56,7 @@ class Words:
     hashes: np.ndarray
 
 
-def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sizes = ends - starts
     padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
     eight = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), shape=(len(padded) - 7,), strides=(1,))
@@ -92,7 +92,7 @@ def words_in(texts: pa.Array) -> Words:
     starts, ends = np.flatnonzero(first), np.flatnonzero(last)
     bounds = np.searchsorted(starts, offsets)
     text = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    return Words(data, starts, ends, text, bounds, _word_hashes(data, starts, ends))
+    return Words(data, starts, ends, text, bounds, word_hashes(data, starts, ends))
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
