@@ -131,9 +131,8 @@ def last_value(log: DataFrame, kind: str, column: str, default: str | None = Non
 
 
 def current_todos(log: DataFrame, column: str = "items") -> DataFrame:
-    """The last list of a session; a later turn start clears it."""
-    latest = log.filter(_is("todo/update", "turn/start")).groupBy("session_id").agg(F.max_by(F.when(_is("todo/update"), F.col(column)), "seq").alias(column))
-    return latest
+    """The list that a session wrote last; a later turn start clears it."""
+    return log.filter(_is("todo/write", "turn/start")).groupBy("session_id").agg(F.max_by(F.when(_is("todo/write"), F.col(column)), "seq").alias(column))
 
 
 def open_step_provider(log: DataFrame) -> DataFrame:
@@ -173,7 +172,7 @@ def subagent_timing(log: DataFrame) -> DataFrame:
 
 def child_catalog(log: DataFrame) -> DataFrame:
     """Child facts behind the inherited part of a log, in order (reads child_id, seed_length)."""
-    own = log.filter(_is("subagent/child") & (F.col("seq") >= F.coalesce("seed_length", F.lit(0))))
+    own = log.filter(_is("subagent/catalog") & (F.col("seq") >= F.coalesce("seed_length", F.lit(0))))
     return own.groupBy("session_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", "child_id"))), lambda x: x["child_id"]).alias("children"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.sources.scratch import written
@@ -91,8 +91,29 @@ def replacement_chains(folded: DataFrame) -> DataFrame:
 
 
 def fork(log: DataFrame, session_id: str, boundary: int, new_id: str) -> DataFrame:
-    """A new session: the events up to ``boundary`` and a marker behind them."""
+    """A new session: the events up to ``boundary``, the end of the seed, and closers.
+
+    Reads time, turn, step and call_id.  The marker takes the boundary event's time.  If
+    the seed's last turn is open, results of its unanswered calls follow in the calls'
+    order, then the end of its open step and of the turn, with reason "forked".
+    """
     prefix = log.filter((F.col("session_id") == session_id) & (F.col("seq") <= boundary)).withColumn("session_id", F.lit(new_id).cast(log.schema["session_id"].dataType))
-    last = prefix.groupBy("session_id").agg(F.max("seq").alias("seq"), F.max("time").alias("time"))
-    marker = last.select("session_id", (F.col("seq") + 1).alias("seq"), F.lit("session/fork").alias("type"), "time")
-    return prefix.unionByName(marker, allowMissingColumns=True)
+    marks = prefix.groupBy("session_id").agg(
+        F.max("seq").alias("last"), F.max_by("time", "seq").alias("time"),
+        F.max(F.when(F.col("type").isin("turn/start", "turn/end"), F.struct("seq", "type", "turn"))).alias("turned"), F.max(F.when(F.col("type").isin("step/start", "step/end"), F.struct("seq", "type", "step"))).alias("stepped"),
+    )
+    marks = marks.withColumn("open", F.coalesce(F.col("turned.type") == "turn/start", F.lit(False)))
+    marker = marks.select("session_id", (F.col("last") + 1).alias("seq"), F.lit("session/end-seed").alias("type"), "time")
+    # one session's open turn: the last event of each of its calls is the call itself
+    turn = prefix.join(marks.filter("open").select("session_id", F.col("turned.seq").alias("from")), "session_id").filter(F.col("type").isin("tool/call", "tool/result") & (F.col("seq") > F.col("from")))
+    unanswered = turn.groupBy("session_id", "call_id").agg(F.max_by("type", "seq").alias("state"), F.max("seq").alias("at")).filter("state = 'tool/call'")
+    nth = F.row_number().over(Window.partitionBy("session_id").orderBy("at"))
+    results = unanswered.join(marks, "session_id").select("session_id", (F.col("last") + 1 + nth).alias("seq"), F.lit("tool/result").alias("type"), "time", "turned.turn", "stepped.step", "call_id", F.lit("forked").alias("reason"))
+    waiting = unanswered.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = marks.filter("open").join(waiting, "session_id", "left").withColumn("at", F.col("last") + 2 + F.coalesce("n", F.lit(0)))
+    in_step = F.coalesce((F.col("stepped.type") == "step/start") & (F.col("stepped.seq") > F.col("turned.seq")), F.lit(False))
+    steps = ends.filter(in_step).select("session_id", F.col("at").alias("seq"), F.lit("step/end").alias("type"), "time", "turned.turn", "stepped.step", F.lit("forked").alias("reason"))
+    turns = ends.select("session_id", (F.col("at") + in_step.cast("int")).alias("seq"), F.lit("turn/end").alias("type"), "time", "turned.turn", F.lit("forked").alias("reason"))
+    for more in (marker, results, steps, turns):
+        prefix = prefix.unionByName(more, allowMissingColumns=True)
+    return prefix

@@ -12,8 +12,11 @@ from logloom.functions.text import join_text
 
 K1, B = 1.2, 0.75
 DEFAULT_LIMIT = 100
-#: Events whose text is worth finding.
-TEXT_TYPES = ("user/message", "assistant/message", "system/message", "tool/result", "session/title")
+#: Columns of a log that hold something to search for, by what they are.
+TEXT_COLUMNS = {
+    "blocks": "array<struct<type: string, text: string, name: string, arguments: string>>", "name": "string", "arguments": "string", "error": "struct<name: string, code: string>",
+    "todos": "array<struct<status: string, content: string>>", "reason": "struct<kind: string, message: string>",
+}
 
 
 def tokens(text: Column) -> Column:
@@ -21,15 +24,36 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), F.lit(r"[^\p{L}\p{N}]+")), lambda w: w != "")
 
 
-def event_text(blocks: Column) -> Column:
-    """Searchable text of content blocks: text and tool calls, not reasoning or unknown ones."""
-    part = lambda b: F.when(b["type"] == "text", b["text"]).when(b["type"] == "tool-call", F.concat_ws(" ", b["name"], b["arguments"]))
-    return join_text(F.transform(blocks, part))
+def block_parts(blocks: Column) -> Column:
+    """Searchable parts of content blocks: texts, names and arguments of tool calls; nothing of others."""
+    part = lambda b: F.when(b["type"] == "text", F.array(b["text"])).when(b["type"] == "tool-call", F.array(b["name"], b["arguments"]))
+    return F.flatten(F.filter(F.transform(blocks, part), lambda p: p.isNotNull()))
+
+
+def event_text(kind: Column, blocks: Column, name: Column, arguments: Column, error: Column, todos: Column, reason: Column) -> Column:
+    """Searchable text of an event, a trimmed part a line; empty for types that have none.
+
+    Messages give their texts and tool calls, calls their name and arguments, results
+    their content and error, todo lists status and content, ends of turns a reason other
+    than completion.  Null parts count as empty.
+    """
+    none = F.array().cast("array<string>")
+    listed = F.flatten(F.transform(todos, lambda t: F.array(t["status"], t["content"])))
+    ended = F.when(reason["kind"] == "error", F.array(F.lit("error"), reason["message"])).when(reason["kind"].isin("aborted", "max-tokens", "interrupted"), F.array(reason["kind"]))
+    parts = (
+        F.when(kind.isin("user/message", "assistant/message"), block_parts(blocks)).when(kind == "tool/call", F.array(name, arguments))
+        .when(kind == "tool/result", F.concat(F.coalesce(block_parts(blocks), none), F.array(error["name"], error["code"]))).when(kind == "todo/write", listed).when(kind == "turn/end", ended)
+    )
+    return join_text(F.coalesce(parts, none))
 
 
 def search_documents(log: DataFrame) -> DataFrame:
-    """session_id, seq, type, time, surface and text of events with text."""
-    return log.filter(F.col("type").isin(*TEXT_TYPES) & (F.coalesce("text", F.lit("")) != "")).select("session_id", "seq", "type", "time", "surface", "text")
+    """session_id, seq, type, time, surface and text of events with text.
+
+    Reads what ``TEXT_COLUMNS`` lists; a column that the log lacks counts as null.
+    """
+    given = [F.col(c) if c in log.columns else F.lit(None).cast(kind) for c, kind in TEXT_COLUMNS.items()]
+    return log.select("session_id", "seq", "type", "time", "surface", event_text(F.col("type"), *given).alias("text")).filter("text <> ''")
 
 
 def token_table(documents: DataFrame) -> DataFrame:

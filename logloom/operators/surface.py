@@ -72,12 +72,57 @@ def fold_surface(log: DataFrame) -> DataFrame:
     return rows.groupBy("session_id").applyInPandas(fold_session, FOLDED)
 
 
+def current_nodes(log: DataFrame, folded: DataFrame) -> DataFrame:
+    """The events of ``log`` that stand on the surface at its end, with their position."""
+    current = folded.filter(F.col("surface") == "current").select("session_id", "seq", "position")
+    return log.withColumn("session_id", F.col("session_id").cast("string")).join(current, ["session_id", "seq"])
+
+
 def context_breakdown(log: DataFrame, folded: DataFrame) -> DataFrame:
-    """System, tool and message tokens of the current surface (reads part, one of these three)."""
-    current = folded.filter(F.col("surface") == "current").select("session_id", "seq")
-    rows = log.select(F.col("session_id").cast("string").alias("session_id"), "seq", "part", "tokens").join(current, ["session_id", "seq"])
-    sums = [F.coalesce(F.sum(F.when(F.col("part") == p, F.col("tokens"))), F.lit(0)).cast("long").alias(f"{p}_tokens") for p in ("system", "tools", "message")]
-    return rows.groupBy("session_id").agg(*sums)
+    """System, tool and message tokens of the current surface of every session.
+
+    Reads type, tokens and, of request headers, tools_tokens.  The last system message
+    in surface order that has tokens is the system's; all else that is visible, also
+    other system messages, counts as messages; tools are those of the last header.
+    """
+    rows = current_nodes(log.select("session_id", "seq", "type", "tokens"), folded)
+    system = F.max_by("tokens", F.when((F.col("type") == "system/message") & (F.col("tokens") > 0), F.col("position")))
+    sums = rows.groupBy("session_id").agg(F.coalesce(system, F.lit(0)).cast("long").alias("system_tokens"), F.coalesce(F.sum("tokens"), F.lit(0)).cast("long").alias("all"))
+    tools = F.max_by("tools_tokens", F.when(F.col("type") == "request/header", F.col("seq")))
+    sessions = log.groupBy(F.col("session_id").cast("string").alias("session_id")).agg(F.coalesce(tools, F.lit(0)).cast("long").alias("tools_tokens"))
+    none = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    joined = sessions.join(sums, "session_id", "left")
+    return joined.select("session_id", none("system_tokens").alias("system_tokens"), "tools_tokens", (none("all") - none("system_tokens")).alias("message_tokens"))
+
+
+def surface_balance(log: DataFrame, folded: DataFrame) -> DataFrame:
+    """Open tool calls before and behind each event of the current surface, in its order.
+
+    Reads type and n_calls of assistant messages.  Returns session_id, seq, position,
+    open_before, open_behind and corrupt: a result before it had no call left, so its
+    session's surface can't be cut anywhere from there on.
+    """
+    rows = current_nodes(log.select("session_id", "seq", "type", "n_calls"), folded)
+    delta = F.when(F.col("type") == "assistant/message", F.coalesce("n_calls", F.lit(0))).when(F.col("type") == "tool/result", -1).otherwise(0)
+    order = Window.partitionBy("session_id").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("delta", delta.cast("long")).withColumn("open_behind", F.sum("delta").over(order))
+    return rows.select("session_id", "seq", "position", (F.col("open_behind") - F.col("delta")).alias("open_before"), "open_behind", (F.min("open_behind").over(order) < 0).alias("corrupt"))
+
+
+def surface_intervals(folded: DataFrame) -> DataFrame:
+    """session_id, seq and until of each surface event: visible from seq to before until (null: to the end)."""
+    return folded.filter(F.col("surface") != "log-only").select("session_id", "seq", F.col("shadowed_by").alias("until"))
+
+
+def visible_at(events: DataFrame, folded: DataFrame, target: str = "target_seq") -> DataFrame:
+    """``events`` with visible: whether ``target`` stood on the surface when the event came.
+
+    An as-of join of intervals on session and seq: no event meets more than one.
+    """
+    spans = surface_intervals(folded).withColumnsRenamed({"seq": target, "until": "_until"}).withColumn("_shown", F.lit(True))
+    joined = events.withColumn("session_id", F.col("session_id").cast("string")).join(spans, ["session_id", target], "left")
+    shown = F.col("_shown") & (F.col(target) < F.col("seq")) & (F.col("_until").isNull() | (F.col("_until") > F.col("seq")))
+    return joined.withColumn("visible", F.coalesce(shown, F.lit(False))).drop("_until", "_shown")
 
 
 def route_price(nodes: DataFrame, prices: list[dict]) -> DataFrame:
@@ -95,11 +140,52 @@ def route_price(nodes: DataFrame, prices: list[dict]) -> DataFrame:
     return each.groupBy("session_id", "route").agg(F.sum(total).cast("long").alias("tokens"))
 
 
-def offload_images(images: DataFrame, offloads: DataFrame, folded: DataFrame) -> DataFrame:
-    """Images (session_id, seq, index) with whether an offload of a current event marked them."""
-    current = folded.filter(F.col("surface") == "current").select("session_id", "seq")
-    marks = offloads.select("session_id", F.col("target_seq").alias("seq"), F.explode("indexes").alias("index")).join(current, ["session_id", "seq"], "left_semi").distinct()
-    return images.join(marks.withColumn("offloaded", F.lit(True)), ["session_id", "seq", "index"], "left").withColumn("offloaded", F.coalesce("offloaded", F.lit(False)))
+def refused_offloads(log: DataFrame, images: DataFrame, folded: DataFrame) -> DataFrame:
+    """session_id, seq and reason of each session's first image offload that breaks a rule.
+
+    ``log`` has session_id, seq, type and, of image offloads, targets (seq and indexes);
+    ``images`` has session_id, seq and index of every image.  Targets are at least one,
+    each once, on the surface at the offload, a user's message or a tool's result; their
+    indexes are at least one, rising from 0 or more, of images that exist and that no
+    earlier offload took.  Of several faults the first in this order is the reason.
+    """
+    log, images = (x.withColumn("session_id", F.col("session_id").cast("string")) for x in (log, images))
+    offloads = log.filter(F.col("type") == "image/offload").select("session_id", "seq", "targets")
+    seqs = F.transform("targets", lambda t: t["seq"])
+    rising = lambda x: F.size(x) == F.size(F.filter(x, lambda v, i: F.coalesce(v > F.coalesce(F.get(x, i - 1), F.lit(-1)), F.lit(False))))
+    unordered = F.exists("targets", lambda t: (F.coalesce(F.size(t["indexes"]), F.lit(-1)) <= 0) | ~F.coalesce(rising(t["indexes"]), F.lit(False)))
+    reason = F.when(F.coalesce(F.size("targets"), F.lit(-1)) <= 0, "no targets").when(F.size(F.array_distinct(seqs)) < F.size("targets"), "repeated target")
+    form = offloads.select("session_id", "seq", reason.alias("reason"), F.coalesce(unordered, F.lit(False)).alias("unordered"))
+    targets = visible_at(offloads.select("session_id", "seq", F.explode("targets").alias("t")).select("session_id", "seq", F.col("t.seq").alias("target_seq"), F.col("t.indexes").alias("indexes")), folded)
+    kinds = log.select("session_id", F.col("seq").alias("target_seq"), F.col("type").alias("kind"))
+    targets = targets.join(kinds, ["session_id", "target_seq"], "left").withColumn("typed", F.coalesce(F.col("kind").isin("user/message", "tool/result"), F.lit(False)))
+    places = targets.groupBy("session_id", "seq").agg(F.min("visible").alias("visible"), F.min("typed").alias("typed"))
+    marks = targets.select("session_id", "seq", F.col("target_seq"), F.explode("indexes").alias("index"))
+    held = images.select("session_id", F.col("seq").alias("target_seq"), "index").distinct().withColumn("held", F.lit(True))
+    marks = marks.join(held, ["session_id", "target_seq", "index"], "left")
+    before = F.min("seq").over(Window.partitionBy("session_id", "target_seq", "index"))
+    marks = marks.withColumn("again", before < F.col("seq")).groupBy("session_id", "seq").agg(F.count("held").alias("held"), F.count(F.lit(1)).alias("n"), F.max("again").alias("again"))
+    rows = form.join(places, ["session_id", "seq"], "left").join(marks, ["session_id", "seq"], "left")
+    reason = (
+        F.coalesce("reason", F.when(~F.col("visible"), "not on the surface").when(~F.col("typed"), "of another type").when(F.col("unordered"), "indexes not rising")
+        .when(F.col("held") < F.col("n"), "no such image").when(F.col("again"), "offloaded before"))
+    )
+    refused = rows.select("session_id", "seq", reason.alias("reason")).filter("reason is not null")
+    return refused.groupBy("session_id").agg(F.min(F.struct("seq", "reason")).alias("first")).select("session_id", "first.seq", "first.reason")
+
+
+def offload_images(log: DataFrame, images: DataFrame, folded: DataFrame) -> DataFrame:
+    """``images`` with offloaded: whether an offload took them.
+
+    Replay ends at a session's first refused offload (``refused_offloads``); it and
+    later ones take nothing.
+    """
+    refused = refused_offloads(log, images, folded).select("session_id", F.col("seq").alias("end"))
+    offloads = log.filter(F.col("type") == "image/offload").select(F.col("session_id").cast("string").alias("session_id"), F.col("seq").alias("at"), F.explode("targets").alias("t"))
+    marks = offloads.join(refused, "session_id", "left").filter(F.col("end").isNull() | (F.col("at") < F.col("end")))
+    marks = marks.select("session_id", F.col("t.seq").alias("seq"), F.explode("t.indexes").alias("index")).distinct().withColumn("offloaded", F.lit(True))
+    joined = images.withColumn("session_id", F.col("session_id").cast("string")).join(marks, ["session_id", "seq", "index"], "left")
+    return joined.withColumn("offloaded", F.coalesce("offloaded", F.lit(False)))
 
 
 def surface_totals(log: DataFrame) -> DataFrame:

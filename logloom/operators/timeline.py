@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 MAX_NEIGHBOURS = 50
 DAY_MS = 86_400_000
+#: Fixed value: source of the message that a compaction leaves.
+CHECKPOINT = "compact-checkpoint"
 
 
 def neighbours(log: DataFrame, session_id: object, seq: int, before: int, after: int) -> DataFrame:
@@ -71,6 +73,13 @@ def newest_page(rows: DataFrame, key: str, limit: int, before: object | None = N
     return below.orderBy(F.desc(key)).limit(limit)
 
 
-def conversation(log: DataFrame) -> DataFrame:
-    """User and assistant messages alone."""
-    return log.filter(F.col("type").isin("user/message", "assistant/message")).select("session_id", "seq", "type", "text")
+def conversation(surface: DataFrame) -> DataFrame:
+    """What was said on the current surface: session_id, seq, role, text and checkpoint.
+
+    Reads source_kind and text.  A user's message counts if a user wrote it or if it is
+    a compaction's checkpoint; injected context, tools and empty texts don't.
+    """
+    checkpoint = F.coalesce(F.col("source_kind") == CHECKPOINT, F.lit(False)) & (F.col("type") == "user/message")
+    said = (F.col("type") == "assistant/message") | (F.col("type") == "user/message") & F.col("source_kind").isin("user", CHECKPOINT)
+    role = F.when(F.col("type") == "user/message", "user").otherwise("assistant")
+    return surface.filter(said & (F.coalesce("text", F.lit("")) != "")).select("session_id", "seq", role.alias("role"), "text", checkpoint.alias("checkpoint"))

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.text import strip_space
+
 #: Fixed value: the largest integer that JSON readers keep exactly.
 MAX_SAFE = 2**53 - 1
+#: Fixed value: the reason of headers in a form that is read no more.
+RETIRED_REASON = "fallback"
 
 
 def gaps(log: DataFrame) -> DataFrame:
@@ -16,9 +20,16 @@ def gaps(log: DataFrame) -> DataFrame:
 
 
 def unknown_types(log: DataFrame, known: DataFrame) -> DataFrame:
-    """Events of a type that isn't known and isn't marked as ignorable."""
-    unknown = log.join(known.select("type").distinct(), "type", "left_anti")
-    return unknown.filter(~F.coalesce(F.col("ignorable"), F.lit(False))).select("session_id", "seq", "type")
+    """Events of a type that isn't known and isn't marked as ignorable, and retired headers.
+
+    Reads ignorable and, where the log has it, reason: a request header whose reason is
+    ``RETIRED_REASON`` is refused although its type is known.
+    """
+    unknown = log.join(known.select("type").distinct(), "type", "left_anti").filter(~F.coalesce(F.col("ignorable"), F.lit(False))).select("session_id", "seq", "type")
+    if "reason" not in log.columns:
+        return unknown
+    retired = log.join(known.select("type").distinct(), "type", "left_semi").filter((F.col("type") == "request/header") & (F.col("reason") == RETIRED_REASON))
+    return unknown.unionByName(retired.select("session_id", "seq", "type"))
 
 
 def unsafe_integers(log: DataFrame, *columns: str) -> DataFrame:
@@ -40,8 +51,8 @@ def incompatible_headers(left: DataFrame, right: DataFrame, *columns: str) -> Da
 
 def invalid_todo_lists(lists: DataFrame, parallel: bool = False) -> DataFrame:
     """Lists (id, items of content and status) that are blank, repeat, or run several."""
-    blank = F.exists("items", lambda x: F.trim(F.coalesce(x["content"], F.lit(""))) == "")
-    repeats = F.size(F.array_distinct(F.transform("items", lambda x: x["content"]))) < F.size("items")
+    contents = F.transform("items", lambda x: strip_space(F.coalesce(x["content"], F.lit(""))))
+    blank, repeats = F.array_contains(contents, ""), F.size(F.array_distinct(contents)) < F.size("items")
     running = F.size(F.filter("items", lambda x: x["status"] == "in_progress"))
     reason = F.when(blank, "blank").when(repeats, "repeated")
     reason = reason if parallel else reason.when(running > 1, "several in progress")

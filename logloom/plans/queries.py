@@ -166,11 +166,12 @@ def log_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.gaps(conversation_log(spark, sf_dir).filter("(session_id + seq) % 7 <> 0"))
 
 
-@query("""WITH {LOG} SELECT session_id, seq, type FROM elog WHERE type IN ('step/end', 'turn/end') AND NOT (event_id % 2 = 0)""")
+@query("""WITH {LOG} SELECT session_id, seq, CASE type WHEN 'assistant/message' THEN 'request/header' ELSE type END AS type FROM elog WHERE type IN ('step/end', 'turn/end') AND NOT (event_id % 2 = 0) OR type = 'assistant/message' AND event_id % 5 = 0""")
 def unknown_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = spark.range(3).select(F.array(F.lit("step/start"), F.lit("assistant/message"), F.lit("tool/call")).alias("t"), "id").select(F.get("t", F.col("id").cast("int")).alias("type"))
-    known = known.unionByName(spark.range(1).select(F.lit("tool/result").alias("type")))
-    return validation.unknown_types(event_log(spark, sf_dir).withColumn("ignorable", F.col("event_id") % 2 == 0), known)
+    known = spark.range(4).select(F.get(F.array(*(F.lit(x) for x in ("step/start", "request/header", "tool/call", "tool/result"))), F.col("id").cast("int")).alias("type"))
+    log = event_log(spark, sf_dir).withColumn("type", F.when(F.col("type") == "assistant/message", "request/header").otherwise(F.col("type")))
+    reasons = F.when(F.col("event_id") % 5 == 0, validation.RETIRED_REASON).otherwise("changed")
+    return validation.unknown_types(log.withColumn("ignorable", F.col("event_id") % 2 == 0).withColumn("reason", reasons), known)
 
 
 @query("""WITH {LOG}, l AS (SELECT session_id, max_by(type, seq) FILTER (WHERE type IN ('step/start', 'turn/end')) AS state, max(seq) AS seq, max(time) AS time,
@@ -272,12 +273,19 @@ def surface_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surface.fold_surface(ops)
 
 
-@query("""SELECT CAST(conv_id AS VARCHAR) AS session_id, coalesce(sum(tok) FILTER (WHERE role = 'system'), 0)::BIGINT AS system_tokens, 0::BIGINT AS tools_tokens, coalesce(sum(tok) FILTER (WHERE role <> 'system'), 0)::BIGINT AS message_tokens
- FROM (SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 4 AS tok, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations)
- WHERE NOT (turn % 4 IN (1, 2) AND turn - turn % 4 + 3 <= last) GROUP BY conv_id""")
+@query("""WITH r AS (SELECT conv_id, turn, CASE WHEN turn % 8 = 4 THEN 'header' WHEN role = 'system' OR turn % 8 IN (5, 7) THEN 'system' ELSE 'message' END AS part,
+  CASE WHEN turn % 8 = 7 AND conv_id % 3 = 0 THEN 0 ELSE CAST(ceil(length(text) / 4.0) AS BIGINT) + 4 END AS tok, length(text) % 50 AS tools, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
+ n AS (SELECT conv_id, coalesce(max_by(tok, turn) FILTER (WHERE part = 'system' AND tok > 0), 0) AS system_tokens, sum(tok) AS all_tokens FROM r WHERE part <> 'header' AND NOT (turn % 4 IN (1, 2) AND turn - turn % 4 + 3 <= last) GROUP BY 1),
+ t AS (SELECT conv_id, coalesce(max_by(tools, turn) FILTER (WHERE part = 'header'), 0)::BIGINT AS tools_tokens FROM r GROUP BY 1)
+ SELECT CAST(conv_id AS VARCHAR) AS session_id, coalesce(system_tokens, 0)::BIGINT AS system_tokens, tools_tokens, (coalesce(all_tokens, 0) - coalesce(system_tokens, 0))::BIGINT AS message_tokens FROM t LEFT JOIN n USING (conv_id)""")
 def context_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = conversation_log(spark, sf_dir).withColumn("tokens", text.text_tokens(F.col("text"))).withColumn("part", F.when(F.col("role") == "system", "system").otherwise("message"))
-    return surface.context_breakdown(log, surface_state(spark, sf_dir))
+    log, seq = conversation_log(spark, sf_dir), F.col("seq")
+    kind = F.when(seq % 8 == 4, "request/header").when((F.col("role") == "system") | (seq % 8).isin(5, 7), "system/message").otherwise("user/message")
+    tokens = F.when((seq % 8 == 7) & (F.col("session_id") % 3 == 0), 0).otherwise(text.text_tokens(F.col("text")))
+    log = log.select("session_id", "seq", kind.alias("type"), tokens.alias("tokens"), (F.char_length("text") % 50).alias("tools_tokens"))
+    replaces, header = seq % 4 == 3, F.col("type") == "request/header"
+    ops = log.select("session_id", "seq", F.when(replaces, "replace").when(~header, "append").alias("surface_op"), F.when(replaces, seq - 2).alias("start_seq"), F.when(replaces, seq - 1).alias("end_seq"), "tokens")
+    return surface.context_breakdown(log, surface.fold_surface(ops))
 
 
 @query("""SELECT o_custkey AS session_id, 'a' AS route, sum(10 + o_orderkey % 3 * 7 - 5)::BIGINT AS tokens FROM orders GROUP BY o_custkey UNION ALL SELECT o_custkey, 'b', sum(10)::BIGINT FROM orders GROUP BY o_custkey""")

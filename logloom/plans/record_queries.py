@@ -88,12 +88,17 @@ def bounded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def capped_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation as a reference of at most 1,500 bytes; each first turn is a checkpoint."""
-    messages = F.sort_array(F.collect_list(F.when(F.col("role").isin("user", "assistant"), F.struct("turn", "role", "text", (F.col("turn") == 0).alias("checkpoint")))))
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(messages.alias("m"), F.max("turn").alias("turn"))
-    session = F.struct(F.col("conv_id").cast("string").alias("session_id"), F.lit("label").alias("label"), F.lit(None).cast("string").alias("cwd"), F.col("turn").alias("captured_through_seq"))
-    plain = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"), x["checkpoint"].alias("checkpoint")))
-    return rows.select("conv_id", retention.capped_transcript(session, plain, 1500).alias("t")).select("conv_id", "t.*")
+    """Every conversation as a reference of at most 1,500 bytes; each first turn is a checkpoint, every sixth was injected."""
+    seq = F.col("seq")
+    source = F.when(seq == 0, timeline.CHECKPOINT).when(seq % 6 == 4, "plugin:note").otherwise("user")
+    log = conversation_log(spark, sf_dir)
+    said = timeline.conversation(log.withColumn("source_kind", F.when(F.col("role") == "user", source)))
+    messages = said.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct("seq", "role", "text", "checkpoint"))).alias("m"))
+    rows = log.groupBy("session_id").agg(F.max("seq").alias("turn")).join(messages, "session_id", "left")
+    session = F.struct(F.col("session_id").cast("string").alias("session_id"), F.lit("label").alias("label"), F.lit(None).cast("string").alias("cwd"), F.col("turn").alias("captured_through_seq"))
+    kind = "array<struct<role: string, text: string, checkpoint: boolean>>"
+    plain = F.coalesce(F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"), x["checkpoint"].alias("checkpoint"))), F.array().cast(kind))
+    return rows.select(F.col("session_id").alias("conv_id"), retention.capped_transcript(session, plain, 1500).alias("t")).select("conv_id", "t.*")
 
 
 # Filters and checks -------------------------------------------------------------
@@ -109,11 +114,12 @@ def lineage_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("id").unionAll(early.select("id"))
 
 
-@query("""WITH t AS (SELECT l_orderkey AS id, l_shipdate::DATE::VARCHAR AS c, CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END AS r, l_tax = 0 AS blank FROM lineitem),
- g AS (SELECT id, bool_or(blank) AS blank, count(DISTINCT CASE WHEN blank THEN ' ' ELSE c END) < count(*) AS again, sum(r) AS running FROM t GROUP BY id)
+@query("""WITH t AS (SELECT l_orderkey AS id, CASE WHEN l_tax = 0 THEN '' WHEN l_linenumber % 4 = 0 THEN 'the same' ELSE l_shipdate::DATE::VARCHAR END AS c, CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END AS r FROM lineitem),
+ g AS (SELECT id, bool_or(c = '') AS blank, count(DISTINCT c) < count(*) AS again, sum(r) AS running FROM t GROUP BY id)
  SELECT id, CASE WHEN blank THEN 'blank' WHEN again THEN 'repeated' ELSE 'several in progress' END AS reason FROM g WHERE blank OR again OR running > 1""")
 def refused_todos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = F.when(F.col("l_tax") == 0, " ").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    shown = _one_of(F.col("l_suppkey"), "the same", " the same", "the same\t\n", "\u00a0the same")
+    content = F.when(F.col("l_tax") == 0, _one_of(F.col("l_suppkey"), " ", "\t", "", "\u3000")).when(F.col("l_linenumber") % 4 == 0, shown).otherwise(F.date_format("l_shipdate", " yyyy-MM-dd"))
     item = F.struct(content.alias("content"), F.when(F.col("l_quantity") > 40, "in_progress").otherwise("pending").alias("status"))
     return validation.invalid_todo_lists(table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(item).alias("items")))
 
@@ -175,13 +181,13 @@ def available_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH {LOG} SELECT session_id, string_agg(event_id::VARCHAR, ',' ORDER BY seq) AS children FROM elog WHERE type = 'tool/result' AND seq >= 3 GROUP BY 1""")
 def child_catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _renamed(event_log(spark, sf_dir), tool_result="subagent/child").select("session_id", "seq", "type", F.col("event_id").cast("string").alias("child_id"), F.lit(3).alias("seed_length"))
+    log = _renamed(event_log(spark, sf_dir), tool_result="subagent/catalog").select("session_id", "seq", "type", F.col("event_id").cast("string").alias("child_id"), F.lit(3).alias("seed_length"))
     return folds.child_catalog(log).select("session_id", F.array_join("children", ",").alias("children"))
 
 
 @query("""WITH {LOG} SELECT session_id, CASE WHEN max_by(type, seq) = 'tool/call' THEN max_by(event_id, seq)::VARCHAR END AS items FROM elog WHERE type IN ('tool/call', 'turn/end') GROUP BY 1""")
 def current_todos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _renamed(event_log(spark, sf_dir), tool_call="todo/update", turn_end="turn/start")
+    log = _renamed(event_log(spark, sf_dir), tool_call="todo/write", turn_end="turn/start")
     return folds.current_todos(log.withColumn("items", F.col("event_id").cast("string")))
 
 
@@ -197,27 +203,47 @@ def related_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.related_events(log, folded, least, 2)
 
 
-@query("""WITH p AS (SELECT * FROM conversations WHERE conv_id = (SELECT min(conv_id) FROM conversations) AND turn <= 4)
- SELECT -1::BIGINT AS session_id, turn AS seq, role || '/message' AS type, turn * 10 AS time FROM p UNION ALL SELECT -1, max(turn) + 1, 'session/fork', max(turn) * 10 FROM p""")
+@query("""WITH {LOG}, s AS (SELECT min(session_id) AS id FROM elog), p AS (SELECT seq, type, time, turn, step, call_id FROM elog, s WHERE session_id = id AND seq <= 16),
+ q AS (SELECT seq, CASE WHEN type = 'step/start' AND seq % 5 < 3 THEN 'turn/start' ELSE type END AS type, time, turn, step, call_id FROM p),
+ m AS (SELECT max(seq) AS last, max_by(time, seq) AS time, max(seq) FILTER (WHERE type IN ('turn/start', 'turn/end')) AS opened, max_by(type, seq) FILTER (WHERE type IN ('turn/start', 'turn/end')) = 'turn/start' AS open,
+  max_by(turn, seq) FILTER (WHERE type IN ('turn/start', 'turn/end')) AS turn, max(seq) FILTER (WHERE type IN ('step/start', 'step/end')) AS sat, max_by(type, seq) FILTER (WHERE type IN ('step/start', 'step/end')) AS state, max_by(step, seq) FILTER (WHERE type IN ('step/start', 'step/end')) AS step FROM q),
+ w AS (SELECT call_id, max(seq) AS called FROM q, m WHERE open AND q.type IN ('tool/call', 'tool/result') AND seq > m.opened GROUP BY 1 HAVING max_by(q.type, seq) = 'tool/call'),
+ n AS (SELECT count(*) AS n FROM w), r AS (
+ SELECT seq, type, time, turn, step, call_id, NULL AS reason FROM q UNION ALL SELECT last + 1, 'session/end-seed', time, NULL, NULL, NULL, NULL FROM m
+ UNION ALL SELECT last + 1 + row_number() OVER (ORDER BY w.called), 'tool/result', time, turn, step, call_id, 'forked' FROM w, m
+ UNION ALL SELECT last + 2 + n, 'step/end', time, turn, step, NULL, 'forked' FROM m, n WHERE open AND state = 'step/start' AND sat > opened
+ UNION ALL SELECT last + 2 + n + CASE WHEN coalesce(state = 'step/start' AND sat > opened, FALSE) THEN 1 ELSE 0 END, 'turn/end', time, turn, NULL, NULL, 'forked' FROM m, n WHERE open)
+ SELECT -1::BIGINT AS session_id, seq, type, time, turn, step, call_id, reason FROM r""")
 def forked_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = conversation_log(spark, sf_dir).withColumn("time", F.col("seq") * 10)
+    log = event_log(spark, sf_dir).select("session_id", "seq", "type", "time", "turn", "step", "call_id")
+    log = log.withColumn("type", F.when((F.col("type") == "step/start") & (F.col("seq") % 5 < 3), "turn/start").otherwise(F.col("type")))
     least = log.agg(F.min("session_id")).first()[0]
-    return lineage.fork(log, least, 4, -1).select("session_id", "seq", "type", "time")
+    return lineage.fork(log, least, 16, -1)
 
 
-@query("""SELECT conv_id AS session_id, turn AS seq, role || '/message' AS type, text FROM conversations WHERE role IN ('user', 'assistant')""")
+@query("""SELECT conv_id AS session_id, turn AS seq, role, text, role = 'user' AND turn % 4 = 2 AS checkpoint FROM conversations WHERE role IN ('user', 'assistant') AND text <> '' AND NOT (role = 'user' AND turn % 6 = 4)""")
 def spoken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.conversation(conversation_log(spark, sf_dir))
+    injected = F.when(F.col("seq") % 6 == 4, "plugin:note").when(F.col("seq") % 4 == 2, timeline.CHECKPOINT).otherwise("user")
+    return timeline.conversation(conversation_log(spark, sf_dir).withColumn("source_kind", F.when(F.col("role") == "user", injected)))
 
 
-@query("""SELECT conv_id AS session_id, turn AS seq, role || '/message' AS type, turn * 10 AS time, 'current' AS surface,
- CASE role WHEN 'user' THEN trim(text, chr(32) || chr(9) || chr(10) || chr(13)) ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) || chr(10) || 'grep {"a":1}' END AS text FROM conversations WHERE text <> ''""")
+@query("""WITH c AS (SELECT conv_id, turn, role, trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS t, (conv_id + turn) % 7 AS k FROM conversations), d AS (
+ SELECT conv_id, turn, CASE k WHEN 0 THEN 'tool/call' WHEN 1 THEN 'tool/result' WHEN 2 THEN 'todo/write' WHEN 3 THEN 'turn/end' WHEN 4 THEN 'session/title' ELSE role || '/message' END AS type, CASE k
+ WHEN 0 THEN [role, t] WHEN 1 THEN [t, 'grep', '{"a":1}', CASE WHEN turn % 2 = 0 THEN 'Timeout' END, CASE WHEN turn % 2 = 0 THEN 'E' || turn END] WHEN 2 THEN ['pending', t, 'completed', 'x']
+ WHEN 3 THEN CASE turn % 5 WHEN 0 THEN ['error', t] WHEN 1 THEN ['aborted'] WHEN 2 THEN ['max-tokens'] WHEN 3 THEN ['interrupted'] END
+ WHEN 4 THEN NULL ELSE CASE WHEN role IN ('user', 'assistant') THEN [t, 'grep', '{"a":1}'] END END AS parts FROM c)
+ SELECT conv_id AS session_id, turn AS seq, type, turn * 10 AS time, 'current' AS surface, array_to_string(list_filter(parts, lambda p: p <> ''), chr(10)) AS text FROM d WHERE array_to_string(list_filter(parts, lambda p: p <> ''), chr(10)) <> ''""")
 def searchable_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, kind = conversation_log(spark, sf_dir), (F.col("session_id") + F.col("seq")) % 7
     block = lambda kind, body, name, given: F.struct(F.lit(kind).alias("type"), body.alias("text"), F.lit(name).alias("name"), F.lit(given).alias("arguments"))
-    blocks = F.array(block("text", F.col("text"), "", ""), block("reasoning", F.lit("hidden"), "", ""), block("tool-call", F.lit(""), "grep", '{"a":1}'))
-    shown = F.filter(blocks, lambda b: (b["type"] != "tool-call") | (F.col("role") != "user"))
-    log = conversation_log(spark, sf_dir).withColumn("text", search.event_text(shown)).withColumn("time", F.col("seq") * 10).withColumn("surface", F.lit("current"))
-    return search.search_documents(log)
+    blocks = F.array(block("text", F.col("text"), "", ""), block("reasoning", F.lit("hidden"), "", ""), block("tool-call", F.lit(""), " grep ", '{"a":1}'), block("image", F.lit("alt"), "", ""))
+    failed, seq = F.col("seq") % 2 == 0, F.col("seq").cast("string")
+    log = log.withColumn("type", F.when(kind == 0, "tool/call").when(kind == 1, "tool/result").when(kind == 2, "todo/write").when(kind == 3, "turn/end").when(kind == 4, "session/title").otherwise(F.col("type")))
+    log = log.withColumn("blocks", blocks).withColumn("name", F.col("role")).withColumn("arguments", F.col("text")).withColumn("error", F.when(failed, F.struct(F.lit("Timeout").alias("name"), F.concat(F.lit("E"), seq).alias("code"))))
+    todo = lambda status, content: F.struct(F.lit(status).alias("status"), content.alias("content"))
+    log = log.withColumn("todos", F.array(todo("pending", F.col("text")), todo("completed", F.lit(" x "))))
+    reason = F.struct(_one_of(F.col("seq"), "error", "aborted", "max-tokens", "interrupted", "completed").alias("kind"), F.col("text").alias("message"))
+    return search.search_documents(log.withColumn("reason", reason).withColumn("time", F.col("seq") * 10).withColumn("surface", F.lit("current")))
 
 
 @query("""WITH {LOG} SELECT CASE WHEN type = 'tool/call' THEN 'ERROR' ELSE 'INFO' END AS severity, session_id::VARCHAR AS session, type AS kind, seq::VARCHAR AS place, event_id::VARCHAR AS body FROM elog""")
