@@ -34,7 +34,7 @@ LEAST, LONGEST, MOST = 100, 5, 2000
 #: Words of a dictionary that is sent to the tasks.
 MOST_WORDS = 1 << 22
 #: Numbers in a row of encoded text, and keys or words that a task counts at once.
-ROW_WORDS, HELD = 1 << 20, 1 << 20
+ROW_WORDS, HELD = 1 << 20, 1 << 18
 UNKNOWN = "und"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -197,12 +197,11 @@ def run_lengths(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return rows[new], np.add.reduceat(counts, np.flatnonzero(new))
 
 
-def gram_hashes(ids: np.ndarray, k: int) -> np.ndarray:
-    """A hash of the k numbers from each place on."""
-    n = len(ids) - k + 1
-    total = np.full(max(0, n), k, dtype=np.uint64)
-    for i in range(k if n > 0 else 0):
-        total = mix(total * _ODD[0] + ids[i : n + i].astype(np.uint64) * _ODD[1])
+def gram_hashes(places: np.ndarray | list[np.ndarray]) -> np.ndarray:
+    """A hash of each phrase, given its first numbers, its second ones, and so on."""
+    total = np.full(len(places[0]), len(places), dtype=np.uint64)
+    for ids in places:
+        total = mix(total * _ODD[0] + ids.astype(np.uint64) * _ODD[1])
     return total
 
 
@@ -231,7 +230,7 @@ def task_counts(encoded: DataFrame, k: int, coder: Coder, shorter: np.ndarray |
                 for i in range(1, k):
                     whole &= ids[i : n + i] != 0
                 if shorter is not None:
-                    known = maybe_in(shorter, pa.array(gram_hashes(ids[: n + k - 1], k - 1).view(np.int64)))
+                    known = maybe_in(shorter, pa.array(gram_hashes([ids[i : n + 1 + i] for i in range(k - 1)]).view(np.int64)))
                     whole &= known[:n] & known[1 : n + 1]
                 at = np.flatnonzero(whole)
                 rows.append(np.stack([ids[at + i] for i in range(k)], axis=1) if len(at) else none)
@@ -247,15 +246,18 @@ def task_counts(encoded: DataFrame, k: int, coder: Coder, shorter: np.ndarray |
     return encoded.mapInArrow(count, "key binary, n long")
 
 
-def counted_runs(partial: DataFrame, least: int, width: int, tasks: int) -> DataFrame:
-    """key and f of all phrases that occur ``least`` times, from range-partitioned, sorted keys."""
+def counted_runs(partial: DataFrame, least: int, k: int, coder: Coder, tasks: int) -> DataFrame:
+    """key, f and hash of all phrases that occur ``least`` times, from range-partitioned, sorted keys."""
+    kind, width = coder.type, k * coder.width
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = b"", 0
 
         def out(keys: list[bytes], sums: list[int]) -> pa.RecordBatch:
-            kept = [(k, n) for k, n in zip(keys, sums) if n >= least]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], names=["key", "f"])
+            kept = [(key, n) for key, n in zip(keys, sums) if n >= least]
+            ids = np.frombuffer(b"".join(key for key, _ in kept), dtype=kind).reshape(-1, k)
+            columns = [pa.array([key for key, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64()), pa.array(gram_hashes(ids.T).view(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "f", "hash"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -276,22 +278,7 @@ def counted_runs(partial: DataFrame, least: int, width: int, tasks: int) -> Data
             yield out([key], [total])
 
     ordered = partial.repartitionByRange(tasks, "key").sortWithinPartitions("key")
-    return ordered.mapInArrow(count, "key binary, f long")
-
-
-def _hashed(grams: DataFrame, k: int, coder: Coder) -> np.ndarray:
-    """A Bloom filter of phrases' keys."""
-    kind = coder.type
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=kind).reshape(-1, k)
-            total = np.full(len(rows), k, dtype=np.uint64)
-            for i in range(k):
-                total = mix(total * _ODD[0] + rows[:, i].astype(np.uint64) * _ODD[1])
-            yield pa.RecordBatch.from_arrays([pa.array(total.view(np.int64))], names=["id"])
-
-    return bloom_filter(grams.select("key").mapInArrow(run, "id long"))
+    return ordered.mapInArrow(count, "key binary, f long, hash long")
 
 
 def _keyed(words: DataFrame, coder: Coder) -> DataFrame:
@@ -339,9 +326,9 @@ def find_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, mo
     grams, shorter = [], None
     for k in range(2, longest + 1):
         partial = scratch.save("partial", task_counts(encoded, k, coder, shorter))
-        grams.append(scratch.save(f"grams{k}", counted_runs(partial, least, k * width, tasks)))
+        grams.append(scratch.save(f"grams{k}", counted_runs(partial, least, k, coder, tasks)))
         scratch.drop("partial")
-        shorter = _hashed(grams[-1], k, coder) if k < longest else None
+        shorter = bloom_filter(grams[-1].select("hash")) if k < longest else None
     scratch.drop("encoded")
     candidates = grams[0]
     for more in grams[1:]:
