@@ -21,6 +21,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes that a Python task gets at once; the engine and the worker hold a batch more than once.
+BATCH_BYTES = 8 << 20
 #: 64-bit words of a Bloom filter at most (2 MB); more ids only let more others through.
 BLOOM_WORDS = 1 << 18
 BLOOM_BITS_EACH, BLOOM_HASHES = 10, 4
@@ -40,6 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES``; smaller ones stay as they are."""
+    now = spark.conf.get(BATCH_CONF).lower()
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now)) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "logloom", f"{label}-{uuid.uuid4().hex}")
 
@@ -56,6 +66,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, {}
+        bound_batches(spark)
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once and return it as read back from the shared folder."""
@@ -79,6 +90,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     Columns are addressed by position, so that an extra column whose name differs
     only in case, or one repeated, can't make a reference ambiguous.
     """
+    bound_batches(df.sparkSession)
     columns = df.columns
     at = [columns.index(name) for name in names]
     plain = df.toDF(*(f"c{i}" for i in range(len(columns))))
