@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.sources.scratch import written
+from logloom.sources.scratch import WorkTables
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
@@ -18,20 +18,22 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     plain = nodes.select("id", "parent").distinct()
     known = plain.select(F.col("id").alias("parent"), F.lit(True).alias("found"))
     links = plain.join(known, "parent", "left").select("id", "parent", F.coalesce("found", F.lit(False)).alias("found"))
-    step = written(links.filter("found").select("id", F.col("parent").alias("ancestor")), "lineage-step")
-    reached = written(step.withColumn("distance", F.lit(1).cast("long")), "lineage")
-    n, span = reached.count(), 1
-    while n:
-        # from each reached place, all that lies up to `span` above
+    tables = WorkTables(nodes.sparkSession, "lineage")
+    reached = tables.save("reached", links.filter("found").select("id", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("distance")))
+    span, edge, circles = 1, reached, False
+    while not edge.isEmpty():
+        # from each place at the edge, all that lies up to `span` above; a round writes its new rows alone
         above = reached.filter(F.col("distance") <= span).select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("distance").alias("more"))
-        edge = reached.filter(F.col("distance") == span)
         further = edge.join(above, "ancestor").select("id", F.col("next").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance"))
-        reached = written(reached.unionByName(further).groupBy("id", "ancestor").agg(F.min("distance").alias("distance")), "lineage")
+        fresh = tables.save("reached", further)
+        # a place is met twice only if some node has met itself, not later than that
+        circles = circles or not fresh.filter("id = ancestor").isEmpty()
+        if circles:
+            least = fresh.groupBy("id", "ancestor").agg(F.min("distance").alias("distance"))
+            fresh = tables.save("reached", least.join(reached, ["id", "ancestor"], "left_anti"))
+        reached = reached.unionByName(fresh)
         span *= 2
-        grown = reached.count()
-        if grown == n:
-            break
-        n = grown
+        edge = fresh.filter(F.col("distance") == span)
     cyclic = reached.filter(F.col("id") == F.col("ancestor")).select("id").distinct()
     open_end = links.filter(~F.col("found") & F.col("parent").isNotNull()).select("id")
     ends = reached.select("id", F.col("ancestor").alias("at")).unionByName(plain.select("id", F.col("id").alias("at")))
@@ -41,22 +43,43 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     return named.join(reached, "id", "left").select("id", "ancestor", "distance", "outcome")
 
 
-def descendants(nodes: DataFrame, root: object) -> DataFrame:
-    """The tree below ``root`` in pre-order: id, depth, place.
+def preorder(nodes: DataFrame, root: object) -> DataFrame:
+    """The tree below ``root`` in pre-order: id, depth and place (the root is 0 and 0).
 
-    nodes: id, parent, created_at.  Children stand by created_at, then id.  The sort
-    keys of the way from the root, as one array, give the order.
+    nodes: id, parent, created_at; an id stands once.  Children stand by created_at, then
+    id in the order of ICU's root locale, as text.  A tour enters and leaves every node;
+    where each step of it stands is found by list ranking: a step's successor jumps twice
+    as far each round, so the rounds grow with log2 of the tour, not with the depth.
+    Steps that never come to the root's end (other trees, cycles) drop out.  An unknown
+    root has no tree.
     """
-    order = F.struct(F.col("created_at"), F.col("id"))
-    level = nodes.filter(F.col("id") == root).select("id", F.lit(0).alias("depth"), F.array(order).alias("way"), F.array("id").alias("path"))
-    child = nodes.select(F.col("id").alias("child"), F.col("parent").alias("id"), F.struct(F.col("created_at"), F.col("id")).alias("key"))
-    found, level = level, written(level, "tree")
-    while not level.isEmpty():
-        below = level.join(child, "id").filter(~F.array_contains("path", F.col("child")))
-        below = below.select(F.col("child").alias("id"), (F.col("depth") + 1).alias("depth"), F.concat("way", F.array("key")).alias("way"), F.concat("path", F.array("child")).alias("path"))
-        level = written(below, "tree")
-        found = found.unionByName(level)
-    return found.orderBy("way").select("id", "depth", F.transform("way", lambda x: x["id"]).alias("path"))
+    tables = WorkTables(nodes.sparkSession, "preorder")
+    plain = nodes.select("id", F.when(F.col("id") != root, F.col("parent")).alias("parent"), "created_at")
+    siblings = Window.partitionBy("parent").orderBy("created_at", F.collate(F.col("id").cast("string"), "UNICODE"))
+    kin = plain.withColumn("next", F.when(F.col("parent").isNotNull(), F.lead("id").over(siblings))).withColumn("nth", F.row_number().over(siblings))
+    firsts = kin.filter("nth = 1 and parent is not null").select(F.col("parent").alias("id"), F.col("id").alias("child"))
+    kin = tables.save("kin", kin.join(firsts, "id", "left").select("id", "parent", "next", "child"))
+    step = lambda node, enters: F.struct(node.alias("id"), F.lit(enters).alias("enters"))
+    enter = kin.select(step(F.col("id"), True).alias("at"), F.when(F.col("child").isNotNull(), step(F.col("child"), True)).otherwise(step(F.col("id"), False)).alias("to"), F.lit(1).cast("long").alias("entered"), F.lit(1).cast("long").alias("level"))
+    onward = F.when(F.col("next").isNotNull(), step(F.col("next"), True)).when(F.col("parent").isNotNull(), step(F.col("parent"), False))
+    leave = kin.select(step(F.col("id"), False).alias("at"), onward.alias("to"), F.lit(0).cast("long").alias("entered"), F.lit(-1).cast("long").alias("level"))
+    # entered and level count the steps from `at` to before `to`; a list that ends remembers where
+    links = tables.save("links", enter.unionByName(leave).withColumn("end", F.when(F.col("to").isNull(), F.col("at"))))
+    size, span = links.count(), 1
+    while span < size:
+        ahead = links.select(F.col("at").alias("to"), F.col("to").alias("beyond"), F.col("entered").alias("more"), F.col("level").alias("up"), F.col("end").alias("stop"))
+        waiting = links.filter("to is not null")
+        if waiting.isEmpty():
+            break
+        jumped = waiting.join(ahead, "to", "left").select("at", F.col("beyond").alias("to"), (F.col("entered") + F.coalesce("more", F.lit(0))).alias("entered"), (F.col("level") + F.coalesce("up", F.lit(0))).alias("level"), F.col("stop").alias("end"))
+        links = tables.save("links", jumped.unionByName(links.filter("to is null")))
+        tables.drop("links", keep_last=True)
+        span *= 2
+    ended = links.filter((F.col("end.id") == root) & F.col("at.enters")).select("at.id", "entered", "level")
+    # levels counted to the end are those that lie above, and the step's own
+    whole = ended.filter(F.col("id") == root).select(F.col("entered").alias("nodes"))
+    tables.drop("kin")
+    return ended.join(F.broadcast(whole)).select("id", (F.lit(0) - F.col("level")).cast("int").alias("depth"), (F.col("nodes") - F.col("entered")).alias("place"))
 
 
 def cited_events(log: DataFrame) -> DataFrame:

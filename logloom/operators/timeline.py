@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +69,64 @@ def retain_deliveries(deliveries: DataFrame, days: int, records: int) -> DataFra
     return recent.withColumn("nth", nth).filter(F.col("nth") <= records).drop("nth")
 
 
+def _cursor_key(order: list[tuple[str, bool]]) -> str:
+    return json.dumps(order, separators=(",", ":"))
+
+
+def _digest(key: str, payload: str) -> str:
+    return hashlib.sha256(f"{key}|{payload}".encode()).hexdigest()[:16]
+
+
+def cursor_of(order: list[tuple[str, bool]]) -> Column:
+    """An opaque text for a row's place in an order of columns, (name, whether falling).
+
+    base64url of the values as a JSON array of texts, a dot, and a digest of it together
+    with the order, so that a cursor of another listing isn't taken.
+    """
+    values = F.to_json(F.array(*(F.col(c).cast("string") for c, _ in order)))
+    coded = F.rtrim(F.translate(F.base64(F.encode(values, "UTF-8")), "+/\r\n", "-_"), F.lit("="))
+    digest = F.substring(F.sha2(F.concat(F.lit(_cursor_key(order) + "|"), values).cast("binary"), 256), 1, 16)
+    return F.concat(coded, F.lit("."), digest)
+
+
+def read_cursor(cursor: str, order: list[tuple[str, bool]]) -> list[str | None]:
+    """The values of a cursor; a ValueError for one that isn't whole, canonical or of this order."""
+    coded, _, digest = cursor.partition(".")
+    try:
+        payload = base64.b64decode(coded + "=" * (-len(coded) % 4), altchars=b"-_", validate=True).decode()
+        values = json.loads(payload)
+    except ValueError as error:
+        raise ValueError("broken cursor") from error
+    if base64.urlsafe_b64encode(payload.encode()).decode().rstrip("=") != coded or _digest(_cursor_key(order), payload) != digest:
+        raise ValueError("cursor of another listing")
+    if not isinstance(values, list) or len(values) != len(order) or not all(v is None or isinstance(v, str) for v in values):
+        raise ValueError("broken cursor")
+    return values
+
+
+def behind(rows: DataFrame, order: list[tuple[str, bool]], cursor: str) -> Column:
+    """Whether a row stands behind a cursor; nulls are first in rising columns, last in falling ones."""
+    found, same = F.lit(False), F.lit(True)
+    for (name, falling), value in zip(order, read_cursor(cursor, order)):
+        here = F.lit(value).cast(rows.schema[name].dataType)
+        if value is None:
+            later = F.lit(False) if falling else F.col(name).isNotNull()
+        else:
+            later = (F.col(name) < here) | F.col(name).isNull() if falling else F.coalesce(F.col(name) > here, F.lit(False))
+        found = found | (same & later)
+        same = same & F.col(name).eqNullSafe(here)
+    return F.coalesce(found, F.lit(False))
+
+
+def keyset_page(rows: DataFrame, order: list[tuple[str, bool]], limit: int, cursor: str | None = None) -> DataFrame:
+    """The ``limit`` rows behind ``cursor`` in an order that tells all rows apart, each with its own cursor."""
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    rest = rows if cursor is None else rows.filter(behind(rows, order, cursor))
+    by = [F.desc_nulls_last(c) if falling else F.asc_nulls_first(c) for c, falling in order]
+    return rest.orderBy(*by).limit(limit).withColumn("cursor", cursor_of(order))
+
+
 def newest_page(rows: DataFrame, key: str, limit: int, before: object | None = None) -> DataFrame:
     """The ``limit`` rows with the largest keys below the cursor, newest first."""
     if limit <= 0:

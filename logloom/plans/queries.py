@@ -374,11 +374,12 @@ def session_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.ancestors(table(spark, sf_dir, "orders").select(key.alias("id"), parent.alias("parent")))
 
 
-@query("""WITH RECURSIVE t AS (SELECT 2::BIGINT AS id, 0 AS depth UNION ALL SELECT o_orderkey, depth + 1 FROM t JOIN orders ON o_orderkey // 3 = t.id AND o_orderkey > 0) SELECT id, depth FROM t""")
+@query("""WITH RECURSIVE n AS (SELECT o_orderkey AS id, o_orderkey // 3 AS parent, row_number() OVER (PARTITION BY o_orderkey // 3 ORDER BY epoch_us(o_orderdate) // 1000, o_orderkey::VARCHAR) AS nth FROM orders WHERE o_orderkey > 0),
+ t AS (SELECT 2::BIGINT AS id, 0 AS depth, [0::BIGINT] AS way UNION ALL SELECT n.id, depth + 1, list_append(way, nth) FROM t JOIN n ON n.parent = t.id) SELECT id, depth, row_number() OVER (ORDER BY way) - 1 AS place FROM t""")
 def session_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     nodes = table(spark, sf_dir, "orders").select(key.alias("id"), F.when(key > 0, F.floor(key / 3).cast("long")).alias("parent"), records.utc_millis(F.col("o_orderdate")).alias("created_at"))
-    return lineage.descendants(nodes, 2).select("id", "depth")
+    return lineage.preorder(nodes, 2)
 
 
 @query("""SELECT c.conv_id AS session_id, c.turn AS seq, c.turn - 1 AS source_seq, p.role || '/message' AS source_type FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1 WHERE c.turn % 2 = 1""")

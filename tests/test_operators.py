@@ -126,7 +126,7 @@ def test_lineage(spark):
     assert got["d"] == ("complete", {"c": 1, "b": 2, "a": 3}) and got["a"] == ("complete", {None: None})
     assert got["f"] == ("partial", {"e": 1}) and got["e"][0] == "partial" and got["x"] == ("cycle", {"y": 1, "x": 2}) and got["z"][0] == "cycle"
     tree = spark.createDataFrame([(1, None, 0), (2, 1, 9), (3, 1, 5), (4, 3, 1), (5, 2, 1), (6, 1, 5)], "id long, parent long, created_at long")
-    assert [(r["id"], r["depth"]) for r in lineage.descendants(tree, 1).collect()] == [(1, 0), (3, 1), (4, 2), (6, 1), (2, 1), (5, 2)]
+    assert [(r["id"], r["depth"]) for r in lineage.preorder(tree, 1).orderBy("place").collect()] == [(1, 0), (3, 1), (4, 2), (6, 1), (2, 1), (5, 2)]
 
 
 def test_timeline(spark):
