@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.functions import diff, secrets
 from logloom.operators import contracts, index, surface, timeline
 from logloom.plans.inputs import conversation_log, event_log, table
 from logloom.plans.queries import _HITS, SQL, query, ranked_search
+from logloom.sources import framed
 from logloom.sources.scratch import work_folder, written
 from logloom.streaming import resume
 
@@ -200,3 +201,13 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         last = page.orderBy("score", F.desc("session_id"), F.desc("seq")).select("cursor").first()
         cursor = last[0] if last else cursor
     return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
+@query("""SELECT 's' || conv_id % 5 AS session_id, row_number() OVER (PARTITION BY conv_id % 5 ORDER BY conv_id, turn) - 1 AS seq, role || '/message' AS type, text AS data FROM conversations""")
+def framed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as five long sessions, written in frames and read by several tasks a file."""
+    nth = F.row_number().over(Window.partitionBy(F.col("session_id") % 5).orderBy("session_id", "seq")) - 1
+    log = conversation_log(spark, sf_dir).select(F.concat(F.lit("s"), (F.col("session_id") % 5).cast("string")).alias("session_id"), nth.cast("long").alias("seq"), "type", F.col("text").alias("data"))
+    folder = f"{work_folder(spark).removeprefix('file://')}/framed-{uuid.uuid4().hex}"
+    framed.write_log(log, folder, frame_rows=20)
+    return framed.read_events(spark, folder, partition_bytes=20_000).select("session_id", "seq", "type", "data")

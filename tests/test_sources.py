@@ -1,12 +1,14 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import __spark_entry__
 from logloom.plans import queries
-from logloom.sources import logs, tables
+from logloom.sources import framed, logs, tables
 
 DATA = "/root/testdata/sf0.001"
 
@@ -82,3 +84,49 @@ def test_surface_of_conversations_keeps_every_event(spark):
     rows = spark.read.parquet(f"{DATA}/conversations.parquet").count()
     folded = queries.QUERIES["surface_state"](spark, DATA)
     assert folded.count() == rows and folded.filter(F.col("surface") == "shadowed").count() > 0
+
+
+def test_framed_source_splits_files(spark, tmp_path):
+    rows = [(f"s{i % 3}", i // 3, "user/message", f"text {i} é" * 20) for i in range(600)]
+    log = spark.createDataFrame(rows, "session_id string, seq long, type string, data string")
+    folder = str(tmp_path / "framed")
+    framed.write_log(log, folder, frame_rows=10)
+    assert sorted(p.name for p in (tmp_path / "framed").iterdir()) == [f"s{i}.jsonl.zst" for i in range(3)]
+    for size in (1, 700, 1 << 30):
+        found = framed.read_events(spark, folder, partition_bytes=size)
+        assert sorted((r["session_id"], r["seq"], r["type"], r["data"]) for r in found.collect()) == sorted(rows)
+    lines = framed.read_lines(spark, folder, partition_bytes=700)
+    assert lines.filter("session = 's1'").select(F.spark_partition_id().alias("p")).distinct().count() > 3
+    assert lines.filter("session = 's1'").count() == 200 and lines.count() == 600
+    some = framed.read_lines(spark, folder, ["s0", "s2"], partition_bytes=700)
+    assert some.filter("place = 0").count() == 40 and some.rdd.getNumPartitions() < lines.rdd.getNumPartitions()
+    assert framed.read_lines(spark, folder, ["none"]).count() == 0
+    heads = framed.read_lines(spark, folder, header_only=True)
+    assert heads.count() == 30 and heads.agg(F.max("frame")).first()[0] == 0
+    whole = (tmp_path / "framed" / "s0.jsonl.zst").read_bytes()
+    (tmp_path / "torn").mkdir()
+    for name, data in (("torn", whole[:-9]), ("empty", b""), ("short", whole + b"\x28\xb5")):
+        (tmp_path / "torn" / f"{name}.jsonl.zst").write_bytes(data)
+    torn = framed.read_lines(spark, str(tmp_path / "torn"), partition_bytes=900).groupBy("session").agg(F.count(F.lit(1)).alias("n"), F.max("torn").alias("torn")).collect()
+    assert {r["session"]: (r["n"] >= 190, r["torn"]) for r in torn}["short"] == (True, False)
+    assert {r["session"] for r in torn} <= {"torn", "short"}
+    (tmp_path / "bad.jsonl.zst").write_bytes(whole + b"junk that is no frame")
+    with pytest.raises(Exception, match="no frame at byte"):
+        framed.read_lines(spark, str(tmp_path / "bad.jsonl.zst")).count()
+    with pytest.raises(Exception, match="can't be a file's"):
+        framed.write_log(log.withColumn("session_id", F.lit("a/b")), str(tmp_path / "refused"))
+
+
+@pytest.mark.parametrize("sizes", [(True, True), (False, True), (True, False)])
+def test_frame_ends_from_headers(sizes, tmp_path):
+    data = b"".join(zstandard.ZstdCompressor(write_content_size=sizes[0], write_checksum=sizes[1]).compress(part) for part in (b"a" * 10, bytes(range(256)) * 3000, b"x" * 500_000, b""))
+    (tmp_path / "f").write_bytes(data)
+    ends = []
+    with pa.OSFile(str(tmp_path / "f")) as file:
+        at = 0
+        while at < len(data):
+            at = framed.frame_end(file, at, len(data))
+            ends.append(at)
+        assert len(ends) == 4 and ends[-1] == len(data)
+        for cut in (1, 5, 8, ends[0] - 1):
+            assert framed.frame_end(file, 0, cut) is None
