@@ -219,25 +219,39 @@ def tool_history(log: DataFrame) -> DataFrame:
 
 
 def assemble_stream(chunks: DataFrame) -> DataFrame:
-    """Blocks of one message from its stream.
-
-    Reads message_id, seq, kind (block-delta, block-end, usage, finish), index, text and
-    value.  Deltas of a block join in order up to its first end, whose text, if any,
-    wins; blocks stand in order of first sight; the last usage and finish count; tool
-    calls (block type tool-call) go when the finish is max-tokens.
+    """message_id, usage, finish and blocks (type, text, id, name, arguments) of streamed messages.
+
+    Reads message_id, seq, kind, index, block_type (of block-start), text (of text-delta
+    and reasoning-delta), id, name and arguments (of tool-call-delta), block (of
+    block-end, as in the result) and value (of usage and finish).  The first end of an
+    index gives its block whole; what comes behind it is ignored.  An open one has the
+    type of its first chunk, its deltas joined in order, the last id and the last name
+    that isn't empty; without an id it is call-<index>.  Blocks stand by first sight;
+    the last usage and finish count; tool calls go when the finish is max-tokens.
     """
+    kind, call, told = F.col("kind"), F.col("kind") == "tool-call-delta", F.col("kind").isin("text-delta", "reasoning-delta")
     by_block = Window.partitionBy("message_id", "index")
-    blocks = chunks.filter(F.col("index").isNotNull()).withColumn("end", F.min(F.when(F.col("kind") == "block-end", F.col("seq"))).over(by_block))
+    blocks = chunks.filter(F.col("index").isNotNull()).withColumn("end", F.min(F.when(kind == "block-end", F.col("seq"))).over(by_block))
     live = F.col("end").isNull() | (F.col("seq") < F.col("end"))
-    deltas = F.sort_array(F.collect_list(F.when((F.col("kind") == "block-delta") & live, F.struct("seq", "text"))))
-    joined = F.array_join(F.transform(deltas, lambda x: x["text"]), "")
-    final = F.max(F.when(F.col("seq") == F.col("end"), F.col("text")))
-    built = blocks.groupBy("message_id", "index").agg(F.min("seq").alias("first"), F.max("block_type").alias("block_type"), F.coalesce(final, joined).alias("text"))
+    opened = F.when(kind == "block-start", F.col("block_type")).when(kind == "text-delta", "text").when(kind == "reasoning-delta", "reasoning").when(call, "tool-call").otherwise(F.col("block.type"))
+    joined = lambda taken, c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(taken & live, F.struct("seq", F.coalesce(c, F.lit("")).alias("part"))))), lambda x: x["part"]), "")
+    named = F.when(call & live & (F.coalesce("name", F.lit("")) != ""), F.col("seq"))
+    built = blocks.groupBy("message_id", "index").agg(
+        F.min("seq").alias("first"), F.min_by(opened, "seq").alias("type"), joined(told, F.col("text")).alias("text"), joined(call, F.col("arguments")).alias("arguments"),
+        F.max_by("id", F.when(call & live, F.col("seq"))).alias("id"), F.max_by("name", named).alias("name"), F.max(F.when((kind == "block-end") & (F.col("seq") == F.col("end")), F.struct("block"))).alias("closed"),
+    )
+    is_call = F.col("type") == "tool-call"
+    none = F.lit(None).cast("string")
+    whole = F.struct(
+        "type", F.when(~is_call, F.col("text")).alias("text"), F.when(is_call, F.coalesce("id", F.concat(F.lit("call-"), F.col("index").cast("string")))).otherwise(none).alias("id"),
+        F.when(is_call, F.coalesce("name", F.lit(""))).alias("name"), F.when(is_call, F.col("arguments")).alias("arguments"),
+    )
+    built = built.select("message_id", "first", F.when(F.col("closed").isNotNull(), F.col("closed.block")).otherwise(whole).alias("block"))
     ends = chunks.groupBy("message_id").agg(
         F.max_by("value", F.when(F.col("kind") == "usage", F.col("seq"))).alias("usage"), F.max_by("value", F.when(F.col("kind") == "finish", F.col("seq"))).alias("finish")
     )
-    kept = built.join(ends.select("message_id", "finish"), "message_id", "left").filter(~((F.col("block_type") == "tool-call") & (F.coalesce("finish", F.lit("")) == "max-tokens")))
-    content = kept.groupBy("message_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "text"))), lambda x: x["text"]).alias("blocks"))
+    kept = built.join(ends.select("message_id", "finish"), "message_id", "left").filter(~(F.coalesce(F.col("block.type") == "tool-call", F.lit(False)) & (F.coalesce("finish", F.lit("")) == "max-tokens")))
+    content = kept.groupBy("message_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "block"))), lambda x: x["block"]).alias("blocks"))
     return ends.join(content, "message_id", "left")
 
 

@@ -67,26 +67,34 @@ def text_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.preview(F.array("text"), 80).alias("preview"))
 
 
-@query("""SELECT doc_id, array_to_string(list_slice(regexp_extract_all(text, '\\S+'), 1, 3), ' ') AS title
- FROM documents WHERE strlen(array_to_string(list_slice(regexp_extract_all(text, '\\S+'), 1, 3), ' ')) <= 60""")
+#: The longest prefix of a text (column t) within some bytes; each has four at most.
+_HEAD = "CASE WHEN strlen(t) <= {n} THEN t ELSE (SELECT max_by(p, strlen(p)) FROM (SELECT substr(t, 1, i::INT) AS p FROM range({low}, {n} + 1) r(i)) WHERE strlen(p) <= {n}) END"
+#: Texts as one clean line (column c), as a title has them.
+_LINE = r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(\x1B\]|\x{9D})(?s:.*?)(\x07|\x1B\\|\z)', '', 'g'), '(\x1B\[|\x{9B})[0-?]*[ -/]*[@-~]', '', 'g'), '\x1B[@-_]', '', 'g'),
+ '[\x01-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}]', '', 'g'), '[\x{200B}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}]', '', 'g'), '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS c FROM documents"""
+
+
+def _titles(words: int, size: int) -> str:
+    line = f"SELECT doc_id, array_to_string(list_slice(list_filter(string_split(c, ' '), lambda w: w <> ''), 1, {words}), ' ') AS t FROM ({_LINE})"
+    return f"SELECT doc_id, rtrim({_HEAD.format(n=size, low=size // 4)}) AS title FROM ({line})"
+
+
+@query(_titles(5, 25))
 def fallback_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.fallback_title(F.col("text"), 3, 10_000).alias("title"))
-    return rows.filter(F.octet_length("title") <= 60)
+    return table(spark, sf_dir, "documents").select("doc_id", text.fallback_title(F.col("text"), 5, 25).alias("title"))
 
 
-@query("""SELECT doc_id, CASE WHEN strlen(text) <= 40 THEN text ELSE (SELECT max_by(p, strlen(p)) FROM (SELECT substr(text, 1, n::INT) AS p FROM range(25, 41) t(n)) WHERE strlen(p) <= 40) END AS head
- FROM documents WHERE lang IN ('de', 'fr', 'es', 'en') AND length(text) >= 41 OR strlen(text) <= 40""")
+@query(f"SELECT doc_id, {_HEAD.format(n=17, low=4)} AS head FROM (SELECT doc_id, text AS t FROM documents)")
 def utf8_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").filter((F.col("lang").isin("de", "fr", "es", "en") & (F.char_length("text") >= 41)) | (F.octet_length("text") <= 40))
-    return rows.select("doc_id", text.truncate_utf8(F.col("text"), 40).alias("head"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.truncate_utf8(F.col("text"), 17).alias("head"))
 
 
-@query()
+@query(_titles(3, 60))
 def fallback_titles_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.fallback_title(F.col("text"), 3, 60).alias("title"))
 
 
-@query()
+@query(f"SELECT doc_id, {_HEAD.format(n=40, low=10)} AS head FROM (SELECT doc_id, text AS t FROM documents)")
 def utf8_heads_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.truncate_utf8(F.col("text"), 40).alias("head"))
 
@@ -253,16 +261,32 @@ def subagent_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.subagent_timing(log)
 
 
-@query("""WITH {LOG}, w AS (SELECT session_id, call_id AS index, seq // 40 AS m, * EXCLUDE (session_id, call_id) FROM elog)
- SELECT session_id || '-' || m AS message_id, count(*) AS n_chunks, string_agg(CAST(value AS VARCHAR), '' ORDER BY seq) FILTER (WHERE index = '0') AS first_block FROM w WHERE type IN ('tool/call', 'assistant/message') GROUP BY ALL HAVING count(*) FILTER (WHERE index = '0') > 0""")
+@query("""WITH {LOG}, w AS (SELECT session_id || '-' || seq // 40 AS message_id, seq, call_id AS i, event_id::VARCHAR AS e, type FROM elog WHERE type <> 'turn/end'),
+ c AS (SELECT *, min(CASE WHEN type = 'step/end' THEN seq END) OVER (PARTITION BY message_id, i) AS stop FROM w WHERE type IN ('tool/call', 'assistant/message', 'step/end', 'step/start') AND i IS NOT NULL),
+ b AS (SELECT message_id, i, min(seq) AS first, min_by(CASE type WHEN 'assistant/message' THEN 'text' WHEN 'step/start' THEN 'reasoning' ELSE 'tool-call' END, seq) AS kind, max(stop) AS stop, max(CASE WHEN seq = stop THEN e END) AS closed,
+  coalesce(string_agg(e, '' ORDER BY seq) FILTER (WHERE type IN ('assistant/message', 'step/start') AND (stop IS NULL OR seq < stop)), '') AS text, coalesce(string_agg(e, '' ORDER BY seq) FILTER (WHERE type = 'tool/call' AND (stop IS NULL OR seq < stop)), '') AS given,
+  max_by(e, seq) FILTER (WHERE type = 'tool/call' AND (stop IS NULL OR seq < stop)) AS id, max_by(e, seq) FILTER (WHERE type = 'tool/call' AND e::BIGINT % 2 = 0 AND (stop IS NULL OR seq < stop)) AS name FROM c GROUP BY ALL),
+ f AS (SELECT message_id, max_by(e, seq) FILTER (WHERE type = 'tool/result') AS usage, max_by(CASE WHEN e::BIGINT % 3 = 0 THEN 'max-tokens' ELSE 'stop' END, seq) FILTER (WHERE type = 'tool/result') AS finish FROM w GROUP BY 1),
+ t AS (SELECT message_id, first, CASE WHEN closed IS NOT NULL THEN 'tool-call' ELSE kind END AS kind, CASE WHEN closed IS NOT NULL THEN 'tool-call:closed' || closed || ':ls:[]' WHEN kind = 'tool-call' THEN 'tool-call:' || coalesce(id, 'call-' || i) || ':' || coalesce(name, '') || ':' || given ELSE kind || ':' || text END AS shown FROM b)
+ SELECT f.message_id, usage, finish, string_agg(shown, '|' ORDER BY first) FILTER (WHERE NOT (kind = 'tool-call' AND coalesce(finish, '') = 'max-tokens')) AS blocks FROM f LEFT JOIN t USING (message_id) GROUP BY ALL""")
 def assembled_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = event_log(spark, sf_dir).filter(F.col("type").isin("tool/call", "assistant/message"))
+    """Forty events a message: deltas of text, reasoning and calls, ends, usages and finishes."""
+    log, e = event_log(spark, sf_dir).filter("type <> 'turn/end'"), F.col("event_id").cast("string")
     message = F.concat(F.col("session_id").cast("string"), F.lit("-"), F.floor(F.col("seq") / 40).cast("string"))
-    # the value as text must look as DuckDB writes it, so blocks stand for their pieces
-    chunks = log.select(message.alias("message_id"), "seq", F.lit("block-delta").alias("kind"), F.col("call_id").alias("index"), F.col("value").cast("string").alias("text"), F.lit("text").alias("block_type"), F.lit(None).cast("string").alias("value"))
-    counts = chunks.groupBy("message_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    first = folds.assemble_stream(chunks.filter("index = '0'")).select("message_id", F.array_join("blocks", "").alias("first_block"))
-    return counts.join(first, "message_id")
+    kinds = F.create_map(*(F.lit(x) for pair in {"assistant/message": "text-delta", "step/start": "reasoning-delta", "tool/call": "tool-call-delta", "step/end": "block-end", "tool/result": "usage"}.items() for x in pair))
+    none = F.lit(None).cast("string")
+    called = F.col("type") == "tool/call"
+    block = F.struct(F.lit("tool-call").alias("type"), none.alias("text"), F.concat(F.lit("closed"), e).alias("id"), F.lit("ls").alias("name"), F.lit("[]").alias("arguments"))
+    chunks = log.select(
+        message.alias("message_id"), "seq", kinds[F.col("type")].alias("kind"), F.when(F.col("type") != "tool/result", F.col("call_id")).alias("index"), none.alias("block_type"), e.alias("text"), F.when(called, e).alias("id"),
+        F.when(called & (F.col("event_id") % 2 == 0), e).otherwise("").alias("name"), F.when(called, e).alias("arguments"), F.when(F.col("type") == "step/end", block).alias("block"), e.alias("value"),
+    )
+    # each usage is followed by a finish, which shares its seq
+    ends = chunks.filter("kind = 'usage'").withColumn("kind", F.lit("finish")).withColumn("value", F.when(F.col("value").cast("long") % 3 == 0, "max-tokens").otherwise("stop"))
+    shown = lambda b: F.when(b["type"] == "tool-call", F.concat_ws(":", b["type"], b["id"], b["name"], b["arguments"])).otherwise(F.concat_ws(":", b["type"], b["text"]))
+    found = folds.assemble_stream(chunks.unionByName(ends))
+    told = F.array_join(F.transform("blocks", shown), "|")
+    return found.select("message_id", "usage", "finish", told.alias("blocks"))
 
 
 @query()

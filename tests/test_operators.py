@@ -97,13 +97,20 @@ def test_balance_fails_on_an_orphan(spark):
 
 
 def test_streams_are_assembled(spark):
-    rows = [
-        ("m", 0, "block-delta", "0", "text", "Hel", None), ("m", 1, "block-delta", "1", "tool-call", "{", None), ("m", 2, "block-delta", "0", "text", "lo", None), ("m", 3, "block-end", "0", "text", None, None),
-        ("m", 4, "block-delta", "0", "text", "!", None), ("m", 5, "usage", None, None, None, "1"), ("m", 6, "usage", None, None, None, "2"), ("m", 7, "finish", None, None, None, "max-tokens"),
-    ]
-    chunks = spark.createDataFrame(rows, "message_id string, seq long, kind string, index string, block_type string, text string, value string")
-    row = folds.assemble_stream(chunks).first()
-    assert (row["blocks"], row["usage"], row["finish"]) == (["Hello"], "2", "max-tokens")
+    block = "struct<type: string, text: string, id: string, name: string, arguments: string>"
+    schema = f"message_id string, seq long, kind string, index int, block_type string, text string, id string, name string, arguments string, block {block}, value string"
+    fields = ("index", "block_type", "text", "id", "name", "arguments", "block", "value")
+    made = lambda m, *chunks: [(m, i, kind, *(more.get(f) for f in fields)) for i, (kind, more) in enumerate(chunks)]
+    call = lambda part, i=1, name=None: ("tool-call-delta", {"index": i, "id": f"id{part}", "name": name, "arguments": part})
+    text = lambda part, i=0: ("text-delta", {"index": i, "text": part})
+    end = lambda i, *b: ("block-end", {"index": i, "block": b})
+    rows = made("open", text("Hel"), call("{"), text("lo"), call('"a"', name="grep"), call("}", name=""), ("reasoning-delta", {"index": 2, "text": "hm"}), ("usage", {"value": "1"}), ("usage", {"value": "2"}))
+    rows += made("closed", text("Hel"), end(0, "text", "Hello", None, None, None), text("!"), end(0, "text", "late", None, None, None), call("{"), ("finish", {"value": "max-tokens"}))
+    rows += made("bare", ("block-start", {"index": 3, "block_type": "tool-call"}), end(1, "tool-call", None, "x", "ls", "[]"), ("finish", {"value": "stop"}))
+    got = {r["message_id"]: (r["usage"], r["finish"], [tuple(b) for b in r["blocks"]]) for r in folds.assemble_stream(spark.createDataFrame(rows, schema)).collect()}
+    assert got["open"] == ("2", None, [("text", "Hello", None, None, None), ("tool-call", None, "id}", "grep", '{"a"}'), ("reasoning", "hm", None, None, None)])
+    assert got["closed"] == (None, "max-tokens", [("text", "Hello", None, None, None)])
+    assert got["bare"] == (None, "stop", [("tool-call", None, "call-3", "", ""), ("tool-call", None, "x", "ls", "[]")])
 
 
 def test_surface(spark):
