@@ -20,13 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, pick, text_or_empty
+from .common import Scratch, pick, tasks_for, text_or_empty
 from .words import mix
 
 WINDOW, RUN, LEAST_WINS = 32, 32, 8
 SCALE, LEAST_ENTROPY = 1000, 100
 FILTER_BITS, BITS_EACH, PER_FILTER = 2048, 5, 160
-#: Rows of one range partition on average, and partitions at most.
+#: Rows of one range partition on average, and partitions at most unless the session asks for more.
 PART_ROWS, MAX_PARTS = 4096, 10_000
 BUFFER_BYTES = 1 << 18
 _NO_RANK = np.uint32(SCALE + 1)
@@ -210,7 +210,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     ranks = rank_table(entropy_counts(texts))
     n = texts.count()
-    parts = min(MAX_PARTS, max(1, -(-n // PART_ROWS)))
+    parts = min(max(MAX_PARTS, tasks_for(spark)), max(1, -(-n // PART_ROWS)))
     order = ["doc_id", F.xxhash64("text")]
     ranged = texts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 

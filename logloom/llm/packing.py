@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_OF_DOCUMENT = 1
 #: Pieces that one task packs at once.
 GROUP_ROWS = 2048
-#: Rounds of exchange at most.
+#: Rounds of exchange at most; each that is left out could only have saved sequences.
 MAX_ROUNDS = 8
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -147,15 +147,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     spark = pieces.sparkSession
     scratch = Scratch(spark, "packing")
     open_pieces = scratch.save("pieces", pieces)
-    slack = capacity // 256
     placed, before, last = [], math.inf, None
     for round_no in range(MAX_ROUNDS):
         terms = bound_terms(F.col("length"), capacity)
-        stats = open_pieces.agg(F.count(F.lit(1)).alias("n"), *(F.sum(v).alias(k) for k, v in terms.items())).first()
+        stats = open_pieces.agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("least"), *(F.sum(v).alias(k) for k, v in terms.items())).first()
         if not stats["n"] and placed:
             break
         bound = math.ceil(max(stats[k] or 0 for k in terms) - 1e-6)
         groups = max(1, math.ceil(stats["n"] / group_rows))
+        # a bin opens again if the shortest open piece fits its gap
+        slack = (stats["least"] or 1) - 1
         dealt = open_pieces.withColumn("packing_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
         out = f"{PIECES}, sequence_id long, offset long, certified boolean, reopened boolean"
         packed = scratch.save(f"round{round_no}", dealt.groupBy("packing_group").applyInPandas(_pack_group(capacity, round_no, slack), out))

@@ -229,12 +229,18 @@ def mark_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     """``sha1`` and ``original`` (a revisit's response, else null) for every page.
 
     Only payloads that stand twice are joined back; their hot digests are rows of
-    the larger side, which adaptive execution splits.
+    the larger side, which adaptive execution splits.  Short payloads take no
+    part in the join's keys, so empty pages, however many, don't meet in one task.
     """
     hashed = pages.withColumn("sha1", F.sha1(text_or_empty("html")))
     long = hashed.filter(F.octet_length("html") >= min_bytes)
     twice = long.groupBy("sha1").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    joined = hashed.join(twice, "sha1", "left")
+    # an unequal salt spreads the rows without a key, which the join must keep
+    # nulls would meet in one task too, so a short payload has a key that nothing else can have
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    key = F.when(F.octet_length("html") >= min_bytes, F.col("sha1")).otherwise(alone)
+    shared = twice.withColumnRenamed("sha1", "key")
+    joined = hashed.withColumn("key", key).join(shared, "key", "left").select(*hashed.columns, "newest")
     return joined.withColumn("original", F.when(F.col("page_id").eqNullSafe(F.col("newest")), None).otherwise(F.col("newest"))).drop("newest")
 
 
