@@ -3,12 +3,11 @@
 Units of a document are its lines, its whole text, and runs of pieces (lines, cut at
 sentence, clause and bracket ends) of up to 1.6 times a template's words, so that a
 statement may be wrapped over lines or stand inside one.  A unit's vector holds the
-counts of its words times their inverse document frequency over all documents; words
-outside the templates weigh 1, the least a word can.  A unit whose cosine to a template
-reaches ``LEAST_COSINE`` states that licence.  A document that a unit other than its
-whole text states is licensed by its header; one that is a licence text as a whole, by
-its whole text, by a run that is most of it, or by beginning as a long licence does, is
-a licence file and also covers its directory.  Other documents take the licence of the
+counts of its words times their inverse document frequency over all documents.  A unit
+whose cosine to a template reaches ``LEAST_COSINE`` states that licence.  A document that
+a unit other than its whole text states is licensed by its header; one that is a licence
+text as a whole, by a run that is most of it, by beginning as a long licence does, or by
+its file's name, is a licence file and also covers its directory.  Other documents take the licence of the
 nearest directory above them that has a licence file, by a join of ancestor paths.
 
 Only documents that hold an anchor word are scored.  The anchors of a template are its
@@ -76,6 +75,8 @@ WHOLE_TEXTS = frozenset(i for i, (_, x) in enumerate(TEMPLATES) if x.startswith(
 REACH = 1.6
 #: Ends of pieces: line ends, and sentence, clause and bracket ends within a line.
 PIECE_CUT = r"\n|(?<=[.!?;:,)])\s+|\s+(?=\()"
+#: Names of files that hold nothing but a licence: any statement in them is the folder's.
+FILE_NAME = r"(?i)(?:^|/)(?:un)?(?:licen[cs]e|copying)(?:[-_][^/]*)?(?:\.[a-z]+)?$"
 #: Words (titles, copyright lines) that may stand before an opening, and the share of a whole text.
 LEAD_WORDS, MOST = 20, 2 / 3
 
@@ -89,15 +90,23 @@ def template_counts() -> list[Counter]:
     return [Counter(w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split()) for _, text in TEMPLATES]
 
 
-def word_weights(texts: DataFrame) -> dict[str, float]:
-    """Inverse document frequency of every template word over all documents."""
+def document_frequencies(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """word and n: in how many documents each word stands; the empty word is in all of them."""
+    # words are counted where they lie before anything is sent
+    held = texts.select(F.explode(F.concat(F.array_distinct(words(F.col("text"))), F.array(F.lit("")))).alias("word"))
+    return scratch.save("frequencies", held.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+
+
+def inverse_frequency(n: Column, documents: int) -> Column:
+    return F.log((1 + documents) / (1 + n)) + 1
+
+
+def word_weights(frequencies: DataFrame) -> tuple[dict[str, float], int]:
+    """Inverse document frequency of every template word, and the number of documents."""
     vocabulary = sorted(set().union(*template_counts()))
-    held = texts.select(F.array_intersect(words(F.col("text")), F.lit(vocabulary)).alias("held"))
-    # one row for each template word, and one for the number of documents
-    tagged = held.select(F.explode(F.concat("held", F.array(F.lit("")))).alias("word"))
-    counts = {r["word"]: r["n"] for r in tagged.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["word"]: r["n"] for r in frequencies.filter(F.col("word").isin("", *vocabulary)).collect()}
     n = counts.get("", 0)
-    return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
+    return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}, n
 
 
 def template_anchors(counts: Counter, weights: dict[str, float], least: float) -> set[str]:
@@ -119,9 +128,13 @@ def anchors(weights: dict[str, float], least: float) -> list[str]:
 def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """row_id, whole (the text is a licence text), granted, license, score: the best of each kind."""
     scratch = Scratch(texts.sparkSession, "stated")
-    weights = word_weights(texts)
+    frequencies = document_frequencies(texts, scratch)
+    weights, n = word_weights(frequencies)
     chosen = scratch.save("chosen", texts.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors(weights, least)))))
-    tables = Tables(texts.sparkSession, weights, least)
+    # the words of texts with an anchor, which may be as many as the corpus has, by their own weights
+    met = chosen.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct()
+    weighed = scratch.save("weights", met.join(frequencies, "word").select("word", inverse_frequency(F.col("n"), n).alias("weight")))
+    tables = Tables(texts.sparkSession, weights, weighed, least)
     scored = stated_units(chosen, tables).unionByName(stated_windows(chosen, tables, scratch))
     names = F.create_map(*(x for i, (name, _) in enumerate(TEMPLATES) for x in (F.lit(i), F.lit(name))))
     scored = scored.withColumn("license", names[F.col("template")]).withColumn("granted", F.col("license") != RESERVED)
@@ -131,22 +144,22 @@ def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
 
 
 class Tables:
-    """What is known of the templates: some thousand rows, whatever the input."""
+    """What is known of the templates, some thousand rows, whatever the input; and all words' weights, a table."""
 
-    def __init__(self, spark: SparkSession, weights: dict[str, float], least: float):
+    def __init__(self, spark: SparkSession, weights: dict[str, float], weighed: DataFrame, least: float):
         counts = template_counts()
         norms = [math.sqrt(sum((c * weights[w]) ** 2 for w, c in each.items())) for each in counts]
         shares = [(w, t, c * weights[w] / norms[t]) for t, each in enumerate(counts) for w, c in each.items()]
         self.least = least
         self.anchors = [sorted(template_anchors(each, weights, least)) for each in counts]
         self.size_of = F.create_map(*(F.lit(x) for t, each in enumerate(counts) for x in (t, sum(each.values()))))
-        self.weights = F.broadcast(spark.createDataFrame(list(weights.items()), "word string, weight double"))
+        self.weights = weighed
         self.shares = F.broadcast(spark.createDataFrame(shares, "word string, template int, share double"))
 
     def weighed(self, units: DataFrame, *keys: str) -> DataFrame:
         """``keys``, word, n and value (count times weight) of the words of ``content``."""
         counts = units.select(*keys, F.explode(words(F.col("content"))).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-        return counts.join(self.weights, "word", "left").withColumn("value", F.col("n") * F.coalesce("weight", F.lit(1.0))).drop("weight")
+        return counts.join(self.weights, "word").withColumn("value", F.col("n") * F.col("weight")).drop("weight")
 
 
 def by_row(chosen: DataFrame) -> DataFrame:
@@ -166,7 +179,7 @@ def stated_units(chosen: DataFrame, tables: Tables) -> DataFrame:
     weighed = tables.weighed(units, "row_id", "unit")
     length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("row_id", "unit")))
     dots = weighed.withColumn("length", length).join(tables.shares, "word").groupBy("row_id", "unit", "template").agg(F.sum(F.col("value") * F.col("share")).alias("dot"), F.max("length").alias("length"))
-    scored = dots.select("row_id", "unit", "template", F.round(F.col("dot") / F.col("length"), 9).alias("score"), (F.col("unit") == -1).alias("file"))
+    scored = dots.select("row_id", "unit", "template", F.round(F.col("dot") / F.col("length"), 9).alias("score"), ((F.col("unit") == -1) & F.col("template").isin(*OPENINGS, *WHOLE_TEXTS)).alias("file"))
     return scored.filter(F.col("score") >= tables.least)
 
 
@@ -238,18 +251,23 @@ def scan_licenses(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     Returns a row per input row: doc_id, path, license, score, origin (header, file or
     inherited) and from_path (the licence file's path where inherited); all null where
     none is found.  Equal scores go to the earlier unit, then template; of several
-    licence files in a directory the least path counts.  Null texts state nothing, null
+    licence files in a directory the least path counts.  A licence file holds a licence's
+    whole text or opening, or any statement under a name like LICENSE or COPYING; prose
+    with a notice in it is none.  Null texts state nothing, null
     paths inherit nothing; repeated rows get equal results; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "licenses")
     source = pick(docs, "doc_id", "path", "text")
-    row_id = F.xxhash64(F.col("doc_id"), F.col("path"), F.col("text"))
+    parts = F.col("doc_id"), F.col("path"), F.col("text")
+    row_id = F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2)))  # 128 bits
     texts = source.select(row_id.alias("row_id"), text_or_empty().alias("text"))
     stated = scratch.save("stated", stated_licenses(texts, least).distinct())
     kinds = stated.groupBy("row_id").agg(
         F.max(F.when(~F.col("whole"), F.struct("granted", "score", "license"))).alias("header"), F.max(F.when(F.col("whole"), F.struct("granted", "score", "license"))).alias("file")
     )
     rows = source.select("doc_id", "path", row_id.alias("row_id")).join(kinds, "row_id", "left")
+    named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False)) & F.coalesce(F.col("header.granted"), F.lit(False))
+    rows = rows.withColumn("file", F.coalesce("file", F.when(named, F.col("header"))))
     rows = rows.withColumn("own", F.coalesce("file", "header")).withColumn("origin", F.when(F.col("file").isNotNull(), "file").when(F.col("header").isNotNull(), "header"))
     rows = scratch.save("rows", rows.drop("row_id"))
     files = rows.filter("origin = 'file' and path is not null").groupBy(directory(F.col("path")).alias("folder")).agg(F.min(F.struct("path", "own")).alias("found"))

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -185,11 +186,35 @@ def cosine(text, template, weights):
     for w in "".join(c if c.isalnum() else " " for c in text.lower()).split():
         counts[w] = counts.get(w, 0) + 1
     other = licenses.template_counts()[template]
-    x, y = ({w: n * weights.get(w, 1.0) for w, n in c.items()} for c in (counts, other))
+    x, y = ({w: n * weights[w] for w, n in c.items()} for c in (counts, other))
     dot = sum(v * y[w] for w, v in x.items() if w in y)
     return dot / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())) if x else 0.0
 
 
+def plain_weights(texts):
+    """Inverse document frequency of every word of the texts and templates."""
+    words = lambda text: {w for w in "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()}
+    held = [words(t) for t in texts]
+    every = set().union(*held, *licenses.template_counts())
+    return {w: math.log((1 + len(texts)) / (1 + sum(w in h for h in held))) + 1 for w in every}
+
+
+def plain_best(text, weights):
+    """The best cosine of the whole text, its lines and all runs of its pieces within reach of a template."""
+    pieces = re.split(licenses.PIECE_CUT, text)
+    best = 0.0
+    for t, template in enumerate(licenses.template_counts()):
+        units = [text, *text.split("\n")]
+        for i in range(len(pieces)):
+            for j in range(i + 1, len(pieces) + 1):
+                run = " ".join(pieces[i:j])
+                if len(re.findall(r"[^\W_]+", run)) > licenses.REACH * sum(template.values()):
+                    break
+                units.append(run)
+        best = max([best, *(cosine(u, t, weights) for u in units)])
+    return best
+
+
 def test_licenses(files, spark):
     mit, gpl = licenses.TEMPLATES[4][1], licenses.TEMPLATES[5][1]
     rows = [
@@ -202,14 +227,27 @@ def test_licenses(files, spark):
     assert found[0] == ("MIT", "file", None) and found[2] == ("GPL-3.0-only", "file", None) and found[5] == ("MIT", "header", None)
     assert found[1] == found[3] == ("GPL-3.0-only", "inherited", "a/b/COPYING") and found[8] == found[9] == ("MIT", "inherited", "a/LICENSE")
     assert all(found[i] == (None, None, None) for i in (4, 6, 7, 10))
-    weights = licenses.word_weights(files(rows).selectExpr("doc_id as row_id", "coalesce(text, '') as text"))
+    # equal rows count once
+    weights = plain_weights([t for _, t in dict.fromkeys((i - (i == 9), t) for i, (_, t) in enumerate(rows))] + ["amber"])
     for doc, path in enumerate(rows):
-        best = max((cosine(u, t, weights) for u in [path[1] or "", *(path[1] or "").split("\n")] for t in range(len(licenses.TEMPLATES))), default=0)
+        best = plain_best(path[1] or "", weights)
         own = next(r for r in got if r["doc_id"] == doc)
         assert (best >= 0.8) == (own["origin"] in ("file", "header")) and (best < 0.8 or abs(own["score"] - best) < 1e-6 or own["origin"] == "file")
     assert licenses.scan_licenses(files([])).count() == 0
 
 
+def test_prose_with_a_notice_is_no_licence_file(files):
+    notice = "Released under the MIT License."
+    long = prose(90, 400).split()
+    rows = [("p/book.txt", f"{' '.join(long[:200])}. {notice} {' '.join(long[200:])}"), ("p/near.txt", f"{prose(91, 8)}. {notice}"), ("p/plain.txt", prose(92, 30)), ("n/LICENSE.md", f"{prose(93, 30)}. {notice}"), ("n/code.py", prose(94, 30)),
+            ("n/deep/er/x.py", prose(95, 10)), ("m/license_notes/x.py", prose(96, 10)), ("m/license_notes/y.txt", notice + " " + prose(97, 20))]
+    found = {r["doc_id"]: (r["license"], r["origin"], r["from_path"]) for r in licenses.scan_licenses(files(rows)).collect()}
+    assert found[0] == found[1] == ("MIT", "header", None) and found[2] == (None, None, None) and found[7][1] == "header" and found[6] == (None, None, None)
+    assert found[3] == ("MIT", "file", None) and found[4] == found[5] == ("MIT", "inherited", "n/LICENSE.md")
+    weights = plain_weights([t for _, t in rows])
+    assert cosine(rows[0][1], 2, weights) < 0.3 and plain_best(rows[0][1], weights) > 0.99
+
+
 def test_anchors_lose_nothing():
     weights = {w: 1.0 + len(w) for w in set().union(*licenses.template_counts())}
     chosen = set(licenses.anchors(weights, 0.8))
