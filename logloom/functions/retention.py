@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import hashlib
 import json
 import math
 from bisect import bisect_left, bisect_right
@@ -221,6 +222,47 @@ def json_preview(value: Column, budget: int) -> Column:
     return run(value)
 
 
+#: Fixed value: bytes of a field's JSON that stay in its event.
+MAX_INLINE = 65536
+PREVIEW_BYTES = 2048
+
+
+def spill_members(text: str, most: int, preview: int) -> tuple[str, list[dict]]:
+    """A JSON object with members beyond ``most`` bytes replaced by references, and their contents."""
+    compact = lambda v: json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+    members, blobs = json.loads(text), []
+    for name, value in members.items() if isinstance(members, dict) else ():
+        content = compact(value).encode("utf-8", "surrogatepass")
+        if len(content) > most:
+            key = hashlib.sha256(content).hexdigest()
+            members[name] = {"blob": {"sha256": key, "bytes": len(content), "path": f"blobs/{key[:2]}/{key}"}, "original_bytes": len(content), "preview": small_json(value, preview), "truncated": True}
+            blobs.append({"key": key, "content": content})
+    return compact(members), blobs
+
+
+def spilled(payload: Column, most: int = MAX_INLINE, preview: int = PREVIEW_BYTES) -> Column:
+    """A struct of payload (JSON text) and blobs (key, content) of a payload's large members.
+
+    A member whose JSON takes more than ``most`` bytes becomes a reference to its blob
+    with its size and a preview.  Payloads that are no objects stay; broken and null ones
+    are null without blobs.
+    """
+
+    @F.pandas_udf("payload string, blobs array<struct<key: string, content: binary>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def one(text: str | None) -> tuple[str | None, list[dict]]:
+            try:
+                return spill_members(text, most, preview) if text is not None else (None, [])
+            except ValueError:
+                return None, []
+
+        for batch in batches:
+            found = [one(text) for text in batch]
+            yield pd.DataFrame({"payload": [p for p, _ in found], "blobs": [b for _, b in found]})
+
+    return run(payload)
+
+
 def text_diff(before: Column, after: Column, context: int = 3) -> Column:
     """(hunks, added, deleted) between two texts, by lines; null counts as empty."""
 

@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logloom.functions import diff, secrets
+from logloom.functions import diff, retention, secrets
 from logloom.operators import contracts, index, surface, timeline
 from logloom.plans.inputs import conversation_log, event_log, table
 from logloom.plans.queries import _HITS, SQL, query, ranked_search
-from logloom.sources import framed
+from logloom.sources import framed, tables
 from logloom.sources.scratch import work_folder, written
 from logloom.streaming import resume
 
@@ -98,6 +98,19 @@ def document_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("d.hunks").alias("hunks"), "d.coarse", "d.added", "d.deleted", same.alias("rebuilt"))
 
 
+@query("""SELECT doc_id, strlen(j) > 3000 AS spilled, CASE WHEN strlen(j) > 3000 THEN sha256(j) END AS key, CASE WHEN strlen(j) > 3000 THEN strlen(j) END AS bytes, CASE WHEN strlen(j) > 3000 THEN j END AS content FROM (SELECT doc_id, to_json(text)::VARCHAR AS j FROM documents)""")
+def spilled_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as payloads whose text goes to a blob beyond 3,000 bytes, and the blobs as read back."""
+    folder = _folder(spark, "spill")
+    rows = table(spark, sf_dir, "documents").select("doc_id", retention.spilled(F.to_json(F.struct("doc_id", "text")), 3000).alias("s"))
+    rows = written(rows.select("doc_id", "s.payload", "s.blobs"), "spilled")
+    tables.put_blobs(rows.select(F.explode("blobs").alias("b")).select("b.content"), folder)
+    reference = F.from_json("payload", "text struct<blob: struct<sha256: string, bytes: long>>", {"mode": "PERMISSIVE"})["text"]["blob"]
+    found = rows.select("doc_id", (F.size("blobs") > 0).alias("spilled"), F.when(F.size("blobs") > 0, reference).alias("r")).select("doc_id", "spilled", F.col("r.sha256").alias("key"), F.col("r.bytes").alias("bytes"))
+    read = tables.get_blobs(spark, folder, found.filter("key is not null")).select("key", F.decode("content", "UTF-8").alias("content"))
+    return found.join(read, "key", "left").select("doc_id", "spilled", "key", "bytes", "content")
+
+
 # Surfaces -----------------------------------------------------------------------
 
 _NODES = """n AS (SELECT session_id, seq, event_id, seq % 10 AS r, max(seq) OVER (PARTITION BY session_id) AS last FROM elog)"""

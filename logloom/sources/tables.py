@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,22 @@ def load(spark: SparkSession, folder: str) -> DataFrame:
     return latest(spark.read.schema(KEYED).parquet(folder))
 
 
+def put_global(spark: SparkSession, folder: str, value: str, version: int) -> None:
+    """Set a unit's one value beside its table."""
+    spark.range(1).select(F.lit("").alias("key"), F.lit(value).alias("value"), F.lit(version).cast("long").alias("version"), F.lit(False).alias("deleted")).write.mode("append").parquet(f"{folder}-global")
+
+
+def load_global(spark: SparkSession, folder: str) -> str | None:
+    """The unit's one value as last set; None before."""
+    try:
+        row = load(spark, f"{folder}-global").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return row["value"]
+
+
 def load_documents(spark: SparkSession, folder: str, versions: list[int]) -> DataFrame:
     """One JSON document per file; bad JSON and other versions read as absent."""
     text = spark.read.option("wholetext", True).text(folder)

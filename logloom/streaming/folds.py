@@ -13,22 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATE_VERSION = 1
+STATE_VERSION = 2
 STATE = "version int, turns long, steps long, last_turn long, tool_ms long, calls map<string, long>"
 VIEW = "session_id string, turns long, steps long, tool_ms long"
 
 
 def apply_events(state: tuple, events: pd.DataFrame) -> tuple:
-    """(turns, steps, last turn, tool time, open calls) after some events in order."""
+    """(turns, steps, last turn, tool time, open calls) after some events in order.
+
+    A null turn isn't remembered and counts as new behind a numbered one; a null time
+    adds nothing.
+    """
     turns, steps, last, tool_ms, calls = state
     calls = dict(calls)
     for kind, time, turn, call in zip(events["type"], events["time"], events["turn"], events["call_id"]):
+        turn, time, call = (None if pd.isna(x) else x for x in (turn, time, call))
         if kind == "step/end":
-            turns, steps, last = turns + (last is None or last != turn), steps + 1, int(turn)
+            turns, steps, last = turns + (last != turn), steps + 1, last if turn is None else int(turn)
         elif kind == "tool/call":
-            calls[call] = int(time)
-        elif kind == "tool/result" and call in calls:
-            tool_ms += max(0, int(time) - calls.pop(call))
+            calls[call or ""] = -1 if time is None else int(time)
+        elif kind == "tool/result" and (call or "") in calls:
+            began = calls.pop(call or "")
+            tool_ms += max(0, int(time) - began) if time is not None and began >= 0 else 0
         elif kind == "turn/end":
             calls = {}
     return turns, steps, last, tool_ms, calls
@@ -78,9 +84,12 @@ def telemetry_records(events: DataFrame) -> DataFrame:
 
 
 def mirror(records: DataFrame, path: str, checkpoint: str, redact=lambda column: column):
-    """Append a stream of telemetry records to a folder, through a redaction hook."""
+    """Store a stream of telemetry records under a folder, through a redaction hook.
+
+    Each batch lies under its own number, so one that is retried replaces itself.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.withColumn("body", redact(F.col("body"))).write.mode("append").json(path)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("body", redact(F.col("body"))).write.mode("overwrite").json(f"{path}/batch={number}")
 
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,12 +1,16 @@
 import dataclasses
+import hashlib
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.functions import diff, secrets
+from logloom.functions import diff, retention, secrets
 from logloom.operators import contracts, index, lineage, search, surface, timeline, validation
+from logloom.sources import tables
+from logloom.streaming import folds as stream_folds
 from logloom.streaming import resume
 
 
@@ -291,3 +295,28 @@ def test_fork_closes_what_was_open(spark):
     assert shape(4)[1:] == [(6, "tool/result", 40, "b", "forked"), (7, "step/end", 40, None, "forked"), (8, "turn/end", 40, None, "forked")]
     assert shape(5)[1:] == [(7, "tool/result", 50, "b", "forked"), (8, "turn/end", 50, None, "forked")]
     assert shape(6) == [(7, "session/end-seed", 60, None, None)]
+
+
+def test_large_members_become_references(spark):
+    rows = [('{"a":"' + "é" * 40 + '","b":1,"c":[1,2]}',), ("[1]",), ("{",), (None,)]
+    got = [r["s"] for r in spark.createDataFrame(rows, "t string").select(retention.spilled(F.col("t"), 50, 20).alias("s")).collect()]
+    whole = json.loads(got[0]["payload"])
+    content = ('"' + "é" * 40 + '"').encode()
+    key = hashlib.sha256(content).hexdigest()
+    assert whole["b"] == 1 and whole["c"] == [1, 2] and [(b["key"], bytes(b["content"])) for b in got[0]["blobs"]] == [(key, content)]
+    assert {k: v for k, v in whole["a"].items() if k != "preview"} == {"blob": {"sha256": key, "bytes": 82, "path": f"blobs/{key[:2]}/{key}"}, "original_bytes": 82, "truncated": True}
+    assert len(whole["a"]["preview"].encode()) <= 20 and json.loads(whole["a"]["preview"]).startswith("é")
+    assert got[1]["payload"] == "[1]" and got[2]["payload"] is None and got[3]["payload"] is None and got[3]["blobs"] == []
+
+
+def test_global_slot(spark, tmp_path):
+    folder = str(tmp_path / "unit")
+    assert tables.load_global(spark, folder) is None
+    tables.put_global(spark, folder, "one", 1)
+    tables.put_global(spark, folder, "two", 2)
+    assert tables.load_global(spark, folder) == "two"
+
+
+def test_streamed_counters_take_nulls():
+    rows = pd.DataFrame({"type": ["step/end", "step/end", "step/end", "tool/call", "tool/result", "tool/call", "tool/result"], "time": [1, 2, 3, None, 5, 6, 9], "turn": [1, None, 1, 1, 1, 1, 1], "call_id": [None, None, None, "a", "a", None, None]})
+    assert stream_folds.apply_events((0, 0, None, 0, {}), rows) == (2, 3, 1, 3, {})
