@@ -143,6 +143,8 @@ def test_redaction_order_and_idempotence(spark):
     assert "hunter2" not in once and "a@b.org" not in once and "secretword" not in once and "[redacted:literal]" in once
     assert redaction.redact_text(once, ["secretword", "secret"]) == once
     assert run(spark, [source, None], lambda c: redaction.redact(c, ["secretword"])) == [redaction.redact_text(source, ["secretword"]), None]
+    alone = ["clean text", "-----BEGIN PRIVATE KEY-----x-----END PRIVATE KEY-----", "Bearer abcdefgh1", "ghp_0123456789ab", "PA\u017fSWORD = x", "to\u212aen:y", "api_key: z", "a@b.org", "the literal word", ""]
+    assert run(spark, alone, lambda c: redaction.redact(c, ["literal"])) == [redaction.redact_text(x, ["literal"]) for x in alone]
 
 
 @settings(max_examples=100, deadline=None)
