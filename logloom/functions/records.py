@@ -223,16 +223,17 @@ def zoned_time(ms: Column, zone: str) -> Column:
 def encode_ranges(seqs: Column) -> Column:
     """Runs of three or more as [start, end], others as [value]; lists out of order stay single.
 
-    One pass from the left, which keeps the open run and the finished ones.
+    The places where a run starts are found first; each run then gives its own part.
     """
     rising = F.aggregate(seqs, F.struct(F.lit(True).alias("ok"), F.lit(None).cast("long").alias("last")),
                          lambda s, x: F.struct((s["ok"] & (s["last"].isNull() | (x > s["last"]))).alias("ok"), x.cast("long").alias("last")))["ok"]
     # places where a run starts; a run goes on to the place before the next one's
     starts = F.filter(F.sequence(F.lit(0), F.size(seqs) - 1), lambda i: (i == 0) | (F.get(seqs, i) != F.get(seqs, i - 1) + 1))
-    runs = F.arrays_zip(starts.alias("a"), F.concat(F.slice(starts, 2, F.size(seqs)), F.array(F.size(seqs))).alias("b"))
-    packed = F.flatten(F.transform(runs, lambda r: F.when(r["b"] - r["a"] >= 3, F.array(F.array(F.get(seqs, r["a"]), F.get(seqs, r["b"] - 1)))).otherwise(
-        F.transform(F.slice(seqs, r["a"] + 1, r["b"] - r["a"]), lambda x: F.array(x)))))
-    return F.when(F.size(seqs) == 0, F.transform(seqs, lambda x: F.array(x))).when(rising, packed).otherwise(F.transform(seqs, lambda x: F.array(x)))
+    part = lambda a, b: F.when(b - a >= 3, F.array(F.array(F.get(seqs, a), F.get(seqs, b - 1)))).otherwise(F.transform(F.slice(seqs, a + 1, b - a), lambda x: F.array(x)))
+    packed = lambda at: F.flatten(F.transform(at, lambda a, i: part(a, F.coalesce(F.get(at, i + 1), F.size(seqs)))))
+    single = F.transform(seqs, lambda x: F.array(x))
+    # an array of one binds the starts to a name, else they would be found anew for every run
+    return F.when((F.size(seqs) > 0) & rising, F.get(F.transform(F.array(starts), packed), F.lit(0))).otherwise(single)
 
 
 def decode_ranges(ranges: Column) -> Column:

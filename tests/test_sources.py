@@ -92,7 +92,7 @@ def test_framed_source_splits_files(spark, tmp_path):
     folder = str(tmp_path / "framed")
     framed.write_log(log, folder, frame_rows=10)
     assert sorted(p.name for p in (tmp_path / "framed").iterdir()) == [f"s{i}.jsonl.zst" for i in range(3)]
-    for size in (1, 700, 1 << 30):
+    for size in (400, 1 << 30):
         found = framed.read_events(spark, folder, partition_bytes=size)
         assert sorted((r["session_id"], r["seq"], r["type"], r["data"]) for r in found.collect()) == sorted(rows)
     lines = framed.read_lines(spark, folder, partition_bytes=700)
