@@ -55,7 +55,7 @@ def found(spark, rows, **more):
     return sorted(tuple(r) for r in phrases.find_phrases(frame, **more).collect())
 
 
-@pytest.mark.parametrize("more", [{}, {"most": 7, "percent": 60}, {"most_words": 3}])
+@pytest.mark.parametrize("more", [{}, {"most": 7, "percent": 60, "most_words": 3}])
 def test_phrases_equal_brute_force(spark, more):
     rows = drawn(21, 150)
     limits = {k: v for k, v in more.items() if k != "most_words"}
