@@ -259,7 +259,7 @@ def scan_licenses(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "licenses")
     source = pick(docs, "doc_id", "path", "text")
     parts = F.col("doc_id"), F.col("path"), F.col("text")
-    row_id = F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2)))  # 128 bits
+    row_id = F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2))))  # 128 bits
     texts = source.select(row_id.alias("row_id"), text_or_empty().alias("text"))
     stated = scratch.save("stated", stated_licenses(texts, least).distinct())
     kinds = stated.groupBy("row_id").agg(
