@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column
@@ -134,21 +134,31 @@ def safe_name(name: Column) -> Column:
     return F.when(name == "", "~").when(name.isin(".", ".."), F.regexp_replace(name, r"\.", "~002E")).otherwise(F.array_join(coded, ""))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it.
+
+    The engine shares no common parts inside functions of lambdas; an array of one binds them to a name.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def session_reference(session_id: Column) -> Column:
     """A reference URI: the id as a JSON string in unpadded base64url."""
-    quoted = F.to_json(F.struct(session_id.alias("v")))
-    value = F.substring(quoted, F.lit(6), F.char_length(quoted) - 6)
+    value = bound(F.to_json(F.struct(session_id.alias("v"))), lambda quoted: F.substring(quoted, F.lit(6), F.char_length(quoted) - 6))
     coded = F.regexp_replace(F.translate(F.base64(F.encode(value, "UTF-8")), "+/", "-_"), "[=\r\n]", "")
     return F.concat(F.lit("session:"), coded)
 
 
 def referenced_session(uri: Column) -> Column:
     """The id behind a reference; null unless it is in canonical form."""
-    coded = F.regexp_extract(uri, r"\Asession:([A-Za-z0-9_-]+)\z", 1)
-    padded = F.rpad(coded, (F.ceil(F.char_length(coded) / 4) * 4).cast("int"), "=")
-    value = F.try_validate_utf8(F.try_to_binary(F.translate(padded, "-_", "+/"), F.lit("base64")).cast("string"))
-    found = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "v string")["v"]
-    return F.when(session_reference(found) == uri, found)
+
+    def read(uri: Column) -> Column:
+        padded = bound(F.regexp_extract(uri, r"\Asession:([A-Za-z0-9_-]+)\z", 1), lambda coded: F.rpad(coded, (F.ceil(F.char_length(coded) / 4) * 4).cast("int"), "="))
+        value = F.try_validate_utf8(F.try_to_binary(F.translate(padded, "-_", "+/"), F.lit("base64")).cast("string"))
+        found = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "v string")["v"]
+        return bound(found, lambda found: F.when(session_reference(found) == uri, found))
+
+    return bound(uri, read)
 
 
 def session_mention(session_id: Column, label: Column | None = None) -> Column:
@@ -168,13 +178,15 @@ def referenced_sessions(text: Column) -> Column:
     def read(found: Column) -> Column:
         label = F.regexp_replace(F.regexp_extract(found, MENTION, 1), rf"\\({ANY_CHAR})", "$1")
         session = referenced_session(F.concat(F.regexp_extract(found, MENTION, 2), F.regexp_extract(found, MENTION, 3)))
-        return F.struct(session.alias("session_id"), F.when(found.startswith("@"), label).otherwise(session).alias("label"))
+        return bound(session, lambda session: F.struct(session.alias("session_id"), F.when(found.startswith("@"), label).otherwise(session).alias("label")))
+
+    def told(text: Column, sessions: Column) -> Column:
+        between = F.split(text, MENTION, -1)
+        shown = F.zip_with(between, sessions, lambda plain, s: F.concat(plain, F.coalesce(F.concat(F.lit("@"), s["label"]), F.lit(""))))
+        whole = F.struct(F.array_join(shown, "").alias("text"), sessions.alias("sessions"))
+        return F.when(text.isNotNull() & ~F.exists(sessions, lambda s: s["session_id"].isNull()), whole)
 
-    sessions = F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), read)
-    between = F.split(text, MENTION, -1)
-    shown = F.zip_with(between, sessions, lambda plain, s: F.concat(plain, F.coalesce(F.concat(F.lit("@"), s["label"]), F.lit(""))))
-    whole = F.struct(F.array_join(shown, "").alias("text"), sessions.alias("sessions"))
-    return F.when(text.isNotNull() & ~F.exists(sessions, lambda s: s["session_id"].isNull()), whole)
+    return bound(text, lambda text: bound(F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), read), lambda sessions: told(text, sessions)))
 
 
 def canonical_header(header: Column) -> Column:

@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt evenly over a shuffle's tasks: heavy work on a narrow table, whose few bytes would give few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as sessions: a message a turn."""
     rows = table(spark, sf_dir, "conversations")

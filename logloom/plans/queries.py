@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import records, redaction, retention, text
 from logloom.operators import filters, folds, lineage, migration, search, surface, timeline, validation
-from logloom.plans.inputs import conversation_log, event_log, table
+from logloom.plans.inputs import conversation_log, event_log, spread, table
 from logloom.sources import tables
 from logloom.sources.scratch import work_folder, written
 
@@ -474,7 +474,7 @@ def session_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, segment = F.col("c_name"), F.col("c_mktsegment")
     label = F.concat(name, F.lit("]("), F.col("c_custkey").cast("string"), F.lit("\\"))
     said = F.concat(F.lit("as "), records.session_mention(name, label), F.lit(" says,\n"), records.session_reference(name), F.lit(" (@[x](y)) and "), records.session_mention(segment))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", records.referenced_sessions(said).alias("found"))
+    rows = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")).select("c_custkey", records.referenced_sessions(said).alias("found"))
     sessions = F.transform("found.sessions", lambda s: s["session_id"])
     return rows.select("c_custkey", "found.text", F.size("found.sessions").cast("long").alias("n"), F.array_join(sessions, "|").alias("sessions"))
 

@@ -266,3 +266,13 @@ def test_capped_and_bounded_columns(spark):
     # a notice that doesn't fit leaves the result whole
     assert [r["spilled"] for r in run(spark, blocks, lambda v: retention.bound_inline(v, F.lit("/at"), 10), "array<string>")] == [False] * 3
     assert not run(spark, blocks, lambda v: retention.bound_inline(v, F.lit(None).cast("string"), 300), "array<string>")[0]["spilled"]
+
+
+def test_mentions_are_parsed_once_and_dealt_out(spark, tmp_path):
+    assert str(records.referenced_sessions(F.col("t"))).count("from_json") == 1
+    assert str(records.referenced_session(F.col("t"))).count("from_json") == 1
+    spark.range(40).select(F.col("id").alias("c_custkey"), F.concat(F.lit("C"), "id").alias("c_name"), F.lit("M").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    from logloom.plans.queries import QUERIES
+
+    found = QUERIES["session_mentions"](spark, str(tmp_path))
+    assert found.count() == 40 and found.select(F.spark_partition_id().alias("p")).distinct().count() == 4
