@@ -17,15 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logloom.functions.records import bound
+
 _MAP, _LIST = "map<string, variant>", "array<variant>"
 SECRET = "array<struct<path: array<string>, set: boolean>>"
 
 
-def _is(value: Column, kind: str) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
-
-
 def _as(value: Column, kind: str) -> Column:
+    """``value`` as a map or a list; null where it is neither."""
     return F.try_variant_get(value, "$", kind)
 
 
@@ -50,18 +49,22 @@ def stripped(schema: dict, value: Column) -> Column:
         return value
     if kind == "array":
         # an entry that is a secret itself leaves a null in its place
-        entries = F.transform(_as(value, _LIST), lambda v: F.coalesce(stripped(schema["inner"], v), F.parse_json(F.lit("null"))))
-        return F.when(_is(value, "ARRAY"), F.to_variant_object(entries)).otherwise(value)
-    members = _as(value, _MAP)
-    if kind == "dict":
-        kept = F.map_filter(F.transform_values(members, lambda _, v: stripped(schema["inner"], v)), lambda _, v: v.isNotNull())
-        return F.when(_is(value, "OBJECT"), F.to_variant_object(kept)).otherwise(value)
+        kept = lambda entries: F.transform(entries, lambda v: F.coalesce(stripped(schema["inner"], v), F.parse_json(F.lit("null"))))
+        return bound(value, lambda value: bound(_as(value, _LIST), lambda entries: F.when(entries.isNotNull(), F.to_variant_object(kept(entries))).otherwise(value)))
+    return bound(value, lambda value: bound(_as(value, _MAP), lambda members: F.when(members.isNotNull(), F.to_variant_object(_kept(schema, members))).otherwise(value)))
+
+
+def _kept(schema: dict, members: Column) -> Column:
+    """What is left of an object's or dict's members."""
+    if schema["type"] == "dict":
+        return F.map_filter(F.transform_values(members, lambda _, v: stripped(schema["inner"], v)), lambda _, v: v.isNotNull())
     marked = {name: part for name, part in schema["members"].items() if has_secret(part)}
     kept = F.map_filter(members, lambda k, _: ~k.isin(*marked))
+    one = lambda name: lambda left: F.when(left.isNotNull(), F.create_map(F.lit(name), left)).otherwise(F.create_map().cast(_MAP))
     for name, part in marked.items():
-        left = stripped(part, F.element_at(members, name))
-        kept = F.map_concat(kept, F.when(left.isNotNull(), F.create_map(F.lit(name), left)).otherwise(F.create_map().cast(_MAP)))
-    return F.when(_is(value, "OBJECT"), F.to_variant_object(kept)).otherwise(value)
+        if part["type"] != "secret":
+            kept = F.map_concat(kept, bound(stripped(part, F.element_at(members, name)), one(name)))
+    return kept
 
 
 def positions(schema: dict, value: Column, path: Column | None = None) -> Column:
@@ -77,16 +80,19 @@ def positions(schema: dict, value: Column, path: Column | None = None) -> Column
     if not has_secret(schema):
         return none
     if schema["type"] == "union":
-        found = F.concat(*(positions(part, value, path) for part in schema["list"]))
-        paths = F.array_distinct(F.transform(found, lambda x: x["path"]))
-        return F.transform(paths, lambda p: F.struct(p.alias("path"), F.exists(found, lambda x: (x["path"] == p) & x["set"]).alias("set")))
+        found = bound(value, lambda value: F.concat(*(positions(part, value, path) for part in schema["list"])))
+        merged = lambda found: F.transform(F.array_distinct(F.transform(found, lambda x: x["path"])), lambda p: F.struct(p.alias("path"), F.exists(found, lambda x: (x["path"] == p) & x["set"]).alias("set")))
+        return bound(found, merged)
     if schema["type"] == "array":
-        entries = F.coalesce(F.when(_is(value, "ARRAY"), _as(value, _LIST)), F.array().cast(_LIST))
+        entries = F.coalesce(_as(value, _LIST), F.array().cast(_LIST))
         return F.flatten(F.transform(entries, lambda v, i: positions(schema["inner"], v, F.concat(path, F.array(i.cast("string"))))))
-    members = F.coalesce(F.when(_is(value, "OBJECT"), _as(value, _MAP)), F.create_map().cast(_MAP))
-    if schema["type"] == "dict":
-        return F.flatten(F.transform(F.array_sort(F.map_keys(members)), lambda k: positions(schema["inner"], F.element_at(members, k), F.concat(path, F.array(k)))))
-    return F.concat(*(positions(part, F.element_at(members, name), F.concat(path, F.array(F.lit(name)))) for name, part in schema["members"].items() if has_secret(part)))
+
+    def of_members(members: Column) -> Column:
+        if schema["type"] == "dict":
+            return F.flatten(F.transform(F.array_sort(F.map_keys(members)), lambda k: positions(schema["inner"], F.element_at(members, k), F.concat(path, F.array(k)))))
+        return F.concat(*(positions(part, F.element_at(members, name), F.concat(path, F.array(F.lit(name)))) for name, part in schema["members"].items() if has_secret(part)))
+
+    return bound(F.coalesce(_as(value, _MAP), F.create_map().cast(_MAP)), of_members)
 
 
 def strip_secrets(schema: dict, text: Column) -> Column:
@@ -95,5 +101,4 @@ def strip_secrets(schema: dict, text: Column) -> Column:
     Null and broken JSON give a null value with an object's secrets unset.  Members of
     what was walked through stand by name.
     """
-    value = F.try_parse_json(text)
-    return F.struct(F.to_json(stripped(schema, value)).alias("value"), positions(schema, value).alias("secrets"))
+    return bound(F.try_parse_json(text), lambda value: F.struct(F.to_json(stripped(schema, value)).alias("value"), positions(schema, value).alias("secrets")))

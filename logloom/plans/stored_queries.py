@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import diff, retention, secrets
 from logloom.operators import contracts, index, surface, timeline
-from logloom.plans.inputs import conversation_log, event_log, table
+from logloom.plans.inputs import conversation_log, event_log, spread, table
 from logloom.plans.queries import _HITS, SQL, query, ranked_search
 from logloom.sources import framed, tables
 from logloom.sources.scratch import work_folder, written
@@ -82,7 +82,7 @@ def nested_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     hosts = F.concat(F.lit('{"none":7,"'), F.col("c_mktsegment"), F.lit('":'), host, F.lit("}"))
     routes = F.concat(F.lit('[{"password":null,"name":'), name, F.lit('},{"pin":[1]},null]'))
     text = F.concat(F.lit('{"routes":'), routes, F.when(key % 5 != 0, ',"key":{"a":1}').otherwise(""), F.when(key % 3 == 0, F.concat(F.lit(',"label":'), name)).otherwise(""), F.lit(',"hosts":'), hosts, F.lit(',"other":{"key":"kept"}}'))
-    found = table(spark, sf_dir, "customer").select("c_custkey", secrets.strip_secrets(_SETTINGS, text).alias("s"))
+    found = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")).select("c_custkey", secrets.strip_secrets(_SETTINGS, text).alias("s"))
     told = F.array_join(F.transform("s.secrets", lambda x: F.concat(F.array_join(x["path"], "/"), F.lit(":"), x["set"].cast("string"))), " ")
     return found.select("c_custkey", "s.value", told.alias("secrets"))
 

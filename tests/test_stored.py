@@ -320,3 +320,15 @@ def test_global_slot(spark, tmp_path):
 def test_streamed_counters_take_nulls():
     rows = pd.DataFrame({"type": ["step/end", "step/end", "step/end", "tool/call", "tool/result", "tool/call", "tool/result"], "time": [1, 2, 3, None, 5, 6, 9], "turn": [1, None, 1, 1, 1, 1, 1], "call_id": [None, None, None, "a", "a", None, None]})
     assert stream_folds.apply_events((0, 0, None, 0, {}), rows) == (2, 3, 1, 3, {})
+
+
+def test_settings_are_parsed_once_and_dealt_out(spark, tmp_path):
+    schema = {"type": "object", "members": {"a": {"type": "object", "members": {"b": {"type": "object", "members": {"c": {"type": "secret"}}}}}}}
+    found = str(secrets.strip_secrets(schema, F.col("t")))
+    assert found.count("try_parse_json") == 1 and found.count("try_variant_get") == 6  # a walk of its own for value and positions, one map for each of three levels
+    spark.range(40).select(F.col("id").alias("c_custkey"), F.concat(F.lit("C"), "id").alias("c_name"), F.lit("M").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    from logloom.plans import stored_queries  # noqa: F401
+    from logloom.plans.queries import QUERIES
+
+    found = QUERIES["nested_secrets"](spark, str(tmp_path))
+    assert found.count() == 40 and found.select(F.spark_partition_id().alias("p")).distinct().count() == 4
