@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.sources.scratch import WorkTables
 
+#: Steps of a tour that are ranked by doubling; longer tours are contracted to as many first.
+SHORT = 1 << 17
+
 
 def ancestors(nodes: DataFrame) -> DataFrame:
     """Every ancestor of every node, with its distance: id, ancestor, distance, and outcome.
@@ -43,15 +46,65 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     return named.join(reached, "id", "left").select("id", "ancestor", "distance", "outcome")
 
 
+def _toss(node: str, n: int) -> Column:
+    """A fair coin of a step in round ``n``."""
+    return F.xxhash64(f"{node}_id", f"{node}_in", F.lit(n)).bitwiseAND(1) == 1
+
+
+def _contracted(tables: WorkTables, links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Links of fewer steps, and each round's table with the steps that went into the one before them.
+
+    Where a step's coin shows heads and its successor's tails, it takes the successor's
+    place too.  A quarter goes each round, so all rounds together read and write a few
+    times the tour.  Steps whose successor isn't there can't come to the end and go.
+    """
+    size, rounds = links.count(), []
+    none = [F.lit(None).cast(kind).alias(f"gone_{c}") for c, kind in (("id", links.schema["at_id"].dataType), ("in", "boolean"), ("entered", "long"), ("level", "long"))]
+    while size > SHORT:
+        n = len(rounds)
+        tails = links.filter(~_toss("at", n)).select(*(F.col(c).alias(f"x_{c}") for c in links.columns))
+        waits = F.col("to_id").isNotNull() & ~_toss("to", n)
+        heads, rest = links.filter(_toss("at", n) & waits), links.filter(_toss("at", n) & ~waits)
+        met = heads.join(tails, (F.col("to_id") == F.col("x_at_id")) & (F.col("to_in") == F.col("x_at_in")), "right")
+        taken = F.col("at_id").isNotNull()
+        joined = met.select(
+            *(F.when(taken, F.col(c)).otherwise(F.col(f"x_{c}")).alias(c) for c in ("at_id", "at_in")), F.col("x_to_id").alias("to_id"), F.col("x_to_in").alias("to_in"),
+            *((F.coalesce(c, F.lit(0)) + F.col(f"x_{c}")).alias(c) for c in ("entered", "level")),
+            F.when(taken, F.col("x_at_id")).alias("gone_id"), F.when(taken, F.col("x_at_in")).alias("gone_in"), F.col("entered").alias("gone_entered"), F.col("level").alias("gone_level"),
+        )
+        rounds.append(tables.save("rounds", rest.select("*", *none).unionByName(joined)))
+        links, before = rounds[-1].select(*links.columns), size
+        size = links.count()
+        if size > before * 0.95:  # steps without a successor to take, as in other trees
+            break
+    return links, rounds
+
+
+def _ranked(tables: WorkTables, links: DataFrame) -> DataFrame:
+    """entered and level of each step summed to the end; steps that don't come there drop out."""
+    size, span = links.count(), 1
+    while span < size:
+        waiting = links.filter("to_id is not null")
+        if waiting.isEmpty():
+            break
+        ahead = links.select(F.col("at_id").alias("to_id"), F.col("at_in").alias("to_in"), F.col("to_id").alias("beyond_id"), F.col("to_in").alias("beyond_in"), F.col("entered").alias("more"), F.col("level").alias("up"))
+        jumped = waiting.join(ahead, ["to_id", "to_in"]).select("at_id", "at_in", F.col("beyond_id").alias("to_id"), F.col("beyond_in").alias("to_in"), (F.col("entered") + F.col("more")).alias("entered"), (F.col("level") + F.col("up")).alias("level"))
+        links = tables.save("links", jumped.unionByName(links.filter("to_id is null")))
+        tables.drop("links", keep_last=True)
+        span *= 2
+    return links.filter("to_id is null").select("at_id", "at_in", "entered", "level")
+
+
 def preorder(nodes: DataFrame, root: object) -> DataFrame:
     """The tree below ``root`` in pre-order: id, depth and place (the root is 0 and 0).
 
     nodes: id, parent, created_at; an id stands once.  Children stand by created_at, then
-    id in the order of ICU's root locale, as text.  A tour enters and leaves every node;
-    where each step of it stands is found by list ranking: a step's successor jumps twice
-    as far each round, so the rounds grow with log2 of the tour, not with the depth.
-    Steps that never come to the root's end (other trees, cycles) drop out.  An unknown
-    root has no tree.
+    id in the order of ICU's root locale, as text.  A tour enters every node and leaves
+    those with children; where each step of it stands is found by list ranking: random
+    contraction to ``SHORT`` steps, successors that jump twice as far each round, and
+    the contracted steps put back.  Rounds grow with log2 of the tour, not with the
+    depth, and the work of all rounds with the tour.  Steps that never come to the
+    root's end (other trees, cycles) drop out.  An unknown root has no tree.
     """
     tables = WorkTables(nodes.sparkSession, "preorder")
     plain = nodes.select("id", F.when(F.col("id") != root, F.col("parent")).alias("parent"), "created_at")
@@ -59,26 +112,24 @@ def preorder(nodes: DataFrame, root: object) -> DataFrame:
     kin = plain.withColumn("next", F.when(F.col("parent").isNotNull(), F.lead("id").over(siblings))).withColumn("nth", F.row_number().over(siblings))
     firsts = kin.filter("nth = 1 and parent is not null").select(F.col("parent").alias("id"), F.col("id").alias("child"))
     kin = tables.save("kin", kin.join(firsts, "id", "left").select("id", "parent", "next", "child"))
-    step = lambda node, enters: F.struct(node.alias("id"), F.lit(enters).alias("enters"))
-    enter = kin.select(step(F.col("id"), True).alias("at"), F.when(F.col("child").isNotNull(), step(F.col("child"), True)).otherwise(step(F.col("id"), False)).alias("to"), F.lit(1).cast("long").alias("entered"), F.lit(1).cast("long").alias("level"))
-    onward = F.when(F.col("next").isNotNull(), step(F.col("next"), True)).when(F.col("parent").isNotNull(), step(F.col("parent"), False))
-    leave = kin.select(step(F.col("id"), False).alias("at"), onward.alias("to"), F.lit(0).cast("long").alias("entered"), F.lit(-1).cast("long").alias("level"))
-    # entered and level count the steps from `at` to before `to`; a list that ends remembers where
-    links = tables.save("links", enter.unionByName(leave).withColumn("end", F.when(F.col("to").isNull(), F.col("at"))))
-    size, span = links.count(), 1
-    while span < size:
-        ahead = links.select(F.col("at").alias("to"), F.col("to").alias("beyond"), F.col("entered").alias("more"), F.col("level").alias("up"), F.col("end").alias("stop"))
-        waiting = links.filter("to is not null")
-        if waiting.isEmpty():
-            break
-        jumped = waiting.join(ahead, "to", "left").select("at", F.col("beyond").alias("to"), (F.col("entered") + F.coalesce("more", F.lit(0))).alias("entered"), (F.col("level") + F.coalesce("up", F.lit(0))).alias("level"), F.col("stop").alias("end"))
-        links = tables.save("links", jumped.unionByName(links.filter("to is null")))
-        tables.drop("links", keep_last=True)
-        span *= 2
-    ended = links.filter((F.col("end.id") == root) & F.col("at.enters")).select("at.id", "entered", "level")
-    # levels counted to the end are those that lie above, and the step's own
+    # entered and level count the steps from `at` to before `to`; only the root's end has no successor
+    inner = F.col("child").isNotNull()
+    onward, enters = F.coalesce("next", "parent"), F.when(F.coalesce("next", "parent").isNotNull(), F.col("next").isNotNull())
+    step = lambda enter, to, to_in, entered, level: (F.col("id").alias("at_id"), F.lit(enter).alias("at_in"), to.alias("to_id"), to_in.alias("to_in"), F.lit(entered).cast("long").alias("entered"), level.cast("long").alias("level"))
+    enter = kin.select(*step(True, F.coalesce("child", onward), F.when(inner, True).otherwise(enters), 1, F.when(inner, 1).otherwise(0)))
+    leave = kin.filter(inner).select(*step(False, onward, enters, 0, F.lit(-1)))
+    links = tables.save("links", enter.unionByName(leave).filter(F.col("to_id").isNotNull() | (F.col("at_id") == root)))
+    links, rounds = _contracted(tables, links)
+    ranks = tables.save("ranks", _ranked(tables, links))
+    for n in range(len(rounds) - 1, -1, -1):
+        gone = rounds[n].filter("gone_id is not null").select("at_id", "at_in", "gone_id", "gone_in", "gone_entered", "gone_level")
+        back = gone.join(ranks.filter(_toss("at", n)), ["at_id", "at_in"])
+        back = back.select(F.col("gone_id").alias("at_id"), F.col("gone_in").alias("at_in"), (F.col("entered") - F.col("gone_entered")).alias("entered"), (F.col("level") - F.col("gone_level")).alias("level"))
+        ranks = ranks.unionByName(tables.save("ranks", back))
+    tables.drop("kin", "links", "rounds")
+    ended = ranks.filter("at_in").select(F.col("at_id").alias("id"), "entered", "level")
+    # levels counted to the end are those that lie above
     whole = ended.filter(F.col("id") == root).select(F.col("entered").alias("nodes"))
-    tables.drop("kin")
     return ended.join(F.broadcast(whole)).select("id", (F.lit(0) - F.col("level")).cast("int").alias("depth"), (F.col("nodes") - F.col("entered")).alias("place"))
 
 

@@ -332,3 +332,23 @@ def test_settings_are_parsed_once_and_dealt_out(spark, tmp_path):
 
     found = QUERIES["nested_secrets"](spark, str(tmp_path))
     assert found.count() == 40 and found.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+
+
+def test_long_tours_are_contracted(spark, monkeypatch):
+    monkeypatch.setattr(lineage, "SHORT", 16)
+    sizes, ranked, draw = [], lineage._ranked, random.Random(5)
+    monkeypatch.setattr(lineage, "_ranked", lambda tables, links: sizes.append(links.count()) or ranked(tables, links))
+    # a chain, a bush, another tree, a circle and a child of nobody
+    parents = {0: None} | {i: i - 1 for i in range(1, 30)} | {i: draw.randrange(i) for i in range(30, 120)} | {200: None, 201: 200, 202: 201, 300: 302, 301: 300, 302: 301, 400: 999}
+    rows = [(i, p, draw.randrange(4)) for i, p in parents.items()]
+    nodes = spark.createDataFrame(rows, "id long, parent long, created_at long").coalesce(2)
+    born, want = {i: c for i, _, c in rows}, []
+
+    def walk(node, depth):
+        want.append((node, depth, len(want)))
+        for child in sorted((i for i, p in parents.items() if p == node), key=lambda i: (born[i], str(i))):
+            walk(child, depth + 1)
+
+    walk(0, 0)
+    got = sorted((tuple(r) for r in lineage.preorder(nodes, 0).select("id", "depth", "place").collect()), key=lambda r: r[2])
+    assert got == want and sizes[0] <= 16 + 3  # the circle's steps may stay
