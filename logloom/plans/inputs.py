@@ -20,6 +20,11 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python tasks get at most 8 MB of whole rows at once, for work whose results outgrow its input."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+
+
 def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as sessions: a message a turn."""
     rows = table(spark, sf_dir, "conversations")

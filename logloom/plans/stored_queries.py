@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import diff, retention, secrets
 from logloom.operators import contracts, index, surface, timeline
-from logloom.plans.inputs import conversation_log, event_log, spread, table
+from logloom.plans.inputs import conversation_log, event_log, small_batches, spread, table
 from logloom.plans.queries import _HITS, SQL, query, ranked_search
 from logloom.sources import framed, tables
 from logloom.sources.scratch import work_folder, written
@@ -90,6 +90,7 @@ def nested_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def document_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hunks between each document, a sentence a line, and an edited text; rebuilt must be that text."""
+    small_batches(spark)
     old = F.regexp_replace("text", r"([.!?]) ", "$1\n")
     lines = F.split(old, "\n")
     edited = F.array_join(F.filter(F.transform(lines, lambda x, i: F.when((i + F.col("doc_id")) % 11 == 3, F.concat(x, F.lit(" edited\nand added"))).otherwise(x)), lambda x, i: (i + F.col("doc_id")) % 13 != 5), "\n")

@@ -352,3 +352,15 @@ def test_long_tours_are_contracted(spark, monkeypatch):
     walk(0, 0)
     got = sorted((tuple(r) for r in lineage.preorder(nodes, 0).select("id", "depth", "place").collect()), key=lambda r: r[2])
     assert got == want and sizes[0] <= 16 + 3  # the circle's steps may stay
+
+
+def test_hunks_come_in_small_batches(spark, tmp_path):
+    from logloom.plans import stored_queries  # noqa: F401
+    from logloom.plans.queries import QUERIES
+
+    n = 2 * diff.AT_ONCE + 5
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("One. Two! "), F.col("id").cast("string"), F.lit("? Four. Five.")).alias("text")).coalesce(1)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["document_hunks"](spark, str(tmp_path)).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    assert len({r["doc_id"] for r in found}) == len(found) == n and all(r["rebuilt"] for r in found)
