@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logloom.functions.text import SPACE
+from logloom.functions.text import SPACE, bound
 
 #: Statuses that have a bucket of their own name or another.
 BUCKETS = {"SUCCESS": "success", "FAILED": "failed", "TIMEOUT": "failed", "ABANDONED": "abandoned", "UNKNOWN": "invalid/unknown"}
@@ -134,14 +134,6 @@ def safe_name(name: Column) -> Column:
     return F.when(name == "", "~").when(name.isin(".", ".."), F.regexp_replace(name, r"\.", "~002E")).otherwise(F.array_join(coded, ""))
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often ``use`` names it.
-
-    The engine shares no common parts inside functions of lambdas; an array of one binds them to a name.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def session_reference(session_id: Column) -> Column:
     """A reference URI: the id as a JSON string in unpadded base64url."""
     value = bound(F.to_json(F.struct(session_id.alias("v"))), lambda quoted: F.substring(quoted, F.lit(6), F.char_length(quoted) - 6))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logloom.functions.records import bound
+from logloom.functions.text import bound
 
 _MAP, _LIST = "map<string, variant>", "array<variant>"
 SECRET = "array<struct<path: array<string>, set: boolean>>"

@@ -6,6 +6,8 @@ beyond the basic plane twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ _TITLE_NOISE = (
     r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}]",
     r"[\x{200B}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}]",
 )
+#: What any of these begins with.
+_NOISE = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}\x{200B}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}]"
 
 
 def strip_space(text: Column) -> Column:
@@ -30,7 +34,8 @@ def strip_space(text: Column) -> Column:
 
 
 def collapse_space(text: Column) -> Column:
-    return F.regexp_replace(text, f"{SPACE}+", " ")
+    # a plain space that stands alone stays as it is
+    return F.regexp_replace(text, f"(?! (?!{SPACE})){SPACE}+", " ")
 
 
 def strip_end(text: Column) -> Column:
@@ -90,9 +95,19 @@ def preview(parts: Column, limit: int) -> Column:
 
 def clean_title(text: Column) -> Column:
     """One trimmed line without terminal escapes, control and direction characters."""
+    clean = text
     for noise in _TITLE_NOISE:
-        text = F.regexp_replace(text, noise, "")
-    return strip_space(collapse_space(text))
+        clean = F.regexp_replace(clean, noise, "")
+    # one look at a text without any of them; what is collapsed has plain spaces alone
+    return F.trim(collapse_space(F.when(text.rlike(_NOISE), clean).otherwise(text)))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it.
+
+    The engine shares no common parts inside functions of lambdas; an array of one binds them to a name.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def truncate_utf8(text: Column, max_bytes: int) -> Column:
@@ -103,13 +118,18 @@ def truncate_utf8(text: Column, max_bytes: int) -> Column:
     """
     if max_bytes <= 0:
         raise ValueError("max_bytes must be positive")
-    raw = F.encode(text, "UTF-8")
-    cut = F.lit(max_bytes)
-    for _ in range(3):
-        at = cut
-        following = F.conv(F.hex(F.substring(raw, at + 1, F.lit(1))), 16, 10).cast("int")
-        cut = F.when((following >= 128) & (following < 192), at - 1).otherwise(at)
-    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.decode(F.substring(raw, F.lit(1), cut), "UTF-8"))
+
+    def shortened(raw: Column) -> Column:
+        def back(at: Column) -> Column:
+            following = F.conv(F.hex(F.substring(raw, at + 1, F.lit(1))), 16, 10).cast("int")
+            return F.when((following >= 128) & (following < 192), at - 1).otherwise(at)
+
+        cut = F.lit(max_bytes)
+        for _ in range(3):
+            cut = bound(cut, back)
+        return F.decode(F.substring(raw, F.lit(1), cut), "UTF-8")
+
+    return bound(text, lambda text: F.when(F.octet_length(text) <= max_bytes, text).otherwise(bound(F.encode(text, "UTF-8"), shortened)))
 
 
 def normal_title(text: Column, max_bytes: int) -> Column:
@@ -120,8 +140,7 @@ def fallback_title(text: Column, max_words: int, max_bytes: int) -> Column:
     """The leading words of a first prompt within both limits."""
     if max_words <= 0:
         raise ValueError("max_words must be positive")
-    words = F.filter(F.split(clean_title(text), " "), lambda w: w != "")
-    return strip_end(truncate_utf8(F.array_join(F.slice(words, 1, max_words), " "), max_bytes))
+    return strip_end(truncate_utf8(F.substring_index(clean_title(text), " ", max_words), max_bytes))
 
 
 def prune_middle(text: Column, threshold: int, head: int, tail: int, marker: str = PRUNE_MARKER) -> Column:

@@ -276,3 +276,10 @@ def test_mentions_are_parsed_once_and_dealt_out(spark, tmp_path):
 
     found = QUERIES["session_mentions"](spark, str(tmp_path))
     assert found.count() == 40 and found.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+
+
+def test_titles_clean_a_text_once(spark):
+    assert str(text.truncate_utf8(F.upper("t"), 20)).lower().count("upper(") == 1
+    assert str(text.fallback_title(F.col("t"), 2, 20)).lower().count("rlike(") == 1
+    texts = ["one two three", " a\n\n b  c", "a  b", "　", "", "\x1b[31mred\x1b[0m x y", "a​ b", None]
+    assert run(spark, texts, lambda c: text.fallback_title(c, 2, 20)) == ["one two", "a b", "a b", "", "", "red x", "a b", None]
