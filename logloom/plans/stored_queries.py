@@ -194,7 +194,9 @@ def resumed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     add(0, 9)
     add(10, 24)
-    resume.write_checkpoints(resume.resumed_stats(stream(3)), stored, progress).awaitTermination()
+    # larger tables make larger batches, not more of them: each batch opens every partition's state
+    few = max(3, -(-len(spark.read.schema(log.schema).parquet(path).inputFiles()) // 4))
+    resume.write_checkpoints(resume.resumed_stats(stream(few)), stored, progress).awaitTermination()
     add(25, 2**40)
     rows = resume.latest_checkpoints(spark, stored).withColumn("ver", F.when(F.col("session_id").cast("long") % 5 == 0, 1).otherwise(F.col("ver")))
     header = log.select("session_id").distinct().select("session_id", F.lit(4).alias("format_version"), F.lit(7).alias("created_at"), F.lit("/w").alias("cwd"), F.lit(False).alias("is_seeded"), F.lit(0).alias("inherited_event_count"))

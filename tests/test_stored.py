@@ -364,3 +364,21 @@ def test_hunks_come_in_small_batches(spark, tmp_path):
     found = QUERIES["document_hunks"](spark, str(tmp_path)).collect()
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
     assert len({r["doc_id"] for r in found}) == len(found) == n and all(r["rebuilt"] for r in found)
+
+
+def test_more_files_make_larger_batches_of_the_resumed_stats(spark, monkeypatch):
+    from logloom.plans import queries, stored_queries
+
+    ran, write, sf_dir = [], resume.write_checkpoints, "/root/testdata/sf0.001"
+    monkeypatch.setattr(resume, "write_checkpoints", lambda *given: ran.append(write(*given)) or ran[-1])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = sorted(map(tuple, stored_queries.resumed_stats(spark, sf_dir).collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == sorted((str(r[0]), *r[1:]) for r in queries.session_stats(spark, sf_dir).collect())
+    batches = [p["batchId"] for p in ran[0].recentProgress if p["numInputRows"]]
+    assert 2 <= len(batches) <= 4
