@@ -14,36 +14,36 @@ SHORT = 1 << 17
 def ancestors(nodes: DataFrame) -> DataFrame:
     """Every ancestor of every node, with its distance: id, ancestor, distance, and outcome.
 
-    nodes: id, parent.  A parent that isn't a node ends the walk as "partial"; a walk
-    that meets its own node again is a "cycle" and lists each node of it once; others
-    are "complete".  Reach doubles each round, so the rounds grow with log2(depth).
+    nodes: id, parent; an id has one parent.  A parent that isn't a node ends the walk as
+    "partial"; a walk that meets its own node again is a "cycle" and lists each node of it
+    once; others are "complete".  A node's way up is one array; each round, ways that
+    haven't ended take on the way of the node that they end at.  So reach doubles, the
+    rounds grow with log2(depth), and joins move nodes, not pairs: the pairs are made from
+    the ways at the end.
     """
     plain = nodes.select("id", "parent").distinct()
     known = plain.select(F.col("id").alias("parent"), F.lit(True).alias("found"))
-    links = plain.join(known, "parent", "left").select("id", "parent", F.coalesce("found", F.lit(False)).alias("found"))
+    begun = F.when(F.col("id").isNull() | F.col("parent").isNull(), "complete").when(F.col("found").isNull(), "partial").when(F.col("id") == F.col("parent"), "cycle")
+    links = plain.join(known, "parent", "left").withColumn("state", begun)
     tables = WorkTables(nodes.sparkSession, "lineage")
-    reached = tables.save("reached", links.filter("found").select("id", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("distance")))
-    span, edge, circles = 1, reached, False
-    while not edge.isEmpty():
-        # from each place at the edge, all that lies up to `span` above; a round writes its new rows alone
-        above = reached.filter(F.col("distance") <= span).select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("distance").alias("more"))
-        further = edge.join(above, "ancestor").select("id", F.col("next").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance"))
-        fresh = tables.save("reached", further)
-        # a place is met twice only if some node has met itself, not later than that
-        circles = circles or not fresh.filter("id = ancestor").isEmpty()
-        if circles:
-            least = fresh.groupBy("id", "ancestor").agg(F.min("distance").alias("distance"))
-            fresh = tables.save("reached", least.join(reached, ["id", "ancestor"], "left_anti"))
-        reached = reached.unionByName(fresh)
-        span *= 2
-        edge = fresh.filter(F.col("distance") == span)
-    cyclic = reached.filter(F.col("id") == F.col("ancestor")).select("id").distinct()
-    open_end = links.filter(~F.col("found") & F.col("parent").isNotNull()).select("id")
-    ends = reached.select("id", F.col("ancestor").alias("at")).unionByName(plain.select("id", F.col("id").alias("at")))
-    state = lambda marked: ends.join(marked.withColumnRenamed("id", "at"), "at", "left_semi").select("id").distinct()
-    outcome = plain.select("id").distinct().join(state(cyclic).withColumn("cycle", F.lit(True)), "id", "left").join(state(open_end).withColumn("partial", F.lit(True)), "id", "left")
-    named = outcome.select("id", F.when(F.col("cycle"), "cycle").when(F.col("partial"), "partial").otherwise("complete").alias("outcome"))
-    return named.join(reached, "id", "left").select("id", "ancestor", "distance", "outcome")
+    fresh = tables.save("ways", links.select("id", F.when(F.col("state").isNull() | (F.col("state") == "cycle"), F.array("parent")).alias("way"), "state"))
+    ended = fresh.filter("state is not null")
+    reached, todo = fresh, fresh.filter("state is null")
+    while not todo.isEmpty():
+        todo = todo.withColumn("at", F.element_at("way", -1))
+        wanted = tables.save("wanted", todo.select("at").distinct())
+        # few nodes are ends of ways in late rounds, where many ways share them
+        above = tables.save("above", reached.join(wanted, F.col("id") == F.col("at"), "left_semi").select(F.col("id").alias("at"), F.col("way").alias("more"), F.col("state").alias("end")))
+        met = todo.drop("state").join(above, "at").withColumn("own", F.coalesce(F.array_position("more", F.col("id")), F.lit(0)))
+        both = F.concat("way", "more")
+        # a way into a circle runs round it, so a node comes again only behind all others
+        way = F.when(F.col("more").isNull(), F.col("way")).when(F.col("own") > 0, F.concat("way", F.slice("more", F.lit(1), F.col("own").cast("int")))).when(F.col("end") == "cycle", F.array_distinct(both)).otherwise(both)
+        fresh = tables.save("ways", met.select("id", way.alias("way"), F.when(F.col("own") > 0, "cycle").otherwise(F.col("end")).alias("state")))
+        reached, todo = ended.unionByName(fresh), fresh.filter("state is null")
+        ended = ended.unionByName(fresh.filter("state is not null"))
+    tables.drop("wanted", "above")
+    pairs = ended.select("id", F.posexplode_outer("way").alias("place", "ancestor"), F.col("state").alias("outcome"))
+    return pairs.select("id", "ancestor", (F.col("place") + 1).cast("long").alias("distance"), "outcome")
 
 
 def _toss(node: str, n: int) -> Column:

@@ -382,3 +382,26 @@ def test_more_files_make_larger_batches_of_the_resumed_stats(spark, monkeypatch)
     assert got == sorted((str(r[0]), *r[1:]) for r in queries.session_stats(spark, sf_dir).collect())
     batches = [p["batchId"] for p in ran[0].recentProgress if p["numInputRows"]]
     assert 2 <= len(batches) <= 4
+
+
+def test_ancestors_move_nodes_and_not_pairs(spark, monkeypatch):
+    draw, sizes, save = random.Random(8), [], lineage.WorkTables.save
+
+    def counted(self, name, df):
+        sizes.append((table := save(self, name, df)).count())
+        return table
+
+    monkeypatch.setattr(lineage.WorkTables, "save", counted)
+    # a chain, trees, walks into circles of several lengths, parents that aren't there, a node without an id
+    parents = {i: i - 1 if i else None for i in range(40)} | {i: draw.choice([None, 39, 999, *range(100, i)]) for i in range(100, 140)}
+    parents |= {start + i: start + (i + 1) % n for start, n in ((200, 1), (210, 2), (220, 3), (230, 7)) for i in range(n)} | {i: draw.choice([200, 210, 221, 233, *range(300, i)]) for i in range(300, 330)}
+    expected = [(None, None, None, "complete")]
+    for node in parents:
+        way, at = [], node
+        while (at := parents[at]) in parents and at not in way:
+            way.append(at)
+        outcome = "cycle" if at in way else "partial" if at is not None else "complete"
+        expected += [(node, x, n, outcome) for n, x in enumerate(way, 1)] or [(node, None, None, outcome)]
+    nodes = spark.createDataFrame([*parents.items(), (None, 5)], "id long, parent long")
+    assert sorted(map(tuple, lineage.ancestors(nodes).collect()), key=repr) == sorted(expected, key=repr)
+    assert max(sizes) <= len(parents) + 1
