@@ -2,47 +2,51 @@
 
 A replacement takes the place of an inclusive range of current events.  Which range
 an event still stands in depends on all replacements before it, so the fold is one
-pass over a session in seq order, grouped by session.
+pass over a session in seq order; a task passes over one session after the other.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDED = "session_id string, seq long, surface string, position int, shadowed_by long, delta_tokens long"
+_ARROW = pa.schema([("session_id", pa.string()), ("seq", pa.int64()), ("surface", pa.string()), ("position", pa.int32()), ("shadowed_by", pa.int64()), ("delta_tokens", pa.int64())])
+_ROWS = 10_000
 
 
 class CorruptSurface(ValueError):
     """A replacement names a range that isn't current."""
 
 
-def fold_session(frame: pd.DataFrame) -> pd.DataFrame:
+def fold_session(session: str | None, events: list[tuple]) -> Iterator[tuple]:
     """One session: surface (current, shadowed, log-only), place, replacement, token delta.
 
-    Current events are linked to their neighbours.  A replacement walks its range once
-    and takes it out, so the fold is linear in the session.
+    ``events`` are (seq, op, start, end, tokens) in seq order.  Current events are linked
+    to their neighbours.  A replacement walks its range once and takes it out, so the
+    fold is linear in the session.
     """
-    frame = frame.sort_values("seq")
     after: dict[int | None, int | None] = {None: None}  # None stands before the first and behind the last
     before: dict[int | None, int | None] = {None: None}
     tokens: dict[int, int] = {}
     shadowed: dict[int, int] = {}
     deltas: dict[int, int] = {}
-    for seq, op, start, end, cost in zip(frame["seq"], frame["surface_op"], frame["start_seq"], frame["end_seq"], frame["tokens"]):
-        seq, cost = int(seq), 0 if pd.isna(cost) else int(cost)
+    for seq, op, start, end, cost in events:
+        seq, cost = int(seq), 0 if cost is None or cost != cost else int(cost)
         if op == "append":
             left, right, deltas[seq] = before[None], None, cost
         elif op == "replace":
-            gone, at = [], None if pd.isna(start) else int(start)
+            gone, at = [], start
             while at in after and at is not None:
                 gone.append(at)
                 if at == end:
                     break
                 at = after[at]
             if not gone or gone[-1] != end:
-                raise CorruptSurface(f"session {frame['session_id'].iloc[0]}: replacement at {seq} has no current range {start}-{end}")
+                raise CorruptSurface(f"session {session}: replacement at {seq} has no current range {start}-{end}")
             left, right = before[gone[0]], after[gone[-1]]
             for x in gone:
                 del after[x], before[x]
@@ -57,19 +61,44 @@ def fold_session(frame: pd.DataFrame) -> pd.DataFrame:
     while at is not None:
         place[at] = len(place)
         at = after[at]
-    seqs = [int(x) for x in frame["seq"]]
-    return pd.DataFrame({
-        "session_id": frame["session_id"].to_numpy(), "seq": seqs,
-        "surface": ["current" if s in place else "shadowed" if s in shadowed else "log-only" for s in seqs],
-        "position": pd.array([place.get(s) for s in seqs], dtype="Int32"), "shadowed_by": pd.array([shadowed.get(s) for s in seqs], dtype="Int64"),
-        "delta_tokens": pd.array([deltas.get(s) for s in seqs], dtype="Int64"),
-    })
+    for seq, *_ in events:
+        yield session, seq, "current" if seq in place else "shadowed" if seq in shadowed else "log-only", place.get(seq), shadowed.get(seq), deltas.get(seq)
+
+
+def fold_sessions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The folds of sessions whose events come one after another; one session is held at once."""
+
+    def sessions() -> Iterator[tuple]:
+        name, events = None, []
+        for batch in batches:
+            for session, *event in zip(*(c.to_pylist() for c in batch.columns)):
+                if events and session != name:
+                    yield name, events
+                    events = []
+                name = session
+                events.append(event)
+        if events:
+            yield name, events
+
+    out: list[tuple] = []
+    for session in sessions():
+        for row in fold_session(*session):
+            out.append(row)
+            if len(out) == _ROWS:
+                yield pa.record_batch(list(zip(*out)), schema=_ARROW)
+                out = []
+    if out:
+        yield pa.record_batch(list(zip(*out)), schema=_ARROW)
 
 
 def fold_surface(log: DataFrame) -> DataFrame:
-    """Surface state of every event; reads surface_op, start_seq, end_seq and tokens."""
+    """Surface state of every event; reads surface_op, start_seq, end_seq and tokens.
+
+    Sessions are dealt whole over the tasks and read in order from one stream of rows: a
+    pandas frame for each of many short sessions would cost several times their fold.
+    """
     rows = log.select(F.col("session_id").cast("string").alias("session_id"), "seq", "surface_op", "start_seq", "end_seq", "tokens")
-    return rows.groupBy("session_id").applyInPandas(fold_session, FOLDED)
+    return rows.repartition("session_id").sortWithinPartitions("session_id", "seq").mapInArrow(fold_sessions, FOLDED)
 
 
 def current_nodes(log: DataFrame, folded: DataFrame) -> DataFrame:
@@ -157,8 +186,8 @@ def refused_offloads(log: DataFrame, images: DataFrame, folded: DataFrame) -> Da
     reason = F.when(F.coalesce(F.size("targets"), F.lit(-1)) <= 0, "no targets").when(F.size(F.array_distinct(seqs)) < F.size("targets"), "repeated target")
     form = offloads.select("session_id", "seq", reason.alias("reason"), F.coalesce(unordered, F.lit(False)).alias("unordered"))
     targets = visible_at(offloads.select("session_id", "seq", F.explode("targets").alias("t")).select("session_id", "seq", F.col("t.seq").alias("target_seq"), F.col("t.indexes").alias("indexes")), folded)
-    kinds = log.select("session_id", F.col("seq").alias("target_seq"), F.col("type").alias("kind"))
-    targets = targets.join(kinds, ["session_id", "target_seq"], "left").withColumn("typed", F.coalesce(F.col("kind").isin("user/message", "tool/result"), F.lit(False)))
+    kinds = log.filter(F.col("type").isin("user/message", "tool/result")).select("session_id", F.col("seq").alias("target_seq"), F.lit(True).alias("kind"))
+    targets = targets.join(kinds, ["session_id", "target_seq"], "left").withColumn("typed", F.col("kind").isNotNull())
     places = targets.groupBy("session_id", "seq").agg(F.min("visible").alias("visible"), F.min("typed").alias("typed"))
     marks = targets.select("session_id", "seq", F.col("target_seq"), F.explode("indexes").alias("index"))
     held = images.select("session_id", F.col("seq").alias("target_seq"), "index").distinct().withColumn("held", F.lit(True))

@@ -139,7 +139,7 @@ def _images(log: DataFrame) -> DataFrame:
  b AS (SELECT *, row_number() OVER w - 1 AS position, sum(delta) OVER w AS behind FROM c WINDOW w AS (PARTITION BY session_id ORDER BY seq))
  SELECT session_id::VARCHAR AS session_id, seq, position::INT AS position, (behind - delta)::BIGINT AS open_before, behind::BIGINT AS open_behind, min(behind) OVER (PARTITION BY session_id ORDER BY seq) < 0 AS corrupt FROM b""")
 def surface_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _surface_log(spark, sf_dir)
+    log = written(_surface_log(spark, sf_dir), "surface-log")
     return surface.surface_balance(log, surface.fold_surface(log))
 
 
@@ -148,7 +148,7 @@ _REFUSED = _NODES + """, f AS (SELECT session_id, min(seq) AS seq FROM n WHERE r
 
 @query("WITH {LOG}, " + _REFUSED + " SELECT session_id::VARCHAR AS session_id, seq, CASE WHEN seq % 10 = 7 THEN 'not on the surface' ELSE 'offloaded before' END AS reason FROM f")
 def refused_image_offloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _surface_log(spark, sf_dir)
+    log = written(_surface_log(spark, sf_dir), "surface-log")
     return surface.refused_offloads(log, _images(log), surface.fold_surface(log))
 
 
@@ -156,7 +156,7 @@ def refused_image_offloads(spark: SparkSession, sf_dir: str) -> DataFrame:
  m AS (SELECT session_id, seq - 6 AS seq, 0 AS i FROM e WHERE r = 6 UNION SELECT session_id, seq - 5, unnest([0, 1]) FROM e WHERE r = 7 UNION SELECT session_id, seq - 9, 1 FROM e WHERE r = 9)
  SELECT n.session_id::VARCHAR AS session_id, n.seq, x.index, m.i IS NOT NULL AS offloaded FROM n, (VALUES (0), (1)) x(index) LEFT JOIN m ON m.session_id = n.session_id AND m.seq = n.seq AND m.i = x.index WHERE n.r IN (0, 2, 3, 4, 5)""")
 def offloaded_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _surface_log(spark, sf_dir)
+    log = written(_surface_log(spark, sf_dir), "surface-log")
     return surface.offload_images(log, _images(log), surface.fold_surface(log))
 
 

@@ -405,3 +405,38 @@ def test_ancestors_move_nodes_and_not_pairs(spark, monkeypatch):
     nodes = spark.createDataFrame([*parents.items(), (None, 5)], "id long, parent long")
     assert sorted(map(tuple, lineage.ancestors(nodes).collect()), key=repr) == sorted(expected, key=repr)
     assert max(sizes) <= len(parents) + 1
+
+
+def test_surfaces_of_many_sessions_share_their_batches(spark):
+    import pyarrow as pa
+
+    draw, rows, expected = random.Random(9), [], {}
+    for session in [None, *(f"s{i}" for i in range(120))]:
+        shown, marks, place = [], {}, 0
+        for seq in range(draw.randrange(1, 25)):
+            kind, cost = draw.choice(["append", "append", "replace", None]), draw.choice([None, 1, 5])
+            span = sorted(draw.choices(range(len(shown)), k=2)) if kind == "replace" and shown else None
+            kind = None if kind == "replace" and span is None else kind
+            rows.append((session, seq, kind, *((shown[span[0]][0], shown[span[1]][0]) if span else (None, None)), cost))
+            marks[seq] = ["log-only", None, None, None]
+            if kind:
+                gone = shown[span[0] : span[1] + 1] if span else []
+                for old, _ in gone:
+                    marks[old][0], marks[old][2] = "shadowed", seq
+                at = span[0] if span else len(shown)
+                shown[at : at + len(gone)] = [(seq, cost or 0)]
+                marks[seq] = ["current", None, None, (cost or 0) - sum(c for _, c in gone)]
+        for place, (seq, _) in enumerate(shown):
+            marks[seq][1] = place
+        expected |= {(session, seq): tuple(m) for seq, m in marks.items()}
+    schema = "session_id string, seq long, surface_op string, start_seq long, end_seq long, tokens long"
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # sessions run on from batch to batch
+    try:
+        got = surface.fold_surface(spark.createDataFrame(rows, schema).orderBy(F.rand(3))).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(got) == len(rows) and {(r[0], r[1]): tuple(r[2:]) for r in got} == expected
+    # before, each session came and went as a frame of its own
+    batches = pa.Table.from_pylist([dict(zip(schema.replace(" string", "").replace(" long", "").split(", "), r)) for r in rows]).to_batches(50)
+    assert len(batches) > 10 and len(list(surface.fold_sessions(iter(batches)))) == 1
