@@ -133,7 +133,7 @@ def stated_licenses(texts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     chosen = scratch.save("chosen", texts.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors(weights, least)))))
     # the words of texts with an anchor, which may be as many as the corpus has, by their own weights
     met = chosen.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct()
-    weighed = scratch.save("weights", met.join(frequencies, "word").select("word", inverse_frequency(F.col("n"), n).alias("weight")))
+    weighed = scratch.save("weights", met.join(dealt(frequencies), "word").select("word", inverse_frequency(F.col("n"), n).alias("weight")))
     tables = Tables(texts.sparkSession, weights, weighed, least)
     scored = stated_units(chosen, tables).unionByName(stated_windows(chosen, tables, scratch))
     names = F.create_map(*(x for i, (name, _) in enumerate(TEMPLATES) for x in (F.lit(i), F.lit(name))))
@@ -153,7 +153,7 @@ class Tables:
         self.least = least
         self.anchors = [sorted(template_anchors(each, weights, least)) for each in counts]
         self.size_of = F.create_map(*(F.lit(x) for t, each in enumerate(counts) for x in (t, sum(each.values()))))
-        self.weights = weighed
+        self.weights = dealt(weighed)
         self.shares = F.broadcast(spark.createDataFrame(shares, "word string, template int, share double"))
 
     def weighed(self, units: DataFrame, *keys: str) -> DataFrame:
@@ -162,6 +162,16 @@ class Tables:
         return counts.join(self.weights, "word").withColumn("value", F.col("n") * F.col("weight")).drop("weight")
 
 
+def dealt(table: DataFrame) -> DataFrame:
+    """``table`` with the hint that a join deals both sides to tasks by their keys.
+
+    Spark takes compressed files for a table's size and doesn't count the rows that an
+    explode adds, so without it tables of many times the bytes that a broadcast may have
+    would go through the driver.
+    """
+    return table.hint("merge")
+
+
 def by_row(chosen: DataFrame) -> DataFrame:
     """One row for each row_id, dealt by it: all grouping by it and more stays where it is.
 
@@ -220,10 +230,10 @@ def stated_windows(chosen: DataFrame, tables: Tables, scratch: Scratch) -> DataF
     dot = (F.col("end.dots") - F.col("dots") + F.col("part")).alias("dot")
     runs = scratch.save("runs", runs.select("row_id", "template", F.col("piece").alias("first"), F.col("end.piece").alias("last"), "begin", F.col("end.upto").alias("upto"), "all", dot))
     spread = runs.select("row_id", "first", "last").distinct().withColumn("piece", F.explode(F.sequence("first", "last")))
-    some = chosen.join(runs.select("row_id").distinct(), "row_id", "left_semi")
-    run_words = spread.join(tables.weighed(pieces(by_row(some)), "row_id", "piece"), ["row_id", "piece"]).groupBy("row_id", "first", "last", "word").agg(F.sum("value").alias("value"))
+    some = chosen.join(dealt(runs.select("row_id").distinct()), "row_id", "left_semi")
+    run_words = spread.join(dealt(tables.weighed(pieces(by_row(some)), "row_id", "piece")), ["row_id", "piece"]).groupBy("row_id", "first", "last", "word").agg(F.sum("value").alias("value"))
     lengths = run_words.groupBy("row_id", "first", "last").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"))
-    scored = runs.join(lengths, ["row_id", "first", "last"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= tables.least)
+    scored = runs.join(dealt(lengths), ["row_id", "first", "last"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 9)).filter(F.col("score") >= tables.least)
     opens = F.col("template").isin(*OPENINGS) & (F.col("begin") <= LEAD_WORDS)
     fills = F.col("template").isin(*WHOLE_TEXTS) & (F.col("upto") - F.col("begin") >= MOST * F.col("all"))
     return scored.select("row_id", F.col("first").alias("unit"), "template", "score", (opens | fills).alias("file"))
@@ -234,9 +244,9 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def ancestors(path: Column) -> Column:
-    """Every directory above a path, the root (empty) included."""
-    names = F.split(directory(path), F.lit("/"))
+def ancestors(folder: Column) -> Column:
+    """A directory and every one above it, the root (empty) included."""
+    names = F.split(folder, F.lit("/"))
     above = F.transform(F.sequence(F.lit(1), F.size(names)), lambda k: F.array_join(F.slice(names, 1, k), "/"))
     return F.array_distinct(F.concat(F.array(F.lit("")), above))
 
@@ -261,25 +271,33 @@ def scan_licenses(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     parts = F.col("doc_id"), F.col("path"), F.col("text")
     row_id = F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2))))  # 128 bits
     texts = source.select(row_id.alias("row_id"), text_or_empty().alias("text"))
-    stated = scratch.save("stated", stated_licenses(texts, least).distinct())
-    kinds = stated.groupBy("row_id").agg(
+    kinds = stated_licenses(texts, least).groupBy("row_id").agg(
         F.max(F.when(~F.col("whole"), F.struct("granted", "score", "license"))).alias("header"), F.max(F.when(F.col("whole"), F.struct("granted", "score", "license"))).alias("file")
     )
-    rows = source.select("doc_id", "path", row_id.alias("row_id")).join(kinds, "row_id", "left")
+    kinds = scratch.save("stated", kinds)
+    rows = source.select("doc_id", "path", row_id.alias("row_id")).join(dealt(kinds), "row_id", "left")
     named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False)) & F.coalesce(F.col("header.granted"), F.lit(False))
     rows = rows.withColumn("file", F.coalesce("file", F.when(named, F.col("header"))))
     rows = rows.withColumn("own", F.coalesce("file", "header")).withColumn("origin", F.when(F.col("file").isNotNull(), "file").when(F.col("header").isNotNull(), "header"))
     rows = scratch.save("rows", rows.drop("row_id"))
-    files = rows.filter("origin = 'file' and path is not null").groupBy(directory(F.col("path")).alias("folder")).agg(F.min(F.struct("path", "own")).alias("found"))
-    plain = rows.filter("origin is null")
-    # one row for each directory above a document; the licence files have one row for each directory
-    heirs = plain.filter("path is not null").select("path", F.explode(ancestors(F.col("path"))).alias("folder")).distinct().join(files, "folder")
-    nearest = heirs.groupBy("path").agg(F.max(F.struct(F.length("folder").alias("depth"), "found")).alias("nearest"))
-    nearest = nearest.select("path", F.col("nearest.found").alias("found"))
     own = rows.filter("origin is not null").select("doc_id", "path", F.col("own.license").alias("license"), F.col("own.score").alias("score"), "origin", F.lit(None).cast("string").alias("from_path"))
-    inherited = plain.select("doc_id", "path").join(nearest, "path", "left")
-    taken = F.col("found").isNotNull()
-    inherited = inherited.select(
-        "doc_id", "path", F.col("found.own.license").alias("license"), F.col("found.own.score").alias("score"), F.when(taken, "inherited").alias("origin"), F.col("found.path").alias("from_path"),
-    )
-    return own.unionByName(inherited)
+    return own.unionByName(inherited(rows, scratch))
+
+
+def inherited(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows without a licence of their own, with that of the nearest directory above them.
+
+    Both tables that are joined by directory are saved before: where a side of a join
+    comes straight from a shuffle, Spark splits a large directory's rows among tasks.
+    """
+    files = rows.filter("origin = 'file' and path is not null").groupBy(directory(F.col("path")).alias("folder")).agg(F.min(F.struct("path", "own")).alias("found"))
+    files = scratch.save("files", files)
+    plain = rows.filter("origin is null").select("doc_id", "path", directory(F.col("path")).alias("inside"))
+    # each directory is looked up once, however many documents it holds
+    heirs = plain.filter("inside is not null").select("inside").distinct().select("inside", F.explode(ancestors(F.col("inside"))).alias("folder"))
+    nearest = heirs.join(dealt(files), "folder").groupBy("inside").agg(F.max(F.struct(F.length("folder").alias("depth"), "found")).alias("nearest"))
+    nearest = scratch.save("nearest", nearest.select("inside", F.col("nearest.found").alias("found")))
+    scratch.drop("files")
+    taken = plain.join(dealt(nearest), "inside", "left")
+    origin = F.when(F.col("found").isNotNull(), "inherited").alias("origin")
+    return taken.select("doc_id", "path", F.col("found.own.license").alias("license"), F.col("found.own.score").alias("score"), origin, F.col("found.path").alias("from_path"))

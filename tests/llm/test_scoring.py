@@ -248,6 +248,45 @@ def test_prose_with_a_notice_is_no_licence_file(files):
     assert cosine(rows[0][1], 2, weights) < 0.3 and plain_best(rows[0][1], weights) > 0.99
 
 
+def test_nothing_that_grows_goes_through_the_driver(files, spark, monkeypatch):
+    """Joins send only the templates' table, though Spark takes all others for small too."""
+    plans, save = [], licenses.Scratch.save
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(licenses.Scratch, "save", lambda self, name, df: (seen(df), save(self, name, df))[1])
+    rows = [("a/LICENSE", licenses.TEMPLATES[4][1]), *((f"a/{i % 7}/{i}.py", prose(i, 30) + ("\nReleased under the MIT License.\n" if i % 5 == 0 else "")) for i in range(300))]
+    seen(found := licenses.scan_licenses(files(rows)))
+    assert found.filter("origin = 'inherited' and from_path = 'a/LICENSE'").count() == 240
+    sent = [x for plan in plans for x in re.findall(r"BroadcastExchange.*?(Scan [^\[]*\[\w+)", plan, re.DOTALL)]
+    assert len(plans) == 9 and sent and set(sent) == {"Scan ExistingRDD[word"}
+
+
+def test_licences_are_inherited_by_directory(spark):
+    draw = random.Random(9)
+    paths = ["top.py", "/x.py", "/a/x.py", "a//x.py", "a/b/", "", None, "a//b/LICENSE", "a/LICENSE", "/a/LICENSE"]
+    paths += ["/".join([*(draw.choice("abc") for _ in range(draw.randrange(5))), f"{i}.py"]) for i in range(300)]
+
+    def expected(origin, licensed):
+        out = []
+        for i, path in enumerate(paths):
+            found = None
+            if path is not None and origin[i] is None:
+                names = path.split("/")[:-1]
+                for k in range(len(names), -1, -1):
+                    found = min((p for p in licensed if p.rpartition("/")[0] == "/".join(names[:k])), default=None)
+                    if found is not None:
+                        break
+            if origin[i] is None:
+                out.append((i, path, "L-" + found if found else None, 1.0 if found else None, "inherited" if found else None, found))
+        return out
+
+    for share in (0.0, 0.05, 0.5):
+        origin = [("file" if i in (7, 8, 9) and share or i > 9 and draw.random() < share else None) for i in range(len(paths))]
+        rows = [(i, p, (True, 1.0, f"L-{p}") if o else None, o) for i, (p, o) in enumerate(zip(paths, origin, strict=True))]
+        table = spark.createDataFrame(rows, "doc_id long, path string, own struct<granted: boolean, score: double, license: string>, origin string")
+        got = sorted(map(tuple, licenses.inherited(table, licenses.Scratch(spark, "test")).collect()))
+        assert got == expected(origin, [p for p, o in zip(paths, origin, strict=True) if o])
+
+
 def test_anchors_lose_nothing():
     weights = {w: 1.0 + len(w) for w in set().union(*licenses.template_counts())}
     chosen = set(licenses.anchors(weights, 0.8))
